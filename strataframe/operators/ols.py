@@ -46,6 +46,7 @@ def _fit_schema(by_fields: str) -> str:
     return (f"{by_fields}n long, rank int, df_residual long, rss double, tss double, "
             f"sigma double, r_squared double, adj_r_squared double, f_statistic double, "
             f"f_p_value double, log_lik double, aic double, bic double, ybar double, "
+            f"t_crit double, "
             f"coef {arr}, se {arr}, t {arr}, p {arr}, conf_low {arr}, conf_high {arr}, "
             f"xbar {arr}, inv {arr}")
 
@@ -117,7 +118,7 @@ def solve_moments(batch: pd.DataFrame, k: int, conf_level: float, tol: float = A
         "n": n.astype("int64"), "rank": rank.astype("int32"), "df_residual": df_res.astype("int64"),
         "rss": rss, "tss": tss, "sigma": np.sqrt(sigma2), "r_squared": r2,
         "adj_r_squared": adj, "f_statistic": fstat, "f_p_value": fp, "log_lik": ll,
-        "aic": aic, "bic": bic, "ybar": ybar,
+        "aic": aic, "bic": bic, "ybar": ybar, "t_crit": q,
         "coef": [_nan_to_none(r) for r in coef], "se": [_nan_to_none(r) for r in se],
         "t": [_nan_to_none(r) for r in tstat], "p": [_nan_to_none(r) for r in pval],
         "conf_low": [_nan_to_none(r) for r in lo], "conf_high": [_nan_to_none(r) for r in hi],

@@ -1,11 +1,11 @@
 """Order statistics without funnelling a group (or the whole table) into one task.
 
-``positions`` is the building block: rows are range-partitioned on (group keys, order keys),
-so a group holding a third of the table is spread over many tasks. Each partition numbers
-its rows locally. The only thing that crosses partitions is the count of a group's rows in
-earlier partitions, and only a group that continues from an earlier partition needs one.
-There is at most one such group per partition, so that offset table has fewer rows than
-there are partitions and is broadcast on a proven bound.
+``positions`` is the building block: rows get a range bucket on (group keys, order keys), so
+a group holding a third of the table is spread over many buckets and tasks. Each bucket
+numbers its rows locally. The only thing that crosses buckets is the count of a group's
+rows in earlier buckets, and only a group that continues from an earlier bucket needs one.
+There is at most one such group per bucket, so that offset table has fewer rows than there
+are buckets and is broadcast on a proven bound.
 
 Average ranks, exact quantiles (type 7), medians and MADs are built on it.
 """
@@ -26,6 +26,33 @@ def _n_partitions(df: DataFrame, partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+SAMPLES_PER_BUCKET = 32
+_HASH_RANGE = 1 << 20
+
+
+def range_buckets(df: DataFrame, keys: Sequence[str], n: int, out: str = "_pid") -> DataFrame:
+    """Add ``out`` in 0..n-1, monotone in the (keys) order, splitting any hot key range.
+
+    Bounds come from a deterministic sample: a row is sampled when a hash of its keys falls
+    under ~(32·n / row count), so every evaluation of the plan (every branch, every task
+    retry) draws the same sample. The sample (about 32·n keys, bounded by the partition
+    count) is sorted into n-1 bounds and broadcast as a 1-row table.
+    """
+    key = F.struct(*[F.col(k) for k in keys])
+    if n <= 1:
+        return df.withColumn(out, F.lit(0))
+    cnt = df.agg(F.count("*").alias("_c"))
+    h = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(_HASH_RANGE))
+    keep = h < F.lit(float(_HASH_RANGE * SAMPLES_PER_BUCKET * n)) / F.col("_c")
+    sample = df.crossJoin(F.broadcast(cnt)).filter(keep).select(key.alias("_k"))
+    bounds = sample.agg(F.array_sort(F.collect_list("_k")).alias("_s")).select(
+        F.expr(f"transform(sequence(1, {n - 1}), "
+               f"i -> try_element_at(_s, cast(i * size(_s) / {n} as int) + 1))").alias("_b"))
+    with_b = df.crossJoin(F.broadcast(bounds))
+    return (with_b.withColumn(out, F.size(F.filter(F.col("_b"), lambda b: b <= key)))
+            .drop("_b"))
+
+
 def positions(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str = "_pos",
               weight: str | None = None, partitions: int | None = None) -> DataFrame:
     """Add ``out``: rows (or total ``weight``) before this row within its ``by`` group.
@@ -37,9 +64,7 @@ def positions(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str =
     n = _n_partitions(df, partitions)
     w = F.col(weight) if weight else F.lit(1)
     sort_keys = [F.col(c).asc_nulls_last() for c in by + order]
-    ranged = (df.repartitionByRange(n, *sort_keys)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_w", w.cast("long")))
+    ranged = range_buckets(df, by + order, n).withColumn("_w", w.cast("long"))
     local_w = Window.partitionBy("_pid", *by).orderBy(*sort_keys).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumn("_local", F.sum("_w").over(local_w) - F.col("_w"))
@@ -48,8 +73,8 @@ def positions(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str =
         Window.unboundedPreceding, -1)
     offsets = (totals.withColumn("_off", F.sum("_cnt").over(before))
                .filter(F.col("_off") > 0).select("_pid", *by, "_off"))
-    # <= (partitions - 1) rows: only a partition's first group can continue from an
-    # earlier partition, so this broadcast is bounded by the partition count.
+    # < n rows: only a bucket's first group can continue from an earlier bucket, so this
+    # broadcast is bounded by the bucket count.
     joined = local.join(F.broadcast(offsets), ["_pid", *by], "left")
     return (joined.withColumn(out, F.col("_local") + F.coalesce(F.col("_off"), F.lit(0)))
             .drop("_pid", "_w", "_local", "_off"))

@@ -168,8 +168,9 @@ FIXTURE_SQL = {
                sum(case when l_returnflag = 'N' then l_quantity else 0.0 end) as SB,
                sum(l_quantity) as H,
                sum(case when l_linestatus = 'O' then l_quantity else 0.0 end) / 4.0 as X2B,
-               count_if(l_discount >= 0.08) as X3B, count_if(l_tax >= 0.04) as W,
-               count_if(l_tax = 0) as E,
+               cast(count_if(l_discount >= 0.08) as bigint) as X3B,
+               cast(count_if(l_tax >= 0.04) as bigint) as W,
+               cast(count_if(l_tax = 0) as bigint) as E,
                sum(l_quantity) + 3.0 * count(*) as AB
         from lineitem group by 1, 2""",
     "batting": """
@@ -196,11 +197,11 @@ FIXTURE_SQL = {
               "where c_custkey % 5 <> 0",
     "appearances": """
         select o_custkey as playerID,
-               count_if(substr(o_orderpriority, 1, 1) = '1') as G_1,
-               count_if(substr(o_orderpriority, 1, 1) = '2') as G_2,
-               count_if(substr(o_orderpriority, 1, 1) = '3') as G_3,
-               count_if(substr(o_orderpriority, 1, 1) = '4') as G_4,
-               count_if(substr(o_orderpriority, 1, 1) = '5') as G_5
+               cast(count_if(substr(o_orderpriority, 1, 1) = '1') as bigint) as G_1,
+               cast(count_if(substr(o_orderpriority, 1, 1) = '2') as bigint) as G_2,
+               cast(count_if(substr(o_orderpriority, 1, 1) = '3') as bigint) as G_3,
+               cast(count_if(substr(o_orderpriority, 1, 1) = '4') as bigint) as G_4,
+               cast(count_if(substr(o_orderpriority, 1, 1) = '5') as bigint) as G_5
         from orders group by 1""",
     "fielding": "select o_custkey as playerID, o_orderpriority as POS, "
                 "cast(floor(o_totalprice) as integer) as G, o_orderkey as stint from orders",
