@@ -1,7 +1,8 @@
 """Registry of named queries and their DuckDB oracle SQL.
 
-Each query takes (spark, sf_dir) and returns a DataFrame. Doubles are rounded to 6 digits
-on both sides (plus 0.0 to fold negative zero), so the two engines hash identically.
+Each query takes (spark, sf_dir) and returns a DataFrame. Doubles are rounded the same way
+on both sides, so the two engines hash identically: 6 decimals below 1000, and 10
+significant digits from 1000 up (plus 0.0 to fold negative zero).
 """
 
 from __future__ import annotations
@@ -19,13 +20,31 @@ ORACLE: dict[str, str] = {}
 DIGITS = 6
 
 
+SIG_DIGITS = 10
+LARGE = 1000.0
+
+
+def round_double(c):
+    """6 decimals below 1000, 10 significant digits above; -0.0 becomes 0.0."""
+    e = F.floor(F.log10(F.abs(c)))
+    scale = F.pow(F.lit(10.0), e)
+    big = F.round(c / scale, SIG_DIGITS - 1) * scale
+    return F.when(F.abs(c) >= LARGE, big).otherwise(F.round(c, DIGITS)) + F.lit(0.0)
+
+
+def round_double_sql(c: str) -> str:
+    e = f"floor(log10(abs({c})))"
+    big = f"round({c} / pow(10.0, {e}), {SIG_DIGITS - 1}) * pow(10.0, {e})"
+    return f"(case when abs({c}) >= {LARGE} then {big} else round({c}, {DIGITS}) end + 0.0)"
+
+
 def finish(df: DataFrame) -> DataFrame:
-    """Round every double column to ``DIGITS`` digits and fold -0.0 into 0.0."""
+    """Round every double column (``round_double``)."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            out.append((F.round(c.cast("double"), DIGITS) + F.lit(0.0)).alias(f.name))
+            out.append(round_double(c.cast("double")).alias(f.name))
         else:
             out.append(c)
     return df.select(*out)
@@ -36,7 +55,7 @@ def oracle(main: str, doubles: Sequence[str] | str = (), ctes: dict | None = Non
     if isinstance(doubles, str):
         doubles = doubles.split()
     if doubles:
-        rep = ", ".join(f'round("{c}", {DIGITS}) + 0.0 as "{c}"' for c in doubles)
+        rep = ", ".join(f'{round_double_sql(chr(34) + c + chr(34))} as "{c}"' for c in doubles)
         main = f"select * replace ({rep}) from (\n{main}\n) _q"
     return with_fixtures(main, ctes)
 
