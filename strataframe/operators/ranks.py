@@ -53,31 +53,51 @@ def range_buckets(df: DataFrame, keys: Sequence[str], n: int, out: str = "_pid")
             .drop("_b"))
 
 
-def positions(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str = "_pos",
-              weight: str | None = None, partitions: int | None = None) -> DataFrame:
-    """Add ``out``: rows (or total ``weight``) before this row within its ``by`` group.
-
-    The order must be total (``order`` should end with a unique key) for a deterministic
-    result. Without ``weight`` this is ``row_number() - 1``.
+def running_before(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str,
+                   how: str = "sum", out: str = "_before",
+                   partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = sum or max of ``value`` over the rows before this one in its group.
+
+    Rows get range buckets on (by, order); each bucket aggregates locally with a window on
+    (bucket, group); a group continuing from earlier buckets adds the total (or maximum) of
+    those buckets, taken from a table of fewer rows than buckets (broadcast on that bound).
+    For a deterministic result ``order`` must be total. A sum starts at 0, a max at NULL.
     """
     by, order = list(by), list(order)
     n = _n_partitions(df, partitions)
-    w = F.col(weight) if weight else F.lit(1)
     sort_keys = [F.col(c).asc_nulls_last() for c in by + order]
-    ranged = range_buckets(df, by + order, n).withColumn("_w", w.cast("long"))
+    ranged = range_buckets(df, by + order, n).withColumn("_v", F.col(value))
+    if how == "sum":
+        ranged = ranged.withColumn("_v", F.coalesce(F.col("_v").cast("long"), F.lit(0)))
+    agg = F.sum if how == "sum" else F.max
     local_w = Window.partitionBy("_pid", *by).orderBy(*sort_keys).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn("_local", F.sum("_w").over(local_w) - F.col("_w"))
-    totals = ranged.groupBy("_pid", *by).agg(F.sum("_w").alias("_cnt"))
+        Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_local", agg("_v").over(local_w))
+    totals = ranged.groupBy("_pid", *by).agg(agg("_v").alias("_tot"))
     before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = (totals.withColumn("_off", F.sum("_cnt").over(before))
-               .filter(F.col("_off") > 0).select("_pid", *by, "_off"))
-    # < n rows: only a bucket's first group can continue from an earlier bucket, so this
-    # broadcast is bounded by the bucket count.
+    offsets = (totals.withColumn("_off", agg("_tot").over(before))
+               .filter(F.col("_off").isNotNull()).select("_pid", *by, "_off"))
+    # < n rows: only a bucket's first group can continue from an earlier bucket.
     joined = local.join(F.broadcast(offsets), ["_pid", *by], "left")
-    return (joined.withColumn(out, F.col("_local") + F.coalesce(F.col("_off"), F.lit(0)))
-            .drop("_pid", "_w", "_local", "_off"))
+    if how == "sum":
+        res = F.coalesce(F.col("_local"), F.lit(0)) + F.coalesce(F.col("_off"), F.lit(0))
+    else:
+        res = F.greatest(F.col("_local"), F.col("_off"))
+    return joined.withColumn(out, res).drop("_pid", "_v", "_local", "_off")
+
+
+def positions(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str = "_pos",
+              weight: str | None = None, partitions: int | None = None) -> DataFrame:
+    """Add ``out``: rows (or total ``weight``) before this row within its ``by`` group.
+
+    The order must be total (``order`` should end with a unique key) for a deterministic
+    result. Without ``weight`` this is ``row_number() - 1``.
+    """
+    if weight is None:
+        df = df.withColumn("_one", F.lit(1))
+        return running_before(df, by, order, "_one", "sum", out, partitions).drop("_one")
+    return running_before(df, by, order, weight, "sum", out, partitions)
 
 
 def value_counts(df: DataFrame, c: str, by: Sequence[str] = ()) -> DataFrame:

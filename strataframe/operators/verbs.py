@@ -147,3 +147,22 @@ def per_group(df: DataFrame, by: Sequence[str], fn: Callable, schema: str) -> Da
     if not schema:
         raise ValueError("per_group needs an output schema: a result must be a table")
     return df.groupBy(*by).applyInPandas(fn, schema)
+
+
+def skyline(df: DataFrame, by: Sequence[str], cost: str, value: str) -> DataFrame:
+    """Rows no other row of the same group beats: none at most as costly and at least as
+    good, and strictly better in one of the two (C5).
+
+    Rows are first reduced to the best value per (group, cost) — a partial aggregate — and
+    the best value at any lower cost is a distributed running maximum over cost
+    (``running_before``), so a group holding most rows is still split across tasks.
+    """
+    from strataframe.operators.ranks import running_before
+
+    d = df.filter(F.col(cost).isNotNull() & F.col(value).isNotNull())
+    per_cost = d.groupBy(*by, cost).agg(F.max(value).alias("_vmax"))
+    best = running_before(per_cost, by, [cost], "_vmax", "max", out="_best_lower")
+    kept = d.join(best, [*by, cost]).filter(
+        (F.col(value) == F.col("_vmax"))
+        & (F.col("_best_lower").isNull() | (F.col(value) > F.col("_best_lower"))))
+    return kept.drop("_vmax", "_best_lower")
