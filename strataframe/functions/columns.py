@@ -89,35 +89,57 @@ HASH_HEX_DIGITS = 13
 HASH_SCALE = float(2 ** (4 * HASH_HEX_DIGITS))
 
 
-def _hash_int(seed, *keys) -> Column:
+def _digest(seed, *keys) -> Column:
     parts = [F.lit(str(seed))] + [col(k).cast("string") for k in keys]
-    digest = F.md5(F.concat_ws(":", *parts))
-    return F.conv(F.substring(digest, 1, HASH_HEX_DIGITS), 16, 10).cast("bigint")
+    return F.md5(F.concat_ws(":", *parts))
+
+
+def _hex_uniform(digest: Column, start: int) -> Column:
+    h = F.conv(F.substring(digest, start, HASH_HEX_DIGITS), 16, 10).cast("bigint")
+    return (h.cast("double") + 0.5) / F.lit(HASH_SCALE)
 
 
 def uniform(seed, *keys) -> Column:
-    """Uniform in (0, 1) from md5(seed:key...)."""
-    return (_hash_int(seed, *keys).cast("double") + 0.5) / F.lit(HASH_SCALE)
+    """Uniform in (0, 1) from the first 13 hex digits of md5(seed:key...)."""
+    return _hex_uniform(_digest(seed, *keys), 1)
+
+
+def normal_pair(seed, *keys, mean: float = 0.0, sd: float = 1.0) -> tuple[Column, Column]:
+    """Two independent normal draws from one md5: Box–Muller on hex digits 1-13 and 14-26."""
+    d = _digest(seed, *keys)
+    r = F.sqrt(F.lit(-2.0) * F.ln(_hex_uniform(d, 1)))
+    t = F.lit(2.0 * math.pi) * _hex_uniform(d, 1 + HASH_HEX_DIGITS)
+    return F.lit(mean) + F.lit(sd) * r * F.cos(t), F.lit(mean) + F.lit(sd) * r * F.sin(t)
 
 
 def normal(seed, *keys, mean: float = 0.0, sd: float = 1.0) -> Column:
-    """Standard normal draw by Box–Muller on two hash uniforms."""
-    u1 = uniform(seed, *keys, F.lit("u"))
-    u2 = uniform(seed, *keys, F.lit("v"))
-    z = F.sqrt(F.lit(-2.0) * F.ln(u1)) * F.cos(F.lit(2.0 * math.pi) * u2)
-    return F.lit(mean) + F.lit(sd) * z
+    """One normal draw (the cosine half of ``normal_pair``)."""
+    return normal_pair(seed, *keys, mean=mean, sd=sd)[0]
 
 
-def uniform_sql(seed, *key_sql: str) -> str:
+def _digest_sql(seed, *key_sql: str) -> str:
     parts = " || ':' || ".join([f"'{seed}'"] + [f"cast({k} as varchar)" for k in key_sql])
-    return (f"((('0x' || substr(md5({parts}), 1, {HASH_HEX_DIGITS}))::BIGINT)::DOUBLE + 0.5)"
+    return f"md5({parts})"
+
+
+def _hex_uniform_sql(digest: str, start: int) -> str:
+    return (f"((('0x' || substr({digest}, {start}, {HASH_HEX_DIGITS}))::BIGINT)::DOUBLE + 0.5)"
             f" / {HASH_SCALE!r}")
 
 
+def uniform_sql(seed, *key_sql: str) -> str:
+    return _hex_uniform_sql(_digest_sql(seed, *key_sql), 1)
+
+
+def normal_pair_sql(seed, *key_sql: str, mean: float = 0.0, sd: float = 1.0) -> tuple[str, str]:
+    d = _digest_sql(seed, *key_sql)
+    r = f"sqrt(-2.0 * ln({_hex_uniform_sql(d, 1)}))"
+    t = f"({2.0 * math.pi!r} * {_hex_uniform_sql(d, 1 + HASH_HEX_DIGITS)})"
+    return (f"({mean!r} + {sd!r} * {r} * cos({t}))", f"({mean!r} + {sd!r} * {r} * sin({t}))")
+
+
 def normal_sql(seed, *key_sql: str, mean: float = 0.0, sd: float = 1.0) -> str:
-    u1 = uniform_sql(seed, *key_sql, "'u'")
-    u2 = uniform_sql(seed, *key_sql, "'v'")
-    return f"({mean!r} + {sd!r} * sqrt(-2.0 * ln({u1})) * cos({2.0 * math.pi!r} * {u2}))"
+    return normal_pair_sql(seed, *key_sql, mean=mean, sd=sd)[0]
 
 
 # ---------------------------------------------------------------- normal quantile

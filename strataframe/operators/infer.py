@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 
 from strataframe.functions import dist
 from strataframe.functions.columns import pair_corr, safe_corr
-from strataframe.operators.ols import ols
+from strataframe.operators.ols import fit_moments, moments
 from strataframe.operators.ranks import avg_rank
 from strataframe.operators.reshape import spread
-from strataframe.operators.verbs import argmax_row
 
 YATES_METHOD = "Pearson's Chi-squared test with Yates' continuity correction"
 
@@ -70,18 +69,30 @@ def chisq_2x2(table: DataFrame, yes: str, no: str) -> DataFrame:
 
 
 def extreme_group(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
-    """Group with the largest correlation (1 row): group, r (M24 first half)."""
-    per = df.groupBy(group).agg(safe_corr(x, y).alias("r"))
-    best = argmax_row(per, group, "r")
-    return best.join(per, group)
+    """Group with the largest correlation (1 row): group, r (M24 first half).
+
+    One grouped aggregate, then one global ``min_by`` (ties to the smallest key)."""
+    per = df.groupBy(group).agg(safe_corr(x, y).alias("r")).filter(F.col("r").isNotNull())
+    best = per.agg(F.min_by(F.struct(F.col(group), F.col("r")),
+                            F.struct(-F.col("r"), F.col(group))).alias("_b"))
+    return best.select(F.col("_b")[group].alias(group), F.col("_b.r").alias("r"))
 
 
 def extreme_group_fit(df: DataFrame, group: str, x: str, y: str):
-    """Fit y ~ x on the group whose correlation is largest (M24): the chosen group is a
-    1-row table broadcast into a semi-join, never a collected value."""
-    best = extreme_group(df, group, x, y).select(group)
-    rows = df.join(F.broadcast(best), group, "left_semi")
-    return ols(rows, y, [x], by=[group])
+    """Fit y ~ x on the group whose correlation is largest.
+
+    Correlation and fit both come from the same per-group moments, so the data is read
+    once: r is computed on the moment rows, one global ``min_by`` (ties to the smallest
+    key) returns the winning group's whole moment row, and only that row is solved.
+    """
+    mom = moments(df, y, [x], [group])           # index 0 = x, 1 = y
+    r = F.when((F.col("c_0_0") > 0) & (F.col("c_1_1") > 0),
+               F.col("c_0_1") / F.sqrt(F.col("c_0_0") * F.col("c_1_1")))
+    row = F.struct(*[F.col(c) for c in mom.columns])
+    best = (mom.withColumn("_r", r).filter(F.col("_r").isNotNull())
+            .agg(F.min_by(row, F.struct(-F.col("_r"), F.col(group))).alias("_b"))
+            .select("_b.*"))
+    return fit_moments(best, y, [x], [group])
 
 
 def paired_change(df: DataFrame, ids: Sequence[str], period: str, value: str, p1, p2,

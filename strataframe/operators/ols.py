@@ -33,12 +33,18 @@ def moments(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = ()) ->
     """
     cols = [*xs, y]
     d = df.select(*by, *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(cols)])
-    d = d.dropna(subset=[f"_v{i}" for i in range(len(cols))])
-    aggs = [F.count("*").alias("n")]
-    aggs += [F.avg(f"_v{i}").alias(f"m_{i}") for i in range(len(cols))]
-    aggs += [F.covar_samp(f"_v{i}", f"_v{j}").alias(f"c_{i}_{j}")
+    # Complete cases by masking inside the aggregate rather than a Filter: a Filter would be
+    # pushed below the projection and evaluate every model-column expression twice.
+    complete = F.lit(True)
+    for i in range(len(cols)):
+        complete = complete & F.col(f"_v{i}").isNotNull()
+    v = [F.when(complete, F.col(f"_v{i}")) for i in range(len(cols))]
+    aggs = [F.count_if(complete).alias("n")]
+    aggs += [F.avg(v[i]).alias(f"m_{i}") for i in range(len(cols))]
+    aggs += [F.covar_samp(v[i], v[j]).alias(f"c_{i}_{j}")
              for i in range(len(cols)) for j in range(i, len(cols))]
-    return d.groupBy(*by).agg(*aggs)
+    mom = d.groupBy(*by).agg(*aggs)
+    return mom.filter(F.col("n") > 0) if by else mom
 
 
 def _fit_schema(by_fields: str) -> str:
@@ -234,8 +240,13 @@ class Fit:
 def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = (),
         conf_level: float = 0.95) -> Fit:
     """Fit ``y ~ xs`` (+ intercept) per group of ``by`` (M5, M6, M7; M7b when by is empty)."""
+    return fit_moments(moments(df, y, xs, by), y, xs, by, conf_level)
+
+
+def fit_moments(mom: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = (),
+                conf_level: float = 0.95) -> Fit:
+    """Solve moment rows (from ``moments``) into a ``Fit``; only these rows reach Python."""
     by, xs = list(by), list(xs)
-    mom = moments(df, y, xs, by)
     by_fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, "
                         for f in mom.schema.fields if f.name in by)
     k = len(xs)

@@ -19,6 +19,28 @@ from pyspark.sql import functions as F
 
 MAD_CONSTANT = 1.4826  # Fixed value: R's default consistency constant for mad().
 
+# A group (or distinct-value set) up to this many rows may be handled by one task: below it
+# a plain window / exact percentile is used, above it the range-bucket path. The check is a
+# 1-row aggregate, so the bound is proven, not assumed.
+LOCAL_GROUP_LIMIT = 2_000_000
+
+
+def max_group_rows(df: DataFrame, by: Sequence[str]) -> int:
+    """Rows in the largest group (one small aggregate job; 1 row reaches the driver)."""
+    if by:
+        r = df.groupBy(*by).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0]
+    else:
+        r = df.agg(F.count("*")).first()[0]
+    return int(r or 0)
+
+
+def _local_ok(df: DataFrame, by: Sequence[str], method: str) -> bool:
+    if method == "distributed":
+        return False
+    if method == "local":
+        return True
+    return max_group_rows(df, by) <= LOCAL_GROUP_LIMIT
+
 
 def _n_partitions(df: DataFrame, partitions: int | None) -> int:
     if partitions:
@@ -55,21 +77,32 @@ def range_buckets(df: DataFrame, keys: Sequence[str], n: int, out: str = "_pid")
 
 def running_before(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str,
                    how: str = "sum", out: str = "_before",
-                   partitions: int | None = None) -> DataFrame:
+                   partitions: int | None = None, method: str = "auto") -> DataFrame:
     """Add ``out`` = sum or max of ``value`` over the rows before this one in its group.
 
-    Rows get range buckets on (by, order); each bucket aggregates locally with a window on
-    (bucket, group); a group continuing from earlier buckets adds the total (or maximum) of
-    those buckets, taken from a table of fewer rows than buckets (broadcast on that bound).
-    For a deterministic result ``order`` must be total. A sum starts at 0, a max at NULL.
+    ``method="auto"`` checks the largest group: up to ``LOCAL_GROUP_LIMIT`` rows a window
+    partitioned by the group does it in one shuffle. Beyond that (or with
+    ``method="distributed"``) rows get range buckets on (by, order); each bucket aggregates
+    locally with a window on (bucket, group); a group continuing from earlier buckets adds
+    the total (or maximum) of those buckets, taken from a table of fewer rows than buckets
+    (broadcast on that bound). ``order`` must be total for a deterministic result. A sum
+    starts at 0, a max at NULL.
     """
     by, order = list(by), list(order)
-    n = _n_partitions(df, partitions)
     sort_keys = [F.col(c).asc_nulls_last() for c in by + order]
+    agg = F.sum if how == "sum" else F.max
+    if _local_ok(df, by, method):
+        w = (Window.partitionBy(*by) if by else Window).orderBy(*sort_keys).rowsBetween(
+            Window.unboundedPreceding, -1)
+        v = F.coalesce(F.col(value).cast("long"), F.lit(0)) if how == "sum" else F.col(value)
+        res = agg(v).over(w)
+        if how == "sum":
+            res = F.coalesce(res, F.lit(0))
+        return df.withColumn(out, res)
+    n = _n_partitions(df, partitions)
     ranged = range_buckets(df, by + order, n).withColumn("_v", F.col(value))
     if how == "sum":
         ranged = ranged.withColumn("_v", F.coalesce(F.col("_v").cast("long"), F.lit(0)))
-    agg = F.sum if how == "sum" else F.max
     local_w = Window.partitionBy("_pid", *by).orderBy(*sort_keys).rowsBetween(
         Window.unboundedPreceding, -1)
     local = ranged.withColumn("_local", agg("_v").over(local_w))
@@ -88,7 +121,8 @@ def running_before(df: DataFrame, by: Sequence[str], order: Sequence[str], value
 
 
 def positions(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str = "_pos",
-              weight: str | None = None, partitions: int | None = None) -> DataFrame:
+              weight: str | None = None, partitions: int | None = None,
+              method: str = "auto") -> DataFrame:
     """Add ``out``: rows (or total ``weight``) before this row within its ``by`` group.
 
     The order must be total (``order`` should end with a unique key) for a deterministic
@@ -96,8 +130,9 @@ def positions(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str =
     """
     if weight is None:
         df = df.withColumn("_one", F.lit(1))
-        return running_before(df, by, order, "_one", "sum", out, partitions).drop("_one")
-    return running_before(df, by, order, weight, "sum", out, partitions)
+        return running_before(df, by, order, "_one", "sum", out, partitions,
+                              method).drop("_one")
+    return running_before(df, by, order, weight, "sum", out, partitions, method)
 
 
 def value_counts(df: DataFrame, c: str, by: Sequence[str] = ()) -> DataFrame:
@@ -106,16 +141,18 @@ def value_counts(df: DataFrame, c: str, by: Sequence[str] = ()) -> DataFrame:
             .agg(F.count("*").alias("_cnt")))
 
 
-def rank_table(df: DataFrame, c: str, by: Sequence[str] = ()) -> DataFrame:
+def rank_table(df: DataFrame, c: str, by: Sequence[str] = (), method: str = "auto") -> DataFrame:
     """(by..., c, _cnt, _before, _avg_rank): average-tie rank of every distinct value."""
-    vc = positions(value_counts(df, c, by), by, [c], out="_before", weight="_cnt")
+    vc = positions(value_counts(df, c, by), by, [c], out="_before", weight="_cnt",
+                   method=method)
     return vc.withColumn("_avg_rank", F.col("_before") + (F.col("_cnt") + 1) / 2.0)
 
 
-def avg_rank(df: DataFrame, c: str, by: Sequence[str] = (), out: str | None = None) -> DataFrame:
+def avg_rank(df: DataFrame, c: str, by: Sequence[str] = (), out: str | None = None,
+             method: str = "auto") -> DataFrame:
     """R's ``rank(x)`` (ties get the average rank), per group; NULL stays NULL."""
     out = out or f"{c}_rank"
-    ranks = rank_table(df, c, by).select(*by, c, F.col("_avg_rank").alias(out))
+    ranks = rank_table(df, c, by, method).select(*by, c, F.col("_avg_rank").alias(out))
     return df.join(ranks, [*by, c], "left")
 
 
@@ -127,11 +164,21 @@ def _join_small(df: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame
 
 
 def quantiles(df: DataFrame, c: str, probs: Sequence[float], by: Sequence[str] = (),
-              names: Sequence[str] | None = None) -> DataFrame:
-    """Exact type-7 quantiles of ``c`` per group, one column per prob (NULLs ignored)."""
+              names: Sequence[str] | None = None, method: str = "auto") -> DataFrame:
+    """Exact type-7 quantiles of ``c`` per group, one column per prob (NULLs ignored).
+
+    ``auto``: when the largest group has at most ``LOCAL_GROUP_LIMIT`` distinct values,
+    Spark's exact ``percentile`` aggregate (partial + final, buffering distinct values with
+    counts) is used; otherwise the distributed position path below.
+    """
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     by = list(by)
-    vc = positions(value_counts(df, c, by), by, [c], out="_start", weight="_cnt")
+    vc = value_counts(df, c, by)
+    if _local_ok(vc, by, method):
+        pc = F.percentile(F.col(c), F.array(*[F.lit(float(p)) for p in probs]))
+        agg = df.filter(F.col(c).isNotNull()).groupBy(*by).agg(pc.alias("_qs"))
+        return agg.select(*by, *[F.col("_qs")[i].alias(nm) for i, nm in enumerate(names)])
+    vc = positions(vc, by, [c], out="_start", weight="_cnt", method="distributed")
     n = vc.groupBy(*by).agg(F.sum("_cnt").alias("_n"))
     spark = df.sparkSession
     pt = spark.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "_qi int, _p double")
@@ -160,26 +207,27 @@ def quantiles(df: DataFrame, c: str, probs: Sequence[float], by: Sequence[str] =
 
 
 def median(df: DataFrame, c: str, by: Sequence[str] = (), out: str = "median",
-           approx: bool = False) -> DataFrame:
+           approx: bool = False, method: str = "auto") -> DataFrame:
     """Exact median per group (A14); ``approx=True`` uses a mergeable sketch instead."""
     if approx:
         return df.groupBy(*by).agg(F.percentile_approx(c, 0.5, 10000).alias(out))
-    return quantiles(df, c, [0.5], by, [out])
+    return quantiles(df, c, [0.5], by, [out], method)
 
 
 def mad(df: DataFrame, c: str, by: Sequence[str] = (), out: str = "mad",
-        approx: bool = False) -> DataFrame:
+        approx: bool = False, method: str = "auto") -> DataFrame:
     """1.4826 * median(|x - median(x)|) per group (A15): median, join back, median again."""
-    med = median(df, c, by, "_med", approx)
+    med = median(df, c, by, "_med", approx, method)
     dev = _join_small(df.select(*by, c), med, by).select(
         *by, F.abs(F.col(c) - F.col("_med")).alias("_absdev"))
-    m2 = median(dev, "_absdev", by, "_mad", approx)
+    m2 = median(dev, "_absdev", by, "_mad", approx, method)
     return _join_small(med, m2, by).select(*by, F.col("_med").alias("median"),
                                            (F.col("_mad") * MAD_CONSTANT).alias(out))
 
 
-def median_mad_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def median_mad_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
+                    method: str = "auto") -> DataFrame:
     """Median and MAD of several columns in one distributed pass: (by..., column, median, mad)."""
     typed = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
     long = typed.unpivot(list(by), list(cols), "column", "value")
-    return mad(long, "value", [*by, "column"])
+    return mad(long, "value", [*by, "column"], method=method)

@@ -94,5 +94,6 @@ def normal_vector(base: DataFrame, key: str, seed: int, mean: float, sd: float,
     return base.withColumn(out, normal(seed, key, F.lit(out), mean=mean, sd=sd))
 
 
+
 __all__ = ["row_index", "sample_n", "bootstrap_sample", "boot_corr", "boot_ols", "boot_se",
            "corr_se", "sample_per_group", "normal_vector"]

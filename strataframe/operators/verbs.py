@@ -149,7 +149,8 @@ def per_group(df: DataFrame, by: Sequence[str], fn: Callable, schema: str) -> Da
     return df.groupBy(*by).applyInPandas(fn, schema)
 
 
-def skyline(df: DataFrame, by: Sequence[str], cost: str, value: str) -> DataFrame:
+def skyline(df: DataFrame, by: Sequence[str], cost: str, value: str,
+            method: str = "auto") -> DataFrame:
     """Rows no other row of the same group beats: none at most as costly and at least as
     good, and strictly better in one of the two (C5).
 
@@ -161,7 +162,8 @@ def skyline(df: DataFrame, by: Sequence[str], cost: str, value: str) -> DataFram
 
     d = df.filter(F.col(cost).isNotNull() & F.col(value).isNotNull())
     per_cost = d.groupBy(*by, cost).agg(F.max(value).alias("_vmax"))
-    best = running_before(per_cost, by, [cost], "_vmax", "max", out="_best_lower")
+    best = running_before(per_cost, by, [cost], "_vmax", "max", out="_best_lower",
+                          method=method)
     kept = d.join(best, [*by, cost]).filter(
         (F.col(value) == F.col("_vmax"))
         & (F.col("_best_lower").isNull() | (F.col(value) > F.col("_best_lower"))))

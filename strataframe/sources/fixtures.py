@@ -12,7 +12,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataframe.functions.columns import normal_sql
+from strataframe.functions.columns import normal_pair_sql
 from strataframe.sources.tables import load, normal_panel
 
 EPOCH_2024_US = 1704067200 * 1_000_000
@@ -232,8 +232,8 @@ FIXTURE_SQL = {
         from events""",
     "sim_panel": f"""
         select o_orderkey as "group", cast(t.i as integer) as i,
-               {normal_sql(PANEL_SEED, 'o_orderkey', 't.i', "'x'")} as x,
-               {normal_sql(PANEL_SEED, 'o_orderkey', 't.i', "'y'")} as y
+               {normal_pair_sql(PANEL_SEED, 'o_orderkey', 'cast(t.i as integer)')[0]} as x,
+               {normal_pair_sql(PANEL_SEED, 'o_orderkey', 'cast(t.i as integer)')[1]} as y
         from orders, range({PANEL_N}) t(i)""",
 }
 

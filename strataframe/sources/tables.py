@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataframe.functions.columns import normal
+from strataframe.functions.columns import normal_pair
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -35,15 +35,13 @@ def grid_from_rows(indexed: DataFrame, n_col: str, lo: float, hi: float,
     return indexed.withColumn(out, F.lit(lo) + F.col(index_col).cast("double") * step)
 
 
-def normal_panel(base: DataFrame, group_col: str, n: int, seed: int,
-                 cols=("x", "y")) -> DataFrame:
-    """Grouped i.i.d. normal sample: n draws per row of ``base``.
+def normal_panel(base: DataFrame, group_col: str, n: int, seed: int) -> DataFrame:
+    """Grouped i.i.d. normal sample: n (x, y) draws per row of ``base``.
 
     Each group's draws are made by the task that holds the group's row (a bounded explode,
-    never a cross join); every value is a pure function of (seed, group, i, column).
+    never a cross join); (x, y) are the two Box–Muller halves of one md5 of (seed, group, i).
     """
     out = base.select(F.col(group_col).alias("group"),
                       F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
-    for c in cols:
-        out = out.withColumn(c, normal(seed, "group", "i", F.lit(c)))
-    return out
+    x, y = normal_pair(seed, "group", "i")
+    return out.select("group", "i", x.alias("x"), y.alias("y"))

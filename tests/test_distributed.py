@@ -18,34 +18,42 @@ def skewed(spark):
     return spark.createDataFrame(pdf), pdf
 
 
-def test_positions_and_ranks(skewed):
+METHODS = pytest.mark.parametrize("method", ["local", "distributed"])
+
+
+@METHODS
+def test_positions_and_ranks(skewed, method):
     df, pdf = skewed
-    got = ranks.positions(df, ["g"], ["v", "k"], partitions=7).toPandas()
+    got = ranks.positions(df, ["g"], ["v", "k"], partitions=7, method=method).toPandas()
     exp = pdf.sort_values(["g", "v", "k"]).assign(e=lambda x: x.groupby("g").cumcount())
     m = got.merge(exp, on=["g", "v", "k"])
     assert len(m) == len(pdf) and (m["_pos"] == m["e"]).all()
-    r = ranks.avg_rank(df, "v", ["g"]).toPandas().merge(pdf, on=["g", "v", "k"])
+    r = ranks.avg_rank(df, "v", ["g"], method=method).toPandas().merge(pdf, on=["g", "v", "k"])
     r["e"] = r.groupby("g")["v"].rank()
     assert np.allclose(r["v_rank"], r["e"])
-    glob = ranks.avg_rank(df, "v").toPandas()
+    glob = ranks.avg_rank(df, "v", method=method).toPandas()
     assert np.allclose(glob.sort_values("k")["v_rank"], pdf.sort_values("k")["v"].rank())
 
 
-def test_running_max_before(skewed):
+@METHODS
+def test_running_max_before(skewed, method):
     df, pdf = skewed
-    got = ranks.running_before(df, ["g"], ["k"], "v", "max", "m", partitions=5).toPandas()
+    got = ranks.running_before(df, ["g"], ["k"], "v", "max", "m", partitions=5,
+                               method=method).toPandas()
     exp = pdf.sort_values(["g", "k"])
     exp["e"] = exp.groupby("g")["v"].transform(lambda s: s.shift().cummax())
     m = got.merge(exp, on=["g", "k"])
     assert ((m["m"] == m["e"]) | (m["m"].isna() & m["e"].isna())).all()
 
 
-def test_quantiles_median_mad(skewed):
+@METHODS
+def test_quantiles_median_mad(skewed, method):
     df, pdf = skewed
-    q = ranks.quantiles(df, "v", [0, 0.25, 0.5, 0.75, 1], ["g"]).toPandas().set_index("g")
+    q = ranks.quantiles(df, "v", [0, 0.25, 0.5, 0.75, 1], ["g"],
+                        method=method).toPandas().set_index("g")
     for g, sub in pdf.groupby("g"):
         assert np.allclose(q.loc[g].values, np.quantile(sub.v, [0, .25, .5, .75, 1]))
-    m = ranks.mad(df, "v").first()
+    m = ranks.mad(df, "v", method=method).first()
     med = np.median(pdf.v)
     assert m["median"] == med and m["mad"] == pytest.approx(1.4826 * np.median(np.abs(pdf.v - med)))
 
@@ -61,11 +69,12 @@ def test_robust_scale_and_zscore(skewed):
     assert np.allclose(z["z_v"].astype(float), e, equal_nan=True)   # one-row group: NULL
 
 
-def test_skyline_brute_force(spark):
+@METHODS
+def test_skyline_brute_force(spark, method):
     rng = np.random.default_rng(5)
     pdf = pd.DataFrame({"c": rng.integers(0, 3, 300), "cost": rng.integers(0, 40, 300),
                         "val": rng.integers(0, 40, 300), "id": np.arange(300)})
-    got = set(verbs.skyline(spark.createDataFrame(pdf), ["c"], "cost", "val")
+    got = set(verbs.skyline(spark.createDataFrame(pdf), ["c"], "cost", "val", method)
               .toPandas()["id"])
     exp = set()
     for r in pdf.itertuples():
