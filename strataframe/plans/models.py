@@ -396,3 +396,47 @@ def q_paired_change(spark, d):
 
 __all__ = ["team_rates_all", "rates_sql", "qualified_avg", "PAIRED_SQL", "QUALIFIED_SQL",
            "quantiles", "np"]
+
+
+# ---------------------------------------------------------------- outliers
+OUTLIER_SEED, OUTLIER_ROW = 1985, 23
+
+
+def outlier_vectors(spark, d):
+    """x ~ N(100, 1), y ~ N(84, 1) per event; every row but one standardised."""
+    from strataframe.functions.columns import normal_pair
+    from strataframe.operators.scale import zscore
+
+    ev = events_xy(spark, d).select("event_id")
+    x, y = normal_pair(OUTLIER_SEED, "event_id")
+    v = ev.select("event_id", (F.lit(100.0) + x).alias("x"), (F.lit(84.0) + y).alias("y"))
+    keep = F.col("event_id") != OUTLIER_ROW
+    v = zscore(v, "x", out="x", where=keep)
+    return zscore(v, "y", out="y", where=keep)
+
+
+def _outlier_sql():
+    from strataframe.functions.columns import normal_pair_sql
+    x, y = normal_pair_sql(OUTLIER_SEED, "event_id")
+    raw = f"(select event_id, 100.0 + {x} as x, 84.0 + {y} as y from events_xy)"
+    z = lambda c: (f"case when event_id <> {OUTLIER_ROW} then ({c} - avg({c}) filter "
+                   f"(where event_id <> {OUTLIER_ROW}) over ()) / stddev_samp({c}) filter "
+                   f"(where event_id <> {OUTLIER_ROW}) over () else {c} end")
+    return f"(select event_id, {z('x')} as x, {z('y')} as y from {raw})"
+
+
+@register("outliers", f"""
+    select corr(x, y) as r_all,
+           corr(case when event_id <> {OUTLIER_ROW} then x end,
+                case when event_id <> {OUTLIER_ROW} then y end) as r_without,
+           corr(rx, ry) as spearman
+    from (select event_id, x, y,
+                 rank() over (order by x) + (count(*) over (partition by x) - 1) / 2.0 as rx,
+                 rank() over (order by y) + (count(*) over (partition by y) - 1) / 2.0 as ry
+          from {_outlier_sql()})""", "r_all r_without spearman")
+def q_outliers(spark, d):
+    """The outlier study: Pearson with and without the odd row, and Spearman."""
+    v = outlier_vectors(spark, d)
+    c = infer.corr_excluding(v, "x", "y", "event_id", OUTLIER_ROW)
+    s = infer.spearman(v, "x", "y").select("spearman")
+    return c.crossJoin(s)

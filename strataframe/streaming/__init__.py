@@ -1,0 +1,9 @@
+"""Streaming: the analyses this library rebuilds contain no stream, watermark, window or
+stateful operator, so there is nothing to implement here.
+
+What carries over for free: every model statistic is built from mergeable built-in
+aggregates (count, avg, covar_samp, min_by, percentile_approx), so ``moments`` and the
+``line``/``slope_by`` aggregates can be applied unchanged to a streaming DataFrame grouped
+by ``window(...)`` and solved per micro-batch with ``foreachBatch`` + ``fit_moments``.
+No extra operator is provided for that.
+"""
