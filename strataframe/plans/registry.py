@@ -24,18 +24,33 @@ SIG_DIGITS = 10
 LARGE = 1000.0
 
 
+def _half_away(x, digits: int):
+    f = float(10 ** digits)
+    return F.signum(x) * F.floor(F.abs(x) * f + 0.5) / f
+
+
 def round_double(c):
-    """6 decimals below 1000, 10 significant digits above; -0.0 becomes 0.0."""
+    """6 decimals below 1000, 10 significant digits above; -0.0 becomes 0.0.
+
+    Plain double arithmetic (half away from zero), written identically in the SQL twin so
+    both engines perform the same IEEE operations.
+    """
     e = F.floor(F.log10(F.abs(c)))
     scale = F.pow(F.lit(10.0), e)
-    big = F.round(c / scale, SIG_DIGITS - 1) * scale
-    return F.when(F.abs(c) >= LARGE, big).otherwise(F.round(c, DIGITS)) + F.lit(0.0)
+    big = _half_away(c / scale, SIG_DIGITS - 1) * scale
+    return F.when(F.abs(c) >= LARGE, big).otherwise(_half_away(c, DIGITS)) + F.lit(0.0)
+
+
+def _half_away_sql(x: str, digits: int) -> str:
+    f = float(10 ** digits)
+    return f"(sign({x}) * floor(abs({x}) * {f!r} + 0.5) / {f!r})"
 
 
 def round_double_sql(c: str) -> str:
     e = f"floor(log10(abs({c})))"
-    big = f"round({c} / pow(10.0, {e}), {SIG_DIGITS - 1}) * pow(10.0, {e})"
-    return f"(case when abs({c}) >= {LARGE} then {big} else round({c}, {DIGITS}) end + 0.0)"
+    big = f"{_half_away_sql(f'({c} / pow(10.0, {e}))', SIG_DIGITS - 1)} * pow(10.0, {e})"
+    return (f"(case when abs({c}) >= {LARGE} then {big} "
+            f"else {_half_away_sql(c, DIGITS)} end + 0.0)")
 
 
 def finish(df: DataFrame) -> DataFrame:
