@@ -25,21 +25,27 @@ MAD_CONSTANT = 1.4826  # Fixed value: R's default consistency constant for mad()
 LOCAL_GROUP_LIMIT = 2_000_000
 
 
-def max_group_rows(df: DataFrame, by: Sequence[str]) -> int:
-    """Rows in the largest group (one small aggregate job; 1 row reaches the driver)."""
+def group_sizes(df: DataFrame, by: Sequence[str]) -> tuple[int, int]:
+    """(rows in the largest group, total rows): one aggregate job, 1 row to the driver."""
     if by:
-        r = df.groupBy(*by).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0]
-    else:
-        r = df.agg(F.count("*")).first()[0]
-    return int(r or 0)
+        r = df.groupBy(*by).agg(F.count("*").alias("_n")).agg(F.max("_n"), F.sum("_n")).first()
+        return int(r[0] or 0), int(r[1] or 0)
+    n = int(df.agg(F.count("*")).first()[0] or 0)
+    return n, n
 
 
-def _local_ok(df: DataFrame, by: Sequence[str], method: str) -> bool:
-    if method == "distributed":
-        return False
+def max_group_rows(df: DataFrame, by: Sequence[str]) -> int:
+    return group_sizes(df, by)[0]
+
+
+def _plan(df: DataFrame, by: Sequence[str], method: str) -> tuple[bool, int | None]:
+    """(use the local path?, total rows if known)."""
     if method == "local":
-        return True
-    return max_group_rows(df, by) <= LOCAL_GROUP_LIMIT
+        return True, None
+    largest, total = group_sizes(df, by)
+    if method == "distributed":
+        return False, total
+    return largest <= LOCAL_GROUP_LIMIT, total
 
 
 def _n_partitions(df: DataFrame, partitions: int | None) -> int:
@@ -52,7 +58,8 @@ SAMPLES_PER_BUCKET = 32
 _HASH_RANGE = 1 << 20
 
 
-def range_buckets(df: DataFrame, keys: Sequence[str], n: int, out: str = "_pid") -> DataFrame:
+def range_buckets(df: DataFrame, keys: Sequence[str], n: int, out: str = "_pid",
+                  total: int | None = None) -> DataFrame:
     """Add ``out`` in 0..n-1, monotone in the (keys) order, splitting any hot key range.
 
     Bounds come from a deterministic sample: a row is sampled when a hash of its keys falls
@@ -63,10 +70,14 @@ def range_buckets(df: DataFrame, keys: Sequence[str], n: int, out: str = "_pid")
     key = F.struct(*[F.col(k) for k in keys])
     if n <= 1:
         return df.withColumn(out, F.lit(0))
-    cnt = df.agg(F.count("*").alias("_c"))
     h = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(_HASH_RANGE))
-    keep = h < F.lit(float(_HASH_RANGE * SAMPLES_PER_BUCKET * n)) / F.col("_c")
-    sample = df.crossJoin(F.broadcast(cnt)).filter(keep).select(key.alias("_k"))
+    if total is None:
+        cnt = df.agg(F.count("*").alias("_c"))
+        keep = h < F.lit(float(_HASH_RANGE * SAMPLES_PER_BUCKET * n)) / F.col("_c")
+        sample = df.crossJoin(F.broadcast(cnt)).filter(keep).select(key.alias("_k"))
+    else:  # the row count is already known (from the size check): no extra pass
+        rate = float(_HASH_RANGE * SAMPLES_PER_BUCKET * n) / max(total, 1)
+        sample = df.filter(h < F.lit(rate)).select(key.alias("_k"))
     bounds = sample.agg(F.array_sort(F.collect_list("_k")).alias("_s")).select(
         F.expr(f"transform(sequence(1, {n - 1}), "
                f"i -> try_element_at(_s, cast(i * size(_s) / {n} as int) + 1))").alias("_b"))
@@ -91,7 +102,8 @@ def running_before(df: DataFrame, by: Sequence[str], order: Sequence[str], value
     by, order = list(by), list(order)
     sort_keys = [F.col(c).asc_nulls_last() for c in by + order]
     agg = F.sum if how == "sum" else F.max
-    if _local_ok(df, by, method):
+    local, total = _plan(df, by, method)
+    if local:
         w = (Window.partitionBy(*by) if by else Window).orderBy(*sort_keys).rowsBetween(
             Window.unboundedPreceding, -1)
         v = F.coalesce(F.col(value).cast("long"), F.lit(0)) if how == "sum" else F.col(value)
@@ -100,7 +112,7 @@ def running_before(df: DataFrame, by: Sequence[str], order: Sequence[str], value
             res = F.coalesce(res, F.lit(0))
         return df.withColumn(out, res)
     n = _n_partitions(df, partitions)
-    ranged = range_buckets(df, by + order, n).withColumn("_v", F.col(value))
+    ranged = range_buckets(df, by + order, n, total=total).withColumn("_v", F.col(value))
     if how == "sum":
         ranged = ranged.withColumn("_v", F.coalesce(F.col("_v").cast("long"), F.lit(0)))
     local_w = Window.partitionBy("_pid", *by).orderBy(*sort_keys).rowsBetween(
@@ -174,7 +186,7 @@ def quantiles(df: DataFrame, c: str, probs: Sequence[float], by: Sequence[str] =
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     by = list(by)
     vc = value_counts(df, c, by)
-    if _local_ok(vc, by, method):
+    if _plan(vc, by, method)[0]:
         pc = F.percentile(F.col(c), F.array(*[F.lit(float(p)) for p in probs]))
         agg = df.filter(F.col(c).isNotNull()).groupBy(*by).agg(pc.alias("_qs"))
         return agg.select(*by, *[F.col("_qs")[i].alias(nm) for i, nm in enumerate(names)])

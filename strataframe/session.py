@@ -53,3 +53,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current
+
+
+def materialize(df):
+    """Cut lineage of a derived table that many branches reuse: a reliable checkpoint into
+    the shared ``spark.checkpoint.dir`` (it survives executor loss, unlike a local one)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -137,7 +137,8 @@ def admissions(spark: SparkSession, d: str) -> DataFrame:
 
 def events_xy(spark: SparkSession, d: str) -> DataFrame:
     ev = load(spark, d, "events")
-    us = F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(EPOCH_2024_US)
+    # timestamp_ntz arithmetic: independent of the session time zone
+    us = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts)")
     return ev.select(F.col("event_id"), F.col("user_id").alias("group"),
                      (us.cast("double") / DAY_US).alias("time"),
                      F.col("value").alias("observed_distance"),

@@ -110,3 +110,15 @@ def test_norm_ppf_matches_inverse_cdf(spark):
     got = [r[0] for r in df.select(norm_ppf("p")).collect()]
     for p, z in zip(ps, got):
         assert 0.5 * math.erfc(-z / math.sqrt(2)) == pytest.approx(p, rel=1e-8)
+
+
+def test_event_time_independent_of_session_time_zone(spark):
+    from strataframe.sources.fixtures import events_xy
+    from tests.conftest import SF001
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        t_la = events_xy(spark, SF001).orderBy("event_id").first().time
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert t_la == events_xy(spark, SF001).orderBy("event_id").first().time
