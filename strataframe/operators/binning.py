@@ -43,6 +43,16 @@ def boxplot(df: DataFrame, x: str, by: Sequence[str] = ()) -> DataFrame:
     return _join_small(q, w, by) if by else q.crossJoin(w)
 
 
+def box_outliers(df: DataFrame, x: str, by: Sequence[str] = ()) -> DataFrame:
+    """The rows drawn as points by a box plot: outside [q1 − 1.5·IQR, q3 + 1.5·IQR] (V2)."""
+    by = list(by)
+    q = quantiles(df, x, [0.25, 0.75], by, ["_q1", "_q3"])
+    iqr = F.col("_q3") - F.col("_q1")
+    rows = _join_small(df.filter(F.col(x).isNotNull()), q, by)
+    return rows.filter((F.col(x) < F.col("_q1") - 1.5 * iqr)
+                       | (F.col(x) > F.col("_q3") + 1.5 * iqr)).drop("_q1", "_q3")
+
+
 def qq_normal(df: DataFrame, c: str, key: str, by: Sequence[str] = ()) -> DataFrame:
     """Sorted sample against normal quantiles of ppoints(n) per group (V3)."""
     by = list(by)

@@ -130,6 +130,18 @@ def q_boxplot(spark, d):
         "father_strata", "q1", "median", "q3", "ymin", "ymax", "n_outliers", "n")
 
 
+@register("box_outliers", """
+    select e.event_id, e.event_type, e.observed_distance from events_xy e
+    join (select event_type, quantile_cont(observed_distance, 0.25) as q1,
+                 quantile_cont(observed_distance, 0.75) as q3 from events_xy group by 1) q
+      using (event_type)
+    where e.observed_distance < q1 - 1.5 * (q3 - q1) or e.observed_distance > q3 + 1.5 * (q3 - q1)""",
+    "observed_distance")
+def q_box_outliers(spark, d):
+    e = events_xy(spark, d).select("event_id", "event_type", "observed_distance")
+    return binning.box_outliers(e, "observed_distance", ["event_type"])
+
+
 _P = "((rn - a) / (n + 1 - 2 * a))"
 
 
