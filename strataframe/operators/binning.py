@@ -40,7 +40,7 @@ def boxplot(df: DataFrame, x: str, by: Sequence[str] = ()) -> DataFrame:
                               F.max(F.when(inside, F.col(x))).alias("ymax"),
                               F.count_if(~inside).alias("n_outliers"),
                               F.count("*").alias("n"))
-    return _join_small(q, w, by) if by else q.crossJoin(w)
+    return _join_small(q, w, by)
 
 
 def box_outliers(df: DataFrame, x: str, by: Sequence[str] = ()) -> DataFrame:

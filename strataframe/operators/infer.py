@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataframe.functions import dist
+from strataframe.operators.attach import attach_row
 from strataframe.functions.columns import pair_corr, safe_corr
 from strataframe.operators.ols import fit_moments, moments
 from strataframe.operators.ranks import avg_rank
@@ -44,13 +45,13 @@ def chisq_margins(table: DataFrame, yes: str, no: str) -> DataFrame:
     tot = cells.agg(F.sum("_a").alias("_ca"), F.sum("_b").alias("_cb"))
     n = F.col("_ca") + F.col("_cb")
     r_tot = F.col("_a") + F.col("_b")
-    e = cells.crossJoin(F.broadcast(tot)).select(
+    e = attach_row(cells, tot).select(
         "_a", "_b", (r_tot * F.col("_ca") / n).alias("_ea"), (r_tot * F.col("_cb") / n).alias("_eb"))
     e = e.withColumn("_da", F.abs(F.col("_a") - F.col("_ea"))).withColumn(
         "_db", F.abs(F.col("_b") - F.col("_eb")))
     yates = e.agg(F.least(F.lit(0.5), F.min("_da"), F.min("_db")).alias("_y"))
     part = lambda d, ex: (F.col(d) - F.col("_y")) * (F.col(d) - F.col("_y")) / F.col(ex)
-    return (e.crossJoin(F.broadcast(yates))
+    return (attach_row(e, yates)
             .agg(F.sum(part("_da", "_ea") + part("_db", "_eb")).alias("statistic"))
             .select("statistic", F.lit(1).cast("long").alias("parameter"),
                     F.lit(YATES_METHOD).alias("method")))

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataframe.functions import dist
+from strataframe.operators.attach import attach_row
 from strataframe.functions.columns import pair_corr, slope_moments, strict
 
 INTERCEPT = "(Intercept)"
@@ -182,7 +183,7 @@ class Fit:
                                F.col("rss").alias("_rss"), F.col("rank").alias("_rank"),
                                F.col("df_residual").alias("_dfr"))
         if not self.by:
-            return df.crossJoin(F.broadcast(f))  # one row: bounded broadcast
+            return attach_row(df, f)  # one row: a scalar subquery
         return df.join(f, self.by)  # one row per group: AQE picks broadcast or shuffle
 
     def _fitted(self) -> Column:
@@ -305,7 +306,7 @@ def rss_grid(df: DataFrame, x: str, y: str, beta0: float, key: str,
     mom = d.agg(F.count("*").alias("_n"), F.avg(x).alias("_mx"), F.avg(y).alias("_my"),
                 F.covar_samp(x, x).alias("_vxx"), F.covar_samp(x, y).alias("_vxy"),
                 F.covar_samp(y, y).alias("_vyy"))
-    idx = positions(d.select(key), [], [key], out="_i").crossJoin(F.broadcast(mom))
+    idx = attach_row(positions(d.select(key), [], [key], out="_i"), mom)
     g = grid_from_rows(idx, "_n", lo, hi, "_i", "beta1")
     n1 = F.col("_n") - 1
     b1 = F.col("beta1")

@@ -1,7 +1,8 @@
 """Order statistics without funnelling a group (or the whole table) into one task.
 
-``positions`` is the building block: rows get a range bucket on (group keys, order keys), so
-a group holding a third of the table is spread over many buckets and tasks. Each bucket
+``positions`` is the building block: rows get a range bucket on (group keys, order keys) from
+Spark's range partitioner (materialised once by checkpoint, so every branch agrees), so a
+group holding a third of the table is spread over many buckets and tasks. Each bucket
 numbers its rows locally. The only thing that crosses buckets is the count of a group's
 rows in earlier buckets, and only a group that continues from an earlier bucket needs one.
 There is at most one such group per bucket, so that offset table has fewer rows than there
@@ -14,9 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataframe.operators.attach import attach_row
+
 MAD_CONSTANT = 1.4826  # Fixed value: R's default consistency constant for mad().
 
 # A group (or distinct-value set) up to this many rows may be handled by one task: below it
@@ -38,14 +41,11 @@ def max_group_rows(df: DataFrame, by: Sequence[str]) -> int:
     return group_sizes(df, by)[0]
 
 
-def _plan(df: DataFrame, by: Sequence[str], method: str) -> tuple[bool, int | None]:
-    """(use the local path?, total rows if known)."""
-    if method == "local":
-        return True, None
-    largest, total = group_sizes(df, by)
-    if method == "distributed":
-        return False, total
-    return largest <= LOCAL_GROUP_LIMIT, total
+def _use_local(df: DataFrame, by: Sequence[str], method: str) -> bool:
+    """Local path (one task per group) only when the size check proves groups are small."""
+    if method in ("local", "distributed"):
+        return method == "local"
+    return max_group_rows(df, by) <= LOCAL_GROUP_LIMIT
 
 
 def _n_partitions(df: DataFrame, partitions: int | None) -> int:
@@ -54,36 +54,18 @@ def _n_partitions(df: DataFrame, partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-SAMPLES_PER_BUCKET = 32
-_HASH_RANGE = 1 << 20
-
-
-def range_buckets(df: DataFrame, keys: Sequence[str], n: int, out: str = "_pid",
-                  total: int | None = None) -> DataFrame:
+def range_buckets(df: DataFrame, keys: Sequence[str], n: int, out: str = "_pid") -> DataFrame:
     """Add ``out`` in 0..n-1, monotone in the (keys) order, splitting any hot key range.
 
-    Bounds come from a deterministic sample: a row is sampled when a hash of its keys falls
-    under ~(32·n / row count), so every evaluation of the plan (every branch, every task
-    retry) draws the same sample. The sample (about 32·n keys, bounded by the partition
-    count) is sorted into n-1 bounds and broadcast as a 1-row table.
+    Spark's range partitioner samples the keys and binary-searches its bounds; the bucket is
+    the partition id. The bucketed table is checkpointed into the shared checkpoint folder,
+    so every later branch (and every task retry) sees the same assignment.
     """
-    key = F.struct(*[F.col(k) for k in keys])
-    if n <= 1:
-        return df.withColumn(out, F.lit(0))
-    h = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(_HASH_RANGE))
-    if total is None:
-        cnt = df.agg(F.count("*").alias("_c"))
-        keep = h < F.lit(float(_HASH_RANGE * SAMPLES_PER_BUCKET * n)) / F.col("_c")
-        sample = df.crossJoin(F.broadcast(cnt)).filter(keep).select(key.alias("_k"))
-    else:  # the row count is already known (from the size check): no extra pass
-        rate = float(_HASH_RANGE * SAMPLES_PER_BUCKET * n) / max(total, 1)
-        sample = df.filter(h < F.lit(rate)).select(key.alias("_k"))
-    bounds = sample.agg(F.array_sort(F.collect_list("_k")).alias("_s")).select(
-        F.expr(f"transform(sequence(1, {n - 1}), "
-               f"i -> try_element_at(_s, cast(i * size(_s) / {n} as int) + 1))").alias("_b"))
-    with_b = df.crossJoin(F.broadcast(bounds))
-    return (with_b.withColumn(out, F.size(F.filter(F.col("_b"), lambda b: b <= key)))
-            .drop("_b"))
+    from strataframe.session import materialize
+
+    sort_keys = [F.col(k).asc_nulls_last() for k in keys]
+    ranged = df.repartitionByRange(n, *sort_keys).withColumn(out, F.spark_partition_id())
+    return materialize(ranged)
 
 
 def running_before(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str,
@@ -102,8 +84,7 @@ def running_before(df: DataFrame, by: Sequence[str], order: Sequence[str], value
     by, order = list(by), list(order)
     sort_keys = [F.col(c).asc_nulls_last() for c in by + order]
     agg = F.sum if how == "sum" else F.max
-    local, total = _plan(df, by, method)
-    if local:
+    if _use_local(df, by, method):
         w = (Window.partitionBy(*by) if by else Window).orderBy(*sort_keys).rowsBetween(
             Window.unboundedPreceding, -1)
         v = F.coalesce(F.col(value).cast("long"), F.lit(0)) if how == "sum" else F.col(value)
@@ -112,7 +93,7 @@ def running_before(df: DataFrame, by: Sequence[str], order: Sequence[str], value
             res = F.coalesce(res, F.lit(0))
         return df.withColumn(out, res)
     n = _n_partitions(df, partitions)
-    ranged = range_buckets(df, by + order, n, total=total).withColumn("_v", F.col(value))
+    ranged = range_buckets(df, by + order, n).withColumn("_v", F.col(value))
     if how == "sum":
         ranged = ranged.withColumn("_v", F.coalesce(F.col("_v").cast("long"), F.lit(0)))
     local_w = Window.partitionBy("_pid", *by).orderBy(*sort_keys).rowsBetween(
@@ -171,7 +152,7 @@ def avg_rank(df: DataFrame, c: str, by: Sequence[str] = (), out: str | None = No
 def _join_small(df: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
     """Attach per-group rows: a 1-row table is broadcast, a keyed one is an equi-join."""
     if not by:
-        return df.crossJoin(F.broadcast(small))
+        return attach_row(df, small)
     return df.join(small, list(by))
 
 
@@ -186,36 +167,28 @@ def quantiles(df: DataFrame, c: str, probs: Sequence[float], by: Sequence[str] =
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     by = list(by)
     vc = value_counts(df, c, by)
-    if _plan(vc, by, method)[0]:
+    if _use_local(vc, by, method):
         pc = F.percentile(F.col(c), F.array(*[F.lit(float(p)) for p in probs]))
         agg = df.filter(F.col(c).isNotNull()).groupBy(*by).agg(pc.alias("_qs"))
         return agg.select(*by, *[F.col("_qs")[i].alias(nm) for i, nm in enumerate(names)])
     vc = positions(vc, by, [c], out="_start", weight="_cnt", method="distributed")
     n = vc.groupBy(*by).agg(F.sum("_cnt").alias("_n"))
-    spark = df.sparkSession
-    pt = spark.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "_qi int, _p double")
-    # targets: |probs| * 2 positions per group.
-    h = (F.col("_n") - 1) * F.col("_p")
-    targets = (n.crossJoin(F.broadcast(pt))
-               .withColumn("_lo", F.floor(h).cast("long"))
-               .withColumn("_frac", h - F.floor(h))
-               .withColumn("_k", F.explode(F.array(F.col("_lo"),
-                                                   F.least(F.col("_lo") + 1, F.col("_n") - 1))))
-               .withColumn("_which", F.when(F.col("_k") == F.col("_lo"), 0).otherwise(1)))
-    cond = (F.col("_k") >= F.col("_start")) & (F.col("_k") < F.col("_start") + F.col("_cnt"))
-    if by:
-        hit = targets.join(vc.withColumnRenamed(c, "_v"), by).filter(cond)
-    else:
-        hit = vc.withColumnRenamed(c, "_v").crossJoin(F.broadcast(targets)).filter(cond)
-    # when lo+1 is capped at n-1 both targets can be the same row: keep both labels.
-    per = (hit.groupBy(*by, "_qi", "_frac")
-           .agg(F.min(F.when(F.col("_k") == F.col("_lo"), F.col("_v"))).alias("_xlo"),
-                F.max(F.when(F.col("_which") == 1, F.col("_v"))).alias("_xhi")))
-    val = F.col("_xlo") + F.col("_frac") * (F.coalesce(F.col("_xhi"), F.col("_xlo")) - F.col("_xlo"))
-    per = per.select(*by, "_qi", val.alias("_q"))
-    wide = per.groupBy(*by).agg(*[F.max(F.when(F.col("_qi") == i, F.col("_q"))).alias(nm)
-                                  for i, nm in enumerate(names)])
-    return wide
+    j = _join_small(vc, n, by)
+    # Each target position (lo, lo+1 per prob) is matched inside one aggregate: the row
+    # whose [start, start + cnt) covers it contributes its value; no join to a target table.
+    covers = lambda k: (F.col("_start") <= k) & (k < F.col("_start") + F.col("_cnt"))  # noqa
+    aggs_, finals = [F.max("_n").alias("_nn")], []
+    for i, p in enumerate(probs):
+        h = (F.col("_n") - 1) * float(p)
+        lo = F.floor(h)
+        hi = F.least(lo + 1, F.col("_n") - 1)
+        aggs_ += [F.max(F.when(covers(lo), F.col(c))).alias(f"_lo{i}"),
+                  F.max(F.when(covers(hi), F.col(c))).alias(f"_hi{i}")]
+        hh = (F.col("_nn") - 1) * float(p)
+        frac = hh - F.floor(hh)
+        finals.append((F.col(f"_lo{i}") + frac * (F.col(f"_hi{i}") - F.col(f"_lo{i}")))
+                      .alias(names[i]))
+    return j.groupBy(*by).agg(*aggs_).select(*by, *finals)
 
 
 def median(df: DataFrame, c: str, by: Sequence[str] = (), out: str = "median",

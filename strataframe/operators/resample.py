@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataframe.functions.columns import safe_corr, uniform
+from strataframe.operators.attach import attach_row
 from strataframe.operators.ols import ols
 from strataframe.operators.ranks import positions
 
@@ -29,7 +30,7 @@ def draws(spark, n_draws: int, seed: int, m: DataFrame, m_col: str = "_m",
     d = spark.range(n_draws).withColumnRenamed("id", "draw")
     if per_rep:
         d = d.withColumn("rep", (F.col("draw") / per_rep).cast("long"))
-    d = d.crossJoin(F.broadcast(m))
+    d = attach_row(d, m)
     return d.withColumn("_row", F.floor(uniform(seed, "draw") * F.col(m_col)).cast("long"))
 
 

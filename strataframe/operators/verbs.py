@@ -99,8 +99,9 @@ def argmax_cols(cols_: Sequence[str], names: Sequence[str] | None = None) -> Col
 
 
 def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a 1-row table's columns to every row (J6): a bounded broadcast."""
-    return df.crossJoin(F.broadcast(one_row))
+    """Attach a 1-row table's columns to every row (J6): a scalar subquery, no join."""
+    from strataframe.operators.attach import attach_row
+    return attach_row(df, one_row)
 
 
 def join_suffix(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from strataframe.functions.columns import safe_div
 from strataframe.operators import infer
+from strataframe.operators.attach import attach_row
 from strataframe.operators.ols import line, line_both, ols, rss_grid
 from strataframe.operators.ranks import quantiles
 from strataframe.operators.verbs import per_group
@@ -241,7 +242,7 @@ def q_inference(spark, d):
     fit = ols(team_rates(spark, d), "R", FIVE)
     g = fit.glance().select(F.col("statistic").alias("f_statistic"),
                             F.col("p_value").alias("f_p_value"))
-    return fit.tidy(conf_int=True).crossJoin(F.broadcast(g))
+    return attach_row(fit.tidy(conf_int=True), g)
 
 
 _ctes = {**GALTON_CTE, **ols_sql_ctes("fr", "galton", "son", ["father"])}
@@ -439,4 +440,4 @@ def q_outliers(spark, d):
     v = outlier_vectors(spark, d)
     c = infer.corr_excluding(v, "x", "y", "event_id", OUTLIER_ROW)
     s = infer.spearman(v, "x", "y").select("spearman")
-    return c.crossJoin(s)
+    return attach_row(c, s)

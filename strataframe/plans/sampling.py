@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strataframe.functions.columns import norm_ppf_sql, rnd, uniform_sql
 from strataframe.operators import binning, resample, scale
+from strataframe.operators.attach import attach_row
 from strataframe.operators.aggs import yes_no
 from strataframe.operators.reshape import gather
 from strataframe.plans.basics import GALTON_SQL, STRATA_SQL, galton, hr_strata
@@ -85,7 +86,7 @@ def q_boot_se(spark, d):
     r = r.withColumn("approx_se_r", resample.corr_se(F.col("mean_r"), N))
     co = resample.boot_se(resample.boot_ols(g, "son", "father", B, N, SEED_BOOT_OLS, "child_id"),
                           ["beta_0", "beta_1"])
-    return r.crossJoin(co)
+    return attach_row(r, co)
 
 
 @register("normal_panel", """select "group", i, x, y from sim_panel""", "x y")
