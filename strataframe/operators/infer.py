@@ -65,6 +65,9 @@ def chisq_2x2(table: DataFrame, yes: str, no: str) -> DataFrame:
             b.insert(1, "p_value", dist.chi2_1df_upper_p(b["statistic"].to_numpy(dtype=float)))
             yield b
 
+    from strataframe.session import ship_package
+
+    ship_package(table.sparkSession)
     return chisq_margins(table, yes, no).mapInPandas(
         add_p, "statistic double, p_value double, parameter long, method string")
 

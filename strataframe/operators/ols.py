@@ -247,6 +247,9 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = (),
 def fit_moments(mom: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = (),
                 conf_level: float = 0.95) -> Fit:
     """Solve moment rows (from ``moments``) into a ``Fit``; only these rows reach Python."""
+    from strataframe.session import ship_package
+
+    ship_package(mom.sparkSession)
     by, xs = list(by), list(xs)
     by_fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, "
                         for f in mom.schema.fields if f.name in by)

@@ -147,6 +147,9 @@ def per_group(df: DataFrame, by: Sequence[str], fn: Callable, schema: str) -> Da
     unnamed, non-table result is an error (U3). Use the moment-based operators for fits."""
     if not schema:
         raise ValueError("per_group needs an output schema: a result must be a table")
+    from strataframe.session import ship_package
+
+    ship_package(df.sparkSession)
     return df.groupBy(*by).applyInPandas(fn, schema)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from strataframe.session import ship_package
 from strataframe.sources.fixtures import with_fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +81,7 @@ def register(name: str, sql: str | None = None, doubles: Sequence[str] | str = (
     """Decorator: register a Spark query and (optionally) its oracle SQL."""
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
             return finish(fn(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
