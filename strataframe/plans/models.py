@@ -284,9 +284,13 @@ def q_per_group_udf(spark, d):
 @register("nested_fit")
 def q_nested_fit(spark, d):
     """One fitted model per row as a struct column."""
+    from strataframe.plans.registry import round_double
+
     fit = ols(hr_strata(spark, d), "R", ["BB"], by=["HR_strata"])
-    return fit.fit_df.select("HR_strata", F.struct("n", "coef", "se", "sigma", "r_squared")
-                             .alias("fit"))
+    arr = lambda c: F.transform(c, round_double).alias(c)
+    return fit.fit_df.select("HR_strata", F.struct(
+        "n", arr("coef"), arr("se"), round_double(F.col("sigma")).alias("sigma"),
+        round_double(F.col("r_squared")).alias("r_squared")).alias("fit"))
 
 
 # ---------------------------------------------------------------- inference

@@ -21,3 +21,16 @@ def test_query_smoke(spark, name):
     df = entry.queries()[name](spark, SF001)
     df.collect()
     assert len(df.columns) > 0
+
+
+@pytest.mark.parametrize("name", ["avg_rank", "median_mad", "ols1_by", "qq_normal", "nested_fit"])
+def test_results_do_not_depend_on_partition_count(spark, name):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for parts in ("3", "11"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got.append(sorted(repr(tuple(r)) for r in entry.queries()[name](spark, SF001).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got[0] == got[1]
