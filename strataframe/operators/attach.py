@@ -2,19 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
+
+
+def _literal(value, dtype: DataType) -> Column:
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, StructType):
+        return F.struct(*[_literal(value[f.name], f.dataType).alias(f.name) for f in dtype.fields])
+    if isinstance(dtype, ArrayType) and isinstance(dtype.elementType, StructType):
+        return F.array(*[_literal(v, dtype.elementType) for v in value]).cast(dtype)
+    return F.lit(value).cast(dtype)
 
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Add the columns of a 1-row table (an aggregate) to every row of ``df``.
+    """Add the columns of a 1-row table (an aggregate, a fit) to every row of ``df``.
 
-    The row is packed into one struct-valued scalar subquery (``DataFrame.scalar()``): Spark
-    runs it once, before the main stage, and inlines the value — no join, no shuffle. An
-    empty ``one_row`` gives NULLs; more than one row is an error.
+    This is exactly what a scalar subquery does: the single row is computed once (one small
+    job; one row reaches the driver) and its values are inlined as literals, so the main
+    plan needs no join and no repeated subquery evaluation. An empty ``one_row`` gives
+    NULLs; more than one row is an error.
     """
-    cols = one_row.columns
-    packed = one_row.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row")).scalar()
-    out = df.withColumn("_row1", packed)
-    return out.select(*[F.col(f"`{c}`") for c in df.columns],
-                      *[F.col("_row1")[c].alias(c) for c in cols])
+    rows = one_row.limit(2).collect()
+    if len(rows) > 1:
+        raise ValueError("attach_row needs a table of at most one row")
+    row = rows[0] if rows else None
+    values = [_literal(None if row is None else row[f.name], f.dataType).alias(f.name)
+              for f in one_row.schema.fields]
+    return df.select(*[F.col(f"`{c}`") for c in df.columns], *values)

@@ -34,3 +34,9 @@ def test_results_do_not_depend_on_partition_count(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert got[0] == got[1]
+
+
+def test_no_cross_join_in_any_plan(spark):
+    for name, q in sorted(entry.queries().items()):
+        plan = q(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
