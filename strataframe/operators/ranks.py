@@ -41,11 +41,16 @@ def max_group_rows(df: DataFrame, by: Sequence[str]) -> int:
     return group_sizes(df, by)[0]
 
 
+def local_group_limit(spark) -> int:
+    """``spark.strataframe.localGroupLimit`` from the session, else ``LOCAL_GROUP_LIMIT``."""
+    return int(spark.conf.get("spark.strataframe.localGroupLimit", str(LOCAL_GROUP_LIMIT)))
+
+
 def _use_local(df: DataFrame, by: Sequence[str], method: str) -> bool:
     """Local path (one task per group) only when the size check proves groups are small."""
     if method in ("local", "distributed"):
         return method == "local"
-    return max_group_rows(df, by) <= LOCAL_GROUP_LIMIT
+    return max_group_rows(df, by) <= local_group_limit(df.sparkSession)
 
 
 def _n_partitions(df: DataFrame, partitions: int | None) -> int:

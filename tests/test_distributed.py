@@ -107,3 +107,20 @@ def test_sample_per_group_one_row_each(spark):
     assert s.count() == 7 and s.groupBy("g").count().filter("count > 1").count() == 0
     sn = sample_n(df, 30, 4, "k")
     assert sn.count() == 30 and sn.select("draw").distinct().count() == 30
+
+
+def test_auto_switches_to_distributed_above_the_limit(spark, skewed, monkeypatch):
+    df, pdf = skewed
+    calls = []
+    real = ranks.range_buckets
+    monkeypatch.setattr(ranks, "range_buckets", lambda *a, **k: calls.append(1) or real(*a, **k))
+    spark.conf.set("spark.strataframe.localGroupLimit", "10")  # ~50 distinct values: "hot"
+    try:
+        r = ranks.avg_rank(df, "v", ["g"]).toPandas().merge(pdf, on=["g", "v", "k"])
+    finally:
+        spark.conf.unset("spark.strataframe.localGroupLimit")
+    assert calls, "auto should have taken the distributed path"
+    assert np.allclose(r["v_rank"], r.groupby("g")["v"].rank())
+    calls.clear()
+    ranks.avg_rank(df, "v", ["g"]).count()                      # default limit: local path
+    assert not calls
