@@ -40,3 +40,16 @@ def test_no_cross_join_in_any_plan(spark):
     for name, q in sorted(entry.queries().items()):
         plan = q(spark, SF001)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_filters_and_projection_reach_the_scan(spark):
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        plan = entry.queries()["filters"](spark, SF001)._jdf.queryExecution() \
+            .executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+    scan = next(line for line in plan.split("\n") if "FileScan parquet" in line)
+    assert "EqualTo(l_returnflag,R)" in scan and "EqualTo(l_linestatus,F)" in scan
+    assert "l_extendedprice" not in scan       # column pruning: unused columns are not read
