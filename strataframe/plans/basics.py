@@ -6,10 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strataframe.functions.columns import (
-    pair_corr, remove_first, rnd, safe_corr, safe_div, slope_moments, strict,
+    remove_first, rnd, safe_corr, safe_div, slope_moments, strict,
 )
 from strataframe.operators import aggs, reshape, scale, verbs
-from strataframe.operators.ranks import avg_rank, mad, median
+from strataframe.operators.ranks import avg_rank, mad
 from strataframe.plans.registry import register
 from strataframe.sources.fixtures import (
     admissions, appearances, award, batting, batting_year, events_xy, family, fielding,
@@ -633,4 +633,4 @@ def q_scatter_pairs(spark, d):
 
 
 __all__ = ["galton", "team_rates", "hr_strata", "player_rates", "modal_position",
-           "pa_per_game", "median", "pair_corr"]
+           "pa_per_game"]

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -12,7 +11,6 @@ from strataframe.functions.columns import safe_div
 from strataframe.operators import infer
 from strataframe.operators.attach import attach_row
 from strataframe.operators.ols import line, line_both, ols, rss_grid
-from strataframe.operators.ranks import quantiles
 from strataframe.operators.verbs import per_group
 from strataframe.plans.basics import GALTON_SQL, RATES_SQL, STRATA_SQL, galton, hr_strata
 from strataframe.plans.registry import ols_sql_ctes, ols_sql_intercept, ols_sql_tidy, register
@@ -399,8 +397,7 @@ def q_paired_change(spark, d):
     return infer.change_summary(wide, 1996, 1997)
 
 
-__all__ = ["team_rates_all", "rates_sql", "qualified_avg", "PAIRED_SQL", "QUALIFIED_SQL",
-           "quantiles", "np"]
+__all__ = ["team_rates_all", "rates_sql", "qualified_avg", "PAIRED_SQL", "QUALIFIED_SQL"]
 
 
 # ---------------------------------------------------------------- outliers
