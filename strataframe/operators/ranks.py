@@ -198,7 +198,9 @@ def quantiles(df: DataFrame, c: str, probs: Sequence[float], by: Sequence[str] =
 
 def median(df: DataFrame, c: str, by: Sequence[str] = (), out: str = "median",
            approx: bool = False, method: str = "auto") -> DataFrame:
-    """Exact median per group (A14); ``approx=True`` uses a mergeable sketch instead."""
+    """Exact median per group (A14). ``approx=True`` uses Spark's mergeable quantile sketch
+    (``percentile_approx``): bounded memory for any group size, but it returns a sample value
+    within the rank error, without type-7 interpolation."""
     if approx:
         return df.groupBy(*by).agg(F.percentile_approx(c, 0.5, 10000).alias(out))
     return quantiles(df, c, [0.5], by, [out], method)

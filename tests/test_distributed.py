@@ -124,3 +124,18 @@ def test_auto_switches_to_distributed_above_the_limit(spark, skewed, monkeypatch
     calls.clear()
     ranks.avg_rank(df, "v", ["g"]).count()                      # default limit: local path
     assert not calls
+
+
+def test_approx_median_close_to_exact(skewed):
+    df, pdf = skewed
+    approx = dict(ranks.median(df, "v", ["g"], approx=True).collect())
+    for g, sub in pdf.groupby("g"):
+        if len(sub) >= 40:   # a sketch value: an element within the rank error, no interpolation
+            lo, hi = np.quantile(sub.v, [0.4, 0.6])
+            assert lo <= approx[g] <= hi and approx[g] in set(sub.v)
+
+
+def test_per_group_requires_a_schema(skewed):
+    df, _ = skewed
+    with pytest.raises(ValueError, match="schema"):
+        verbs.per_group(df, ["g"], lambda pdf: pdf, "")
