@@ -20,7 +20,15 @@ def histogram(df: DataFrame, c: str, width: float, by: Sequence[str] = ()) -> Da
     counts = df.filter(F.col(c).isNotNull()).groupBy(*by, k.alias("bin")).agg(
         F.count("*").alias("count"))
     span = counts.groupBy(*by).agg(F.min("bin").alias("_lo"), F.max("bin").alias("_hi"))
-    every = span.select(*by, F.explode(F.sequence("_lo", "_hi")).alias("bin"))
+    if by:
+        every = span.select(*by, F.explode(F.sequence("_lo", "_hi")).alias("bin"))
+    else:
+        # one span: read it (1 row) and let spark.range spread the bins over tasks
+        lo, hi = span.first() or (None, None)
+        if lo is None:
+            return counts.select("bin", F.lit(0.0).alias("x"), F.lit(0.0).alias("xmin"),
+                                 F.lit(0.0).alias("xmax"), "count").limit(0)
+        every = df.sparkSession.range(int(lo), int(hi) + 1).select(F.col("id").alias("bin"))
     out = every.join(counts, [*by, "bin"], "left").fillna(0, ["count"])
     return out.select(*by, "bin", (F.col("bin") * width).alias("x"),
                       ((F.col("bin") - 0.5) * width).alias("xmin"),

@@ -139,3 +139,9 @@ def test_per_group_requires_a_schema(skewed):
     df, _ = skewed
     with pytest.raises(ValueError, match="schema"):
         verbs.per_group(df, ["g"], lambda pdf: pdf, "")
+
+
+def test_histogram_of_only_nulls_is_empty(spark):
+    df = spark.createDataFrame([(None,), (None,)], "x double")
+    out = binning.histogram(df, "x", 0.5)
+    assert out.count() == 0 and out.columns == ["bin", "x", "xmin", "xmax", "count"]
