@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from strataframe.plans import catalog
 from tests.conftest import SF001
 
 
@@ -16,7 +17,7 @@ def test_every_oracle_key_is_a_query():
     assert len(entry.queries()) >= 70
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_smoke(spark, name):
     df = entry.queries()[name](spark, SF001)
     df.collect()
@@ -37,7 +38,7 @@ def test_results_do_not_depend_on_partition_count(spark, name):
 
 
 def test_no_cross_join_in_any_plan(spark):
-    for name, q in sorted(entry.queries().items()):
+    for name, q in sorted(catalog.QUERIES.items()):
         plan = q(spark, SF001)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 
