@@ -373,7 +373,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = parts * SHARDS
     sent = texts.mapInArrow(_sender(length, shards, _frequent_keys(texts, length)), "shard int, message binary")
-    placed = sent.repartition(parts, "shard").sortWithinPartitions("shard")
+    placed = sent.repartitionById(parts, F.col("shard") % parts).sortWithinPartitions("shard")
     return (placed.mapInArrow(_decider(length), "doc long, hash long, span long")
             .groupBy("doc", "hash").agg(F.collect_list("span").alias("spans")))
 
