@@ -8,7 +8,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strataframe.session import checkpoint_dir
 
@@ -115,11 +114,3 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 def sliding_max(x: np.ndarray, width: int) -> np.ndarray:
     return ~sliding_min(~x, width)
-
-
-def null_safe(left: DataFrame, right: DataFrame, keys: list[str]):
-    """Join condition that treats two nulls as equal (still an equi-join)."""
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
