@@ -1,45 +1,48 @@
 """Exact removal of long repeated byte strings, by suffix arrays in shards.
 
-1. *Sharding.* A string of ``length`` bytes holds length - GRAM + 1 grams of GRAM bytes. The least
-   hash among them names the shard of the string, so equal strings always meet. Neighbouring
-   starts mostly share their least gram; such a run of starts travels as one segment of text.
-   A batch sends a segment once, whichever of its documents hold it: only the smallest document
-   matters to others, and the rest are decided on the spot.
-2. *Suffix array.* A shard joins the segments that more than one document holds and sorts their
-   suffixes in two stages: suffixes smaller than their successors are sorted directly; all others
-   are induced from them in one scan over the buckets of first bytes.
+1. *Blocks and keys.* Documents are dealt into blocks by a hash. A string of ``length`` bytes holds
+   length - GRAM + 1 grams of GRAM bytes; the least hash among them is the key of the string, so
+   equal strings have equal keys. Neighbouring starts mostly share a key; such a run of starts is
+   one segment of text. Blocks send the keys they hold to shards, and shards answer which of them
+   more than one document holds.
+2. *Suffix array.* Blocks send the segments of such keys to shards: once, whichever of the block's
+   documents hold it, as only the smallest document matters to others. A shard joins its segments and
+   sorts their suffixes in two stages: suffixes smaller than their successors are sorted directly;
+   all others are induced from them in one scan over the buckets of first bytes.
 3. *Common prefixes.* Neighbours in the array with a common prefix of ``length`` bytes form a
-   class; a start is repeated if its class holds a smaller document.
+   class; a start is repeated if its class holds a smaller document. The ranges return to the blocks.
 
-Minimizers that a bounded sample shows to be very frequent are split: their strings are routed one
-by one, by a hash of all their bytes, so that strings that only share a frequent gram part.
-The routing never decides anything: any choice gives the same result.
+A key with very many segments (a frequent gram in many contexts) is split by the shards' answer: its
+strings are routed one by one, by a hash of all their bytes. Keys and routes decide nothing; any
+choice gives the same result. The texts are shuffled once: all three steps that need them read the
+same exchange.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataframe.llm.common import chunks, flat_text, mix64, run_hashes, sliding_min, words_at, written
+from strataframe.llm.common import chunks, flat_text, mix64, run_hashes, sliding_min, words_at
 
 LENGTH = 50
-#: Bytes of the grams whose least hash names a shard.
-GRAM = 16
-#: Text whose segments a task holds before it sends them on, and bytes of one vectorised step.
-HOLD_BYTES, STEP_BYTES = 8 << 20, 256 << 10
-#: Shards for each shuffle partition.
-SHARDS = 4
-#: A gram is frequent if it names over this share of the sampled strings; so at most 1 / SHARE are.
-SHARE = 1 / 4096
-SAMPLE_ROWS = 20_000
+#: Bytes of the grams whose least hash is a key, and bits of a key by which shards count its documents
+#: (more documents than thought only mean more text sent).
+GRAM, COUNT_BITS = 16, 48
+#: Bytes of one vectorised step.
+STEP_BYTES = 256 << 10
+#: Blocks and shards for each shuffle partition.
+BLOCKS, SHARDS = 2, 4
+#: Segments of a key from which on its strings are routed one by one.
+SPLIT = 65_536
 END = 0xFF  # in no UTF-8 text
 
 
@@ -139,7 +142,7 @@ def gather(raw: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return raw[index]
 
 
-def segments(raw: np.ndarray, offsets: np.ndarray, length: int, frequent: np.ndarray):
+def segments(raw: np.ndarray, offsets: np.ndarray, length: int):
     """(key, begin, run) of the segments of the rows in ``raw``: strings begin..begin+run-1 share ``key``."""
     n = int(offsets[-1])
     gram = min(GRAM, length)
@@ -155,9 +158,6 @@ def segments(raw: np.ndarray, offsets: np.ndarray, length: int, frequent: np.nda
         h = (h ^ part) * np.uint64(0x9FB21C651E98DF25)
         h ^= h >> np.uint64(29)
     least = sliding_min(mix64(h), length - gram + 1)
-    if len(frequent):
-        split = np.flatnonzero(np.isin(least, frequent))
-        least[split] = run_hashes(raw, split, np.full(len(split), length))
     inside = np.zeros(n + 1, np.int64)  # starts with `length` bytes of their row left
     sizes = np.diff(offsets)
     long_rows = sizes >= length
@@ -175,99 +175,206 @@ def segments(raw: np.ndarray, offsets: np.ndarray, length: int, frequent: np.nda
 
 
 def _pack(arrays: list[np.ndarray]) -> bytes:
-    head = np.array([len(arrays), *(a.nbytes for a in arrays)], "<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
+    """Integer arrays as compressed bytes; each goes by planes of bytes, which compress better."""
+    head = np.array([len(arrays), *(len(a) for a in arrays)], "<i8").tobytes()
+    planes = [np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T).tobytes() for a in arrays]
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(planes))
 
 
-#: doc ids, doc hashes | key, run, place in doc, document of each segment | bytes | decided runs: document, place, run
-_TYPES = ("<i8", "<i8", "<u8", "<i4", "<i4", "<i4", "u1", "<i4", "<i4", "<i4")
+def _unpack(blob: bytes, types: tuple[str, ...]) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    at, out = 8 * (len(types) + 1), []
+    for t, n in zip(types, np.frombuffer(raw, "<i8", len(types), 8).tolist(), strict=True):
+        width = np.dtype(t).itemsize
+        planes = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n)
+        out.append(np.ascontiguousarray(planes.T).view(t).reshape(n) if width > 1 else planes.reshape(n).view(t))
+        at += n * width
+    return out
 
 
-def _unpack(blob: bytes) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(blob)
-    count = int(np.frombuffer(raw, "<i8", 1)[0])
-    sizes = np.frombuffer(raw, "<i8", count, 8)
-    at = 8 * (count + 1) + np.concatenate([[0], np.cumsum(sizes)])
-    return [np.frombuffer(raw, t, int(s) // np.dtype(t).itemsize, int(a)) for t, s, a in zip(_TYPES, sizes, at, strict=False)]
-
-
-def _send(held: list, shards: int) -> Iterator[tuple[int, bytes]]:
-    """One packed message for each shard, from (ids, hashes, raw, key, begin, run, place, doc) of the held steps."""
-    base, ids, hashes, keys, runs, places, docs, sizes, texts = 0, [], [], [], [], [], [], [], []
-    for i, h, raw, key, begin, run, place, doc, length in held:
-        ids.append(i), hashes.append(h), keys.append(key), runs.append(run), places.append(place)
-        docs.append(doc + base), sizes.append(run + length - 1)
-        texts.append((raw, begin))
-        base += len(i)
-    ids, hashes = np.concatenate(ids), np.concatenate(hashes)
-    key, run, place, doc, size = map(np.concatenate, (keys, runs, places, docs, sizes))
-    text = np.concatenate([gather(r, b, s) for (r, b), s in zip(texts, sizes, strict=True)])
-    begin = np.cumsum(size) - size
-    # equal segments of the batch: the smallest document's is sent, larger documents' are decided here
-    same = run_hashes(np.concatenate([text, np.zeros(8, np.uint8)]), begin, size)
-    order = np.lexsort((ids[doc], same, key))
-    first = np.ones(len(order), bool)
-    first[1:] = (key[order][1:] != key[order][:-1]) | (same[order][1:] != same[order][:-1])
-    head = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
-    decided = ids[doc[order]] > ids[doc[head]]
-    sent, decided = order[~decided], order[decided]
-    shard_of = (key % np.uint64(shards)).astype(np.int64)
-    sent = sent[np.argsort(shard_of[sent], kind="stable")]
-    decided = decided[np.argsort(shard_of[decided], kind="stable")]
-    cut, cut2 = (np.searchsorted(shard_of[x], np.arange(shards + 1)) for x in (sent, decided))
-    for shard in range(shards):
-        s, d = sent[cut[shard]:cut[shard + 1]], decided[cut2[shard]:cut2[shard + 1]]
-        if len(s) or len(d):
-            used = np.unique(np.concatenate([doc[s], doc[d]]))
-            local = lambda x, used=used: np.searchsorted(used, doc[x])
-            columns = [ids[used], hashes[used], key[s], run[s], place[s], local(s), gather(text, begin[s], size[s]), local(d), place[d], run[d]]
-            yield shard, _pack([c.astype(t, copy=False) for c, t in zip(columns, _TYPES, strict=True)])
-
-
-def _sender(length: int, shards: int, frequent: np.ndarray):
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-
-        def flush():
-            out = list(_send(held, shards))
-            return pa.RecordBatch.from_arrays([pa.array([s for s, _ in out], pa.int32()), pa.array([b for _, b in out], pa.binary())], ["shard", "message"])
-
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            hashes = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            raw, offsets = flat_text(batch.column(2))
-            for a, b in chunks(offsets, STEP_BYTES):
-                part = np.concatenate([raw[offsets[a]:offsets[b]], np.zeros(8, np.uint8)])
-                own = offsets[a:b + 1] - offsets[a]
-                key, begin, run = segments(part, own, length, frequent)
-                if len(key):
-                    doc = np.searchsorted(own, begin, "right") - 1
-                    held.append((ids[a:b], hashes[a:b], part, key, begin, run, begin - own[doc], doc, length))
-                    size += len(part)
-                if size >= HOLD_BYTES:
-                    yield flush()
-                    held, size = [], 0
-        if held:
-            yield flush()
+class _Block:
+    """The distinct documents with an id of one block, in order, and their segments."""
+
+    def __init__(self, ids: pa.ChunkedArray, hashes: pa.ChunkedArray, texts: pa.ChunkedArray, length: int):
+        rows = pa.table({"id": ids, "hash": hashes, "text": texts}).filter(pa.compute.is_valid(ids)).combine_chunks()
+        both = np.empty(rows.num_rows, [("id", "<i8"), ("hash", "<i8")])
+        both["id"], both["hash"] = (rows.column(k).to_numpy() for k in range(2))
+        both, first = np.unique(both, return_index=True)
+        self.ids, self.hashes, self.length = both["id"], both["hash"], length
+        text = rows.column("text").take(pa.array(first))
+        self.raw, self.offsets = flat_text(pa.concat_arrays(text.chunks) if text.num_chunks else pa.array([], pa.string()))
+
+    def ordinals(self, ids: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The places of documents that the block holds."""
+        own, asked = (np.rec.fromarrays([i, h], names="id,hash") for i, h in ((self.ids, self.hashes), (ids, hashes)))
+        return np.searchsorted(own, asked)
+
+    def segments(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keys, begins, runs = [], [], []
+        for a, b in chunks(self.offsets, STEP_BYTES):
+            raw = np.concatenate([self.raw[self.offsets[a]:self.offsets[b]], np.zeros(8, np.uint8)])
+            key, begin, run = segments(raw, self.offsets[a:b + 1] - self.offsets[a], self.length)
+            keys.append(key), begins.append(begin + self.offsets[a]), runs.append(run)
+        if not keys:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.concatenate(keys), np.concatenate(begins), np.concatenate(runs)
+
+    def docs(self, begin: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.offsets, begin, "right") - 1
+
+
+def _counted(key: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys in order of (shard, key), each key's place among them, and the shards' cuts."""
+    short = key >> np.uint64(64 - COUNT_BITS)
+    distinct, place = np.unique(short, return_inverse=True)
+    shard = (distinct % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return distinct[order], rank[place], np.searchsorted(shard[order], np.arange(shards + 1))
+
+
+def _messages(block: int, blobs: dict[int, bytes], name: str) -> pa.Table:
+    return pa.table({"block": pa.array(np.full(len(blobs), block)), "shard": pa.array(list(blobs), pa.int64()), name: pa.array(list(blobs.values()), pa.binary())})
+
+
+def _own(table: pa.Table, length: int) -> _Block:
+    return _Block(table["id"], table["hash"], table["text"], length)
+
+
+def _ask(length: int, shards: int) -> Callable:
+    """Step 1 in a block: (block, shard, keys): its keys with their segments and whether two documents hold them."""
+
+    def ask(table: pa.Table) -> pa.Table:
+        block = _own(table, length)
+        key, begin, _ = block.segments()
+        distinct, place, cuts = _counted(key, shards)
+        ids, n = block.ids[block.docs(begin)], len(distinct)
+        low, high = np.full(n, np.iinfo(np.int64).max), np.full(n, np.iinfo(np.int64).min)
+        np.minimum.at(low, place, ids)
+        np.maximum.at(high, place, ids)
+        count = np.bincount(place, minlength=n)
+        blobs = {}
+        for shard in np.flatnonzero(np.diff(cuts)).tolist():
+            s = slice(cuts[shard], cuts[shard + 1])
+            step = np.diff(distinct[s], prepend=np.uint64(0))
+            blobs[shard] = _pack([step, count[s].astype("<u4"), (low[s] < high[s]).view(np.uint8)])
+        return _messages(table["block"][0].as_py(), blobs, "keys")
+
+    return ask
+
+
+def _answer(split: int):
+    """Step 1 in a shard: (block, shard, codes): 0 one document holds the key, 1 more do, 2 more do
+    and its strings go one by one. One message after the other is unpacked, in arrays of the shard."""
+
+    def answer(table: pa.Table) -> pa.Table:
+        parts = [_unpack(b.as_py(), ("<u8", "<u4", "u1")) for b in table["keys"]]
+        size = [len(p[0]) for p in parts]
+        distinct, place = np.unique(np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts]), return_inverse=True)
+        holders = np.bincount(place) + np.bincount(place, np.concatenate([p[2] for p in parts]))
+        total = np.bincount(place, np.concatenate([p[1] for p in parts]))
+        code = np.where(holders > 1, np.where(total > split, 2, 1), 0).astype(np.uint8)[place]
+        codes = [_pack([c]) for c in np.split(code, np.cumsum(size)[:-1])]
+        return pa.table({"block": table["block"], "shard": table["shard"], "codes": pa.array(codes, pa.binary())})
+
+    return answer
+
+
+#: Of a shard's message: ids of documents and their places in the block | key, run, place in the text, document of each segment | text
+_SEGMENTS = ("<i8", "<i4", "<u8", "<i4", "<i4", "<i4", "u1")
+#: Of a block's message: document, first byte, end of repeated ranges.
+_RANGES = ("<i4", "<i4", "<i4")
+
+
+def _join_ranges(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+    """Ranges with those of a document that touch or overlap joined."""
+    order = np.lexsort((begin, doc))
+    doc, begin, end = doc[order], begin[order], end[order]
+    if not len(doc):
+        return [x.astype("<i4") for x in (doc, begin, end)]
+    lift = doc.astype(np.int64) << 32
+    reach = np.maximum.accumulate(lift + end)
+    new = np.append(True, (lift + begin)[1:] > reach[:-1])
+    return [doc[new].astype("<i4"), begin[new].astype("<i4"), (reach[np.append(np.flatnonzero(new)[1:] - 1, len(doc) - 1)] & 0xFFFFFFFF).astype("<i4")]
+
+
+def _send(length: int, shards: int) -> Callable:
+    """Step 2 in a block: (block, shard, message) with the segments of keys that more documents hold.
+    Equal segments go once, the smallest document's; larger documents' are decided here and pass
+    through the shard of the block's number."""
+
+    def send(table: pa.Table, answers: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _messages(0, {}, "message")
+        block = _own(table, length)
+        key, begin, run = block.segments()
+        distinct, place, _ = _counted(key, shards)
+        answers = answers.sort_by("shard")
+        code = np.concatenate([np.zeros(0, np.uint8), *(_unpack(c.as_py(), ("u1",))[0] for c in answers["codes"])])[place]
+        single = code == 2
+        each = np.repeat(begin[single], run[single]) + np.arange(int(run[single].sum())) - np.repeat(np.cumsum(run[single]) - run[single], run[single])
+        key = np.concatenate([key[code == 1], run_hashes(block.raw, each, np.full(len(each), length))])
+        begin, run = np.concatenate([begin[code == 1], each]), np.concatenate([run[code == 1], np.ones(len(each), np.int64)])
+        doc, size = block.docs(begin), run + length - 1
+        same = run_hashes(block.raw, begin, size, 1)
+        order = np.lexsort((block.ids[doc], same, key))
+        first = np.ones(len(order), bool)
+        first[1:] = (key[order][1:] != key[order][:-1]) | (same[order][1:] != same[order][:-1])
+        head = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
+        decided = block.ids[doc[order]] > block.ids[doc[head]]
+        sent, decided = order[~decided], order[decided]
+        shard_of = (key % np.uint64(shards)).astype(np.int64)
+        sent = sent[np.argsort(shard_of[sent], kind="stable")]
+        cuts = np.searchsorted(shard_of[sent], np.arange(shards + 1))
+        place = begin - block.offsets[doc]
+        number = table["block"][0].as_py()
+        blobs = {}
+        for shard in np.flatnonzero(np.diff(cuts)).tolist():
+            s = sent[cuts[shard]:cuts[shard + 1]]
+            used, local = np.unique(doc[s], return_inverse=True)
+            columns = [block.ids[used], used, key[s], run[s], place[s], local, gather(block.raw, begin[s], size[s])]
+            blobs[shard] = _pack([c.astype(t, copy=False) for c, t in zip(columns, _SEGMENTS, strict=True)])
+        blobs[-1 - number % shards] = _pack(_join_ranges(doc[decided], place[decided], place[decided] + size[decided]))
+        return _messages(number, blobs, "message")
 
     return send
 
 
-def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], values.astype(np.int8), [0]])))
-    return edge[::2], edge[1::2]
+def _decide(length: int) -> Callable:
+    """Steps 2 and 3 in a shard: (block, ranges), the repeated byte ranges of the blocks' documents."""
+
+    def decide(table: pa.Table) -> pa.Table:
+        blocks, numbers, shards = table["message"].to_pylist(), table["block"].to_numpy(), table["shard"].to_numpy()
+        out = [(int(b), m) for m, b, s in zip(blocks, numbers, shards, strict=True) if s < 0]
+        numbers = numbers[shards >= 0]
+        messages = [_unpack(m, _SEGMENTS) for m, s in zip(blocks, shards, strict=True) if s >= 0]
+        del blocks, table
+        if messages:
+            base = np.cumsum([0, *(len(m[0]) for m in messages)])
+            of_block = np.repeat(np.arange(len(messages)), np.diff(base))
+            ids, ordinal, key, run, place = (np.concatenate([m[k] for m in messages]) for k in range(5))
+            doc = np.concatenate([m[5] + b for m, b in zip(messages, base, strict=False)])
+            text = np.concatenate([m[6] for m in messages])
+            count = len(messages)
+            del messages
+            doc, begin, end = repeated_ranges(ids, key, run.astype(np.int64), place.astype(np.int64), doc, text, length)
+            by = np.argsort(of_block[doc], kind="stable")
+            doc, begin, end = doc[by], begin[by], end[by]
+            cuts = np.searchsorted(of_block[doc], np.arange(count + 1))
+            for k in np.flatnonzero(np.diff(cuts)).tolist():
+                s = slice(cuts[k], cuts[k + 1])
+                out.append((int(numbers[k]), _pack(_join_ranges(ordinal[doc[s]], begin[s], end[s]))))
+        return pa.table({"block": pa.array([b for b, _ in out], pa.int64()), "ranges": pa.array([m for _, m in out], pa.binary())})
+
+    return decide
 
 
-def _decide(blobs: list[bytes], length: int) -> tuple[np.ndarray, ...]:
-    """(doc id, doc hash, place, run) of the repeated starts of one shard."""
-    messages = [_unpack(b) for b in blobs]
-    base = np.cumsum([0, *(len(m[0]) for m in messages)])
-    ids, hashes, key, run, place = (np.concatenate([m[k] for m in messages]) for k in range(5))
-    doc = np.concatenate([m[5] + b for m, b in zip(messages, base, strict=False)])
-    text = np.concatenate([m[6] for m in messages])
-    done = [np.concatenate([m[7] + b for m, b in zip(messages, base, strict=False)]), *(np.concatenate([m[k] for m in messages]) for k in (8, 9))]
-    del messages
-    size = run.astype(np.int64) + length - 1
+def repeated_ranges(ids: np.ndarray, key: np.ndarray, run: np.ndarray, place: np.ndarray, doc: np.ndarray, text: np.ndarray,
+                    length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, first byte, end) of ranges that a smaller document repeats, of segments of ``run`` strings
+    at ``place`` in document ``doc`` (with id ids[doc]) whose bytes follow each other in ``text``."""
+    size = run + length - 1
     begin = np.cumsum(size) - size
     # keys of one document only can't be repeated from a smaller one
     order = np.argsort(key, kind="stable")
@@ -275,9 +382,8 @@ def _decide(blobs: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     of = ids[doc[order]]
     lows, highs = (f.reduceat(of, firsts) if len(firsts) else of for f in (np.minimum, np.maximum))
     order = order[np.repeat(lows < highs, np.diff(np.append(firsts, len(order))))]
-    # equal segments of different batches: one of them goes into the array
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    same = run_hashes(padded, begin[order], size[order])
+    # equal segments of different blocks: one of them goes into the array
+    same = run_hashes(np.concatenate([text, np.zeros(8, np.uint8)]), begin[order], size[order])
     by = np.lexsort((ids[doc[order]], same, key[order]))
     order, same = order[by], same[by]
     new = np.ones(len(order), bool)
@@ -291,163 +397,124 @@ def _decide(blobs: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     where = np.ones(len(joined), bool)
     where[at + width - 1] = False
     joined[where] = gather(text, begin[heads], size[heads])
-    holders = least_holders(joined, at, run[heads].astype(np.int64), least, length)
+    holders = least_holders(joined, at, run[heads], least, length)
     # documents above the segment's smallest: all its starts; the smallest itself: starts that others hold
     above = ids[doc[order]] > least[unit]
-    whole = order[above]
-    rest = order[~above]
-    first = np.cumsum(run[heads].astype(np.int64)) - run[heads]
+    whole, rest = order[above], order[~above]
+    first = np.cumsum(run[heads]) - run[heads]
     repeated = holders < np.repeat(least, run[heads])
     opens = np.zeros(len(repeated) + 1, bool)  # runs don't cross segments
     opens[first] = opens[-1] = True
-    a = np.flatnonzero(repeated & (opens[:-1] | ~np.append(False, repeated[:-1])))
-    b = np.flatnonzero(repeated & (opens[1:] | ~np.append(repeated[1:], False))) + 1
+    a = np.flatnonzero(repeated & (opens[:-1] | ~np.append(False, repeated)[:-1]))
+    b = np.flatnonzero(repeated & (opens[1:] | ~np.append(repeated, False)[1:])) + 1
     owner = np.searchsorted(first, a, "right") - 1
     # a unit's runs belong to each of its smallest document's segments
-    n_of = np.bincount(owner, minlength=len(heads)) if len(heads) else owner
+    n_of = np.bincount(owner, minlength=len(heads))
     begin_of = np.cumsum(n_of) - n_of
-    times = n_of[unit[~above]] if len(rest) else n_of[:0]
+    times = n_of[unit[~above]]
     pick = np.arange(int(times.sum())) + np.repeat(begin_of[unit[~above]] - (np.cumsum(times) - times), times)
     rest = np.repeat(rest, times)
-    docs = np.concatenate([doc[whole], doc[rest], done[0]])
-    places = np.concatenate([place[whole], place[rest] + a[pick] - first[owner[pick]], done[1]])
-    runs = np.concatenate([run[whole], (b - a)[pick], done[2]])
-    return ids[docs], hashes[docs], places, runs
-
-
-def _decider(length: int):
-    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
-
-        def out():
-            ids, hashes, place, run = _decide(held, length)
-            span = (place.astype(np.int64) << 32) | (place.astype(np.int64) + run + length - 1)
-            for k in range(0, len(ids), 50_000):
-                s = slice(k, k + 50_000)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[s]), pa.array(hashes[s]), pa.array(span[s])], ["doc", "hash", "span"])
-
-        for batch in batches:
-            for shard, message in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if shard != now and held:
-                    yield from out()
-                    held = []
-                now = shard
-                held.append(message.as_py())
-        if held:
-            yield from out()
-
-    return decide
-
-
-def _frequent_keys(texts: DataFrame, length: int) -> np.ndarray:
-    """Grams that name over SHARE of the strings of a sample of SAMPLE_ROWS rows, by hash order:
-    at most 1 / SHARE of them, whatever the table."""
-    sample = texts.orderBy(F.xxhash64("hash", "id")).limit(SAMPLE_ROWS).select("text")
+    inner = place[rest] + a[pick] - first[owner[pick]]
+    return (np.concatenate([doc[whole], doc[rest]]), np.concatenate([place[whole], inner]),
+            np.concatenate([place[whole] + size[whole], inner + (b - a)[pick] + length - 1]))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw, offsets = flat_text(batch.column(0))
-            for a, b in chunks(offsets, STEP_BYTES):
-                part = np.concatenate([raw[offsets[a]:offsets[b]], np.zeros(8, np.uint8)])
-                key, _, run = segments(part, offsets[a:b + 1] - offsets[a], length, np.zeros(0, np.uint64))
-                which, place = np.unique(key, return_inverse=True)
-                yield pa.RecordBatch.from_arrays([pa.array(which.view(np.int64)), pa.array(np.bincount(place, run, len(which)).astype(np.int64))], ["key", "n"])
 
-    counts = written(sample.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "keys")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    found = counts.where(F.col("n") > max(total * SHARE, 1000)).select("key").collect()
-    return np.array(sorted(r.key for r in found), np.int64).view(np.uint64)
+def _dealt(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(block, id, hash, text, row) of ``docs``, dealt into blocks: the one shuffle of the texts."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"))
+    return rows.withColumn("block", F.pmod(F.xxhash64("id", "hash"), F.lit(parts * BLOCKS))).repartition(parts, "block")
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """(doc, hash, spans): for each document with repeated bytes its id, xxhash64 of its text and
-    an array of longs start << 32 | stop; the union of these byte ranges is what is repeated.
-
-    A byte is repeated if a string of ``length`` bytes that covers it also starts in a document
-    with a smaller id. Ids are integers. Rows without an id neither repeat nor are repeated; rows
-    that share an id don't repeat each other; null, empty and short texts have no strings.
-    """
-    spark = docs.sparkSession
-    texts = docs.where(F.col(id_col).isNotNull() & (F.octet_length(text_col) >= length)).select(
-        F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+def repeated_blocks(rows: DataFrame, length: int = LENGTH, split: int = SPLIT) -> DataFrame:
+    """(block, ranges): the repeated byte ranges of rows that ``_dealt`` dealt."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shards = parts * SHARDS
-    sent = texts.mapInArrow(_sender(length, shards, _frequent_keys(texts, length)), "shard int, message binary")
-    placed = sent.repartitionById(parts, F.col("shard") % parts).sortWithinPartitions("shard")
-    return (placed.mapInArrow(_decider(length), "doc long, hash long, span long")
-            .groupBy("doc", "hash").agg(F.collect_list("span").alias("spans")))
-
-
-def _mask(size: int, spans) -> np.ndarray:
-    edges = np.zeros(size + 1, np.int64)
-    spans = np.asarray(spans, np.int64)
-    np.add.at(edges, spans >> 32, 1)
-    np.add.at(edges, spans & 0xFFFFFFFF, -1)
-    return np.cumsum(edges[:-1]) > 0
-
+    asked = rows.groupBy("block").applyInArrow(_ask(length, shards), "block long, shard long, keys binary")
+    answers = asked.groupBy("shard").applyInArrow(_answer(split), "block long, shard long, codes binary")
+    sent = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        _send(length, shards), "block long, shard long, message binary")
+    return sent.groupBy(F.when(F.col("shard") < 0, -1 - F.col("shard")).otherwise(F.col("shard"))).applyInArrow(
+        _decide(length), "block long, ranges binary")
+
+
+def _masks(table: pa.Table, found: pa.Table, length: int) -> list[np.ndarray | None]:
+    """For each row of a block the mask of its repeated bytes, None where there are none."""
+    block = _own(table, length)
+    parts = [_unpack(m, _RANGES) for m in found["ranges"].to_pylist()]
+    out: list[np.ndarray | None] = [None] * table.num_rows
+    if not parts:
+        return out
+    doc, begin, end = _join_ranges(*(np.concatenate([p[k] for p in parts]) for k in range(3)))
+    cuts = np.searchsorted(doc, np.arange(len(block.ids) + 1))
+    sizes = np.diff(block.offsets)
+    valid = pa.compute.is_valid(table["id"]).to_numpy()
+    at = block.ordinals(*(table.filter(table["id"].is_valid())[c].to_numpy().astype("<i8") for c in ("id", "hash")))
+    for row, k in zip(np.flatnonzero(valid).tolist(), at.tolist(), strict=True):
+        if cuts[k] < cuts[k + 1]:
+            mask = np.zeros(int(sizes[k]), bool)
+            for a, b in zip(begin[cuts[k]:cuts[k + 1]].tolist(), end[cuts[k]:cuts[k + 1]].tolist(), strict=True):
+                mask[a:b] = True
+            out[row] = mask
+    return out
 
-def _with_spans(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_hash"),
-                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    found = repeated_spans(docs, id_col, text_col, length)
-    return rows.join(found, (rows.id == found.doc) & (rows.text_hash == found.hash), "left")
 
+def removal_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, split: int = SPLIT) -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept_sha256) for each row.
 
-def removal_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256) for each row; see ``repeated_spans``."""
-    joined = _with_spans(docs, id_col, text_col, length).select("id", F.col(f"row.`{text_col}`").alias("text"), "spans")
+    A byte is removed if a string of ``length`` bytes that covers it also starts in a document with a
+    smaller id. Ids are integers. Rows without an id neither repeat nor are repeated; rows that share
+    an id don't repeat each other; null, empty and short texts have no strings.
+    """
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text, spans in zip(batch.column(1), batch.column(2), strict=True):
-                data = (text.as_py() or "").encode()
-                removed = runs = 0
-                if spans.is_valid:
-                    mask = _mask(len(data), spans.values)
-                    removed, runs = int(mask.sum()), len(_runs(mask)[0])
-                    kept = np.frombuffer(data, np.uint8)[~mask].tobytes()
-                else:
-                    kept = data
-                out.append((len(data), removed, runs, hashlib.sha256(kept).hexdigest()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string())))], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+    def digest(table: pa.Table, found: pa.Table) -> pa.Table:
+        out = []
+        for text, mask in zip(table["text"].to_pylist(), _masks(table, found, length), strict=True):
+            data = (text or "").encode()
+            kept = data if mask is None else np.frombuffer(data, np.uint8)[~mask].tobytes()
+            runs = 0 if mask is None else int(np.count_nonzero(mask[1:] > mask[:-1])) + int(mask[0])
+            out.append((len(data), len(data) - len(kept), runs, hashlib.sha256(kept).hexdigest()))
+        columns = [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string()))]
+        return pa.table([table["id"], *columns], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return joined.mapInArrow(digest, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumnRenamed("id", id_col)
+    rows = _dealt(docs.select(id_col, text_col), id_col, text_col)
+    return (rows.groupBy("block").cogroup(repeated_blocks(rows, length, split).groupBy("block"))
+            .applyInArrow(digest, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumnRenamed("id", id_col))
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars",
-                    length: int = LENGTH) -> DataFrame:
+                    length: int = LENGTH, split: int = SPLIT) -> DataFrame:
     """``docs`` with the repeated bytes cut from the texts; ``chars_col``, where there is one, follows.
 
     A character of several bytes goes only if all of them are repeated, so texts stay valid UTF-8.
     A document of which nothing is left goes; empty and null texts stay as they are.
     """
-    joined = _with_spans(docs, id_col, text_col, length)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text, spans in zip(batch.column(1), batch.column(2), strict=True):
-                value = text.as_py()
-                if spans.is_valid:
-                    raw = np.frombuffer(value.encode(), np.uint8)
-                    lead = np.flatnonzero((raw & 0xC0) != 0x80)
-                    keep = np.maximum.reduceat(~_mask(len(raw), spans.values), lead)
-                    value = raw[np.repeat(keep, np.diff(np.append(lead, len(raw))))].tobytes().decode()
-                out.append(value)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), batch.column(2).is_valid()], ["row", "kept", "cut"])
-
-    row = joined.schema["row"].dataType
-    schema = T.StructType([T.StructField("row", row), T.StructField("kept", T.StringType()), T.StructField("cut", T.BooleanType())])
-    done = joined.select("row", F.col(f"row.`{text_col}`").alias("text"), "spans").mapInArrow(cut, schema)
-    done = done.where("not cut or kept <> ''")
+    rows = _dealt(docs, id_col, text_col)
+    row = rows.schema["row"].dataType
+
+    def cut(table: pa.Table, found: pa.Table) -> pa.Table:
+        kept, changed = [], []
+        for text, mask in zip(table["text"].to_pylist(), _masks(table, found, length), strict=True):
+            if mask is not None:
+                raw = np.frombuffer(text.encode(), np.uint8)
+                lead = np.flatnonzero((raw & 0xC0) != 0x80)
+                keep = np.maximum.reduceat(~mask, lead)
+                text = raw[np.repeat(keep, np.diff(np.append(lead, len(raw))))].tobytes().decode()
+            kept.append(text)
+            changed.append(mask is not None)
+        return pa.table([table["row"], pa.array(kept, pa.string()), pa.array(changed, pa.bool_())], ["row", "kept", "changed"])
+
+    schema = T.StructType([T.StructField("row", row), T.StructField("kept", T.StringType()), T.StructField("changed", T.BooleanType())])
+    done = (rows.groupBy("block").cogroup(repeated_blocks(rows, length, split).groupBy("block"))
+            .applyInArrow(cut, schema).where("not changed or kept <> ''"))
 
     def column(c: str):
-        old = F.col(f"row.`{c}`")
         if c == text_col:
             return F.col("kept").alias(c)
+        old = F.col(f"row.`{c}`")
         if c == chars_col:
-            return F.when(F.col("cut"), F.length("kept")).otherwise(old).cast(row[c].dataType).alias(c)
+            return F.when(F.col("changed"), F.length("kept")).otherwise(old).cast(row[c].dataType).alias(c)
         return old.alias(c)
 
     return done.select(*[column(c) for c in docs.columns])
