@@ -6,10 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataframe.llm import chat, decontaminate, kdtree, packing, simhash, suffixes, tokens, tries
+from strataframe.llm import chat, decontaminate, kdtree, packing, quality, simhash, suffixes, tokens, toxicity, tries
 from strataframe.llm.common import written
 from strataframe.session import ship_package
 from strataframe.sources.tables import load
@@ -99,6 +99,21 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.id_checksums(table).withColumnRenamed("id", "doc_id")
 
 
+def bucket(id_col: str, parts: int) -> Column:
+    """crc32 of an id as text, modulo ``parts``: decides which labels may be learnt from."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % parts
+
+
+@register("op5_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents; labels of a third of the ids are never seen."""
+    docs = load(spark, sf_dir, "documents")
+    model = quality.train(docs, load(spark, sf_dir, "labels"), "quality", bucket("doc_id", 3) != 1)
+    scored = quality.with_score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", F.coalesce(bucket("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @register("op6_best_fit_packing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' tokens in sequences of at most 4096."""
@@ -133,3 +148,19 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes covered by 50-byte strings that also start in a document with a smaller id."""
     return suffixes.removal_digest(load(spark, sf_dir, "documents"), length=50)
+
+
+TOXIC_SCORE = 0.3
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Convolution:
+    return toxicity.train(docs, load(spark, sf_dir, "labels"), "toxic", bucket("doc_id", 4) != 2, target=TOXIC_SCORE)
+
+
+@register("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents; labels of a quarter of the ids are never seen."""
+    docs = load(spark, sf_dir, "documents")
+    scored = toxicity.with_score(docs.select("doc_id", "text"), toxicity_model(spark, sf_dir, docs))
+    return scored.select("doc_id", F.coalesce(bucket("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= TOXIC_SCORE).cast("int").alias("predicted"))
