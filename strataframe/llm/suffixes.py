@@ -40,7 +40,7 @@ GRAM, COUNT_BITS = 16, 48
 #: Bytes of one vectorised step.
 STEP_BYTES = 256 << 10
 #: Blocks and shards for each shuffle partition.
-BLOCKS, SHARDS = 2, 4
+BLOCKS, SHARDS = 2, 2
 #: Segments of a key from which on its strings are routed one by one.
 SPLIT = 65_536
 END = 0xFF  # in no UTF-8 text
