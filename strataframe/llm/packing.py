@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataframe.llm.common import written
-from strataframe.llm.tokens import id_lists
+from strataframe.llm.common import chunks, flat_text, written
+from strataframe.llm.tokens import STEP_BYTES, encoder
 
 CAPACITY, END_ID = 4096, 1
 #: Pieces of a block on average; islands of a block; rounds, and generations of each; packings of an island.
@@ -138,16 +138,22 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 1024):
-                part = batch.slice(k, 1024)
-                rows = [(i, j, ids[4 * capacity * j:4 * capacity * (j + 1)])
-                        for i, ids in enumerate(id_lists(part.column(1), tokenizer, end_id))
-                        for j in range(-(-len(ids) // (4 * capacity)))]
-                which, number = (np.array([r[c] for r in rows], np.int64) for c in (0, 1))
-                columns = [part.column(0).take(pa.array(which)), pa.array(number.astype(np.int32)), pa.array(number * capacity),
-                           pa.array([len(r[2]) // 4 for r in rows], pa.int64()), pa.array([zlib.crc32(r[2]) for r in rows], pa.int64())]
+            raw, offsets = flat_text(batch.column(1))
+            for a, b in chunks(offsets, STEP_BYTES):
+                part = np.concatenate([raw[offsets[a]:offsets[b]], np.zeros(8, np.uint8)])
+                flat, at = encoder(tokenizer).encode(part, offsets[a:b + 1] - offsets[a], end_id)
+                size = np.diff(at)
+                count = -(-size // capacity)
+                which = np.repeat(np.arange(b - a), count)
+                number = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+                begin = at[which] + number * capacity
+                length = np.minimum(at[which + 1] - begin, capacity)
+                view = memoryview(flat).cast("B")
+                sums = [zlib.crc32(view[4 * x:4 * (x + n)]) for x, n in zip(begin.tolist(), length.tolist(), strict=True)]
+                columns = [batch.column(0).slice(a, b - a).take(pa.array(which)), pa.array(number.astype(np.int32)), pa.array(number * capacity),
+                           pa.array(length), pa.array(sums, pa.int64())]
                 if with_ids:
-                    columns.append(pa.array([np.frombuffer(r[2], "<i4") for r in rows], pa.list_(pa.int32())))
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.append(begin, len(flat)).astype(np.int32)), pa.array(flat)))
                 yield pa.RecordBatch.from_arrays(columns, fields)
 
     ids = ", ids array<int>" if with_ids else ""
