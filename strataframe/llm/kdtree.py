@@ -3,7 +3,7 @@
 Vectors are dealt into shards by a hash of their row number. A shard's tree splits at the median of
 the widest component and keeps a tight bounding box in each node. The largest inner product that a
 box allows bounds its node; a query visits nodes best bound first, and stops when its kth score so far is
-greater than all bounds left. Queries search their own shard first; the kth score found there goes with
+greater than all bounds left. Scores must fit into longs. Queries search their own shard first; the kth score found there goes with
 the query to all shards, which so prune from the start. A shard meets queries in blocks.
 """
 
@@ -68,7 +68,11 @@ def search(tree: Tree, ids: np.ndarray, keys: np.ndarray, queries: np.ndarray, o
     ``at_least`` the query's; row ``own`` (a key) is left out. Order: greater score, then smaller id."""
     kind = _numbers(queries, tree)
     vectors, q = tree.vectors.astype(kind), queries.astype(kind)
-    bounds = np.maximum(q, 0) @ tree.highs.astype(kind).T + np.minimum(q, 0) @ tree.lows.astype(kind).T
+    lows, highs, real = tree.lows.astype(float), tree.highs.astype(float), queries.astype(float)
+    bounds = np.maximum(real, 0) @ highs.T + np.minimum(real, 0) @ lows.T
+    if kind == np.int64:  # bounds in doubles are not exact then: leave room
+        bounds += 1e-12 * (np.abs(real) @ np.maximum(np.abs(lows), np.abs(highs)).T)
+        at_least = at_least - 1e-12 * np.where(np.isfinite(at_least), np.abs(at_least), 0)
     ids, keys = ids[tree.order], keys[tree.order]
     out = []
     for i in range(len(q)):
