@@ -74,7 +74,7 @@ def rnd(c, digits: int = 0) -> Column:
 
 def remove_first(c, pattern: str) -> Column:
     """Remove the first match of ``pattern`` only (``str_remove``)."""
-    return F.regexp_replace(col(c), f"(?s)^(.*?){pattern}", "$1")
+    return F.regexp_replace(col(c), f"(?s)^(.*?)(?:{pattern})", "$1")
 
 
 def text_or_na(c) -> Column:

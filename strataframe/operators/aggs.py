@@ -22,14 +22,18 @@ def corr_matrix(df: DataFrame, cols_: Sequence[str], by: Sequence[str] = ()) ->
     return wide.select(*by, stacked).select(*by, "_p.*")
 
 
-def weighted_mean(x, w) -> Column:
-    """sum(x·w) / sum(w)."""
-    return safe_div(F.sum(col(x) * col(w)), F.sum(col(w)))
-
-
-def share(pred: Column, w, percent: bool = True) -> Column:
-    """Weighted share of rows satisfying ``pred``."""
-    s = safe_div(F.sum(F.when(pred, col(w)).otherwise(F.lit(0))), F.sum(col(w)))
+def weighted_mean(x, w, skip_nulls: bool = False) -> Column:
+    """sum(x·w) / sum(w) (A11): NULL with a NULL among values or weights, unless ``skip_nulls``;
+    then a row counts if it has both."""
+    x, w = col(x), col(w)
+    weight = F.when(x.isNotNull(), w)
+    mean = safe_div(F.sum(x * w), F.sum(weight))
+    return mean if skip_nulls else strict(mean, x, w)
+
+
+def share(pred: Column, w, percent: bool = True, skip_nulls: bool = False) -> Column:
+    """Weighted share of rows satisfying ``pred`` (A12); NULLs as in ``weighted_mean``."""
+    s = weighted_mean(pred.cast("int"), w, skip_nulls)
     return s * 100.0 if percent else s
 
 
@@ -81,13 +85,14 @@ def crosstab_long(df: DataFrame, row: str, column: str) -> DataFrame:
 
 
 def summarize_seq(df: DataFrame, by: Sequence[str], raw: dict[str, Column],
-                  derived: Sequence[tuple[str, Column]]) -> DataFrame:
+                  derived: Sequence[tuple[str, Column]], keep_raw: bool = False) -> DataFrame:
     """Aggregates that use earlier aggregates of the same call.
 
     ``raw`` aggregates are computed once under their (private) names; ``derived`` steps are
-    applied in order on the aggregated row, so a later step sees earlier results.
+    applied in order on the aggregated row, so a later step sees earlier results. Raw aggregates
+    whose names begin with _ are dropped at the end, unless ``keep_raw``.
     """
     out = df.groupBy(*by).agg(*[e.alias(n) for n, e in raw.items()])
     for name, e in derived:
         out = out.withColumn(name, e)
-    return out.drop(*[n for n in raw if n.startswith("_")])
+    return out if keep_raw else out.drop(*[n for n in raw if n.startswith("_")])

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from strataframe.functions.columns import norm_ppf
 from strataframe.operators.ols import ols
-from strataframe.operators.ranks import _join_small, positions, quantiles
+from strataframe.operators.attach import count_up, join_by
+from strataframe.operators.ranks import positions, quantiles
 
 
 def histogram(df: DataFrame, c: str, width: float, by: Sequence[str] = ()) -> DataFrame:
@@ -20,16 +21,8 @@ def histogram(df: DataFrame, c: str, width: float, by: Sequence[str] = ()) -> Da
     counts = df.filter(F.col(c).isNotNull()).groupBy(*by, k.alias("bin")).agg(
         F.count("*").alias("count"))
     span = counts.groupBy(*by).agg(F.min("bin").alias("_lo"), F.max("bin").alias("_hi"))
-    if by:
-        every = span.select(*by, F.explode(F.sequence("_lo", "_hi")).alias("bin"))
-    else:
-        # one span: read it (1 row) and let spark.range spread the bins over tasks
-        lo, hi = span.first() or (None, None)
-        if lo is None:
-            return counts.select("bin", F.lit(0.0).alias("x"), F.lit(0.0).alias("xmin"),
-                                 F.lit(0.0).alias("xmax"), "count").limit(0)
-        every = df.sparkSession.range(int(lo), int(hi) + 1).select(F.col("id").alias("bin"))
-    out = every.join(counts, [*by, "bin"], "left").fillna(0, ["count"])
+    every = count_up(span, "_lo", "_hi", "bin").select(*by, "bin")
+    out = join_by(every, counts, [*by, "bin"], "left").fillna(0, ["count"])
     return out.select(*by, "bin", (F.col("bin") * width).alias("x"),
                       ((F.col("bin") - 0.5) * width).alias("xmin"),
                       ((F.col("bin") + 0.5) * width).alias("xmax"), "count")
@@ -39,24 +32,24 @@ def boxplot(df: DataFrame, x: str, by: Sequence[str] = ()) -> DataFrame:
     """Box-plot numbers per group: quartiles (type 7), whiskers at the most extreme rows
     within 1.5·IQR of the box, and the number of outliers (V2)."""
     by = list(by)
-    q = quantiles(df, x, [0.25, 0.5, 0.75], by, ["q1", "median", "q3"])
+    q = quantiles(df, x, [0.25, 0.5, 0.75], by, ["q1", "median", "q3"], skip_nulls=True)
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
-    rows = _join_small(df.select(*by, x).filter(F.col(x).isNotNull()), q, by)
+    rows = join_by(df.select(*by, x).filter(F.col(x).isNotNull()), q, by)
     inside = (F.col(x) >= lo_f) & (F.col(x) <= hi_f)
     w = rows.groupBy(*by).agg(F.min(F.when(inside, F.col(x))).alias("ymin"),
                               F.max(F.when(inside, F.col(x))).alias("ymax"),
                               F.count_if(~inside).alias("n_outliers"),
                               F.count("*").alias("n"))
-    return _join_small(q, w, by)
+    return join_by(q, w, by)
 
 
 def box_outliers(df: DataFrame, x: str, by: Sequence[str] = ()) -> DataFrame:
     """The rows drawn as points by a box plot: outside [q1 − 1.5·IQR, q3 + 1.5·IQR] (V2)."""
     by = list(by)
-    q = quantiles(df, x, [0.25, 0.75], by, ["_q1", "_q3"])
+    q = quantiles(df, x, [0.25, 0.75], by, ["_q1", "_q3"], skip_nulls=True)
     iqr = F.col("_q3") - F.col("_q1")
-    rows = _join_small(df.filter(F.col(x).isNotNull()), q, by)
+    rows = join_by(df.filter(F.col(x).isNotNull()), q, by)
     return rows.filter((F.col(x) < F.col("_q1") - 1.5 * iqr)
                        | (F.col(x) > F.col("_q3") + 1.5 * iqr)).drop("_q1", "_q3")
 
@@ -69,7 +62,7 @@ def qq_normal(df: DataFrame, c: str, key: str, by: Sequence[str] = ()) -> DataFr
     n = d.groupBy(*by).agg(F.count("*").alias("_n"))
     a = F.when(F.col("_n") <= 10, F.lit(3.0 / 8.0)).otherwise(F.lit(0.5))
     p = (F.col("_pos") + 1 - a) / (F.col("_n") + 1 - 2 * a)
-    return (_join_small(pos, n, by)
+    return (join_by(pos, n, by)
             .select(*by, key, F.col(c).alias("sample"), norm_ppf(p).alias("theoretical")))
 
 
@@ -84,8 +77,8 @@ def smooth_lm(df: DataFrame, x: str, y: str, by: Sequence[str] = (), points: int
     grid = grid.withColumn(x, F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_i")
                            / float(points - 1)).drop("_lo", "_hi")
     pred = fit.predict(grid, out="fitted", se=True)
-    tq = fit.fit_df.select(*by, F.col("t_crit"))
-    pred = _join_small(pred, tq, by)
+    tq = fit.inference_df.select(*by, F.col("t_crit"))
+    pred = join_by(pred, tq, by)
     return pred.select(*by, "_i", x, "fitted", "se_fit",
                        (F.col("fitted") - F.col("t_crit") * F.col("se_fit")).alias("ymin"),
                        (F.col("fitted") + F.col("t_crit") * F.col("se_fit")).alias("ymax"))

@@ -38,11 +38,14 @@ def chisq_margins(table: DataFrame, yes: str, no: str) -> DataFrame:
     (group, yes, no); one row out: statistic, parameter, method (M23).
 
     Margins are a 1-row aggregate broadcast back to the rows; the Yates term is
-    min(0.5, |O − E|) over all cells, as R applies it.
+    min(0.5, |O − E|) over all cells, as R applies it. Tables of more or fewer rows are an
+    error at run time.
     """
     cells = table.select(F.col(yes).cast("double").alias("_a"),
                          F.col(no).cast("double").alias("_b"))
-    tot = cells.agg(F.sum("_a").alias("_ca"), F.sum("_b").alias("_cb"))
+    two = lambda c: F.when(F.count("*") == 2, c).otherwise(
+        F.raise_error(F.lit("a 2x2 table has two rows")).cast("double"))
+    tot = cells.agg(two(F.sum("_a")).alias("_ca"), two(F.sum("_b")).alias("_cb"))
     n = F.col("_ca") + F.col("_cb")
     r_tot = F.col("_a") + F.col("_b")
     e = attach_row(cells, tot).select(

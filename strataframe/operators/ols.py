@@ -20,11 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataframe.functions import dist
-from strataframe.operators.attach import attach_row
+from strataframe.operators.attach import join_by
 from strataframe.functions.columns import pair_corr, slope_moments, strict
 
 INTERCEPT = "(Intercept)"
-ALIAS_TOL = 1e-7
+ALIAS_TOL = 1e-7  # on norms: a predictor whose residual norm is below this share of its own is aliased
 
 
 def moments(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -62,7 +62,8 @@ def _nan_to_none(a: np.ndarray) -> list:
     return [None if not np.isfinite(v) else float(v) for v in a]
 
 
-def solve_moments(batch: pd.DataFrame, k: int, conf_level: float, tol: float = ALIAS_TOL):
+def solve_moments(batch: pd.DataFrame, k: int, conf_level: float, tol: float = ALIAS_TOL,
+                  tails: bool = True):
     """Vectorised sweep-operator solve of a batch of moment rows (pure numpy)."""
     g = len(batch)
     n = batch["n"].to_numpy(dtype=float)
@@ -79,7 +80,7 @@ def solve_moments(batch: pd.DataFrame, k: int, conf_level: float, tol: float = A
     swept = np.zeros((g, k), dtype=bool)
     for p in range(k):
         d = a[:, p, p]
-        ok = (diag0[:, p] > 0) & (d > tol * diag0[:, p])
+        ok = (diag0[:, p] > 0) & (d > tol * tol * diag0[:, p])
         dd = np.where(ok, d, 1.0)
         row = a[:, p, :] / dd[:, None]
         colp = a[:, :, p].copy()
@@ -108,15 +109,16 @@ def solve_moments(batch: pd.DataFrame, k: int, conf_level: float, tol: float = A
         se = np.concatenate([np.sqrt(var_int)[:, None], se_b], axis=1)
         tstat = coef / se
         dfm = np.repeat(df_res[:, None], k + 1, axis=1)
-        pval = dist.t_two_sided_p(tstat, dfm)
-        q = dist.t_quantile(0.5 + conf_level / 2.0, df_res)
+        none = np.full(g, np.nan)
+        pval = dist.t_two_sided_p(tstat, dfm) if tails else np.full(tstat.shape, np.nan)
+        q = dist.t_quantile(0.5 + conf_level / 2.0, df_res) if tails else none
         lo = coef - q[:, None] * se
         hi = coef + q[:, None] * se
         r2 = np.where(tss > 0, 1.0 - rss / np.where(tss > 0, tss, 1.0), np.nan)
         adj = np.where(df_res > 0, 1.0 - (1.0 - r2) * (n - 1.0) / df_res, np.nan)
         mss = np.maximum(tss - rss, 0.0)
         fstat = np.where((rank > 0) & (df_res > 0), (mss / np.maximum(rank, 1)) / sigma2, np.nan)
-        fp = dist.f_upper_p(fstat, rank.astype(float), df_res)
+        fp = dist.f_upper_p(fstat, rank.astype(float), df_res) if tails else none
         ll = np.where(rss > 0, 0.5 * (-n * (math.log(2 * math.pi) + 1.0 - np.log(n)
                                              + np.log(np.where(rss > 0, rss, 1.0)))), np.nan)
         aic = -2.0 * ll + 2.0 * (rank + 2.0)
@@ -138,17 +140,27 @@ def solve_moments(batch: pd.DataFrame, k: int, conf_level: float, tol: float = A
 class Fit:
     """A fitted linear model per group; every view of it is a lazy DataFrame."""
 
-    def __init__(self, fit_df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str],
-                 conf_level: float):
-        self.fit_df, self.y, self.xs, self.by = fit_df, y, list(xs), list(by)
+    def __init__(self, solved, y: str, xs: Sequence[str], by: Sequence[str], conf_level: float):
+        self._solved, self.y, self.xs, self.by = solved, y, list(xs), list(by)
         self.conf_level = conf_level
         self.terms = [INTERCEPT, *self.xs]
 
+    @property
+    def fit_df(self) -> DataFrame:
+        """One row per group, without the tails."""
+        return self._solved(False)
+
+    @property
+    def inference_df(self) -> DataFrame:
+        """One row per group with p-values, t quantile and intervals."""
+        return self._solved(True)
+
     # -------------------------------------------------------------- tables
     def tidy(self, conf_int: bool = False, p_values: bool = True) -> DataFrame:
         """term, estimate, std_error, statistic[, p_value][, conf_low, conf_high]."""
         names = F.array(*[F.lit(t) for t in self.terms])
-        ex = self.fit_df.select(*self.by, F.posexplode("coef").alias("_i", "estimate"),
+        source = self.inference_df if conf_int or p_values else self.fit_df
+        ex = source.select(*self.by, F.posexplode("coef").alias("_i", "estimate"),
                                 "se", "t", "p", "conf_low", "conf_high")
         cols = [*self.by, F.element_at(names, F.col("_i") + 1).alias("term"), "estimate",
                 F.col("se")[F.col("_i")].alias("std_error"),
@@ -160,9 +172,9 @@ class Fit:
                      F.col("conf_high")[F.col("_i")].alias("conf_high")]
         return ex.select(*cols)
 
-    def coef(self, term: str, conf_int: bool = False) -> DataFrame:
+    def coef(self, term: str, conf_int: bool = False, p_values: bool = True) -> DataFrame:
         """One term's row per group."""
-        return self.tidy(conf_int=conf_int).filter(F.col("term") == term)
+        return self.tidy(conf_int, p_values).filter(F.col("term") == term)
 
     def glance(self, p_values: bool = True) -> DataFrame:
         """Whole-fit statistics."""
@@ -173,7 +185,7 @@ class Fit:
         cols += [F.col("rank").cast("long").alias("df"), F.col("log_lik").alias("logLik"),
                  F.col("aic").alias("AIC"), F.col("bic").alias("BIC"),
                  F.col("rss").alias("deviance"), "df_residual", F.col("n").alias("nobs")]
-        return self.fit_df.select(*cols)
+        return (self.inference_df if p_values else self.fit_df).select(*cols)
 
     # -------------------------------------------------------------- rows
     def _attach(self, df: DataFrame) -> DataFrame:
@@ -182,9 +194,7 @@ class Fit:
                                F.col("sigma").alias("_sigma"), F.col("n").alias("_n"),
                                F.col("rss").alias("_rss"), F.col("rank").alias("_rank"),
                                F.col("df_residual").alias("_dfr"))
-        if not self.by:
-            return attach_row(df, f)  # one row: a scalar subquery
-        return df.join(f, self.by)  # one row per group: AQE picks broadcast or shuffle
+        return join_by(df, f, self.by)  # one row per group: AQE picks broadcast or shuffle
 
     def _fitted(self) -> Column:
         e = F.col("_coef")[0]
@@ -255,17 +265,19 @@ def fit_moments(mom: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = (
                         for f in mom.schema.fields if f.name in by)
     k = len(xs)
 
-    def run(batches):
-        for b in batches:
-            if len(b) == 0:
-                continue
-            out = solve_moments(b, k, conf_level)
-            for c in reversed(by):
-                out.insert(0, c, b[c].to_numpy())
-            yield out
+    def solved(tails: bool) -> DataFrame:
+        def run(batches):
+            for b in batches:
+                if len(b) == 0:
+                    continue
+                out = solve_moments(b, k, conf_level, tails=tails)
+                for c in reversed(by):
+                    out.insert(0, c, b[c].to_numpy())
+                yield out
 
-    fit_df = mom.mapInPandas(run, _fit_schema(by_fields))
-    return Fit(fit_df, y, xs, by, conf_level)
+        return mom.mapInPandas(run, _fit_schema(by_fields))
+
+    return Fit(solved, y, xs, by, conf_level)
 
 
 # ------------------------------------------------------------------ moment-form lines
@@ -295,22 +307,19 @@ def slope_by(df: DataFrame, x: str, y: str, by: Sequence[str]) -> DataFrame:
     return df.groupBy(*by).agg(slope_moments(x, y).alias("slope"))
 
 
-def rss_grid(df: DataFrame, x: str, y: str, beta0: float, key: str,
+def rss_grid(df: DataFrame, x: str, y: str, beta0: float,
              lo: float = 0.0, hi: float = 1.0) -> DataFrame:
     """RSS(beta0, beta1) over ``seq(lo, hi, len = nrow(df))``.
 
-    One pass of moments (n, x̄, ȳ, Sxx, Sxy, Syy); grid point i is produced by the task
-    holding row i, and RSS = n(ȳ−β0−β1x̄)² + Syy − 2β1Sxy + β1²Sxx. No data × grid product.
+    One pass of moments (n, x̄, ȳ, Sxx, Sxy, Syy); the grid is counted up from the moment row, and
+    RSS = n(ȳ−β0−β1x̄)² + Syy − 2β1Sxy + β1²Sxx. No data × grid product, no sort.
     """
-    from strataframe.operators.ranks import positions
-    from strataframe.sources.tables import grid_from_rows
-
-    d = df.select(key, x, y)
-    mom = d.agg(F.count("*").alias("_n"), F.avg(x).alias("_mx"), F.avg(y).alias("_my"),
-                F.covar_samp(x, x).alias("_vxx"), F.covar_samp(x, y).alias("_vxy"),
-                F.covar_samp(y, y).alias("_vyy"))
-    idx = attach_row(positions(d.select(key), [], [key], out="_i"), mom)
-    g = grid_from_rows(idx, "_n", lo, hi, "_i", "beta1")
+    from strataframe.sources.tables import grid
+
+    mom = df.agg(F.count("*").alias("_n"), F.avg(x).alias("_mx"), F.avg(y).alias("_my"),
+                 F.covar_samp(x, x).alias("_vxx"), F.covar_samp(x, y).alias("_vxy"),
+                 F.covar_samp(y, y).alias("_vyy"))
+    g = grid(mom, "_n", lo, hi, "beta1")
     n1 = F.col("_n") - 1
     b1 = F.col("beta1")
     resid_mean = F.col("_my") - F.lit(beta0) - b1 * F.col("_mx")

@@ -1,12 +1,11 @@
-"""Order statistics without funnelling a group (or the whole table) into one task.
+"""Order statistics that never gather a group (or the whole table) into one task.
 
-``positions`` is the building block: rows get a range bucket on (group keys, order keys) from
-Spark's range partitioner (materialised once by checkpoint, so every branch agrees), so a
-group holding a third of the table is spread over many buckets and tasks. Each bucket
-numbers its rows locally. The only thing that crosses buckets is the count of a group's
-rows in earlier buckets, and only a group that continues from an earlier bucket needs one.
-There is at most one such group per bucket, so that offset table has fewer rows than there
-are buckets and is broadcast on a proven bound.
+Every order column becomes a whole number in the same order (``order_key``), read as a few digits.
+Rows are counted by group and leading digits, level by level; within one value of the leading
+digits a window runs over the next digit alone, so a window's partition has at most 2 ** 22 rows,
+whatever the data: a group holding a third of the table is spread over its digits. A row's position is
+the sum, over the levels, of what stands before its digit. There is one path for tables of all sizes,
+it is deterministic, and nothing runs while the plan is built.
 
 Average ranks, exact quantiles (type 7), medians and MADs are built on it.
 """
@@ -15,122 +14,104 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strataframe.operators.attach import attach_row
+from strataframe.operators.attach import join_by
 
 MAD_CONSTANT = 1.4826  # Fixed value: R's default consistency constant for mad().
 
-# A group (or distinct-value set) up to this many rows may be handled by one task: below it
-# a plain window / exact percentile is used, above it the range-bucket path. The check is a
-# 1-row aggregate, so the bound is proven, not assumed.
-LOCAL_GROUP_LIMIT = 2_000_000
-
-
-def group_sizes(df: DataFrame, by: Sequence[str]) -> tuple[int, int]:
-    """(rows in the largest group, total rows): one aggregate job, 1 row to the driver."""
-    if by:
-        r = df.groupBy(*by).agg(F.count("*").alias("_n")).agg(F.max("_n"), F.sum("_n")).first()
-        return int(r[0] or 0), int(r[1] or 0)
-    n = int(df.agg(F.count("*")).first()[0] or 0)
-    return n, n
-
-
-def max_group_rows(df: DataFrame, by: Sequence[str]) -> int:
-    return group_sizes(df, by)[0]
-
-
-def local_group_limit(spark) -> int:
-    """``spark.strataframe.localGroupLimit`` from the session, else ``LOCAL_GROUP_LIMIT``."""
-    return int(spark.conf.get("spark.strataframe.localGroupLimit", str(LOCAL_GROUP_LIMIT)))
-
-
-def _use_local(df: DataFrame, by: Sequence[str], method: str) -> bool:
-    """Local path (one task per group) only when the size check proves groups are small."""
-    if method in ("local", "distributed"):
-        return method == "local"
-    return max_group_rows(df, by) <= local_group_limit(df.sparkSession)
-
-
-def _n_partitions(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def range_buckets(df: DataFrame, keys: Sequence[str], n: int, out: str = "_pid") -> DataFrame:
-    """Add ``out`` in 0..n-1, monotone in the (keys) order, splitting any hot key range.
-
-    Spark's range partitioner samples the keys and binary-searches its bounds; the bucket is
-    the partition id. The bucketed table is checkpointed into the shared checkpoint folder,
-    so every later branch (and every task retry) sees the same assignment.
-    """
-    from strataframe.session import materialize
-
-    sort_keys = [F.col(k).asc_nulls_last() for k in keys]
-    ranged = df.repartitionByRange(n, *sort_keys).withColumn(out, F.spark_partition_id())
-    return materialize(ranged)
+# Bits below each level's digits, for 64-bit and for 32-bit keys.
+LEVELS_64, LEVELS_32 = (42, 21, 0), (16, 0)
+_LAST = (1 << 63) - 1
+
+
+def _double_key(x: Column) -> Column:
+    """Whole number in the order of doubles: exponent and mantissa, negated for negative numbers."""
+    odd = F.isnan(x) | (F.abs(x) == float("inf"))
+    a = F.when(odd, F.lit(1.0)).otherwise(F.abs(x))
+    two = F.lit(2.0)
+    guess = F.floor(F.log2(a))
+    e = F.when(F.pow(two, guess) > a, guess - 1).when(F.pow(two, guess + 1) <= a, guess + 1).otherwise(guess)
+    normal = (e + 1023) * F.lit(1 << 52) + ((a / F.pow(two, e) - 1.0) * float(1 << 52)).cast("long")
+    tiny = (a * float(2.0 ** 537) * float(2.0 ** 537)).cast("long")  # below 2 ** -1022
+    key = F.when(a < float(2.0 ** -1022), tiny).otherwise(normal)
+    key = F.when(F.isnan(x), F.lit(_LAST - 1)).when(odd, F.lit(_LAST - 2)).otherwise(key)
+    return F.when(x < 0, -key).otherwise(key).cast("long")
+
+
+def order_key(c: str | Column, kind: T.DataType) -> tuple[Column, tuple[int, ...]]:
+    """A long in the order of ``c`` (NULLs last) and the levels its digits need."""
+    x = F.col(c) if isinstance(c, str) else c
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.DateType)):
+        whole = F.unix_date(x) if isinstance(kind, T.DateType) else x
+        return F.coalesce(whole.cast("long"), F.lit(1 << 31)), LEVELS_32
+    if isinstance(kind, T.BooleanType):
+        return F.coalesce(x.cast("int").cast("long"), F.lit(2)), (0,)
+    if isinstance(kind, T.LongType):
+        return F.coalesce(x, F.lit(_LAST)), LEVELS_64
+    if isinstance(kind, T.TimestampType):
+        return F.coalesce(F.unix_micros(x), F.lit(_LAST)), LEVELS_64
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.coalesce(_double_key(x.cast("double")), F.lit(_LAST)), LEVELS_64
+    raise TypeError(f"order statistics need a number, date or timestamp, not {kind.simpleString()}")
 
 
 def running_before(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str,
-                   how: str = "sum", out: str = "_before",
-                   partitions: int | None = None, method: str = "auto") -> DataFrame:
+                   how: str = "sum", out: str = "_before") -> DataFrame:
     """Add ``out`` = sum or max of ``value`` over the rows before this one in its group.
 
-    ``method="auto"`` checks the largest group: up to ``LOCAL_GROUP_LIMIT`` rows a window
-    partitioned by the group does it in one shuffle. Beyond that (or with
-    ``method="distributed"``) rows get range buckets on (by, order); each bucket aggregates
-    locally with a window on (bucket, group); a group continuing from earlier buckets adds
-    the total (or maximum) of those buckets, taken from a table of fewer rows than buckets
-    (broadcast on that bound). ``order`` must be total for a deterministic result. A sum
-    starts at 0, a max at NULL.
+    ``order`` must be total within a group for a deterministic result. NULL keys are a group; a
+    sum starts at 0 and counts NULL values as 0, a max starts at NULL; both keep the type that
+    Spark's aggregate has.
     """
-    by, order = list(by), list(order)
-    sort_keys = [F.col(c).asc_nulls_last() for c in by + order]
-    agg = F.sum if how == "sum" else F.max
-    if _use_local(df, by, method):
-        w = (Window.partitionBy(*by) if by else Window).orderBy(*sort_keys).rowsBetween(
-            Window.unboundedPreceding, -1)
-        v = F.coalesce(F.col(value).cast("long"), F.lit(0)) if how == "sum" else F.col(value)
-        res = agg(v).over(w)
-        if how == "sum":
-            res = F.coalesce(res, F.lit(0))
-        return df.withColumn(out, res)
-    n = _n_partitions(df, partitions)
-    ranged = range_buckets(df, by + order, n).withColumn("_v", F.col(value))
-    if how == "sum":
-        ranged = ranged.withColumn("_v", F.coalesce(F.col("_v").cast("long"), F.lit(0)))
-    local_w = Window.partitionBy("_pid", *by).orderBy(*sort_keys).rowsBetween(
-        Window.unboundedPreceding, -1)
-    local = ranged.withColumn("_local", agg("_v").over(local_w))
-    totals = ranged.groupBy("_pid", *by).agg(agg("_v").alias("_tot"))
-    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = (totals.withColumn("_off", agg("_tot").over(before))
-               .filter(F.col("_off").isNotNull()).select("_pid", *by, "_off"))
-    # < n rows: only a bucket's first group can continue from an earlier bucket.
-    joined = local.join(F.broadcast(offsets), ["_pid", *by], "left")
-    if how == "sum":
-        res = F.coalesce(F.col("_local"), F.lit(0)) + F.coalesce(F.col("_off"), F.lit(0))
-    else:
-        res = F.greatest(F.col("_local"), F.col("_off"))
-    return joined.withColumn(out, res).drop("_pid", "_v", "_local", "_off")
+    by = list(by)
+    total = F.sum if how == "sum" else F.max
+    work, prefix, levels = df, [], []
+    for i, c in enumerate(order):
+        key, bits = order_key(c, df.schema[c].dataType)
+        work = work.withColumn(f"_k{i}", key)
+        for b in bits:
+            levels.append((list(prefix), f"_d{i}_{b}"))
+            work = work.withColumn(f"_d{i}_{b}", F.shiftright(f"_k{i}", b))
+            # digits of the level: the next level's prefix is this one, which holds all above it
+            prefix = [p for p in prefix if not p.startswith(f"_d{i}_")] + [f"_d{i}_{b}"]
+    work = work.withColumn("_v", F.col(value))
+    digits = [d for _, d in levels]
+    # totals of each level, from the finest up: level j has one row per group and digits up to j
+    tables = [work]
+    for j in range(len(levels) - 2, -1, -1):
+        keep = [p for p in levels[j + 1][0]]
+        above = digits[:j]
+        tables.insert(0, tables[0].groupBy(*by, *dict.fromkeys([*keep, *above])).agg(total("_v").alias("_v")))
+    before = None
+    for j, (over, digit) in enumerate(levels):
+        window = Window.partitionBy(*by, *over).orderBy(digit).rowsBetween(Window.unboundedPreceding, -1)
+        here = tables[j].withColumn("_b", total("_v").over(window))
+        if before is not None:
+            here = join_by(here, before.withColumnRenamed("_b", "_above"), [*by, *over])
+            if how == "sum":
+                here = here.withColumn("_b", F.coalesce(F.col("_b"), F.col("_b") * 0, F.lit(0)) + F.coalesce("_above", F.lit(0)))
+            else:
+                here = here.withColumn("_b", F.greatest("_b", "_above"))
+            here = here.drop("_above")
+        if j + 1 < len(levels):
+            before = here.select(*by, *levels[j + 1][0], "_b")
+    result = F.coalesce("_b", F.lit(0)) if how == "sum" else F.col("_b")
+    return here.withColumn(out, result).drop("_b", "_v", *digits, *[f"_k{i}" for i in range(len(order))])
 
 
 def positions(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str = "_pos",
-              weight: str | None = None, partitions: int | None = None,
-              method: str = "auto") -> DataFrame:
+              weight: str | None = None) -> DataFrame:
     """Add ``out``: rows (or total ``weight``) before this row within its ``by`` group.
 
     The order must be total (``order`` should end with a unique key) for a deterministic
     result. Without ``weight`` this is ``row_number() - 1``.
     """
     if weight is None:
-        df = df.withColumn("_one", F.lit(1))
-        return running_before(df, by, order, "_one", "sum", out, partitions,
-                              method).drop("_one")
-    return running_before(df, by, order, weight, "sum", out, partitions, method)
+        return running_before(df.withColumn("_rows", F.lit(1)), by, order, "_rows", "sum", out).drop("_rows")
+    return running_before(df, by, order, weight, "sum", out)
 
 
 def value_counts(df: DataFrame, c: str, by: Sequence[str] = ()) -> DataFrame:
@@ -139,87 +120,74 @@ def value_counts(df: DataFrame, c: str, by: Sequence[str] = ()) -> DataFrame:
             .agg(F.count("*").alias("_cnt")))
 
 
-def rank_table(df: DataFrame, c: str, by: Sequence[str] = (), method: str = "auto") -> DataFrame:
+def rank_table(df: DataFrame, c: str, by: Sequence[str] = ()) -> DataFrame:
     """(by..., c, _cnt, _before, _avg_rank): average-tie rank of every distinct value."""
-    vc = positions(value_counts(df, c, by), by, [c], out="_before", weight="_cnt",
-                   method=method)
+    vc = positions(value_counts(df, c, by), by, [c], out="_before", weight="_cnt")
     return vc.withColumn("_avg_rank", F.col("_before") + (F.col("_cnt") + 1) / 2.0)
 
 
-def avg_rank(df: DataFrame, c: str, by: Sequence[str] = (), out: str | None = None,
-             method: str = "auto") -> DataFrame:
+def avg_rank(df: DataFrame, c: str, by: Sequence[str] = (), out: str | None = None) -> DataFrame:
     """R's ``rank(x)`` (ties get the average rank), per group; NULL stays NULL."""
     out = out or f"{c}_rank"
-    ranks = rank_table(df, c, by, method).select(*by, c, F.col("_avg_rank").alias(out))
-    return df.join(ranks, [*by, c], "left")
-
-
-def _join_small(df: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Attach per-group rows: a 1-row table is broadcast, a keyed one is an equi-join."""
-    if not by:
-        return attach_row(df, small)
-    return df.join(small, list(by))
+    ranks = rank_table(df, c, by).select(*by, c, F.col("_avg_rank").alias(out))
+    return join_by(df, ranks, [*by, c], "left")
 
 
 def quantiles(df: DataFrame, c: str, probs: Sequence[float], by: Sequence[str] = (),
-              names: Sequence[str] | None = None, method: str = "auto") -> DataFrame:
-    """Exact type-7 quantiles of ``c`` per group, one column per prob (NULLs ignored).
+              names: Sequence[str] | None = None, skip_nulls: bool = False) -> DataFrame:
+    """Exact type-7 quantiles of ``c`` per group, one column per prob.
 
-    ``auto``: when the largest group has at most ``LOCAL_GROUP_LIMIT`` distinct values,
-    Spark's exact ``percentile`` aggregate (partial + final, buffering distinct values with
-    counts) is used; otherwise the distributed position path below.
+    A group with a NULL gives NULLs, unless ``skip_nulls``. Without ``by`` there is always one row.
     """
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     by = list(by)
-    vc = value_counts(df, c, by)
-    if _use_local(vc, by, method):
-        pc = F.percentile(F.col(c), F.array(*[F.lit(float(p)) for p in probs]))
-        agg = df.filter(F.col(c).isNotNull()).groupBy(*by).agg(pc.alias("_qs"))
-        return agg.select(*by, *[F.col("_qs")[i].alias(nm) for i, nm in enumerate(names)])
-    vc = positions(vc, by, [c], out="_start", weight="_cnt", method="distributed")
-    n = vc.groupBy(*by).agg(F.sum("_cnt").alias("_n"))
-    j = _join_small(vc, n, by)
+    vc = positions(value_counts(df, c, by), by, [c], out="_start", weight="_cnt")
+    n = df.groupBy(*by).agg(F.count(c).alias("_n"), F.count_if(F.col(c).isNull()).alias("_nulls"))
+    j = join_by(vc, n, by)
     # Each target position (lo, lo+1 per prob) is matched inside one aggregate: the row
     # whose [start, start + cnt) covers it contributes its value; no join to a target table.
     covers = lambda k: (F.col("_start") <= k) & (k < F.col("_start") + F.col("_cnt"))  # noqa
-    aggs_, finals = [F.max("_n").alias("_nn")], []
+    aggs_, finals = [], []
     for i, p in enumerate(probs):
         h = (F.col("_n") - 1) * float(p)
         lo = F.floor(h)
         hi = F.least(lo + 1, F.col("_n") - 1)
         aggs_ += [F.max(F.when(covers(lo), F.col(c))).alias(f"_lo{i}"),
                   F.max(F.when(covers(hi), F.col(c))).alias(f"_hi{i}")]
-        hh = (F.col("_nn") - 1) * float(p)
-        frac = hh - F.floor(hh)
-        finals.append((F.col(f"_lo{i}") + frac * (F.col(f"_hi{i}") - F.col(f"_lo{i}")))
-                      .alias(names[i]))
-    return j.groupBy(*by).agg(*aggs_).select(*by, *finals)
+        frac = h - F.floor(h)
+        value = F.col(f"_lo{i}") + frac * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))
+        finals.append((value if skip_nulls else F.when(F.col("_nulls") == 0, value)).alias(names[i]))
+    found = j.groupBy(*by).agg(*aggs_)
+    return join_by(n, found, by, "left").select(*by, *finals)
 
 
 def median(df: DataFrame, c: str, by: Sequence[str] = (), out: str = "median",
-           approx: bool = False, method: str = "auto") -> DataFrame:
+           approx: bool = False, skip_nulls: bool = False) -> DataFrame:
     """Exact median per group (A14). ``approx=True`` uses Spark's mergeable quantile sketch
     (``percentile_approx``): bounded memory for any group size, but it returns a sample value
-    within the rank error, without type-7 interpolation."""
+    within the rank error, without type-7 interpolation, and skips NULLs."""
     if approx:
         return df.groupBy(*by).agg(F.percentile_approx(c, 0.5, 10000).alias(out))
-    return quantiles(df, c, [0.5], by, [out], method)
+    return quantiles(df, c, [0.5], by, [out], skip_nulls)
 
 
 def mad(df: DataFrame, c: str, by: Sequence[str] = (), out: str = "mad",
-        approx: bool = False, method: str = "auto") -> DataFrame:
-    """1.4826 * median(|x - median(x)|) per group (A15): median, join back, median again."""
-    med = median(df, c, by, "_med", approx, method)
-    dev = _join_small(df.select(*by, c), med, by).select(
+        approx: bool = False, skip_nulls: bool = False) -> DataFrame:
+    """1.4826 * median(|x - median(x)|) per group (A15): median, join back, median again.
+
+    The deviations are taken of the distinct values, which carry their multiplicity.
+    """
+    med = median(df, c, by, "_med", approx, skip_nulls)
+    dev = join_by(df.select(*by, c), med, by).select(
         *by, F.abs(F.col(c) - F.col("_med")).alias("_absdev"))
-    m2 = median(dev, "_absdev", by, "_mad", approx, method)
-    return _join_small(med, m2, by).select(*by, F.col("_med").alias("median"),
-                                           (F.col("_mad") * MAD_CONSTANT).alias(out))
+    m2 = median(dev, "_absdev", by, "_mad", approx, skip_nulls)
+    return join_by(med, m2, by).select(*by, F.col("_med").alias("median"),
+                                       (F.col("_mad") * MAD_CONSTANT).alias(out))
 
 
 def median_mad_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
-                    method: str = "auto") -> DataFrame:
+                    skip_nulls: bool = False) -> DataFrame:
     """Median and MAD of several columns in one distributed pass: (by..., column, median, mad)."""
     typed = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
     long = typed.unpivot(list(by), list(cols), "column", "value")
-    return mad(long, "value", [*by, "column"], method=method)
+    return mad(long, "value", [*by, "column"], skip_nulls=skip_nulls)

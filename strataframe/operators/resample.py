@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataframe.functions.columns import safe_corr, uniform
@@ -34,20 +34,22 @@ def draws(spark, n_draws: int, seed: int, m: DataFrame, m_col: str = "_m",
     return d.withColumn("_row", F.floor(uniform(seed, "draw") * F.col(m_col)).cast("long"))
 
 
+def _drawn(df: DataFrame, n_draws: int, seed: int, key: str, per_rep: int | None = None) -> DataFrame:
+    """Drawn rows: only the key is indexed; the draws fetch the other columns by key."""
+    m = df.agg(F.count("*").alias("_m"))
+    keys = row_index(df.select(key), key)
+    drawn = draws(df.sparkSession, n_draws, seed, m, per_rep=per_rep).join(keys, "_row").drop("_row", "_m")
+    return drawn.join(df, key)
+
+
 def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
     """n rows drawn with replacement (X2); ``draw`` numbers the draws."""
-    spark = df.sparkSession
-    m = df.agg(F.count("*").alias("_m"))
-    idx = row_index(df, key)
-    return draws(spark, n, seed, m).join(idx, "_row").drop("_row", "_m")
+    return _drawn(df, n, seed, key)
 
 
 def bootstrap_sample(df: DataFrame, reps: int, n: int, seed: int, key: str) -> DataFrame:
     """reps × n draws with replacement, tagged with ``rep`` (X3 input)."""
-    spark = df.sparkSession
-    m = df.agg(F.count("*").alias("_m"))
-    idx = row_index(df, key)
-    return draws(spark, reps * n, seed, m, per_rep=n).join(idx, "_row").drop("_row", "_m")
+    return _drawn(df, reps * n, seed, key, n)
 
 
 def boot_corr(df: DataFrame, x: str, y: str, reps: int, n: int, seed: int,
@@ -79,12 +81,11 @@ def corr_se(r: Column, n: int) -> Column:
     return F.sqrt((F.lit(1.0) - r * r) / F.lit(float(n - 2)))
 
 
-def sample_per_group(df: DataFrame, by: Sequence[str], seed: int, key: str) -> DataFrame:
-    """One row per group, each row equally likely (X1): the row with the smallest seeded
-    uniform — an aggregate, so hot groups are pre-reduced on the map side."""
-    payload = F.struct(*[F.col(c) for c in df.columns])
-    return (df.groupBy(*by).agg(F.min_by(payload, uniform(seed, key)).alias("_row"))
-            .select("_row.*"))
+def sample_per_group(df: DataFrame, by: Sequence[str], seed: int, key: str, n: int = 1) -> DataFrame:
+    """n rows per group without replacement, each row equally likely (X1): the rows with the
+    smallest seeded uniforms. Each task passes on at most n rows of a group."""
+    order = Window.partitionBy(*by).orderBy(uniform(seed, key), F.col(key))
+    return df.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= n).drop("_rn")
 
 
 def normal_vector(base: DataFrame, key: str, seed: int, mean: float, sd: float,

@@ -8,6 +8,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataframe.operators.attach import attach_row, join_by
+
 
 def mutate(df: DataFrame, steps: Sequence[tuple[str, Column]]) -> DataFrame:
     """Derive columns in order; a later step sees earlier (possibly overwritten) columns.
@@ -40,46 +42,49 @@ def filter_group(df: DataFrame, by: Sequence[str], aggs: Sequence[Column],
     """Keep the rows of groups whose aggregates satisfy ``predicate``.
 
     The per-group aggregate is partial + final (no group is gathered in one task) and the
-    qualifying keys are semi-joined back.
+    qualifying keys are semi-joined back; a NULL key is a group like any other.
     """
     keys = df.groupBy(*by).agg(*aggs).filter(predicate).select(*by)
-    return df.join(keys, list(by), "left_semi")
+    return join_by(df, keys, by, "left_semi")
 
 
 def exclude_row(df: DataFrame, key: str, k) -> DataFrame:
-    """All rows except the one whose key equals k."""
-    return df.filter(F.col(key) != F.lit(k))
+    """All rows except the one whose key equals k; rows without a key stay."""
+    return df.filter(~F.col(key).eqNullSafe(F.lit(k)))
 
 
 def top_n(df: DataFrame, n: int, c: str, by: Sequence[str] = ()) -> DataFrame:
     """Rows whose ``c`` ranks in the top n (ties kept, NULLs dropped) (O3).
 
-    Planned with a partial WindowGroupLimit before the exchange, so at most ~n rows per
-    input partition move.
+    The nth value is found first, of n rows from each task; all rows that reach it are kept, so
+    ties stay where they are, however many there are.
     """
-    w = Window.partitionBy(*by).orderBy(F.col(c).desc()) if by else \
-        Window.orderBy(F.col(c).desc())
-    return (df.filter(F.col(c).isNotNull()).withColumn("_rk", F.rank().over(w))
-            .filter(F.col("_rk") <= n).drop("_rk"))
+    by = list(by)
+    valued = df.filter(F.col(c).isNotNull())
+    if by:
+        order = Window.partitionBy(*by).orderBy(F.col(c).desc())
+        best = valued.select(*by, c).withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= n)
+    else:
+        best = valued.select(c).orderBy(F.col(c).desc()).limit(n)
+    least = best.groupBy(*by).agg(F.min(c).alias("_least"))
+    return join_by(valued, least, by).filter(F.col(c) >= F.col("_least")).drop("_least")
 
 
 def first_per_group(df: DataFrame, by: Sequence[str], value: str, tiebreak: str,
                     descending: bool = True) -> DataFrame:
     """The row with the largest (or smallest) ``value`` per group, ties to the smallest
-    ``tiebreak`` (W1): an aggregate (``min_by``), so it is partially aggregated."""
-    payload = F.struct(*[F.col(c) for c in df.columns])
-    v = F.col(value)
-    order = F.struct((-v if descending else v).alias("v"), F.col(tiebreak).alias("t"))
-    picked = (df.filter(v.isNotNull()).groupBy(*by)
-              .agg(F.min_by(payload, order).alias("_row")))
-    return picked.select("_row.*")
+    ``tiebreak`` (W1). NULL values come last, so every group keeps a row; any type that can be
+    ordered will do. Each task passes on one row of a group."""
+    first = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
+    order = Window.partitionBy(*by).orderBy(first, F.col(tiebreak).asc_nulls_last())
+    return df.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def label_extreme(df: DataFrame, by: Sequence[str], c: str, out: str,
                   when_min: str, otherwise: str) -> DataFrame:
     """Label rows holding the group minimum of ``c`` (W2), via aggregate + join."""
     mins = df.groupBy(*by).agg(F.min(c).alias("_min"))
-    return (df.join(mins, list(by))
+    return (join_by(df, mins, by)
             .withColumn(out, F.when(F.col(c) == F.col("_min"), when_min).otherwise(otherwise))
             .drop("_min"))
 
@@ -99,34 +104,46 @@ def argmax_cols(cols_: Sequence[str], names: Sequence[str] | None = None) -> Col
 
 
 def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a 1-row table's columns to every row (J6): a scalar subquery, no join."""
-    from strataframe.operators.attach import attach_row
+    """Attach a 1-row table's columns to every row."""
     return attach_row(df, one_row)
 
 
 def join_suffix(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
-                suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
-    """Join where same-named non-key columns get suffixes."""
+                suffixes: tuple[str, str] = ("_x", "_y"), null_matches: bool = True) -> DataFrame:
+    """Join where same-named non-key columns get suffixes.
+
+    As in R, NULL keys match NULL keys; ``null_matches=False`` is SQL's rule. The key columns of
+    the result hold the key of whichever side has the row.
+    """
     on = list(on)
     clash = (set(left.columns) & set(right.columns)) - set(on)
     l2 = left.select(*[F.col(c).alias(c + suffixes[0]) if c in clash else F.col(c)
                        for c in left.columns])
     r2 = right.select(*[F.col(c).alias(c + suffixes[1]) if c in clash else F.col(c)
                         for c in right.columns])
-    return l2.join(r2, on, how)
+    if not null_matches:
+        return l2.join(r2, on, how)
+    if how in ("inner", "left"):
+        joined = join_by(l2, r2, on, how)
+    elif how == "right":
+        joined = join_by(r2, l2, on, "left")
+    else:
+        raise ValueError("null_matches joins are inner, left or right")
+    rest = [c for c in (*l2.columns, *r2.columns) if c not in on]
+    return joined.select(*on, *rest)
 
 
-def left_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    return join_suffix(left, right, on, "left")
+def left_join(left: DataFrame, right: DataFrame, on: Sequence[str], null_matches: bool = True) -> DataFrame:
+    return join_suffix(left, right, on, "left", null_matches=null_matches)
 
 
-def right_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+def right_join(left: DataFrame, right: DataFrame, on: Sequence[str], null_matches: bool = True) -> DataFrame:
     """All rows of ``right``; the left side's columns come first."""
-    return join_suffix(left, right, on, "right")
+    return join_suffix(left, right, on, "right", null_matches=null_matches)
 
 
 def semi_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    return left.join(right.select(*on), list(on), "left_semi")
+    return join_by(left, right.select(*on), on, "left_semi")
 
 
 def append(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -153,8 +170,7 @@ def per_group(df: DataFrame, by: Sequence[str], fn: Callable, schema: str) -> Da
     return df.groupBy(*by).applyInPandas(fn, schema)
 
 
-def skyline(df: DataFrame, by: Sequence[str], cost: str, value: str,
-            method: str = "auto") -> DataFrame:
+def skyline(df: DataFrame, by: Sequence[str], cost: str, value: str) -> DataFrame:
     """Rows no other row of the same group beats: none at most as costly and at least as
     good, and strictly better in one of the two (C5).
 
@@ -166,9 +182,8 @@ def skyline(df: DataFrame, by: Sequence[str], cost: str, value: str,
 
     d = df.filter(F.col(cost).isNotNull() & F.col(value).isNotNull())
     per_cost = d.groupBy(*by, cost).agg(F.max(value).alias("_vmax"))
-    best = running_before(per_cost, by, [cost], "_vmax", "max", out="_best_lower",
-                          method=method)
-    kept = d.join(best, [*by, cost]).filter(
+    best = running_before(per_cost, by, [cost], "_vmax", "max", out="_best_lower")
+    kept = join_by(d, best, [*by, cost]).filter(
         (F.col(value) == F.col("_vmax"))
         & (F.col("_best_lower").isNull() | (F.col(value) > F.col("_best_lower"))))
     return kept.drop("_vmax", "_best_lower")

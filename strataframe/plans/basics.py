@@ -6,14 +6,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strataframe.functions.columns import (
-    remove_first, rnd, safe_corr, safe_div, slope_moments, strict,
+    agg_sum, remove_first, rnd, safe_corr, safe_div, slope_moments, strict,
 )
 from strataframe.operators import aggs, reshape, scale, verbs
 from strataframe.operators.ranks import avg_rank, mad
 from strataframe.plans.registry import register
 from strataframe.sources.fixtures import (
-    admissions, appearances, award, batting, batting_year, events_xy, family, fielding,
-    person, salary, team_season,
+    admissions, appearances, award, batting, batting_year, children, events_xy, fielding,
+    in_years, person, salary, team_season,
 )
 from strataframe.sources.tables import load
 
@@ -22,8 +22,10 @@ YEARS = (1996, 2000)
 
 def galton(spark, d):
     """First-born sons: (child_id, family, father, son) — the height-pair table."""
-    return (family(spark, d).filter((F.col("childNum") == 1) & (F.col("gender") == "male"))
-            .select("child_id", "family", "father", F.col("childHeight").alias("son")))
+    first = (children(spark, d).groupBy("family")
+             .agg(F.min_by(F.struct("child_id", "father", "gender", "childHeight"), "child_id").alias("c")))
+    return first.filter(F.col("c.gender") == "male").select(
+        "c.child_id", "family", "c.father", F.col("c.childHeight").alias("son"))
 
 
 GALTON_SQL = ("select child_id, family, father, childHeight as son from family "
@@ -40,7 +42,7 @@ GALTON_SQL = ("select child_id, family, father, childHeight as son from family "
     "HR_per_game R_per_game SB_per_game BB_per_game AB_per_game win_rate E_per_game "
     "doubles_per_game triples_per_game")
 def q_rates(spark, d):
-    ts = team_season(spark, d).filter(F.col("yearID").between(*YEARS))
+    ts = team_season(spark, d, YEARS)
     pg = lambda c: safe_div(c, "G")
     return ts.select("teamID", "yearID", pg("HR").alias("HR_per_game"),
                      pg("R").alias("R_per_game"), pg("SB").alias("SB_per_game"),
@@ -56,7 +58,7 @@ def q_rates(spark, d):
     from team_season where yearID between 1996 and 2000""",
     "BB singles doubles triples HR R HR_strata")
 def q_mutate_overwrite(spark, d):
-    ts = team_season(spark, d).filter(F.col("yearID").between(*YEARS))
+    ts = team_season(spark, d, YEARS)
     out = verbs.mutate(ts, [
         ("BB", safe_div("BB", "G")),
         ("singles", safe_div(F.col("H") - F.col("X2B") - F.col("X3B") - F.col("HR"), "G")),
@@ -80,8 +82,8 @@ def q_mutate_overwrite(spark, d):
     "l_quantity")
 def q_filters(spark, d):
     li = load(spark, d, "lineitem")
-    out = li.filter(F.year("l_shipdate").isin(1997)
-                    & (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
+    out = in_years(li, "l_shipdate", (1997, 1997)).filter(
+                    (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
                     & F.col("l_discount").between(0.02, 0.06)
                     & (rnd(F.col("l_quantity") / 10, 0) == 3))
     return out.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -122,7 +124,7 @@ def q_exclude_row(spark, d):
     from team_season""", "R_centered")
 def q_scalar_ref(spark, d):
     ts = team_season(spark, d)
-    mean_r = ts.agg(F.avg("R").alias("R_mean"))                 # 1 row, never collected
+    mean_r = ts.agg(F.avg("R").alias("R_mean"))                 # 1 row
     return (verbs.with_scalar(ts, mean_r)
             .select("teamID", "yearID", (F.col("R") - F.col("R_mean")).alias("R_centered")))
 
@@ -156,7 +158,7 @@ def q_left_join(spark, d):
     from salary s right join (select * from batting_year where yearID = 1997) b using (playerID)
     where s.salary is not null""", "salary")
 def q_right_join(spark, d):
-    players = batting_year(spark, d).filter(F.col("yearID") == 1997)
+    players = batting_year(spark, d, (1997, 1997))
     j = verbs.right_join(salary(spark, d), players, ["playerID"])
     # a NULL-rejecting filter after the outer join: Catalyst plans an inner join
     return j.filter(F.col("salary").isNotNull()).select("playerID", "salary", "AB", "H")
@@ -198,7 +200,7 @@ RATES_SQL = """(select teamID, yearID, BB / G as BB, (H - HR - X2B - X3B) / G as
 
 
 def team_rates(spark, d):
-    ts = team_season(spark, d).filter(F.col("yearID").between(*YEARS))
+    ts = team_season(spark, d, YEARS)
     return ts.select("teamID", "yearID", safe_div("BB", "G").alias("BB"),
                      safe_div(F.col("H") - F.col("HR") - F.col("X2B") - F.col("X3B"), "G")
                      .alias("singles"),
@@ -229,17 +231,17 @@ def q_corr_matrix(spark, d):
     select teamID, sum(AB + BB) / max(G) as pa_per_game, min(G) as min_G, max(G) as max_G
     from batting where yearID = 1997 group by teamID""", "pa_per_game")
 def q_ratio_of_sums(spark, d):
-    b = batting(spark, d).filter(F.col("yearID") == 1997)
+    b = batting(spark, d, (1997, 1997))
     return b.groupBy("teamID").agg(
-        safe_div(F.sum(F.col("AB") + F.col("BB")), F.max("G")).alias("pa_per_game"),
+        safe_div(agg_sum(F.col("AB") + F.col("BB")), F.max("G")).alias("pa_per_game"),
         F.min("G").alias("min_G"), F.max("G").alias("max_G"))
 
 
 def pa_per_game(spark, d, year=1997):
     """Mean over teams of (plate appearances / games): a 1-row table."""
-    b = batting(spark, d).filter(F.col("yearID") == year)
+    b = batting(spark, d, (year, year))
     per_team = b.groupBy("teamID").agg(
-        safe_div(F.sum(F.col("AB") + F.col("BB")), F.max("G")).alias("_ppg"))
+        safe_div(agg_sum(F.col("AB") + F.col("BB")), F.max("G")).alias("_ppg"))
     return per_team.agg(F.avg("_ppg").alias("pa_per_game"))
 
 
@@ -255,13 +257,13 @@ def q_nested_agg(spark, d):
 
 def player_rates(spark, d, years=(1996, 1998), min_pa=3000):
     """Per-player rates scaled by team plate appearances per game (C1 without R_hat)."""
-    b = batting(spark, d).filter(F.col("yearID").between(*years))
+    b = batting(spark, d, years)
     b = b.withColumn("PA", F.col("BB") + F.col("AB"))
-    raw = {"_pa": F.sum("PA"), "_bb": F.sum("BB"),
-           "_singles": F.sum(F.col("H") - F.col("X2B") - F.col("X3B") - F.col("HR")),
-           "_doubles": F.sum("X2B"), "_triples": F.sum("X3B"), "_hr": F.sum("HR"),
-           "_h": F.sum("H"), "_ab": F.sum("AB")}
-    per = b.groupBy("playerID").agg(*[e.alias(n) for n, e in raw.items()])
+    raw = {"_pa": agg_sum("PA"), "_bb": agg_sum("BB"),
+           "_singles": agg_sum(F.col("H") - F.col("X2B") - F.col("X3B") - F.col("HR")),
+           "_doubles": agg_sum("X2B"), "_triples": agg_sum("X3B"), "_hr": agg_sum("HR"),
+           "_h": agg_sum("H"), "_ab": agg_sum("AB")}
+    per = aggs.summarize_seq(b, ["playerID"], raw, [], keep_raw=True)
     per = verbs.with_scalar(per, pa_per_game(spark, d))
     steps = [("G", safe_div("_pa", "pa_per_game")),
              ("BB", safe_div("_bb", "G")), ("singles", safe_div("_singles", "G")),
@@ -363,7 +365,7 @@ def q_robust_scale(spark, d):
            cast(sum(BB) as bigint) as BB, cast(sum(HR) as bigint) as HR
     from batting group by yearID""")
 def q_summarize_at(spark, d):
-    return aggs.summarize_at(batting(spark, d), ["yearID"], ["AB", "H", "BB", "HR"], F.sum)
+    return aggs.summarize_at(batting(spark, d), ["yearID"], ["AB", "H", "BB", "HR"], agg_sum)
 
 
 # The first five position column names of the analysed appearances table.
@@ -449,7 +451,7 @@ def q_spread_str(spark, d):
            max(case when yearID = 1997 then H / AB end) as "1997"
     from batting_year where yearID in (1996, 1997) group by playerID""", ["1996", "1997"])
 def q_spread_int(spark, d):
-    b = (batting_year(spark, d).filter(F.col("yearID").isin(1996, 1997))
+    b = (batting_year(spark, d, (1996, 1997))
          .select("playerID", "yearID", safe_div("H", "AB").alias("AVG")))
     return reshape.spread(b, ["playerID"], "yearID", "AVG", [1996, 1997])
 
@@ -458,7 +460,7 @@ def q_spread_int(spark, d):
     select family, child_id, parent, parentHeight from family
     unpivot (parentHeight for parent in (father, mother))""", "parentHeight")
 def q_gather_range(spark, d):
-    f = family(spark, d).select("family", "child_id", "father", "mother", "gender")
+    f = children(spark, d).select("family", "child_id", "father", "mother", "gender")
     cols_ = verbs.cols(f, first="father", last="mother")
     return reshape.gather(f, ["family", "child_id"], cols_, "parent", "parentHeight")
 
@@ -481,7 +483,7 @@ def q_gather_except(spark, d):
            case when gender = 'female' then 'daughter' else 'son' end as pair, parentHeight
     from family unpivot (parentHeight for parent in (father, mother))""", "parentHeight")
 def q_unite(spark, d):
-    f = family(spark, d).select("family", "child_id", "gender", "father", "mother")
+    f = children(spark, d).select("family", "child_id", "gender", "father", "mother")
     long = reshape.gather(f, ["family", "child_id", "gender"], ["father", "mother"],
                           "parent", "parentHeight")
     long = long.withColumn("child", F.when(F.col("gender") == "female", "daughter")
@@ -495,8 +497,8 @@ def q_unite(spark, d):
     union all
     select teamID, yearID, W from team_season where yearID = 1997""")
 def q_append(spark, d):
-    ts = team_season(spark, d).select("teamID", "yearID", "W")
-    return verbs.append(ts.filter(F.col("yearID") == 1996), ts.filter(F.col("yearID") == 1997))
+    season = lambda y: team_season(spark, d, (y, y)).select("teamID", "yearID", "W")
+    return verbs.append(season(1996), season(1997))
 
 
 # ---------------------------------------------------------------- windows / sort / top-n

@@ -23,9 +23,7 @@ GALTON_CTE = {"galton": GALTON_SQL}
 
 
 def team_rates_all(spark, d, years=None):
-    ts = team_season(spark, d)
-    if years:
-        ts = ts.filter(F.col("yearID").between(*years))
+    ts = team_season(spark, d, years)
     return ts.select("teamID", "yearID", safe_div("BB", "G").alias("BB"),
                      safe_div(F.col("H") - F.col("HR") - F.col("X2B") - F.col("X3B"), "G")
                      .alias("singles"),
@@ -71,7 +69,7 @@ def q_line_yx(spark, d):
                  covar_samp(father, son) as vxy, var_samp(son) as vyy from galton) m""",
     "beta1 rss", GALTON_CTE)
 def q_rss_grid(spark, d):
-    return rss_grid(galton(spark, d), "father", "son", 36.0, "child_id")
+    return rss_grid(galton(spark, d), "father", "son", 36.0)
 
 
 # ---------------------------------------------------------------- OLS
@@ -179,14 +177,19 @@ def q_glance(spark, d):
     return ols(team_rates(spark, d), "R", ["BB", "HR"]).glance(p_values=False)
 
 
-EV_POLY_SQL = "(select time, time * time as time_sq, observed_distance from events_xy)"
-_sql, _ctes = _tidy_sql("fq", EV_POLY_SQL, "observed_distance", ["time", "time_sq"])
+EV_POLY_SQL = """(select time_c, time_c * time_c as time_sq, observed_distance from (
+    select time - avg(time) over () as time_c, observed_distance from events_xy))"""
+_sql, _ctes = _tidy_sql("fq", EV_POLY_SQL, "observed_distance", ["time_c", "time_sq"])
 
 
 @register("poly2", _sql, TIDY, _ctes)
 def q_poly2(spark, d):
-    e = events_xy(spark, d).withColumn("time_sq", F.col("time") * F.col("time"))
-    return ols(e, "observed_distance", ["time", "time_sq"]).tidy(p_values=False)
+    """A quadratic in the centred time, as the square of an uncentred one is nearly a multiple of it."""
+    e = events_xy(spark, d)
+    e = attach_row(e, e.agg(F.avg("time").alias("_mid")))
+    e = e.withColumn("time_c", F.col("time") - F.col("_mid"))
+    e = e.withColumn("time_sq", F.col("time_c") * F.col("time_c"))
+    return ols(e, "observed_distance", ["time_c", "time_sq"]).tidy(p_values=False)
 
 
 _c1 = ols_sql_ctes("fy", rates_sql(), "R", ["BB", "HR"], ["yearID"])
@@ -195,7 +198,7 @@ _c2 = ols_sql_ctes("fs", "(select yearID, a_0_2 as estimate from fy_fit)", "esti
 
 @register("second_stage", ols_sql_tidy("fs", ["yearID"]), TIDY, {**_c1, **_c2})
 def q_second_stage(spark, d):
-    res = (ols(team_rates_all(spark, d), "R", ["BB", "HR"], by=["yearID"]).coef("BB")
+    res = (ols(team_rates_all(spark, d), "R", ["BB", "HR"], by=["yearID"]).coef("BB", p_values=False)
            .select("yearID", "estimate"))
     return ols(res, "estimate", ["yearID"]).tidy(p_values=False)
 
@@ -372,7 +375,7 @@ def qualified_avg(spark, d, years=(1996, 1997), min_ab=2000):
     from strataframe.operators.verbs import filter_group
     from strataframe.sources.fixtures import batting
 
-    b = batting(spark, d).filter(F.col("yearID").between(*years))
+    b = batting(spark, d, years)
     q = filter_group(b, ["playerID", "yearID"], [F.sum("AB").alias("_ab")],
                      F.col("_ab") >= min_ab)
     return q.groupBy("playerID", "yearID").agg(safe_div(F.sum("H"), F.sum("AB")).alias("AVG"))

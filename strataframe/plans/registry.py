@@ -1,8 +1,8 @@
 """Registry of named queries and their DuckDB oracle SQL.
 
 Each query takes (spark, sf_dir) and returns a DataFrame. Doubles are rounded the same way
-on both sides, so the two engines hash identically: 6 decimals below 1000, and 10
-significant digits from 1000 up (plus 0.0 to fold negative zero).
+on both sides, so the two engines hash identically: to nine significant digits, in steps of
+1e-11 at least (plus 0.0 to fold negative zero).
 """
 
 from __future__ import annotations
@@ -18,40 +18,27 @@ from strataframe.sources.fixtures import with_fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
-DIGITS = 6
-
-
-SIG_DIGITS = 10
-LARGE = 1000.0
-
-
-def _half_away(x, digits: int):
-    f = float(10 ** digits)
-    return F.signum(x) * F.floor(F.abs(x) * f + 0.5) / f
+#: Significant digits that are compared, and decimals at most: beyond them two engines' sums differ.
+SIG_DIGITS, DECIMALS = 9, 11
 
 
 def round_double(c):
-    """6 decimals below 1000, 10 significant digits above; -0.0 becomes 0.0.
+    """Nine significant digits at every magnitude, eleven decimals at most; -0.0 becomes 0.0.
 
-    Plain double arithmetic (half away from zero), written identically in the SQL twin so
-    both engines perform the same IEEE operations.
+    Plain double arithmetic (half away from zero) on whole powers of ten, written identically in
+    the SQL twin so both engines perform the same IEEE operations.
     """
-    e = F.floor(F.log10(F.abs(c)))
-    scale = F.pow(F.lit(10.0), e)
-    big = _half_away(c / scale, SIG_DIGITS - 1) * scale
-    return F.when(F.abs(c) >= LARGE, big).otherwise(_half_away(c, DIGITS)) + F.lit(0.0)
-
-
-def _half_away_sql(x: str, digits: int) -> str:
-    f = float(10 ** digits)
-    return f"(sign({x}) * floor(abs({x}) * {f!r} + 0.5) / {f!r})"
+    places = F.least(SIG_DIGITS - 1 - F.floor(F.log10(F.abs(c))), F.lit(DECIMALS))
+    up, down = F.pow(F.lit(10.0), F.greatest(places, F.lit(0))), F.pow(F.lit(10.0), F.greatest(-places, F.lit(0)))
+    rounded = F.signum(c) * (F.floor(F.abs(c) * up / down + 0.5) * down / up)
+    return F.when(c == 0, F.lit(0.0)).otherwise(rounded) + F.lit(0.0)
 
 
 def round_double_sql(c: str) -> str:
-    e = f"floor(log10(abs({c})))"
-    big = f"{_half_away_sql(f'({c} / pow(10.0, {e}))', SIG_DIGITS - 1)} * pow(10.0, {e})"
-    return (f"(case when abs({c}) >= {LARGE} then {big} "
-            f"else {_half_away_sql(c, DIGITS)} end + 0.0)")
+    places = f"least({SIG_DIGITS - 1} - floor(log10(abs({c}))), {DECIMALS})"
+    up, down = f"pow(10.0, greatest({places}, 0))", f"pow(10.0, greatest(-({places}), 0))"
+    return (f"(case when {c} = 0 then 0.0 else sign({c}) * (floor(abs({c}) * {up} / {down} + 0.5) * {down} / {up}) end"
+            " + 0.0)")
 
 
 def finish(df: DataFrame) -> DataFrame:

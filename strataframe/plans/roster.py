@@ -59,22 +59,15 @@ def q_roster(spark, d):
     return verbs.top_n(p, 10, "R_hat")
 
 
-def roster_table(spark, d):
-    """``roster_players`` materialised once: the skyline, the selection table and the
-    profile reuse it in several branches and size checks."""
-    from strataframe.session import materialize
-    return materialize(roster_players(spark, d))
-
-
-def candidates(spark, d, players=None):
-    p = players if players is not None else roster_table(spark, d)
-    return p.filter((F.col("debut") <= F.lit(DEBUT_WINDOW[1]).cast("date"))
+def candidates(spark, d):
+    return roster_players(spark, d).filter((F.col("debut") <= F.lit(DEBUT_WINDOW[1]).cast("date"))
                     & (F.col("debut") > F.lit(DEBUT_WINDOW[0]).cast("date")))
 
 
 @register("skyline", "select POS, playerID, salary, R_hat from sky", "salary R_hat", ROSTER_CTES)
 def q_skyline(spark, d):
-    return verbs.skyline(candidates(spark, d), ["POS"], "salary", "R_hat").select(
+    pool = candidates(spark, d).select("POS", "playerID", "salary", "R_hat")
+    return verbs.skyline(pool, ["POS"], "salary", "R_hat").select(
         "POS", "playerID", "salary", "R_hat")
 
 
@@ -98,10 +91,10 @@ _SCALED = ", ".join(f"({c} - med_{c}) / mad_{c} as {c}" for c in PROFILE_COLS)
     where playerID in (select playerID from sky)""", " ".join(PROFILE_COLS), ROSTER_CTES)
 def q_profile(spark, d):
     """Chosen players on the robust scale of all players (C6): scale first, then filter."""
-    players = roster_table(spark, d)
+    players = roster_players(spark, d)
     allp = players.select("playerID", "nameFirst", "nameLast", *PROFILE_COLS)
     scaled = scale.robust_scale(allp, PROFILE_COLS)
-    chosen = verbs.skyline(candidates(spark, d, players), ["POS"], "salary", "R_hat").select(
+    chosen = verbs.skyline(candidates(spark, d), ["POS"], "salary", "R_hat").select(
         "playerID")
     return verbs.semi_join(scaled, chosen, ["playerID"])
 

@@ -12,7 +12,7 @@ from strataframe.operators.aggs import yes_no
 from strataframe.operators.reshape import gather
 from strataframe.plans.basics import GALTON_SQL, STRATA_SQL, galton, hr_strata
 from strataframe.plans.registry import ols_sql_ctes, ols_sql_intercept, register
-from strataframe.sources.fixtures import admissions, events_xy, family, sim_panel
+from strataframe.sources.fixtures import admissions, children, events_xy, sim_panel
 
 GALTON_CTE = {"galton": GALTON_SQL}
 B, N = 1000, 50                    # replicates × sample size of the bootstrap
@@ -36,7 +36,7 @@ INDEXED_SQL = "(select *, row_number() over (order by child_id) - 1 as _row from
                                order by {uniform_sql(SEED_FAMILY, 'child_id')}) = 1""",
     "mother daughter")
 def q_sample_per_group(spark, d):
-    f = family(spark, d).filter(F.col("gender") == "female")
+    f = children(spark, d).filter(F.col("gender") == "female")
     one = resample.sample_per_group(f, ["family"], SEED_FAMILY, "child_id")
     return one.select("family", "child_id", "mother", F.col("childHeight").alias("daughter"))
 

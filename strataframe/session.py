@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -29,9 +31,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
     conf["spark.driver.memory"] = os.environ.get("SPARK_DRIVER_MEMORY", "16g")
     conf.update(extra or {})
-    if "spark.checkpoint.dir" not in conf:
-        # Local runs only: a scratch folder, because nothing is configured.
-        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="strataframe-ckpt-", dir="/tmp")
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -42,27 +41,24 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder for intermediate tables: the session's ``spark.checkpoint.dir``, else the
+    folder that the context already checkpoints to.
 
-    The cluster's setting always wins; a scratch folder is set only where the session has
-    none (local tests and the bench).
+    Only a local session without either gets a scratch folder of its own, which goes when Python
+    ends. On a cluster each executor would write such a folder on its own disk: that is an error.
     """
     sc = spark.sparkContext
     current = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="strataframe-ckpt-", dir="/tmp")
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current
 
 
-def materialize(df):
-    """Cut lineage of a derived table that many branches reuse: a reliable checkpoint into
-    the shared ``spark.checkpoint.dir`` (it survives executor loss, unlike a local one)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 _SHIPPED: set[str] = set()
 
 
@@ -79,6 +75,7 @@ def ship_package(spark: SparkSession) -> None:
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
     out_dir = tempfile.mkdtemp(prefix="strataframe-pkg-", dir="/tmp")
+    atexit.register(shutil.rmtree, out_dir, ignore_errors=True)
     path = os.path.join(out_dir, "strataframe.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         for folder, _, files in os.walk(pkg_dir):

@@ -25,8 +25,17 @@ def _yr(c):
     return F.year(F.col(c)).cast("int")
 
 
-def team_season(spark: SparkSession, d: str) -> DataFrame:
-    li = load(spark, d, "lineitem")
+def in_years(df: DataFrame, c: str, years: tuple[int, int] | None) -> DataFrame:
+    """Rows whose timestamp ``c`` is in the years first..last: a half-open range on the stored column,
+    which reaches the scan (a condition on ``year(c)`` does not)."""
+    if years is None:
+        return df
+    bound = lambda y: F.lit(f"{y}-01-01 00:00:00").cast(df.schema[c].dataType)
+    return df.filter((F.col(c) >= bound(years[0])) & (F.col(c) < bound(years[1] + 1)))
+
+
+def team_season(spark: SparkSession, d: str, years: tuple[int, int] | None = None) -> DataFrame:
+    li = in_years(load(spark, d, "lineitem"), "l_shipdate", years)
     q = F.col("l_quantity")
 
     def qty_if(cond):
@@ -46,8 +55,8 @@ def team_season(spark: SparkSession, d: str) -> DataFrame:
             .withColumn("AB", F.col("H") + 3.0 * F.col("G")))
 
 
-def batting(spark: SparkSession, d: str) -> DataFrame:
-    o = load(spark, d, "orders")
+def batting(spark: SparkSession, d: str, years: tuple[int, int] | None = None) -> DataFrame:
+    o = in_years(load(spark, d, "orders"), "o_orderdate", years)
     k = F.col("o_orderkey")
     ab = F.floor(F.col("o_totalprice") / 100).cast("int")
     return o.select(
@@ -64,9 +73,9 @@ def batting(spark: SparkSession, d: str) -> DataFrame:
         (k % 3).cast("int").alias("X3B"))
 
 
-def batting_year(spark: SparkSession, d: str) -> DataFrame:
+def batting_year(spark: SparkSession, d: str, years: tuple[int, int] | None = None) -> DataFrame:
     cols = ["G", "AB", "H", "BB", "HR", "X2B", "X3B"]
-    return (batting(spark, d).groupBy("playerID", "yearID")
+    return (batting(spark, d, years).groupBy("playerID", "yearID")
             .agg(*[F.sum(c).alias(c) for c in cols]))
 
 
@@ -82,6 +91,7 @@ def person(spark: SparkSession, d: str) -> DataFrame:
 
 
 def salary(spark: SparkSession, d: str) -> DataFrame:
+    """Four customers of five (FIXTURES.md), so that outer joins have rows without a partner."""
     return (load(spark, d, "customer").filter(F.col("c_custkey") % 5 != 0)
             .select(F.col("c_custkey").alias("playerID"), F.col("c_acctbal").alias("salary")))
 
@@ -102,6 +112,7 @@ def fielding(spark: SparkSession, d: str) -> DataFrame:
 
 
 def award(spark: SparkSession, d: str) -> DataFrame:
+    """One customer of three (FIXTURES.md): the few players with an award."""
     first = (load(spark, d, "orders").groupBy(F.col("o_custkey").alias("playerID"))
              .agg(F.min(_yr("o_orderdate")).alias("yearID")))
     c = (load(spark, d, "customer").filter(F.col("c_custkey") % 3 == 0)
@@ -109,21 +120,25 @@ def award(spark: SparkSession, d: str) -> DataFrame:
     return c.join(first, "playerID").select("playerID", "awardID", "yearID")
 
 
-def family(spark: SparkSession, d: str) -> DataFrame:
-    from strataframe.operators.ranks import positions
-
+def children(spark: SparkSession, d: str) -> DataFrame:
+    """The family table without the numbering of its children."""
     o = load(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     c = load(spark, d, "customer").select("c_custkey", "c_acctbal")
     father = F.lit(60.0) + (F.col("c_acctbal") + 1000.0) / 1000.0
-    joined = o.join(c, o.o_custkey == c.c_custkey).select(
+    return o.join(c, o.o_custkey == c.c_custkey).select(
         F.col("o_custkey").alias("family"),
         F.col("o_orderkey").alias("child_id"),
         father.alias("father"),
         (F.lit(60.0) + (F.col("o_custkey") % 11).cast("double")).alias("mother"),
         F.when(F.col("o_orderkey") % 2 == 0, "male").otherwise("female").alias("gender"),
         (F.lit(40.0) + 0.5 * father + F.col("o_totalprice") / 50000.0).alias("childHeight"))
-    # childNum = row_number within family by child_id, computed without a per-family window.
-    ranked = positions(joined, by=["family"], order=["child_id"])
+
+
+def family(spark: SparkSession, d: str) -> DataFrame:
+    """``children`` with childNum: the row number within the family by child_id."""
+    from strataframe.operators.ranks import positions
+
+    ranked = positions(children(spark, d), by=["family"], order=["child_id"])
     return ranked.withColumn("childNum", (F.col("_pos") + 1).cast("int")).drop("_pos")
 
 

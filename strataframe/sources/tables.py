@@ -23,16 +23,17 @@ def table(spark: SparkSession, rows, schema) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def grid_from_rows(indexed: DataFrame, n_col: str, lo: float, hi: float,
-                   index_col: str = "_i", out: str = "grid") -> DataFrame:
-    """``seq(lo, hi, len = n)`` where n is the row count of a table (S3).
+def grid(one_row: DataFrame, n_col: str, lo: float, hi: float, out: str = "grid") -> DataFrame:
+    """``seq(lo, hi, len = n)``, with n from a 1-row table whose other columns each point keeps (S3).
 
-    ``indexed`` carries a dense index 0..n-1 and the count ``n_col`` on every row, so grid
-    point i is produced by the task that holds row i: no single task builds the grid.
+    Points are counted up in steps and spread over tasks; no row of the data is touched.
     """
+    from strataframe.operators.attach import count_up
+
     n = F.col(n_col)
     step = F.when(n > 1, (F.lit(hi) - F.lit(lo)) / (n - 1)).otherwise(F.lit(0.0))
-    return indexed.withColumn(out, F.lit(lo) + F.col(index_col).cast("double") * step)
+    points = count_up(one_row.withColumn("_from", F.lit(0)).withColumn("_to", n - 1), "_from", "_to", "_i")
+    return points.withColumn(out, F.lit(lo) + F.col("_i").cast("double") * step).drop("_from", "_to", "_i")
 
 
 def normal_panel(base: DataFrame, group_col: str, n: int, seed: int) -> DataFrame:

@@ -18,42 +18,34 @@ def skewed(spark):
     return spark.createDataFrame(pdf), pdf
 
 
-METHODS = pytest.mark.parametrize("method", ["local", "distributed"])
-
-
-@METHODS
-def test_positions_and_ranks(skewed, method):
+def test_positions_and_ranks(skewed):
     df, pdf = skewed
-    got = ranks.positions(df, ["g"], ["v", "k"], partitions=7, method=method).toPandas()
+    got = ranks.positions(df, ["g"], ["v", "k"]).toPandas()
     exp = pdf.sort_values(["g", "v", "k"]).assign(e=lambda x: x.groupby("g").cumcount())
     m = got.merge(exp, on=["g", "v", "k"])
     assert len(m) == len(pdf) and (m["_pos"] == m["e"]).all()
-    r = ranks.avg_rank(df, "v", ["g"], method=method).toPandas().merge(pdf, on=["g", "v", "k"])
+    r = ranks.avg_rank(df, "v", ["g"]).toPandas().merge(pdf, on=["g", "v", "k"])
     r["e"] = r.groupby("g")["v"].rank()
     assert np.allclose(r["v_rank"], r["e"])
-    glob = ranks.avg_rank(df, "v", method=method).toPandas()
+    glob = ranks.avg_rank(df, "v").toPandas()
     assert np.allclose(glob.sort_values("k")["v_rank"], pdf.sort_values("k")["v"].rank())
 
 
-@METHODS
-def test_running_max_before(skewed, method):
+def test_running_max_before(skewed):
     df, pdf = skewed
-    got = ranks.running_before(df, ["g"], ["k"], "v", "max", "m", partitions=5,
-                               method=method).toPandas()
+    got = ranks.running_before(df, ["g"], ["k"], "v", "max", "m").toPandas()
     exp = pdf.sort_values(["g", "k"])
     exp["e"] = exp.groupby("g")["v"].transform(lambda s: s.shift().cummax())
     m = got.merge(exp, on=["g", "k"])
     assert ((m["m"] == m["e"]) | (m["m"].isna() & m["e"].isna())).all()
 
 
-@METHODS
-def test_quantiles_median_mad(skewed, method):
+def test_quantiles_median_mad(skewed):
     df, pdf = skewed
-    q = ranks.quantiles(df, "v", [0, 0.25, 0.5, 0.75, 1], ["g"],
-                        method=method).toPandas().set_index("g")
+    q = ranks.quantiles(df, "v", [0, 0.25, 0.5, 0.75, 1], ["g"]).toPandas().set_index("g")
     for g, sub in pdf.groupby("g"):
         assert np.allclose(q.loc[g].values, np.quantile(sub.v, [0, .25, .5, .75, 1]))
-    m = ranks.mad(df, "v", method=method).first()
+    m = ranks.mad(df, "v").first()
     med = np.median(pdf.v)
     assert m["median"] == med and m["mad"] == pytest.approx(1.4826 * np.median(np.abs(pdf.v - med)))
 
@@ -69,12 +61,11 @@ def test_robust_scale_and_zscore(skewed):
     assert np.allclose(z["z_v"].astype(float), e, equal_nan=True)   # one-row group: NULL
 
 
-@METHODS
-def test_skyline_brute_force(spark, method):
+def test_skyline_brute_force(spark):
     rng = np.random.default_rng(5)
     pdf = pd.DataFrame({"c": rng.integers(0, 3, 300), "cost": rng.integers(0, 40, 300),
                         "val": rng.integers(0, 40, 300), "id": np.arange(300)})
-    got = set(verbs.skyline(spark.createDataFrame(pdf), ["c"], "cost", "val", method)
+    got = set(verbs.skyline(spark.createDataFrame(pdf), ["c"], "cost", "val")
               .toPandas()["id"])
     exp = set()
     for r in pdf.itertuples():
@@ -109,21 +100,56 @@ def test_sample_per_group_one_row_each(spark):
     assert sn.count() == 30 and sn.select("draw").distinct().count() == 30
 
 
-def test_auto_switches_to_distributed_above_the_limit(spark, skewed, monkeypatch):
-    df, pdf = skewed
-    calls = []
-    real = ranks.range_buckets
-    monkeypatch.setattr(ranks, "range_buckets", lambda *a, **k: calls.append(1) or real(*a, **k))
-    spark.conf.set("spark.strataframe.localGroupLimit", "10")  # ~50 distinct values: "hot"
+def test_order_keys_of_every_type(spark):
+    import datetime as dt
+    import math
+
+    rng = np.random.default_rng(0)
+    doubles = [0.0, -0.0, 1.0, math.nextafter(1, 2), -1.0, 2.0, math.nextafter(2, 0), 5e-324, -5e-324, 2.0 ** -1022,
+               math.nextafter(2.0 ** -1022, 0), 1.7976931348623157e308, math.inf, -math.inf]
+    doubles += [2.0 ** k for k in range(-1074, 1024, 97)] + (rng.normal(size=200) * 10.0 ** rng.integers(-300, 300, 200)).tolist()
+    longs = [0, -1, 1, (1 << 63) - 2, -(1 << 63), 1 << 42, -(1 << 42) - 1, 7, 7, 123456789012]
+    days = [dt.date(1, 1, 1), dt.date(1969, 12, 31), dt.date(1970, 1, 1), dt.date(9999, 12, 31)]
+    for values, kind in ((doubles, "double"), (longs, "long"), ([5, -5, 0, 2**31 - 1, -2**31], "int"), (days, "date"), ([True, False], "boolean")):
+        df = spark.createDataFrame([(v, k) for k, v in enumerate(values)], f"v {kind}, k int")
+        got = {r.k: r.v_rank for r in ranks.avg_rank(df, "v").collect()}
+        want = pd.Series([v.toordinal() if isinstance(v, dt.date) else v for v in values]).rank()
+        assert [got[k] for k in range(len(values))] == want.tolist(), kind
+    with pytest.raises(TypeError):
+        ranks.avg_rank(spark.createDataFrame([("a",)], "v string"), "v")
+
+
+def test_running_sums_keep_their_type(spark):
+    df = spark.createDataFrame([(0.6, k) for k in range(4)], "v double, k int")
+    got = [r._before for r in ranks.running_before(df, [], ["k"], "v").orderBy("k").collect()]
+    assert got == pytest.approx([0.0, 0.6, 1.2, 1.8])
+
+
+def test_nothing_runs_while_a_plan_is_built(spark, skewed):
+    from strataframe.operators import infer, ols, resample
+
+    df, _ = skewed
+    other = df.withColumn("w", F.col("v") + F.col("k") % 3)
+    sc = spark.sparkContext
+    sc.setJobGroup("plans", "plans")
     try:
-        r = ranks.avg_rank(df, "v", ["g"]).toPandas().merge(pdf, on=["g", "v", "k"])
+        ranks.avg_rank(df, "v", ["g"]), ranks.mad(df, "v"), scale.robust_scale(df, ["v"]), scale.zscore(df, "v")
+        binning.boxplot(df, "v", ["g"]), binning.histogram(df, "v", 1.0), binning.qq_normal(df, "v", "k", ["g"])
+        infer.spearman(other, "v", "w"), verbs.skyline(df, ["g"], "v", "k"), verbs.top_n(df, 3, "v")
+        resample.boot_corr(other, "v", "w", 3, 5, 1, "k"), ols.rss_grid(other, "v", "w", 0.5)
+        ols.ols(other, "v", ["w"]).predict(other, se=True), ols.ols(other, "v", ["w"], ["g"]).tidy()
+        assert list(sc.statusTracker().getJobIdsForGroup("plans")) == []
     finally:
-        spark.conf.unset("spark.strataframe.localGroupLimit")
-    assert calls, "auto should have taken the distributed path"
-    assert np.allclose(r["v_rank"], r.groupby("g")["v"].rank())
-    calls.clear()
-    ranks.avg_rank(df, "v", ["g"]).count()                      # default limit: local path
-    assert not calls
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_top_n_keeps_all_ties_without_one_partition(spark):
+    df = spark.range(1000).select((F.col("id") % 2).alias("v"), F.col("id").alias("k"))
+    top = verbs.top_n(df, 3, "v")
+    assert top.count() == 500
+    assert "Window" not in top._jdf.queryExecution().executedPlan().toString()
+    by = verbs.top_n(df.withColumn("g", F.col("k") % 3), 1, "v", ["g"])
+    assert by.count() == 500
 
 
 def test_approx_median_close_to_exact(skewed):

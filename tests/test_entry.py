@@ -29,12 +29,12 @@ def test_results_do_not_depend_on_partition_count(spark, name):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     got = []
     try:
-        for parts in ("3", "11"):
+        for parts in ("3", "11", "50"):
             spark.conf.set("spark.sql.shuffle.partitions", parts)
             got.append(sorted(repr(tuple(r)) for r in entry.queries()[name](spark, SF001).collect()))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
-    assert got[0] == got[1]
+    assert got[0] == got[1] == got[2]
 
 
 def test_no_cross_join_in_any_plan(spark):
@@ -54,3 +54,25 @@ def test_filters_and_projection_reach_the_scan(spark):
     scan = next(line for line in plan.split("\n") if "FileScan parquet" in line)
     assert "EqualTo(l_returnflag,R)" in scan and "EqualTo(l_linestatus,F)" in scan
     assert "l_extendedprice" not in scan       # column pruning: unused columns are not read
+
+
+YEARLY = ("rates mutate_overwrite filters corr_all corr_matrix ratio_of_sums nested_agg summarize_seq right_join spread_int append "
+          "ols2 ols5 predict glance inference paired_change two_seasons roster selection_table").split()
+
+
+@pytest.mark.parametrize("name", YEARLY)
+def test_year_filters_reach_the_scan(spark, name):
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        plan = entry.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+    assert "GreaterThanOrEqual(l_shipdate" in plan or "GreaterThanOrEqual(o_orderdate" in plan
+
+
+def test_no_window_over_a_whole_table(spark):
+    for name, q in sorted(catalog.QUERIES.items()):
+        lines = q(spark, SF001)._jdf.queryExecution().executedPlan().toString().split("\n")
+        for above, below in zip(lines, lines[2:], strict=False):
+            assert not ("- Window " in above and "Exchange SinglePartition" in below), name

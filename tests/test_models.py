@@ -172,3 +172,24 @@ def test_anscombe_quartet_equal_fits(spark):
     out = line(df, "x", "y", ["set"]).collect()
     for r in out:
         assert r.slope == pytest.approx(0.5, abs=0.002) and r.r == pytest.approx(0.816, abs=0.001)
+
+
+def test_squares_of_consecutive_days_are_not_aliased(spark):
+    from strataframe.operators.ols import ols
+
+    df = spark.createDataFrame([(float(d), float(d) ** 2, 3.0 + (d % 5)) for d in range(19800, 19831)], "x double, x2 double, y double")
+    assert all(r.estimate is not None for r in ols(df, "y", ["x", "x2"]).tidy().collect())
+    twice = df.withColumn("x2", F.col("x") * 2)
+    assert sum(r.estimate is None for r in ols(twice, "y", ["x", "x2"]).tidy().collect()) == 1
+
+
+def test_tails_hold_for_many_degrees_of_freedom():
+    import math
+
+    from strataframe.functions import dist
+
+    for df in (1e5, 0.99e7, 1.01e7, 1e10, 1e12):
+        for t in (0.01, 1.96, 5.0):
+            assert float(dist.t_two_sided_p(t, df)) == pytest.approx(math.erfc(t / math.sqrt(2)), rel=30 / df + 1e-9)
+        assert float(dist.t_quantile(0.975, np.array([df]))[0]) == pytest.approx(1.959963984540054, rel=3 / df + 1e-9)
+    assert float(dist.f_upper_p(3.0, 2, 10)) == pytest.approx((10 / 16) ** 5)

@@ -122,3 +122,147 @@ def test_event_time_independent_of_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert t_la == events_xy(spark, SF001).orderBy("event_id").first().time
+
+
+# ---------------------------------------------------------------- NULL keys are a group
+KEYED = "g int, x double, y double, k int"
+
+
+@pytest.fixture(scope="module")
+def keyed(spark):
+    data = [(1 if k % 2 else None, float(k % 17), float((k * 7) % 23), k) for k in range(200)]
+    same = [(1 if k % 2 else 2, x, y, k) for k, (_, x, y, _) in enumerate(data)]
+    return spark.createDataFrame(data, KEYED), spark.createDataFrame(same, KEYED)
+
+
+def _by_forms():
+    from strataframe.operators import binning, infer, ols, ranks, scale
+
+    by = ["g"]
+    return {
+        "zscore": lambda d: scale.zscore(d, "x", by), "robust_scale": lambda d: scale.robust_scale(d, ["x", "y"], by),
+        "share_of_total": lambda d: scale.share_of_total(d, "x", "s", by), "avg_rank": lambda d: ranks.avg_rank(d, "x", by),
+        "quantiles": lambda d: ranks.quantiles(d, "x", [0.1, 0.9], by), "mad": lambda d: ranks.mad(d, "x", by),
+        "positions": lambda d: ranks.positions(d, by, ["x", "k"]), "spearman": lambda d: infer.spearman(d, "x", "y", by),
+        "filter_group": lambda d: verbs.filter_group(d, by, [F.count("*").alias("_n")], F.col("_n") > 5),
+        "label_extreme": lambda d: verbs.label_extreme(d, by, "x", "l", "min", "other"),
+        "first_per_group": lambda d: verbs.first_per_group(d, by, "x", "k"), "top_n": lambda d: verbs.top_n(d, 3, "x", by),
+        "histogram": lambda d: binning.histogram(d, "x", 5.0, by), "boxplot": lambda d: binning.boxplot(d, "x", by),
+        "box_outliers": lambda d: binning.box_outliers(d, "x", by), "qq_normal": lambda d: binning.qq_normal(d, "x", "k", by),
+        "smooth_lm": lambda d: binning.smooth_lm(d, "x", "y", by, 5), "skyline": lambda d: verbs.skyline(d, by, "x", "y"),
+        "predict": lambda d: ols.ols(d, "y", ["x"], by).predict(d, se=True), "tidy": lambda d: ols.ols(d, "y", ["x"], by).tidy(),
+        "augment": lambda d: ols.ols(d, "y", ["x"], by).augment(d), "line": lambda d: ols.line(d, "x", "y", by),
+        "corr_matrix": lambda d: aggs.corr_matrix(d, ["x", "y"], by),
+        "semi_join": lambda d: verbs.semi_join(d, d.filter("x > 3"), by), "left_join": lambda d: verbs.left_join(d, d.groupBy("g").count(), by),
+        "right_join": lambda d: verbs.right_join(d.groupBy("g").count(), d, by),
+    }
+
+
+@pytest.mark.parametrize("form", sorted(_by_forms()))
+def test_a_null_key_is_a_group_like_any_other(keyed, form):
+    """The same rows with key 2 in place of NULL give the same result."""
+    null, plain = (_by_forms()[form](d) for d in keyed)
+    assert null.columns == plain.columns
+    show = lambda v: f"{v:.10g}" if isinstance(v, float) else v
+    text = lambda rs, none: sorted(repr(tuple(none if v is None and c == "g" else show(v) for c, v in r.asDict().items())) for r in rs)
+    assert text(null.collect(), 2) == text(plain.collect(), 2)
+
+
+def test_joins_match_null_keys_unless_asked_not_to(spark):
+    a = spark.createDataFrame([(None, 1), (1, 2)], "k int, a int")
+    b = spark.createDataFrame([(None, 5), (2, 6)], "k int, b int")
+    assert sorted(rows(verbs.left_join(a, b, ["k"])), key=repr) == [(1, 2, None), (None, 1, 5)]
+    assert sorted(rows(verbs.right_join(a, b, ["k"])), key=repr) == [(2, None, 6), (None, 1, 5)]
+    assert rows(verbs.join_suffix(a, b, ["k"])) == [(None, 1, 5)]
+    assert sorted(rows(verbs.left_join(a, b, ["k"], null_matches=False)), key=repr) == [(1, 2, None), (None, 1, None)]
+
+
+def test_weighted_mean_and_share_with_nulls(spark):
+    df = spark.createDataFrame([(10.0, 1.0, True), (None, 9.0, None)], "x double, w double, p boolean")
+    agg = lambda c: df.agg(c).first()[0]
+    assert agg(aggs.weighted_mean("x", "w")) is None and agg(aggs.weighted_mean("x", "w", skip_nulls=True)) == 10.0
+    assert agg(aggs.share(F.col("p"), "w")) is None and agg(aggs.share(F.col("p"), "w", skip_nulls=True)) == 100.0
+
+
+def test_scales_and_medians_are_strict(spark):
+    from strataframe.operators import ranks, scale
+
+    df = spark.createDataFrame([(1, 1.0), (1, None), (1, 3.0), (2, 1.0), (2, 3.0)], "g int, x double")
+    assert dict(rows(ranks.median(df, "x", ["g"]))) == {1: None, 2: 2.0}
+    assert dict(rows(ranks.median(df, "x", ["g"], skip_nulls=True))) == {1: 2.0, 2: 2.0}
+    for out in (scale.zscore(df, "x", ["g"], "z"), scale.share_of_total(df, "x", "z", ["g"])):
+        assert all((r.z is None) == (r.g == 1) for r in out.collect())
+    assert [r.x for r in scale.robust_scale(df, ["x"], ["g"]).filter("g = 1").collect()] == [None] * 3
+
+
+def test_first_per_group_of_dates_text_and_nulls_only(spark):
+    df = spark.createDataFrame([(1, "b", 1), (1, "c", 2), (1, "c", 0), (2, None, 5), (2, None, 4)], "g int, v string, k int")
+    assert rows(verbs.first_per_group(df, ["g"], "v", "k"), ["g"]) == [(1, "c", 0), (2, None, 4)]
+    assert rows(verbs.first_per_group(df, ["g"], "v", "k", descending=False), ["g"]) == [(1, "b", 1), (2, None, 4)]
+    dates = df.withColumn("v", F.date_add(F.lit("2020-01-01").cast("date"), F.col("k")))
+    assert [r.k for r in verbs.first_per_group(dates, ["g"], "v", "k").orderBy("g").collect()] == [2, 5]
+
+
+def test_exclude_row_keeps_rows_without_a_key(spark):
+    df = spark.createDataFrame([(1,), (23,), (None,)], "k int")
+    assert sorted(rows(verbs.exclude_row(df, "k", 23)), key=repr) == [(1,), (None,)]
+
+
+def test_remove_first_of_alternatives(spark):
+    assert spark.range(1).select(remove_first(F.lit("xbxa"), "a|b")).first()[0] == "xxa"
+
+
+def test_chi_square_takes_two_rows_only(spark):
+    from strataframe.operators import infer
+
+    for n in (1, 3):
+        df = spark.createDataFrame([(5.0 + k, 7.0) for k in range(n)], "a double, b double")
+        with pytest.raises(Exception, match="two rows"):
+            infer.chisq_2x2(df, "a", "b").collect()
+
+
+def test_attach_row_rejects_more_rows(spark):
+    from strataframe.operators.attach import attach_row, count_up
+
+    df = spark.range(3)
+    with pytest.raises(Exception, match="at most one row"):
+        attach_row(df, spark.range(2).withColumnRenamed("id", "x")).collect()
+    assert {r.x for r in attach_row(df, spark.range(0).withColumnRenamed("id", "x")).collect()} == {None}
+    far = spark.createDataFrame([(-2, 3_000_000)], "a long, b long")
+    assert tuple(count_up(far, "a", "b", "n").agg(F.min("n"), F.max("n"), F.countDistinct("n")).first()) == (-2, 3_000_000, 3_000_003)
+
+
+def test_relative_rounding_keeps_small_numbers(spark):
+    from strataframe.plans.registry import round_double
+
+    values = [1.23456789123e-7, 4.4e-10, 123456.7891234, -2.5e18, 0.0, -0.0, None]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "x double").select(round_double(F.col("x"))).collect()]
+    assert got == [1.2346e-7, 4.4e-10, 123456.789, -2.5e18, 0.0, 0.0, None]
+
+
+def test_checkpoint_folder(spark, monkeypatch, tmp_path):
+    from strataframe import session
+
+    class Context:
+        def __init__(self, master, conf, now):
+            self.master, self.conf, self.now = master, conf, now
+
+        def getConf(self):
+            return self.conf
+
+        def getCheckpointDir(self):
+            return self.now
+
+        def setCheckpointDir(self, d):
+            self.now = d
+
+    class Session:
+        def __init__(self, *a):
+            self.sparkContext = Context(*a)
+
+    named = Session("spark://x", {"spark.checkpoint.dir": "hdfs://shared"}, None)
+    assert session.checkpoint_dir(named) == "hdfs://shared" and named.sparkContext.now == "hdfs://shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Session("spark://x", {}, None))
+    local = Session("local[2]", {}, None)
+    assert session.checkpoint_dir(local) == local.sparkContext.now
