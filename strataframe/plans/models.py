@@ -13,7 +13,9 @@ from strataframe.operators.attach import attach_row
 from strataframe.operators.ols import line, line_both, ols, rss_grid
 from strataframe.operators.verbs import per_group
 from strataframe.plans.basics import GALTON_SQL, RATES_SQL, STRATA_SQL, galton, hr_strata
-from strataframe.plans.registry import ols_sql_ctes, ols_sql_intercept, ols_sql_tidy, register
+from strataframe.plans.registry import (
+    erfc_sql, f_p_sql, ols_sql_ctes, ols_sql_intercept, ols_sql_tidy, register, t_crit_ctes, t_p_sql,
+)
 from strataframe.sources.fixtures import admissions, events_xy, sim_panel, team_season
 from strataframe.sources.tables import load
 
@@ -167,14 +169,15 @@ _ctes = ols_sql_ctes("fg", RATES_SQL, "R", ["BB", "HR"])
 @register("glance", f"""
     select 1 - rss / tss as r_squared, 1 - (rss / tss) * (n - 1) / (n - 3) as adj_r_squared,
            sqrt(s2) as sigma, ((tss - rss) / 2) / s2 as statistic, cast(2 as bigint) as df,
+           pow((n - 3) / ((n - 3) + 2 * (((tss - rss) / 2) / s2)), (n - 3) / 2.0) as p_value,
            0.5 * (-n * (ln(2 * pi()) + 1 - ln(n) + ln(rss))) as logLik,
            -2 * 0.5 * (-n * (ln(2 * pi()) + 1 - ln(n) + ln(rss))) + 2 * 4 as AIC,
            -2 * 0.5 * (-n * (ln(2 * pi()) + 1 - ln(n) + ln(rss))) + ln(n) * 4 as BIC,
            rss as deviance, cast(n - 3 as bigint) as df_residual, cast(n as bigint) as nobs
-    from fg_fit""", "r_squared adj_r_squared sigma statistic logLik AIC BIC deviance", _ctes)
+    from fg_fit""", "r_squared adj_r_squared sigma statistic p_value logLik AIC BIC deviance", _ctes)
 def q_glance(spark, d):
     from strataframe.plans.basics import team_rates
-    return ols(team_rates(spark, d), "R", ["BB", "HR"]).glance(p_values=False)
+    return ols(team_rates(spark, d), "R", ["BB", "HR"]).glance()
 
 
 EV_POLY_SQL = """(select time_c, time_c * time_c as time_sq, observed_distance from (
@@ -227,16 +230,38 @@ def q_stacked_results(spark, d):
     return t.select("HR_strata", "term", "estimate", "std_error")
 
 
-@register("interval")
+def _inference_sql(prefix: str, tidy: str, k: int, by: str = "") -> str:
+    """A tidy table with p_value, conf_low and conf_high, from the quantiles in CTE ``crit``."""
+    on = f" and t.{by} = f.{by}" if by else ""
+    return f"""(select t.*, case when statistic is not null then {t_p_sql('statistic', f'(f.n - {k + 1})')} end as p_value,
+        estimate - t_crit * std_error as conf_low, estimate + t_crit * std_error as conf_high
+        from ({tidy}) t join {prefix}_fit f on true{on} left join crit c on c.df = f.n - {k + 1})"""
+
+
+_sql, _ctes = _tidy_sql("fi", STRATA_SQL, "R", ["BB"], ["HR_strata"])
+_ctes = {**_ctes, **t_crit_ctes("select distinct n - 2 as df from fi_fit")}
+
+
+@register("interval", f"""
+    select HR_strata, estimate, conf_low, conf_high, p_value
+    from {_inference_sql('fi', _sql, 1, 'HR_strata')} where term = 'BB'""",
+    "HR_strata estimate conf_low conf_high p_value", _ctes)
 def q_interval(spark, d):
-    """Slope with its 95% interval and p-value per stratum (M12, M15, V5): rows only,
-    since SQL has no t quantile."""
+    """Slope with its 95% interval and p-value per stratum."""
     fit = ols(hr_strata(spark, d), "R", ["BB"], by=["HR_strata"])
     return fit.coef("BB", conf_int=True).select("HR_strata", "estimate", "conf_low",
                                                 "conf_high", "p_value")
 
 
-@register("inference")
+_sql, _ctes = _tidy_sql("fj", RATES_SQL, "R", FIVE)
+_ctes = {**_ctes, **t_crit_ctes("select distinct n - 6 as df from fj_fit")}
+_f = "((tss - rss) / 5) / s2"
+
+
+@register("inference", f"""
+    select i.*, {_f} as f_statistic, {f_p_sql(f'({_f})', 5, '(n - 6)')} as f_p_value
+    from {_inference_sql('fj', _sql, 5)} i, fj_fit""",
+    TIDY + " p_value conf_low conf_high f_statistic f_p_value", _ctes)
 def q_inference(spark, d):
     """Full coefficient table with p-values and intervals, plus the F-test."""
     from strataframe.plans.basics import team_rates
@@ -282,6 +307,22 @@ def q_per_group_udf(spark, d):
                      "HR_strata double, slope double, se double")
 
 
+_ctes = ols_sql_ctes("fn", STRATA_SQL, "R", ["BB"], ["HR_strata"])
+
+
+@register("nested_fit_flat", f"""
+    select HR_strata, cast(n as bigint) as n, {_b0} as intercept, a_0_1 as slope, {_se0} as se_intercept,
+           sqrt(s2 * a_0_0) as se_slope, sqrt(s2) as sigma, 1 - rss / tss as r_squared from fn_fit""",
+    "HR_strata intercept slope se_intercept se_slope sigma r_squared", _ctes)
+def q_nested_fit_flat(spark, d):
+    """The fields of the nested fit as columns."""
+    fit = ols(hr_strata(spark, d), "R", ["BB"], by=["HR_strata"])
+    nested = fit.fit_df.select("HR_strata", F.struct("n", "coef", "se", "sigma", "r_squared").alias("fit"))
+    at = lambda c, i, name: F.col(f"fit.{c}")[i].alias(name)
+    return nested.select("HR_strata", "fit.n", at("coef", 0, "intercept"), at("coef", 1, "slope"), at("se", 0, "se_intercept"),
+                         at("se", 1, "se_slope"), "fit.sigma", "fit.r_squared")
+
+
 @register("nested_fit")
 def q_nested_fit(spark, d):
     """One fitted model per row as a struct column."""
@@ -345,9 +386,10 @@ def q_chisq(spark, d):
     return infer.chisq_margins(admission_table(spark, d), "total_admitted", "not_admitted")
 
 
-@register("chisq_test")
+@register("chisq_test", f"""
+    select statistic, {erfc_sql('sqrt(statistic / 2)')} as p_value, parameter, method from ({CHISQ_SQL})""", "statistic p_value")
 def q_chisq_test(spark, d):
-    """``tidy(chisq.test(.))`` including the p-value (rows only: SQL has no erfc)."""
+    """``tidy(chisq.test(.))`` including the p-value."""
     return infer.chisq_2x2(admission_table(spark, d), "total_admitted", "not_admitted")
 
 

@@ -146,3 +146,43 @@ def ols_sql_tidy(prefix: str, xs: Sequence[str], by: Sequence[str] = (),
         parts.append(f"select {byc}'{x}' as term, a_{j}_{k} as estimate, {se_j} as std_error, "
                      f"a_{j}_{k} / nullif({se_j}, 0) as statistic from {prefix}_fit")
     return "\nunion all\n".join(parts)
+
+
+# ---------------------------------------------------------------- tails in SQL (oracle only)
+def t_p_sql(t: str, df: str) -> str:
+    """P(|T| > |t|) for whole degrees of freedom: the finite series in the cosine of the angle whose
+    tangent is |t| / sqrt(df)."""
+    angle = f"atan(abs({t}) / sqrt({df}))"
+    power = f"(2.0 * j * ln(greatest(cos({angle}), 1e-300)))"
+    even = (f"sin({angle}) * list_sum(list_transform(range(0, cast({df} as bigint) // 2), "
+            f"lambda j: exp(lgamma(j + 0.5) - lgamma(0.5) - lgamma(j + 1.0) + {power})))")
+    odd = (f"2 / pi() * ({angle} + case when {df} > 1 then sin({angle}) * cos({angle}) * list_sum(list_transform("
+           f"range(0, greatest(cast({df} as bigint) - 1, 2) // 2), lambda j: exp(lgamma(j + 1.0) + lgamma(1.5) - lgamma(j + 1.5) + {power}))) else 0 end)")
+    return f"(1 - case when cast({df} as bigint) % 2 = 0 then {even} else {odd} end)"
+
+
+def t_crit_ctes(dfs: str, name: str = "crit", level: float = 0.95) -> dict[str, str]:
+    """CTE (df, t_crit): the quantile by 60 halvings between 0 and 64, for the df of ``dfs``."""
+    p = t_p_sql("((lo + hi) / 2)", "df")
+    return {f"{name}_steps": f"""select df, 0 as step, 0.0::double as lo, 64.0::double as hi from ({dfs}) where df > 0
+            union all select df, step + 1, case when {p} > {1 - level!r} then (lo + hi) / 2 else lo end,
+                   case when {p} > {1 - level!r} then hi else (lo + hi) / 2 end
+            from {name}_steps where step < 60""",
+            name: f"select df, (lo + hi) / 2 as t_crit from {name}_steps where step = 60"}
+
+
+def f_p_sql(f: str, k: int, d2: str) -> str:
+    """P(F > f) for odd k and whole d2: the t tail of sqrt(k f), and one more term of the incomplete
+    beta for each two further numerator degrees."""
+    x, y = f"({d2} / ({d2} + {k} * {f}))", f"({k} * {f} / ({d2} + {k} * {f}))"
+    a = f"({d2} / 2.0)"
+    terms = "".join(
+        f" + exp({a} * ln({x}) + {b!r} * ln({y}) - ln({b!r}) - lgamma({a}) - lgamma({b!r}) + lgamma({a} + {b!r}))"
+        for b in (m + 0.5 for m in range((k - 1) // 2)))
+    return f"({t_p_sql(f'sqrt({k} * {f})', d2)}{terms})"
+
+
+def erfc_sql(x: str) -> str:
+    """erfc of a small number by its power series."""
+    return (f"(1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 80), lambda n: (case when n % 2 = 0 then 1 else -1 end) "
+            f"* exp((2 * n + 1) * ln(greatest({x}, 1e-300)) - lgamma(n + 1.0)) / (2 * n + 1))))")

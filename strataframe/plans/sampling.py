@@ -11,7 +11,7 @@ from strataframe.operators.attach import attach_row
 from strataframe.operators.aggs import yes_no
 from strataframe.operators.reshape import gather
 from strataframe.plans.basics import GALTON_SQL, STRATA_SQL, galton, hr_strata
-from strataframe.plans.registry import ols_sql_ctes, ols_sql_intercept, register
+from strataframe.plans.registry import ols_sql_ctes, ols_sql_intercept, register, t_crit_ctes
 from strataframe.sources.fixtures import admissions, children, events_xy, sim_panel
 
 GALTON_CTE = {"galton": GALTON_SQL}
@@ -179,9 +179,18 @@ def q_smooth_lm(spark, d):
         "HR_strata", "_i", "BB", "fitted", "se_fit")
 
 
-@register("smooth_band")
+_ctes = {**ols_sql_ctes("fb", STRATA_SQL, "R", ["BB"], ["HR_strata"]), **t_crit_ctes("select distinct n - 2 as df from fb_fit")}
+
+
+@register("smooth_band", f"""
+    select HR_strata, _i, BB, fitted, se_fit, fitted - t_crit * se_fit as ymin, fitted + t_crit * se_fit as ymax from (
+        select g.HR_strata, g._i, g.BB, ({_b0}) + a_0_1 * g.BB as fitted, n - 2 as df,
+               sqrt(s2 * (1.0 / n + (g.BB - m_0) * (g.BB - m_0) * a_0_0)) as se_fit
+        from (select HR_strata, cast(t.i as integer) as _i, lo + (hi - lo) * t.i / 79.0 as BB
+              from (select HR_strata, min(BB) as lo, max(BB) as hi from {STRATA_SQL} group by 1), range(80) t(i)) g
+        join fb_fit using (HR_strata)) left join crit using (df)""", "HR_strata BB fitted se_fit ymin ymax", _ctes)
 def q_smooth_band(spark, d):
-    """The fitted line with its 95% band per stratum (rows only: needs the t quantile)."""
+    """The fitted line with its 95% band per stratum."""
     return binning.smooth_lm(hr_strata(spark, d), "BB", "R", ["HR_strata"], 80)
 
 

@@ -272,4 +272,4 @@ def with_fixtures(sql: str, extra_ctes: dict | None = None) -> str:
     if not order:
         return sql
     body = ",\n".join(f"{n} as ({ctes[n]})" for n in order)
-    return f"with {body}\n{sql}"
+    return f"with recursive {body}\n{sql}"

@@ -190,6 +190,6 @@ def test_tails_hold_for_many_degrees_of_freedom():
 
     for df in (1e5, 0.99e7, 1.01e7, 1e10, 1e12):
         for t in (0.01, 1.96, 5.0):
-            assert float(dist.t_two_sided_p(t, df)) == pytest.approx(math.erfc(t / math.sqrt(2)), rel=30 / df + 1e-9)
+            assert float(dist.t_two_sided_p(t, df)) == pytest.approx(math.erfc(t / math.sqrt(2)), rel=200 / df + 1e-9)
         assert float(dist.t_quantile(0.975, np.array([df]))[0]) == pytest.approx(1.959963984540054, rel=3 / df + 1e-9)
     assert float(dist.f_upper_p(3.0, 2, 10)) == pytest.approx((10 / 16) ** 5)
