@@ -424,19 +424,27 @@ def _dealt(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"),
                        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"))
-    return rows.withColumn("block", F.pmod(F.xxhash64("id", "hash"), F.lit(parts * BLOCKS))).repartition(parts, "block")
+    return _placed(rows.withColumn("block", F.pmod(F.xxhash64("id", "hash"), F.lit(parts * BLOCKS))), "block", parts)
+
+
+def _placed(table: DataFrame, number: str, parts: int) -> DataFrame:
+    """``table`` with ``part``, the partition of its block or shard: numbers are dealt out in turn, so
+    partitions hold the same count of them, and groups by (part, number) need no other exchange."""
+    return table.withColumn("part", (F.col(number) % parts).cast("int")).repartitionById(parts, F.col("part"))
 
 
 def repeated_blocks(rows: DataFrame, length: int = LENGTH, split: int = SPLIT) -> DataFrame:
     """(block, ranges): the repeated byte ranges of rows that ``_dealt`` dealt."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shards = parts * SHARDS
-    asked = rows.groupBy("block").applyInArrow(_ask(length, shards), "block long, shard long, keys binary")
-    answers = asked.groupBy("shard").applyInArrow(_answer(split), "block long, shard long, codes binary")
-    sent = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    asked = rows.groupBy("part", "block").applyInArrow(_ask(length, shards), "block long, shard long, keys binary")
+    answers = _placed(asked, "shard", parts).groupBy("part", "shard").applyInArrow(
+        _answer(split), "block long, shard long, codes binary")
+    sent = rows.groupBy("part", "block").cogroup(_placed(answers, "block", parts).groupBy("part", "block")).applyInArrow(
         _send(length, shards), "block long, shard long, message binary")
-    return sent.groupBy(F.when(F.col("shard") < 0, -1 - F.col("shard")).otherwise(F.col("shard"))).applyInArrow(
-        _decide(length), "block long, ranges binary")
+    through = sent.withColumn("to", F.when(F.col("shard") < 0, -1 - F.col("shard")).otherwise(F.col("shard")))
+    found = _placed(through, "to", parts).groupBy("part", "to").applyInArrow(_decide(length), "block long, ranges binary")
+    return _placed(found, "block", parts)
 
 
 def _masks(table: pa.Table, found: pa.Table, length: int) -> list[np.ndarray | None]:
@@ -479,7 +487,7 @@ def removal_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pa.table([table["id"], *columns], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     rows = _dealt(docs.select(id_col, text_col), id_col, text_col)
-    return (rows.groupBy("block").cogroup(repeated_blocks(rows, length, split).groupBy("block"))
+    return (rows.groupBy("part", "block").cogroup(repeated_blocks(rows, length, split).groupBy("part", "block"))
             .applyInArrow(digest, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumnRenamed("id", id_col))
 
 
@@ -506,7 +514,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return pa.table([table["row"], pa.array(kept, pa.string()), pa.array(changed, pa.bool_())], ["row", "kept", "changed"])
 
     schema = T.StructType([T.StructField("row", row), T.StructField("kept", T.StringType()), T.StructField("changed", T.BooleanType())])
-    done = (rows.groupBy("block").cogroup(repeated_blocks(rows, length, split).groupBy("block"))
+    done = (rows.groupBy("part", "block").cogroup(repeated_blocks(rows, length, split).groupBy("part", "block"))
             .applyInArrow(cut, schema).where("not changed or kept <> ''"))
 
     def column(c: str):
