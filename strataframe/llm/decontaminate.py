@@ -24,8 +24,6 @@ from strataframe.llm.common import chunks, flat_text, mix64, run_hashes, sliding
 SPAN = 10
 #: Fixed by the task: words after lower-casing A-Z.
 WORD = rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The same words before lower-casing, for Spark's pattern language.
-WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 STEP_BYTES = 512 << 10
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -162,10 +160,20 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", ite
     per_doc = found.distinct().groupBy("doc", "hash").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list(F.sequence("start", F.col("start") + F.col("size") - 1))))).cast("long").alias("n_hit"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
-    rows = docs.select(F.col(id_col).alias(id_col), F.xxhash64(text_col).alias("_hash"),
-                       F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD_ANY_CASE)), F.lit(0)).cast("long").alias("n_words"))
-    joined = rows.join(per_doc, rows[id_col].eqNullSafe(per_doc["doc"]) & (rows["_hash"] == per_doc["hash"]), "left")
-    return joined.select(id_col, "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, offsets = flat_text(batch.column(2))
+            n_words = np.zeros(batch.num_rows, np.int64)
+            for a, b in chunks(offsets, STEP_BYTES):
+                part = np.concatenate([raw[offsets[a]:offsets[b]], np.zeros(8, np.uint8)])
+                n_words[a:b] = np.bincount(_words(part, offsets[a:b + 1] - offsets[a])[3], minlength=b - a)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n_words)], ["d", "h", "n_words"])
+
+    rows = docs.select(F.col(id_col).alias("d"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text")).mapInArrow(
+        count, f"d {docs.schema[id_col].dataType.simpleString()}, h long, n_words long")
+    joined = rows.join(per_doc, F.col("d").eqNullSafe(F.col("doc")) & (F.col("h") == F.col("hash")), "left")
+    return joined.select(F.col("d").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
                          F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
