@@ -140,9 +140,19 @@ def quantiles(df: DataFrame, c: str, probs: Sequence[float], by: Sequence[str] =
     A group with a NULL gives NULLs, unless ``skip_nulls``. Without ``by`` there is always one row.
     """
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    by = list(by)
-    vc = positions(value_counts(df, c, by), by, [c], out="_start", weight="_cnt")
-    n = df.groupBy(*by).agg(F.count(c).alias("_n"), F.count_if(F.col(c).isNull()).alias("_nulls"))
+    return _counted_quantiles(_counts(df, c, by), c, probs, list(by), names, skip_nulls)
+
+
+def _counts(df: DataFrame, c: str, by: Sequence[str]) -> DataFrame:
+    """Distinct values, NULL among them, with their multiplicity: all that quantiles need of the rows."""
+    return df.groupBy(*by, c).agg(F.count("*").alias("_cnt"))
+
+
+def _counted_quantiles(counts: DataFrame, c: str, probs: Sequence[float], by: list[str],
+                       names: Sequence[str], skip_nulls: bool) -> DataFrame:
+    vc = positions(counts.filter(F.col(c).isNotNull()), by, [c], out="_start", weight="_cnt")
+    known = F.when(F.col(c).isNotNull(), F.col("_cnt")).otherwise(0)
+    n = counts.groupBy(*by).agg(F.sum(known).alias("_n"), F.count_if(F.col(c).isNull()).alias("_nulls"))
     j = join_by(vc, n, by)
     # Each target position (lo, lo+1 per prob) is matched inside one aggregate: the row
     # whose [start, start + cnt) covers it contributes its value; no join to a target table.
@@ -177,10 +187,17 @@ def mad(df: DataFrame, c: str, by: Sequence[str] = (), out: str = "mad",
 
     The deviations are taken of the distinct values, which carry their multiplicity.
     """
-    med = median(df, c, by, "_med", approx, skip_nulls)
-    dev = join_by(df.select(*by, c), med, by).select(
-        *by, F.abs(F.col(c) - F.col("_med")).alias("_absdev"))
-    m2 = median(dev, "_absdev", by, "_mad", approx, skip_nulls)
+    by = list(by)
+    if approx:
+        med = median(df, c, by, "_med", approx)
+        dev = join_by(df.select(*by, c), med, by).select(*by, F.abs(F.col(c) - F.col("_med")).alias("_absdev"))
+        m2 = median(dev, "_absdev", by, "_mad", approx)
+    else:
+        counts = _counts(df, c, by)
+        med = _counted_quantiles(counts, c, [0.5], by, ["_med"], skip_nulls)
+        dev = (join_by(counts, med, by).groupBy(*by, F.abs(F.col(c) - F.col("_med")).alias("_absdev"))
+               .agg(F.sum("_cnt").alias("_cnt")))
+        m2 = _counted_quantiles(dev, "_absdev", [0.5], by, ["_mad"], skip_nulls)
     return join_by(med, m2, by).select(*by, F.col("_med").alias("median"),
                                        (F.col("_mad") * MAD_CONSTANT).alias(out))
 
