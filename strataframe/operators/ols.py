@@ -24,6 +24,8 @@ from strataframe.operators.attach import join_by
 from strataframe.functions.columns import pair_corr, slope_moments, strict
 
 INTERCEPT = "(Intercept)"
+#: Fits of so many predictors are solved by Column arithmetic where no tails are asked for.
+COLUMN_PREDICTORS = 2
 ALIAS_TOL = 1e-7  # on norms: a predictor whose residual norm is below this share of its own is aliased
 
 
@@ -137,6 +139,60 @@ def solve_moments(batch: pd.DataFrame, k: int, conf_level: float, tol: float = A
     return out
 
 
+def solve_columns(mom: DataFrame, k: int, by: Sequence[str], tol: float = ALIAS_TOL) -> DataFrame:
+    """``solve_moments`` without tails as Column arithmetic: the sweep of each predictor is one
+    projection, so a fit with few predictors has no Python stage."""
+    m = k + 1
+    at = lambda step, i, j: F.col(f"_a{step}_{i}_{j}")
+    cells = [(i, j) for i in range(m) for j in range(m)]
+    n, names = F.col("n").cast("double"), [c for c in mom.columns if not c.startswith("c_")]
+    work = mom.select(*names, *[(F.coalesce(F.col(f"c_{min(c)}_{max(c)}"), F.lit(0.0)) * (n - 1)).alias("_a0_%d_%d" % c) for c in cells])
+    for p in range(k):
+        work = work.withColumn(f"_ok{p}", (at(0, p, p) > 0) & (at(p, p, p) > tol * tol * at(0, p, p)))
+        ok = F.col(f"_ok{p}")
+        pivot = F.when(ok, at(p, p, p)).otherwise(F.lit(1.0))
+
+        def swept(i: int, j: int) -> Column:
+            if i == j == p:
+                return 1.0 / pivot
+            if i == p:
+                return at(p, p, j) / pivot
+            if j == p:
+                return -at(p, i, p) / pivot
+            return at(p, i, j) - at(p, i, p) * at(p, p, j) / pivot
+
+        work = work.select("*", *[F.when(ok, swept(*c)).otherwise(at(p, *c)).alias(f"_a{p + 1}_%d_%d" % c) for c in cells])
+    ok = [F.col(f"_ok{p}") for p in range(k)]
+    rank = sum((o.cast("int") for o in ok), F.lit(0))
+    rss, tss = F.greatest(at(k, k, k), F.lit(0.0)), F.col(f"_a0_{k}_{k}")
+    beta = [F.when(ok[i], at(k, i, k)) for i in range(k)]
+    inv = [[F.when(ok[i] & ok[j], at(k, i, j)).otherwise(F.lit(0.0)) for j in range(k)] for i in range(k)]
+    work = work.select("*", rank.alias("rank"), rss.alias("rss"), tss.alias("tss"), F.array(*beta).alias("_beta"),
+                       F.array(*[e for row in inv for e in row]).alias("inv"),
+                       F.array(*[F.col(f"m_{i}") for i in range(k)]).alias("xbar"), F.col(f"m_{k}").alias("ybar"))
+    dfr = (n - F.col("rank") - 1).cast("long")
+    work = work.withColumn("df_residual", dfr).withColumn("_s2", F.when(F.col("df_residual") > 0, F.col("rss") / F.col("df_residual")))
+    x, iv, s2 = (lambda i: F.col("xbar")[i]), (lambda i, j: F.col("inv")[i * k + j]), F.col("_s2")
+    intercept = F.col("ybar") - sum((F.coalesce(F.col("_beta")[i], F.lit(0.0)) * x(i) for i in range(k)), F.lit(0.0))
+    quad = sum((x(i) * x(j) * iv(i, j) for i in range(k) for j in range(k)), F.lit(0.0))
+    se = [F.sqrt(s2 * (1.0 / n + quad)), *[F.when(ok[i], F.sqrt(s2 * iv(i, i))) for i in range(k)]]
+    work = work.withColumn("coef", F.concat(F.array(intercept), F.col("_beta"))).withColumn("se", F.array(*se))
+    none, nothing = F.lit(None).cast("double"), F.lit(None).cast("array<double>")
+    mss = F.greatest(F.col("tss") - F.col("rss"), F.lit(0.0))
+    r2 = F.when(F.col("tss") > 0, 1.0 - F.col("rss") / F.col("tss"))
+    f = F.when((F.col("rank") > 0) & (F.col("df_residual") > 0),
+               F.when(s2 > 0, mss / F.col("rank") / s2).when(mss > 0, F.lit(float("inf"))))
+    ll = F.when(F.col("rss") > 0, 0.5 * (-n * (math.log(2 * math.pi) + 1.0 - F.ln(n) + F.ln("rss"))))
+    work = work.withColumn("log_lik", ll)
+    t = F.transform(F.arrays_zip("coef", "se"), lambda z: F.try_divide(z["coef"], z["se"]))
+    return work.select(
+        *by, "n", "rank", "df_residual", "rss", "tss", F.sqrt(s2).alias("sigma"), r2.alias("r_squared"),
+        F.when(F.col("df_residual") > 0, 1.0 - (1.0 - r2) * (n - 1) / F.col("df_residual")).alias("adj_r_squared"),
+        f.alias("f_statistic"), none.alias("f_p_value"), "log_lik", (-2.0 * F.col("log_lik") + 2.0 * (F.col("rank") + 2)).alias("aic"),
+        (-2.0 * F.col("log_lik") + F.ln(n) * (F.col("rank") + 2)).alias("bic"), "ybar", none.alias("t_crit"),
+        "coef", "se", t.alias("t"), nothing.alias("p"), nothing.alias("conf_low"), nothing.alias("conf_high"), "xbar", "inv")
+
+
 class Fit:
     """A fitted linear model per group; every view of it is a lazy DataFrame."""
 
@@ -266,6 +322,9 @@ def fit_moments(mom: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = (
     k = len(xs)
 
     def solved(tails: bool) -> DataFrame:
+        if k <= COLUMN_PREDICTORS and not tails:
+            return solve_columns(mom, k, by)
+
         def run(batches):
             for b in batches:
                 if len(b) == 0:

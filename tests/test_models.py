@@ -98,7 +98,7 @@ def test_rss_grid_against_brute_force(spark):
     df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in
                                 enumerate([(1, 2), (2, 2.5), (3, 4), (4, 4.1), (5, 6)])],
                                "k int, x double, y double")
-    got = rss_grid(df, "x", "y", 0.5, "k").toPandas().sort_values("beta1")
+    got = rss_grid(df, "x", "y", 0.5).toPandas().sort_values("beta1")
     pdf = df.toPandas()
     for _, r in got.iterrows():
         exp = ((pdf.y - 0.5 - r.beta1 * pdf.x) ** 2).sum()
