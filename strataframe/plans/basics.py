@@ -6,16 +6,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strataframe.functions.columns import (
-    agg_sum, remove_first, rnd, safe_corr, safe_div, slope_moments, strict,
+    agg_mean, agg_sd, agg_sum, normal_sql, remove_first, rnd, safe_corr, safe_div, strict,
 )
-from strataframe.operators import aggs, reshape, scale, verbs
+from strataframe.operators import aggs, resample, reshape, scale, verbs
+from strataframe.operators.ols import slope_by
 from strataframe.operators.ranks import avg_rank, mad
 from strataframe.plans.registry import register
 from strataframe.sources.fixtures import (
     admissions, appearances, award, batting, batting_year, children, events_xy, fielding,
     in_years, person, salary, team_season,
 )
-from strataframe.sources.tables import load
+from strataframe.sources.tables import load, table
 
 YEARS = (1996, 2000)
 
@@ -187,10 +188,8 @@ def q_join_suffix(spark, d):
     from ({GALTON_SQL})""", "mean_father sd_father mean_son sd_son")
 def q_summary_stats(spark, d):
     g = galton(spark, d)
-    return g.agg(strict(F.avg("father"), "father").alias("mean_father"),
-                 strict(F.stddev_samp("father"), "father").alias("sd_father"),
-                 strict(F.avg("son"), "son").alias("mean_son"),
-                 strict(F.stddev_samp("son"), "son").alias("sd_son"),
+    return g.agg(agg_mean("father").alias("mean_father"), agg_sd("father").alias("sd_father"),
+                 agg_mean("son").alias("mean_son"), agg_sd("son").alias("sd_son"),
                  F.count("*").alias("n"))
 
 
@@ -421,7 +420,7 @@ def hr_strata(spark, d):
     select HR_strata, case when var_samp(R) > 0 then regr_slope(R, BB) end as slope
     from {STRATA_SQL} group by HR_strata""", "HR_strata slope")
 def q_strata_slope(spark, d):
-    return hr_strata(spark, d).groupBy("HR_strata").agg(slope_moments("BB", "R").alias("slope"))
+    return slope_by(hr_strata(spark, d), "BB", "R", ["HR_strata"])
 
 
 # ---------------------------------------------------------------- reshape
@@ -435,6 +434,42 @@ def q_crosstab(spark, d):
                          ["F", "O", "P"])
 
 
+@register("crosstab_long", """
+    select o_orderpriority, o_orderstatus, count(*) as n from orders group by 1, 2""")
+def q_crosstab_long(spark, d):
+    return aggs.crosstab_long(load(spark, d, "orders"), "o_orderpriority", "o_orderstatus")
+
+
+@register("literal_join", """
+    select name, count(*) as n, sum(l_quantity) as quantity
+    from lineitem join (values ('A', 'accepted'), ('R', 'returned')) v(flag, name) on l_returnflag = flag
+    group by name""", "quantity")
+def q_literal_join(spark, d):
+    """A literal table of labels joined to the rows it names."""
+    labels = table(spark, [("A", "accepted"), ("R", "returned")], "l_returnflag string, name string")
+    named = verbs.join_suffix(load(spark, d, "lineitem").select("l_returnflag", "l_quantity"), labels, ["l_returnflag"])
+    return named.groupBy("name").agg(F.count("*").alias("n"), agg_sum("l_quantity").alias("quantity"))
+
+
+@register("sort_forms", """
+    (select 'desc' as how, teamID, yearID, R from team_season order by R desc, teamID desc, yearID desc limit 5)
+    union all
+    (select 'asc' as how, teamID, yearID, R from team_season order by R, teamID, yearID limit 5)""", "R")
+def q_sort_forms(spark, d):
+    ts = team_season(spark, d).select("teamID", "yearID", "R")
+    ends = {"desc": verbs.sort_desc(ts, "R", "teamID", "yearID"), "asc": verbs.sort_asc(ts, "R", "teamID", "yearID")}
+    first, last = (t.limit(5).select(F.lit(how).alias("how"), "teamID", "yearID", "R") for how, t in ends.items())
+    return verbs.append(first, last)
+
+
+@register("noise", f"""
+    select event_id, observed_distance + {normal_sql(11, 'event_id', "'noise'", mean=5.0, sd=2.0)} as v from events_xy""", "v")
+def q_noise(spark, d):
+    """Normal noise on a column, drawn for each row by its key."""
+    e = resample.normal_vector(events_xy(spark, d), "event_id", 11, 5.0, 2.0, "noise")
+    return e.select("event_id", (F.col("observed_distance") + F.col("noise")).alias("v"))
+
+
 @register("spread_str", """
     select major, F, O, F - O as women_minus_men from (
         select major, max(case when gender = 'F' then admitted end) as F,
