@@ -20,9 +20,9 @@ from strataframe.sources.tables import load
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold."""
     ship_package(spark)
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("text"))
-    scored = toxicity.with_score(row, queries.toxicity_model(spark, sf_dir, docs))
-    return scored.where(F.col("score") < queries.TOXIC_SCORE).select("row.*")
+    score = "_".join(["score", *docs.columns])  # a name that no column has
+    scored = toxicity.with_score(docs, queries.toxicity_model(spark, sf_dir, docs), out=score)
+    return scored.where(F.col(f"`{score}`") < queries.TOXIC_SCORE).drop(score)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,13 +33,28 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def flat_text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column as one array, padded by eight zero bytes, and the
     n + 1 offsets of its rows. A null is an empty text."""
-    column = column.cast(pa.large_string()).fill_null("")
+    raw, offsets = _bytes(column)
+    return np.concatenate([raw, np.zeros(8, np.uint8)]), offsets
+
+
+def text_steps(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, row behind the last, padded bytes, offsets) of steps of about ``size`` bytes: what
+    ``flat_text`` gives for these rows, without a copy of the whole column."""
+    raw, offsets = _bytes(column)
+    for a, b in chunks(offsets, size):
+        yield a, b, np.concatenate([raw[offsets[a]:offsets[b]], np.zeros(8, np.uint8)]), offsets[a:b + 1] - offsets[a]
+
+
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    column = column.cast(pa.large_string())
+    if column.null_count:
+        column = column.fill_null("")
     if len(column) == 0:
-        return np.zeros(8, np.uint8), np.zeros(1, np.int64)
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
     data = column.buffers()[2]
     raw = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, np.uint8)
-    return np.concatenate([raw, np.zeros(8, np.uint8)]), offsets - offsets[0]
+    return raw, offsets - offsets[0]
 
 
 def chunks(offsets: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:

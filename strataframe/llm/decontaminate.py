@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataframe.llm.common import chunks, flat_text, mix64, run_hashes, sliding_max, sliding_min, token_runs, written
+from strataframe.llm.common import mix64, run_hashes, sliding_max, sliding_min, text_steps, token_runs, written
 
 SPAN = 10
 #: Fixed by the task: words after lower-casing A-Z.
@@ -67,10 +67,7 @@ def _fingerprints(spans: list[int], item: bool):
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = flat_text(batch.column(batch.num_columns - 1))
-            for a, b in chunks(offsets, STEP_BYTES):
-                part = np.concatenate([raw[offsets[a]:offsets[b]], np.zeros(8, np.uint8)])
-                own = offsets[a:b + 1] - offsets[a]
+            for a, b, part, own in text_steps(batch.column(batch.num_columns - 1), STEP_BYTES):
                 low, start, end, row = _words(part, own)
                 first = np.searchsorted(row, np.arange(b - a))
                 n_words = np.bincount(row, minlength=b - a)
@@ -163,11 +160,9 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", ite
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = flat_text(batch.column(2))
             n_words = np.zeros(batch.num_rows, np.int64)
-            for a, b in chunks(offsets, STEP_BYTES):
-                part = np.concatenate([raw[offsets[a]:offsets[b]], np.zeros(8, np.uint8)])
-                n_words[a:b] = np.bincount(_words(part, offsets[a:b + 1] - offsets[a])[3], minlength=b - a)
+            for a, b, part, own in text_steps(batch.column(2), STEP_BYTES):
+                n_words[a:b] = np.bincount(_words(part, own)[3], minlength=b - a)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n_words)], ["d", "h", "n_words"])
 
     rows = docs.select(F.col(id_col).alias("d"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text")).mapInArrow(

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataframe.llm.common import chunks, flat_text, written
+from strataframe.llm.common import text_steps, written
 from strataframe.llm.tokens import STEP_BYTES, encoder
 
 CAPACITY, END_ID = 4096, 1
@@ -138,10 +138,8 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = flat_text(batch.column(1))
-            for a, b in chunks(offsets, STEP_BYTES):
-                part = np.concatenate([raw[offsets[a]:offsets[b]], np.zeros(8, np.uint8)])
-                flat, at = encoder(tokenizer).encode(part, offsets[a:b + 1] - offsets[a], end_id)
+            for a, b, part, own in text_steps(batch.column(1), STEP_BYTES):
+                flat, at = encoder(tokenizer).encode(part, own, end_id)
                 size = np.diff(at)
                 count = -(-size // capacity)
                 which = np.repeat(np.arange(b - a), count)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataframe.llm.common import chunks, flat_text, run_hashes, token_runs, written
+from strataframe.llm.common import run_hashes, text_steps, token_runs, written
 
 BUCKET_BITS, DIM, NONZERO, REACH = 15, 48, 4, 2
 #: Buckets that travel together.
@@ -72,13 +72,11 @@ def word_vectors(sums: np.ndarray, index: tuple[np.ndarray, np.ndarray]) -> np.n
     return (sums / np.maximum(length, 1)).astype(np.float32) + dense_index(index)
 
 
-def pool(raw: np.ndarray, offsets: np.ndarray, vectors: np.ndarray, index: np.ndarray) -> np.ndarray:
+def pool(texts: pa.Array, vectors: np.ndarray, index: np.ndarray) -> np.ndarray:
     """The pooled vector of each text; zeros for a text without words."""
-    n = len(offsets) - 1
-    out = np.zeros((n, 2 * DIM), np.float32)
-    for a, b in chunks(offsets, STEP_BYTES // 4):
-        part = np.concatenate([raw[offsets[a]:offsets[b]], np.zeros(8, np.uint8)])
-        bucket, text = buckets(part, offsets[a:b + 1] - offsets[a])
+    out = np.zeros((len(texts), 2 * DIM), np.float32)
+    for a, _, part, offsets in text_steps(texts, STEP_BYTES // 4):
+        bucket, text = buckets(part, offsets)
         if not len(bucket):
             continue
         used, first = np.unique(text, return_index=True)
@@ -160,10 +158,8 @@ def corpus_contexts(docs: DataFrame, text_col: str = "text", seed: int = 0) -> n
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, sums = index_vectors(seed), np.zeros((1 << BUCKET_BITS, DIM))
         for batch in batches:
-            raw, offsets = flat_text(batch.column(0))
-            for a, b in chunks(offsets, STEP_BYTES):
-                part = np.concatenate([raw[offsets[a]:offsets[b]], np.zeros(8, np.uint8)])
-                add_contexts(sums, *buckets(part, offsets[a:b + 1] - offsets[a]), index)
+            for _, _, part, offsets in text_steps(batch.column(0), STEP_BYTES):
+                add_contexts(sums, *buckets(part, offsets), index)
         press = zstandard.ZstdCompressor(level=1).compress
         blocks = sums.astype("<i8").reshape(-1, BLOCK, DIM)
         some = np.flatnonzero(blocks.any((1, 2)))
@@ -198,8 +194,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, usable: Column, id
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = flat_text(batch.column(1))
-            x = pool(raw, offsets, vectors, own)
+            x = pool(batch.column(1), vectors, own)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([row.tobytes() for row in x], pa.binary())], ["label", "x"])
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
@@ -217,8 +212,7 @@ def with_score(docs: DataFrame, model: Model, text_col: str = "text", out: str =
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            raw, offsets = flat_text(batch.column(place))
-            value = m.network.scores(pool(raw, offsets, m.vectors, m.index)) if batch.num_rows else np.zeros(0)
+            value = m.network.scores(pool(batch.column(place), m.vectors, m.index)) if batch.num_rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value)], [*batch.schema.names, out])
 
     return docs.mapInArrow(score, schema)

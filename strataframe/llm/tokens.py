@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strataframe.llm.common import chunks, flat_text, run_hashes, shared_path, token_runs, words_at
+from strataframe.llm.common import chunks, run_hashes, shared_path, text_steps, token_runs, words_at
 
 END_ID = 2
 #: Words that a worker keeps with their ids; beyond that it forgets all of them and starts again.
@@ -235,10 +235,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = place = 0
         for batch in batches:
-            raw, offsets = flat_text(batch.column(1))
-            for a, b in chunks(offsets, STEP_BYTES):
-                part = np.concatenate([raw[offsets[a]:offsets[b]], np.zeros(8, np.uint8)])
-                flat, at = encoder(tokenizer).encode(part, offsets[a:b + 1] - offsets[a], end_id)
+            for a, b, part, own in text_steps(batch.column(1), STEP_BYTES):
+                flat, at = encoder(tokenizer).encode(part, own, end_id)
                 ids = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(place + np.arange(b - a)), pa.array(start + at[:-1]), pa.array(np.diff(at)), ids],

@@ -51,5 +51,7 @@ def test_long_words_and_empty_tables(spark, scores):
     counter = tries.counter(PATH)
     assert counter.count([[word, "a"]])[0] > 0
     assert counter.count([]) == [] and counter.count([[]]) == [0]
-    assert tries.trie_counts(np.array(["▁the"]), counter.pieces).tolist() == [1]
+    worst = min(scores.values()) - 10
+    assert counter.count([["abcé" * 20]]) == [plain_tokens("▁" + "abcé" * 20, scores, worst)]
+    assert tries.trie_counts(np.array(["▁the"]), counter.pieces).tolist() == [plain_tokens("▁the", scores, worst)]
     assert tries.token_counts(documents(spark, []), PATH).count() == 0
