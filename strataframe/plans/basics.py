@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strataframe.functions.columns import (
-    agg_mean, agg_sd, agg_sum, normal_sql, remove_first, rnd, safe_corr, safe_div, strict,
+    agg_mean, agg_sd, agg_sum, normal_sql, remove_first, rnd, safe_corr, safe_div,
 )
 from strataframe.operators import aggs, resample, reshape, scale, verbs
 from strataframe.operators.ols import slope_by
