@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -43,6 +44,16 @@ def text_steps(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int,
     raw, offsets = _bytes(column)
     for a, b in chunks(offsets, size):
         yield a, b, np.concatenate([raw[offsets[a]:offsets[b]], np.zeros(8, np.uint8)]), offsets[a:b + 1] - offsets[a]
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system. Python workers live on between tasks, beside their
+    executor's heap, and would keep the most that any batch has needed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
 
 
 def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

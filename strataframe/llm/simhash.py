@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataframe.llm.common import written
+from strataframe.llm.common import give_back, written
 from strataframe.llm.components import components
 
 SEED = 42
@@ -60,6 +60,7 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", out: str = "finger
             bits = [fingerprint(shingle_hashes(t.as_py() or "", width, seed)) for t in batch.column(place)]
             column = pa.array(np.array(bits, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, out])
+            give_back()
 
     return docs.mapInArrow(add, schema)
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataframe.llm.common import chunks, flat_text, mix64, run_hashes, sliding_min, words_at
+from strataframe.llm.common import chunks, flat_text, give_back, mix64, run_hashes, sliding_min, words_at
 
 LENGTH = 50
 #: Bytes of the grams whose least hash is a key, and bits of a key by which shards count its documents
@@ -174,15 +174,18 @@ def segments(raw: np.ndarray, offsets: np.ndarray, length: int):
     return least[begin[use]], begin[use], run[use]
 
 
+_PRESS, _OPEN = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def _pack(arrays: list[np.ndarray]) -> bytes:
     """Integer arrays as compressed bytes; each goes by planes of bytes, which compress better."""
     head = np.array([len(arrays), *(len(a) for a in arrays)], "<i8").tobytes()
     planes = [np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T).tobytes() for a in arrays]
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(planes))
+    return _PRESS.compress(head + b"".join(planes))
 
 
 def _unpack(blob: bytes, types: tuple[str, ...]) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(blob)
+    raw = _OPEN.decompress(blob)
     at, out = 8 * (len(types) + 1), []
     for t, n in zip(types, np.frombuffer(raw, "<i8", len(types), 8).tolist(), strict=True):
         width = np.dtype(t).itemsize
@@ -259,6 +262,7 @@ def _ask(length: int, shards: int) -> Callable:
             s = slice(cuts[shard], cuts[shard + 1])
             step = np.diff(distinct[s], prepend=np.uint64(0))
             blobs[shard] = _pack([step, count[s].astype("<u4"), (low[s] < high[s]).view(np.uint8)])
+        give_back()
         return _messages(table["block"][0].as_py(), blobs, "keys")
 
     return ask
@@ -336,6 +340,7 @@ def _send(length: int, shards: int) -> Callable:
             columns = [block.ids[used], used, key[s], run[s], place[s], local, gather(block.raw, begin[s], size[s])]
             blobs[shard] = _pack([c.astype(t, copy=False) for c, t in zip(columns, _SEGMENTS, strict=True)])
         blobs[-1 - number % shards] = _pack(_join_ranges(doc[decided], place[decided], place[decided] + size[decided]))
+        give_back()
         return _messages(number, blobs, "message")
 
     return send
@@ -365,6 +370,7 @@ def _decide(length: int) -> Callable:
             for k in np.flatnonzero(np.diff(cuts)).tolist():
                 s = slice(cuts[k], cuts[k + 1])
                 out.append((int(numbers[k]), _pack(_join_ranges(ordinal[doc[s]], begin[s], end[s]))))
+        give_back()
         return pa.table({"block": pa.array([b for b, _ in out], pa.int64()), "ranges": pa.array([m for _, m in out], pa.binary())})
 
     return decide

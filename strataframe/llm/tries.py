@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataframe.llm.common import give_back
+
 MARK = "▁"
 #: Counts of pre-tokens that a task keeps; characters of text whose words go into one trie.
 KEEP_COUNTS, STEP_CHARS = 400_000, 4 << 20
@@ -196,6 +198,7 @@ def token_counts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
                     held, size = [], 0
             tokens += known.count(held)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.int64()), pa.array(tokens, pa.int64())], ["id", "n_words", "n_tokens"])
+            give_back()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(count, f"id {id_type}, n_words long, n_tokens long").withColumnRenamed("id", id_col)
