@@ -1,8 +1,11 @@
+import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from strataframe.llm import quality, toxicity
+from strataframe.llm import quality, queries, toxicity
+from strataframe.llm.common import flat_text
 from strataframe.llm.queries import QUERIES
 from strataframe.sources.tables import load
 from tests.conftest import SF01
@@ -62,6 +65,38 @@ def test_odd_rows_and_no_labels(spark, module):
     assert module.with_score(empty, module.train(empty, none, "mark", F.lit(True))).count() == 0
 
 
+def first_in_order(rows, words):
+    """A text of so many words whose hash sorts before those of ``rows``."""
+    hashed = lambda texts: toxicity.run_hashes(*(lambda raw, at: (raw, at[:-1], np.diff(at)))(*flat_text(pa.array(texts)))).view(np.int64)
+    least = hashed([t for _, t in rows]).min()
+    for k in range(0, 1 << 16, 512):
+        found = [f"long{j} " + "word1 " * (words - 1) for j in range(k, k + 512)]
+        if (at := hashed(found)).min() < least:
+            return found[int(at.argmin())]
+    raise AssertionError
+
+
+def test_an_overlong_first_text_leaves_the_others_to_learn_from(spark, labelled, monkeypatch):
+    rows, _, _ = labelled
+    budget = 20_000
+    long = first_in_order(rows, budget + 1)
+    docs = documents(spark, [*rows, (1000, long)])
+    labels = spark.createDataFrame([*((k, int(k % 4 == 0)) for k, _ in rows), (1000, 0)], "doc_id long, toxic int")
+    monkeypatch.setattr(queries, "toxicity_model", lambda spark, sf_dir, docs: toxicity.train(
+        docs, labels, "toxic", F.lit(True), target=queries.TOXIC_SCORE, words=budget))
+    left = {r.doc_id for r in corpus_pipeline.drop_toxic(spark, docs, SF01).collect()}
+    assert np.mean([(k in left) == (k % 4 != 0) for k, _ in rows]) > 0.95 and 1000 in left
+
+
+@pytest.mark.parametrize("marks", [[], [(k, 0) for k in range(1, 40)]])
+def test_no_positives_drop_nothing(spark, tmp_path, marks):
+    spark.createDataFrame(marks, "doc_id long, toxic int").coalesce(1).write.parquet(str(tmp_path / "labels.parquet"))
+    docs = documents(spark, ODD)
+    assert corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).count() == len(ODD)
+    model = queries.toxicity_model(spark, str(tmp_path), docs)
+    assert all(r.score < queries.TOXIC_SCORE for r in toxicity.with_score(docs, model).collect())
+
+
 def test_pooling_is_the_plain_maximum():
     model = toxicity.Convolution.start(1)
     rng = np.random.default_rng(2)
