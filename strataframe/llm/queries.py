@@ -37,8 +37,9 @@ WORDS_SQL = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOP
 
 @register("op1_token_counts")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words and tokens of all documents under the unigram scores of a public vocabulary."""
-    return tries.token_counts(load(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    """Words and tokens of all documents under unigram scores of a public vocabulary's pieces, learnt from the documents."""
+    docs, model = load(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    return tries.token_counts(docs, model, scores=tries.unigram_scores(docs, model))
 
 
 OP2_SQL = f"""

@@ -9,10 +9,15 @@ forward score from its ancestors', and the node at which a pre-token ends stores
 The trie is made of the distinct new pre-tokens of a few megabytes of text, level by level: all nodes
 of a level are one numpy step. No shuffle is needed; a task keeps a bounded table of the counts of
 pre-tokens it has met, and what that forgets is computed again.
+
+The scores are those of the vocabulary's file, or ``unigram_scores``: a BPE file has merge ranks
+in their place, whose sums mean nothing.
 """
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter as Tally
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +33,18 @@ KEEP_COUNTS, STEP_CHARS = 400_000, 4 << 20
 #: What a character outside the vocabulary costs more than the worst piece.
 UNKNOWN_PENALTY = 10.0
 
-_COUNTERS: dict[str, Counter] = {}
+_COUNTERS: dict[tuple[str, int | None], Counter] = {}
+
+
+def _processor(path: str):
+    from sentencepiece import SentencePieceProcessor
+
+    return SentencePieceProcessor(model_file=path)
+
+
+def _plain(sp) -> list[int]:
+    """Ids of pieces that stand for characters."""
+    return [i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
 
 
 class Pieces:
@@ -54,13 +70,11 @@ class Pieces:
         self.byte_fallback = byte_fallback
 
     @classmethod
-    def from_file(cls, path: str) -> Pieces:
-        from sentencepiece import SentencePieceProcessor
-
-        sp = SentencePieceProcessor(model_file=path)
-        every = range(sp.get_piece_size())
-        plain = [i for i in every if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
-        return cls({sp.id_to_piece(i): sp.get_score(i) for i in plain}, any(map(sp.is_byte, every)))
+    def from_file(cls, path: str, scores: np.ndarray | None = None) -> Pieces:
+        """The pieces of a sentencepiece file with its own scores, or with ``scores`` by id."""
+        sp = _processor(path)
+        score = sp.get_score if scores is None else scores.tolist().__getitem__
+        return cls({sp.id_to_piece(i): score(i) for i in _plain(sp)}, any(map(sp.is_byte, range(sp.get_piece_size()))))
 
     def step(self, state: np.ndarray, char: np.ndarray) -> np.ndarray:
         """The next states, -1 where no piece goes on so."""
@@ -171,21 +185,60 @@ class Counter:
                 yield int(trie_counts(np.array([part]), self.pieces)[0])
 
 
-def counter(path: str) -> Counter:
-    if path not in _COUNTERS:
-        _COUNTERS[path] = Counter(Pieces.from_file(path))
-    return _COUNTERS[path]
+def counter(path: str, scores: np.ndarray | None = None) -> Counter:
+    key = (path, None if scores is None else zlib.crc32(scores.tobytes()))
+    if key not in _COUNTERS:
+        _COUNTERS.clear()
+        _COUNTERS[key] = Counter(Pieces.from_file(path, scores))
+    return _COUNTERS[key]
+
+
+def unigram_scores(docs: DataFrame, model: str, text_col: str = "text") -> np.ndarray:
+    """Log relative frequencies of the pieces of ``model``, by id: how often each occurs in all of
+    ``docs`` as sentencepiece segments their words, and once more for each piece (so none is 0)."""
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sp = _processor(model)
+        total, words = np.zeros(sp.get_piece_size(), np.int64), Tally()
+
+        def add() -> None:
+            ids = sp.encode(list(words), num_threads=1)
+            times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), np.fromiter(map(len, ids), np.int64, len(ids)))
+            np.add.at(total, np.fromiter((i for part in ids for i in part), np.int64, len(times)), times)
+            words.clear()
+
+        for batch in batches:
+            for text in batch.column(0):
+                words.update((text.as_py() or "").split())
+                if len(words) > KEEP_COUNTS:
+                    add()
+            give_back()
+        add()
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["piece", "n"])
+
+    # at most one row for each piece of the vocabulary
+    rows = docs.select(text_col).mapInArrow(tally, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()
+    sp = _processor(model)
+    times, plain = np.zeros(sp.get_piece_size()), _plain(sp)
+    for r in rows:
+        times[r["piece"]] = r["n"]
+    times[plain] += 1
+    scores = np.zeros(len(times))
+    scores[plain] = np.log(times[plain] / times[plain].sum())
+    return scores
 
 
-def token_counts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_counts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", scores: np.ndarray | None = None) -> DataFrame:
     """(id, n_words, n_tokens) of each row: white-space words, and tokens of all of them.
 
-    ``model`` is the path of a sentencepiece file. Null, empty and blank texts have none.
+    ``model`` is the path of a sentencepiece file, ``scores`` those of its pieces by id where they are not
+    the file's. Null, empty and blank texts have none.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = counter(model)
+        known = counter(model, scores)
         for batch in batches:
             words, tokens, held, size = [], [], [], 0
             for text in batch.column(1):

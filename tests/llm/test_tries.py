@@ -5,6 +5,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from strataframe.llm import tries
+from strataframe.llm.queries import QUERIES
+from strataframe.sources.tables import load
+from tests.conftest import SF001
 from tests.llm.helpers import ODD, clashing, documents
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -46,6 +49,36 @@ def test_whole_texts(spark, scores):
     assert found == want
 
 
+def test_unigram_scores_are_log_frequencies(spark):
+    from sentencepiece import SentencePieceProcessor
+
+    sp = SentencePieceProcessor(model_file=PATH)
+    rows = [*ODD, *((100 + k, "The government gave the information of the people to the information office") for k in range(50))]
+    docs = clashing(documents(spark, rows))
+    got = tries.unigram_scores(docs.repartition(3), PATH)
+    times = np.zeros(sp.get_piece_size())
+    for _, t in rows:
+        for w in (t or "").split():
+            np.add.at(times, sp.encode(w), 1)
+    plain = [i for i in range(len(times)) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
+    times[plain] += 1
+    assert np.allclose(got[plain], np.log(times[plain] / times[plain].sum()))
+
+    scores = {sp.id_to_piece(i): got[i] for i in plain}
+    worst = min(scores.values()) - 10
+    found = sorted(((r.doc_id, r.n_tokens) for r in tries.token_counts(docs, PATH, scores=got).collect()), key=repr)
+    assert found == sorted(((i, sum(plain_tokens("▁" + w, scores, worst) for w in (t or "").split())) for i, t in rows), key=repr)
+
+
+def test_ordinary_words_are_one_piece(spark):
+    docs = load(spark, SF001, "documents")
+    counter = tries.Counter(tries.Pieces.from_file(PATH, tries.unigram_scores(docs, PATH)))
+    assert counter.count([["the"], ["government"], ["information"]]) == [1, 1, 1]
+    got = {r.doc_id: r.n_tokens for r in QUERIES["op1_token_counts"](spark, SF001).collect()}
+    assert all(got[r.doc_id] == counter.count([(r.text or "").split()])[0] for r in docs.collect())
+    assert tries.unigram_scores(documents(spark, []), PATH).min() < 0
+
+
 def test_long_words_and_empty_tables(spark, scores):
     word = "abcé" * 5000
     counter = tries.counter(PATH)
