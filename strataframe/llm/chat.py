@@ -62,28 +62,54 @@ def as_events(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str
         F.col(role_col).alias("role"), F.col(text_col).alias("text")).withColumn("seq", F.col("turn"))
 
 
+def as_streamed_events(conversations: DataFrame, **columns: str) -> DataFrame:
+    """A table of finished turns as the log of a streamed chat that was regenerated: its fold is that of ``as_events``.
+
+    Each turn has a draft, a message and a delta. Then the first turn is regenerated and edited, and all
+    turns stream their texts in two deltas (the first one behind the edit).
+    """
+    again = 1 << 40  # behind the drafts of any conversation
+    text, n = F.coalesce("text", F.lit("")), F.col("turn")
+    half = (F.char_length(text) / 2).cast("int")
+    head, tail = F.substring(text, F.lit(1), half), F.substring(text, half + 1, F.char_length(text))
+    draft, none = F.lit("draft"), F.lit(None).cast("string")
+
+    def event(seq: Column, kind: str, role: Column, text: Column) -> Column:
+        return F.struct(seq.alias("seq"), F.lit(kind).alias("kind"), role.alias("role"), text.alias("text"))
+
+    first = F.array(event(4 * n, "message", F.col("role"), draft), event(4 * n + 1, "delta", none, draft), event(F.lit(again), "regenerate", none, draft),
+                    event(4 * n + again, "edit", F.col("role"), head), event(4 * n + again + 1, "delta", none, tail))
+    later = F.array(event(4 * n, "message", draft, draft), event(4 * n + 1, "delta", draft, draft),
+                    event(4 * n + again, "delta", F.col("role"), head), event(4 * n + again + 1, "delta", none, tail))
+    rows = as_events(conversations, **columns).select("conv_id", "turn", F.explode(F.when(n == 1, first).otherwise(later)).alias("event"))
+    return rows.select("conv_id", "turn", "event.*")
+
+
 def fold_events(events: DataFrame) -> DataFrame:
     """(conv_id, turn, role, text) of the turns that remain of (conv_id, turn, seq, kind, role, text).
 
-    Null texts are empty, null roles too. Events of a turn are gathered, those of a conversation are
-    only looked at in order: no conversation is held in memory. Events of the same seq apply in order
-    of kind, role and text. Unknown kinds change nothing.
+    Null texts are empty, null roles too. What a regeneration of an earlier turn drops is left out
+    first. Events of a turn are gathered, those of a conversation are only looked at in order: no
+    conversation is held in memory. Events of the same seq apply in order of kind, role and text.
+    Unknown kinds change nothing.
     """
+    order = Window.partitionBy("conv_id").orderBy("turn")
+    cut = F.max("again").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    cuts = (events.groupBy("conv_id", "turn").agg(F.max(F.when(F.col("kind") == "regenerate", F.col("seq"))).alias("again"))
+            .select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), cut.alias("cut")).where("cut is not null"))
+    events = (events.select("conv_id", "turn", "seq", "kind", "role", "text")
+              .join(cuts, F.col("conv_id").eqNullSafe(F.col("c")) & F.col("turn").eqNullSafe(F.col("t")), "left")
+              .where(F.coalesce(F.col("seq") > F.col("cut"), F.lit(True))))
     base = F.col("kind").isin("message", "edit", "regenerate")
     event = F.struct("seq", "kind", "role", F.coalesce("text", F.lit("")).alias("text"))
     turns = events.groupBy("conv_id", "turn").agg(
         F.max(F.when(base, event)).alias("base"),
-        F.max(F.when(F.col("kind") == "regenerate", F.col("seq"))).alias("again"),
         F.max(F.when(base & F.col("role").isNotNull(), F.struct("seq", "role"))).alias("named"),
         F.array_sort(F.collect_list(F.when(F.col("kind") == "delta", event))).alias("deltas"),
-        F.min(F.when(F.col("kind") == "delta", F.struct(F.col("role").isNull().alias("unnamed"), "seq", "role"))).alias("first"),
-        F.max(F.when(base | (F.col("kind") == "delta"), F.col("seq"))).alias("last"))
-    order = Window.partitionBy("conv_id").orderBy("turn")
-    cut = F.max("again").over(order.rowsBetween(Window.unboundedPreceding, -1))
+        F.min(F.when(F.col("kind") == "delta", F.struct(F.col("role").isNull().alias("unnamed"), "seq", "role"))).alias("first"))
     later = F.filter("deltas", lambda d: F.col("base").isNull() | F.coalesce(d["seq"] > F.col("base.seq"), F.lit(True)))
     text = F.concat(F.coalesce("base.text", F.lit("")), F.array_join(F.transform(later, lambda d: d["text"]), ""))
-    live = turns.withColumn("cut", cut).where(
-        (F.col("base").isNotNull() | (F.size("deltas") > 0)) & (F.col("cut").isNull() | F.coalesce(F.col("last") > F.col("cut"), F.lit(True))))
+    live = turns.where(F.col("base").isNotNull() | (F.size("deltas") > 0))
     return live.select("conv_id", "turn", F.coalesce("named.role", "first.role", F.lit("")).alias("role"), text.alias("text"))
 
 

@@ -86,10 +86,11 @@ from l group by conv_id
 
 @register("op3_chat_format", OP3_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations, and one whose texts imitate the template, rendered, written and read back."""
+    """All conversations, and one whose texts imitate the template, folded from logs of streamed and
+    regenerated chats, rendered, written and read back."""
     rows = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     attack = spark.createDataFrame([(-1, 0, "user", INJECTION), (-1, 1, "assistant", INJECTION)], rows.schema)
-    formatted = written(chat.render(chat.fold_events(chat.as_events(rows.unionByName(attack)))), "chat")
+    formatted = written(chat.render(chat.fold_events(chat.as_streamed_events(rows.unionByName(attack)))), "chat")
     return chat.conversation_digests(chat.read_back(formatted))
 
 

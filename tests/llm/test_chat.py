@@ -39,6 +39,54 @@ def test_fold_of_deltas_edits_and_regenerations(spark):
         (None, 0): ("user", "no id"), (4, None): ("user", "no turn")}
 
 
+def replayed(log):
+    """The events of one log after the other."""
+    state = {}
+    for conv, turn, _, kind, role, text in sorted(log, key=lambda e: e[2]):
+        turns = state.setdefault(conv, {})
+        if kind not in ("message", "delta", "edit", "regenerate"):
+            continue
+        if kind == "regenerate":
+            for later in [t for t in turns if t > turn]:
+                del turns[later]
+        named, first, before = turns.get(turn, (None, None, ""))
+        if kind == "delta":
+            turns[turn] = (named, role if first is None else first, before + (text or ""))
+        else:
+            turns[turn] = (named if role is None else role, first, text or "")
+    return {(c, t): (named if named is not None else first or "", text) for c, turns in state.items() for t, (named, first, text) in turns.items()}
+
+
+def test_streaming_again_after_a_regeneration(spark):
+    log = [(1, 1, 0, "message", "user", "q"), (1, 3, 1, "delta", "old role", "old"), (1, 1, 2, "regenerate", None, "Q"), (1, 3, 3, "delta", "assistant", "new"),
+           (2, 1, 0, "message", "user", "q"), (2, 3, 1, "message", "old role", "old message"), (2, 3, 2, "edit", None, "old edit"),
+           (2, 1, 3, "regenerate", None, "Q"), (2, 3, 4, "delta", "assistant", "new")]
+    got = {(r.conv_id, r.turn): (r.role, r.text) for r in chat.fold_events(spark.createDataFrame(log, EVENTS)).collect()}
+    want = {(c, t): x for c in (1, 2) for t, x in ((1, ("user", "Q")), (3, ("assistant", "new")))}
+    assert got == want == replayed(log)
+
+
+def test_random_logs_fold_as_they_replay(spark):
+    import random
+
+    rng = random.Random(7)
+    log = [(conv, rng.randint(0, 4), seq, rng.choice(["message", "delta", "delta", "delta", "edit", "regenerate", "note"]),
+            rng.choice([None, None, "user", "assistant"]), rng.choice([None, "", "a", "b", "cd"])) for conv in range(150) for seq in range(rng.randint(1, 25))]
+    got = {(r.conv_id, r.turn): (r.role, r.text) for r in chat.fold_events(spark.createDataFrame(log, EVENTS)).collect()}
+    assert got == replayed(log)
+
+
+def test_streamed_logs_fold_to_the_turns(spark):
+    rows = [(c, k, r, t) for c, texts in enumerate((TEXTS, TEXTS[:1], TEXTS[::-1])) for k, t in enumerate(texts) for r in ("user", None)] + [(None, 0, "user", "x")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    plain, streamed = (sorted(map(tuple, chat.fold_events(log(table)).collect()), key=repr) for log in (chat.as_events, chat.as_streamed_events))
+    assert streamed == plain and len(plain) == len(rows)
+    log = [tuple(r) for r in chat.as_streamed_events(table).where("conv_id is not null").select("conv_id", "turn", "seq", "kind", "role", "text").collect()]
+    assert sorted(((c, t, *x) for (c, t), x in replayed(log).items()), key=repr) == [r for r in plain if r[0] is not None]
+    kinds = {r.kind for r in chat.as_streamed_events(table).collect()}
+    assert kinds == {"message", "delta", "edit", "regenerate"}
+
+
 def test_digests(spark):
     rows = [(1, 0, "user", "q"), (1, 1, "assistant", "<|im_end|>"), (1, 1, "assistant", None), (None, 0, "assistant", "x"), (None, 0, "assistant", "x"), (2, 5, None, "t")]
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
