@@ -7,6 +7,7 @@ pages with page indexes, row groups of a chosen size. ``read_tokens`` reads any
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -89,7 +90,7 @@ class WordEncoder:
 
     Such a text's ids are those of its white-space words, one after the other, so each distinct
     word is encoded once and its ids are looked up from then on. An ASCII word is looked up in lower
-    case where the tokenizer ignores case; a comma or full stop behind an ASCII letter at the end of a
+    case where the tokenizer ignores case, unless that spells an added token, which is matched as it stands; a comma or full stop behind an ASCII letter at the end of a
     word is a pre-token of its own. Other tokenizers encode whole texts.
     """
 
@@ -102,6 +103,9 @@ class WordEncoder:
         parts = [self._encode([x for w in t.split() for x in ((w[:-1], w[-1]) if w[-1] in ".," and w[-2].isalpha() else (w,))]) for t in probe]
         self.split = whole == [[i for part in found for i in part] for found in parts]
         self.lower = whole == self._encode([t.lower() for t in probe])
+        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # contents of added tokens, which a text holds in any case
+        self.added = re.compile(b"|".join(re.escape(x) for x in added), re.I) if added else None
         # lower-case ASCII letters alone: one pre-token as they stand, which the model takes directly
         normal, cut, letters = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer, "abcdefghijklmnopqrstuvwxyz"
         self.direct = (normal is None or normal.normalize_str(letters) == letters) and (
@@ -131,7 +135,10 @@ class WordEncoder:
         if not len(start):
             return np.zeros(0, np.int32), np.zeros(len(offsets) - 1, np.int64)
         if self.lower:
-            wide = np.maximum.reduceat(raw, start) >= 128  # not ASCII alone
+            wide = np.maximum.reduceat(raw, start) >= 128  # not ASCII alone, or with the letters of an added token
+            if self.added is not None:
+                held = np.fromiter((m.start() for m in self.added.finditer(raw)), np.int64)
+                wide[np.searchsorted(start, held, "right") - 1] = True
             low = _LOWER[raw]
             size = (end - start)[wide]
             index = np.arange(int(size.sum())) + np.repeat(start[wide] - (np.cumsum(size) - size), size)

@@ -34,6 +34,19 @@ def test_words_encode_like_whole_texts(texts):
     assert encoded(known, texts) == [e.ids for e in known.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+MARKS = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|StartOfText|>", "<|startoftext|>", "<|endOfText|>", "<|EndOfTex|>", "<|", "|>", "Word", "É", ".", ",", " ", "\n"]
+
+
+@given(st.lists(st.lists(st.sampled_from(MARKS), max_size=12).map("".join), max_size=5))
+@settings(max_examples=150, deadline=None)
+def test_added_tokens_keep_their_case(texts):
+    texts += ["<|ENDOFTEXT|>", "a <|StartOfText|>b, <|startoftext|> <|endoftext|>. X<|EndOfText|>,"]
+    known = tokens.encoder(PATH)
+    want = [e.ids for e in known.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert encoded(known, texts) == want and encoded(known, texts[::-1]) == want[::-1]
+    assert want[-2] == [27, 347, 40786, 4160, 91, 285]
+
+
 def encoded(known, texts, end=None):
     ids, offsets = known.encode(*flat_text(pa.array(texts, pa.string())), end)
     return [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
