@@ -26,9 +26,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component: that of the smallest id."""
+    """One document of each near-duplicate component: that of the smallest id. Rows of one id with
+    different texts are documents of their own."""
     ship_package(spark)
-    return simhash.keep_one(docs, width=3, radius=2, seed=42)
+    return simhash.keep_one(docs, rows_apart=True, width=3, radius=2, seed=42)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

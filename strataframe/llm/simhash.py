@@ -14,7 +14,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,6 +91,14 @@ def links(fingerprints: DataFrame, radius: int) -> DataFrame:
     return found.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius).distinct()
 
 
+def _linked(rows: DataFrame, least: Column, radius: int) -> DataFrame:
+    """(fp, least, root) of the distinct fingerprints of ``rows``: ``least`` is aggregated for each, ``root`` names
+    the component."""
+    classes = written(rows.groupBy("fp").agg(least.alias("least")), "classes")
+    roots = components(links(classes.select("fp"), radius))
+    return classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
                     radius: int = 2, seed: int = SEED) -> DataFrame:
     """(id, fingerprint_bits, component_id) for each row.
@@ -102,25 +110,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = written(with_fingerprint(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
                                     "text", "fp", width, seed).select("id", "fp"), "fingerprints")
-    classes = written(rows.groupBy("fp").agg(F.min("id").alias("least")), "classes")
-    roots = components(links(classes.select("fp"), radius))
-    linked = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    linked = _linked(rows, F.min("id"), radius)
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     named = linked.join(least, "root").select("fp", "component_id")
     return rows.join(named, "fp").select(F.col("id").alias(id_col), F.col("fp").alias("fingerprint_bits"),
                                          "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_apart: bool = False, **params) -> DataFrame:
     """``docs`` with one document of each near-duplicate component: that of the smallest id.
 
-    Rows that repeat the kept id count as copies too, one of them stays. A row without an id
-    can't be named by a decision and stays.
+    Rows that repeat the kept id count as copies too, one of them stays. With ``rows_apart``, rows that
+    share an id but not a text are documents of their own: of each component the row of the smallest id
+    stays, and among its texts that of the least hash. A row without an id can't be named by a decision and stays.
     """
-    found = near_duplicates(docs, id_col, text_col, **params)
-    kept = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("k")).distinct()
-    rows = docs.select(F.col(id_col).alias("k"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    first = (rows.where("k is not null").join(kept, "k", "left_semi")
-             .groupBy("k").agg(F.min_by("row", F.xxhash64(f"row.`{text_col}`")).alias("row")))
+    keys = ["k", "h"] if rows_apart else ["k"]
+    if rows_apart:
+        kept = _least_rows(docs, id_col, text_col, **params)
+    else:
+        found = near_duplicates(docs, id_col, text_col, **params)
+        kept = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("k")).distinct()
+    rows = docs.select(F.col(id_col).alias("k"), F.xxhash64(text_col).alias("h"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    first = (rows.where("k is not null").join(kept, keys, "left_semi")
+             .groupBy(*keys).agg(F.min_by("row", F.xxhash64(f"row.`{text_col}`")).alias("row")))
     return first.select("row.*").unionByName(rows.where("k is null").select("row.*"))
+
+
+def _least_rows(docs: DataFrame, id_col: str, text_col: str, width: int = 3, radius: int = 2, seed: int = SEED) -> DataFrame:
+    """(k, h): id and text hash of the least row with an id of each component."""
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    rows = written(with_fingerprint(texts, "text", "fp", width, seed).select("id", "h", "fp"), "fingerprints")
+    linked = _linked(rows, F.min(F.when(F.col("id").isNotNull(), F.struct("id", "h"))), radius)
+    return linked.groupBy("root").agg(F.min("least").alias("least")).where("least is not null").select(
+        F.col("least.id").alias("k"), F.col("least.h").alias("h"))

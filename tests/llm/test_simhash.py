@@ -1,11 +1,14 @@
 import re
 
+import corpus_pipeline
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from strataframe.llm import simhash
 from strataframe.llm.components import components
+from tests.conftest import SF001
 from tests.llm.helpers import ODD, clashing, documents
 
 
@@ -63,7 +66,24 @@ def test_keep_one_keeps_columns_and_one_of_each_group(spark):
     assert ids.count(None) == 2  # rows without an id stay
 
 
+def test_rows_of_one_id_are_told_apart_by_text(spark):
+    copy, alone = "a copy of the third document, word for word", "a text that stands for itself and is like no other"
+    rows = [*ODD, (3000, copy), (3007, copy), (3007, alone), (3008, alone), (3009, "one"), (3009, "two"), (None, copy), (3010, "three"), (3010, "three")]
+    groups = {}  # rows of a component: of the plain components of rows that each have an id of their own
+    for (i, t), (_, _, c) in zip(rows, plain_components([(k, t) for k, (_, t) in enumerate(rows)]), strict=True):
+        groups.setdefault(c, []).append((i, t))
+    hashed = {r.text: r.h for r in documents(spark, rows).select("text", F.xxhash64("text").alias("h")).collect()}
+    want = [min((r for r in group if r[0] is not None), key=lambda r: (r[0], hashed[r[1]])) for group in groups.values() if any(i is not None for i, _ in group)]
+    docs = clashing(documents(spark, rows))
+    for left in (simhash.keep_one(docs, rows_apart=True), corpus_pipeline.drop_near_copies(spark, docs, SF001)):
+        assert left.columns == docs.columns
+        got = [(r.doc_id, r.text) for r in left.collect()]
+        assert sorted(got, key=repr) == sorted([*want, *(r for r in rows if r[0] is None)], key=repr)
+        assert (3007, copy) not in got and (3007, alone) in got and (3000, copy) in got
+
+
 def test_empty_table(spark):
+    assert simhash.keep_one(documents(spark, []), rows_apart=True).count() == 0
     docs = documents(spark, [])
     assert simhash.near_duplicates(docs).count() == 0
     assert simhash.keep_one(docs).count() == 0
