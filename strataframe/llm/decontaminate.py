@@ -62,8 +62,9 @@ def _words(raw: np.ndarray, offsets: np.ndarray):
     return low, start, end, row
 
 
-def _fingerprints(spans: list[int], item: bool):
-    """Rows (key columns..., span, place, fp) of texts; items shorter than the span have that span alone."""
+def _fingerprints(spans: list[int], whole: int | None = None):
+    """Rows (key columns..., span, place, fp) of texts. For items ``whole`` is the span asked for: items of
+    fewer words have a span of their length alone."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,7 +75,7 @@ def _fingerprints(spans: list[int], item: bool):
                 h = run_hashes(low, start, end - start)
                 for span in spans:
                     place, fp = winnow(h, row, span)
-                    if item and span < SPAN:
+                    if whole is not None and span < whole:
                         use = n_words[row[place]] == span
                         place, fp = place[use], fp[use]
                     of = row[place]
@@ -137,10 +138,10 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col:
     spans = sorted({r["size"] for r in bench.select("size").distinct().collect()})  # at most `span` numbers
     if not spans:
         spans = [span]
-    fps = written(plain.mapInArrow(_fingerprints(spans, True), "item string, span int, place int, fp long")
+    fps = written(plain.mapInArrow(_fingerprints(spans, span), "item string, span int, place int, fp long")
                   .select("span", "fp").distinct(), "item-fingerprints")
     texts = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
-    emitted = texts.mapInArrow(_fingerprints(spans, False), f"doc {id_type}, hash long, span int, place int, fp long")
+    emitted = texts.mapInArrow(_fingerprints(spans), f"doc {id_type}, hash long, span int, place int, fp long")
     hits = written(emitted.join(fps, ["span", "fp"], "left_semi").groupBy("doc", "hash")
                    .agg(F.collect_set(F.struct("span", "place")).alias("hits")), "hits")
     around = (texts.join(hits.withColumnsRenamed({"doc": "d", "hash": "h"}), F.col("doc").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("h")))

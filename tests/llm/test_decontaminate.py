@@ -1,5 +1,6 @@
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -61,6 +62,23 @@ def test_every_shared_span_is_found(spark):
     assert sorted(tuple(r) for r in found) == sorted(plain(rows, items))
 
 
+@pytest.mark.parametrize("span", [1, 4, 8, 13])
+def test_spans_below_and_above_the_default(spark, span):
+    import random
+
+    rng = random.Random(span)
+    vocabulary = [f"w{k}" for k in range(40)]
+    text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    items = [*ITEMS, *((100 + k, text(rng.randint(1, 30))) for k in range(15))]
+    rows = [*ODD, *((100 + k, text(rng.randint(0, 20)) + " " + " ".join(items[-1 - k % 15][1].split()[:rng.randint(0, 18)]) + " " + text(5)) for k in range(60))]
+    docs, table = documents(spark, rows), bench(spark, items)
+    want = plain(rows, items, span)
+    assert any(n for _, _, n, _ in want)
+    assert sorted((tuple(r) for r in decontaminate.contamination(docs, table, span=span).collect()), key=key) == sorted(want, key=key)
+    left = decontaminate.without_contaminated(docs, table, span=span)
+    assert sorted((r.doc_id for r in left.collect()), key=repr) == sorted((i for i, _, n, _ in want if not n), key=repr)
+
+
 def test_contaminated_documents_go(spark):
     docs = clashing(documents(spark, ODD))
     left = decontaminate.without_contaminated(docs, bench(spark, ITEMS))
