@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataframe.llm import chat, decontaminate, kdtree, packing, quality, simhash, suffixes, tokens, toxicity, tries
+from strataframe.llm import (chat, decontaminate, kdtree, merkle, neighbours, packing, phrases, quality, simhash, suffixes, tokens,
+                             toxicity, tries)
 from strataframe.llm.common import written
 from strataframe.session import ship_package
 from strataframe.sources.tables import load
@@ -166,3 +167,97 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.with_score(docs.select("doc_id", "text"), toxicity_model(spark, sf_dir, docs))
     return scored.select("doc_id", F.coalesce(bucket("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= TOXIC_SCORE).cast("int").alias("predicted"))
+
+
+OP11_SQL = r"""
+with t as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+p as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as piece from t),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from p),
+s as (select lang, w, size, unnest(range(1, len(w) - size + 2)) as pos from (select lang, w, unnest(range(1, 6)) as size from w) where len(w) >= size),
+f as (select lang, w[pos:pos + size - 1] as g, count(*) as a from s group by all having count(*) >= 100 or any_value(size) = 1),
+n as (select lang, sum(a) as n from f where len(g) = 1 group by lang),
+c as (select lang, g, a, unnest(range(1, len(g))) as k from f where len(g) > 1 and a >= 100),
+x as (select c.lang, c.g, c.a, c.k, h.a as l, r.a as r, n.n, (1000::hugeint * c.a * n.n) // (h.a::hugeint * r.a) as score
+  from c join f h on h.lang = c.lang and h.g = c.g[1:c.k] join f r on r.lang = c.lang and r.g = c.g[c.k + 1:len(c.g)] join n on n.lang = c.lang),
+best as (select * from x qualify row_number() over (partition by lang, g order by score, k) = 1),
+inside as (select lang, g[pos:pos + size - 1] as g, max(a) as longer from (
+  select *, unnest(range(1, len(g) - size + 2)) as pos from (select lang, g, a, unnest(range(2, len(g))) as size from f where len(g) > 2 and a >= 100)) group by all),
+kept as (select b.*, array_to_string(b.g, ' ') as phrase from best b left join inside i on b.lang = i.lang and b.g = i.g where coalesce(100 * i.longer < 100 * b.a, true))
+select lang, cast(rank as bigint) as rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r, cast(n as bigint) as n, cast(score as bigint) as score
+from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept) where rank <= 2000
+"""
+
+
+@register("op11_collocations", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest phrases of 2 to 5 words of each language."""
+    return phrases.collocations(load(spark, sf_dir, "documents"), least=100, top=2000, cover_percent=100)
+
+
+def _levels_sql(name: str, nodes: str, levels: int) -> str:
+    """CTEs name0..: nodes (g, i, h) level by level, and name_path (g, i, root, path): (left, right) of every level."""
+    ctes, path = [f"{name}0 as (select g, i, h, count(*) over (partition by g) as n from ({nodes}))"], []
+    for k in range(levels):
+        ctes.append(f"""{name}r{k} as (select g, i // 16 as run, list(h order by i) as hs, any_value(n) as n from {name}{k} group by g, i // 16)""")
+        ctes.append(f"""{name}{k + 1} as (select g, run as i, case when n > 1 then sha256(array_to_string(hs, '')) else hs[1] end as h,
+            case when n > 1 then (n + 15) // 16 else 1 end as n from {name}r{k})""")
+        at = f"(b.i // {16 ** k})"
+        slot = f"cast({at} % 16 as bigint)"
+        path.append((f"{name}r{k}", f"{at} // 16", f"case when r{k}.n > 1 then [{{'left': array_to_string(r{k}.hs[1:{slot}], ''), "
+                     f"'right': array_to_string(r{k}.hs[{slot} + 2:], '')}}] else [] end"))
+    joins = " ".join(f"join {t} r{k} on r{k}.g = b.g and r{k}.run = {run}" for k, (t, run, _) in enumerate(path))
+    paths = "flatten([" + ", ".join(e for _, _, e in path) + "])"
+    ctes.append(f"{name}_path as (select b.g, b.i, top.h as root, {paths} as path from {name}0 b {joins} join {name}{levels} top on top.g = b.g)")
+    return ",\n".join(ctes)
+
+
+def _leaf_sql(*columns: str) -> str:
+    fields = [f"case when {c} is null then '-' else strlen(cast({c} as varchar)) || ':' || {c} end" for c in columns]
+    return f"sha256({' || '.join(fields)})"
+
+
+_LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: crc32 of an id as text, bit by bit (DuckDB has no function for it).
+_CRC_SQL = """(select doc_id, list_reduce(list_prepend(4294967295::bigint, list_transform(range(0, len(cast(doc_id as varchar))), lambda j: ascii(cast(doc_id as varchar)[j + 1])::bigint)),
+  lambda c, x: list_reduce(list_prepend(xor(c, x), range(0, 8)), lambda v, s: case when v % 2 = 1 then xor(v // 2, 3988292384::bigint) else v // 2 end)) as v from documents)"""
+OP12_SQL = f"""
+with crc as (select distinct doc_id, xor(v, 4294967295::bigint) % 5 = 0 as bad from {_CRC_SQL}),
+d as (select d.doc_id, coalesce('=' || source, '') as g, {_leaf_sql('d.doc_id', 'source', 'lang', 'n_chars', 'text')} as h,
+  case when crc.bad and text is not null then {_leaf_sql('d.doc_id', 'source', 'lang', 'n_chars', _LOWER_SQL)} end as other
+  from documents d left join crc on d.doc_id = crc.doc_id),
+l as (select *, row_number() over (partition by g order by doc_id nulls first, h) - 1 as i from d),
+{_levels_sql('s', 'select g, i, h from l', 6)},
+tops as (select g as key, '' as g, row_number() over (order by g) - 1 as i, root as h from (select distinct g, root from s_path)),
+{_levels_sql('t', 'select g, i, h from tops', 6)},
+whole as (select l.doc_id, l.h, coalesce(l.other, l.h) as claimed, s_path.root as subroot, t_path.root as root, list_concat(s_path.path, t_path.path) as path
+  from l join s_path on s_path.g = l.g and s_path.i = l.i join tops on tops.key = l.g join t_path on t_path.i = tops.i),
+folded as (select *, list_reduce(list_prepend(claimed, list_transform(path, lambda p: p['left'] || '|' || p['right'])),
+  lambda h, p: sha256(split_part(p, '|', 1) || h || split_part(p, '|', 2))) as folded_root from whole)
+select doc_id, h as leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda p: p['left'] || p['right']), '')) as proof_sha256,
+  folded_root, folded_root = root as verified from folded
+"""
+
+
+@register("op12_merkle_manifest", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, root and proof of every document; a fifth of the texts is tampered with before it is verified."""
+    found = merkle.manifest(load(spark, sf_dir, "documents"), tampered=bucket("doc_id", 5) == 0)
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+OP13_SQL = """
+with e as (select vec_id, row_number() over () as r, list_transform(embedding, lambda x: cast(x as double)) as v
+  from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+m as (select *, sqrt(list_reduce(list_prepend(0.0::double, list_transform(v, lambda x: x * x)), lambda s, x: s + x)) as norm from e),
+s as (select q.vec_id as query_id, q.r, m.vec_id, list_reduce(list_prepend(0.0::double, list_transform(list_zip(q.v, m.v), lambda p: p[1] * p[2])), lambda s, x: s + x)
+  / (q.norm * m.norm) as score from m q join m on q.r <> m.r where q.vec_id % 50 = 0 and len(q.v) = len(m.v))
+select query_id, cast(rank as integer) as rank, vec_id, score from (
+  select *, row_number() over (partition by query_id, r order by score desc, vec_id) as rank from s) where rank <= 5
+"""
+
+
+@register("op13_nearest_neighbours", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five greatest cosines of each fiftieth vector with all others."""
+    return neighbours.nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
