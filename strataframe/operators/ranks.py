@@ -1,61 +1,61 @@
-"""Order statistics that never gather a group (or the whole table) into one task.
-
-Every order column becomes a whole number in the same order (``order_key``), read as a few digits.
-Rows are counted by group and leading digits, level by level; within one value of the leading
-digits a window runs over the next digit alone, so a window's partition has at most 2 ** 22 rows,
-whatever the data: a group holding a third of the table is spread over its digits. A row's position is
-the sum, over the levels, of what stands before its digit. There is one path for tables of all sizes,
-it is deterministic, and nothing runs while the plan is built.
-
-Average ranks, exact quantiles (type 7), medians and MADs are built on it.
+"""Order statistics that never gather a group (or the whole table) into one task. Nothing runs while a
+plan is built, nothing is sampled at random, and one path serves tables of all sizes.
+
+Positions and ranks (``running_before``): rows are dealt into ranges of the order. The borders are
+quantiles of the rows whose hashes are least, so they are a function of the data alone, and every
+evaluation of the plan finds the same ones. A window runs inside a (group, range); what the ranges
+before it hold is a prefix sum over one row per (group, range). Ranges hold about as many rows each, so
+a group with a third of the table is spread over a third of the ranges at least. Ranks go over
+distinct values with their counts, so ties neither cross a border nor fill a range.
+
+Quantiles (``quantiles``, ``mad``): selection in two readings of the rows. The first gives per group a bracket
+around each wanted rank, from a quantile summary whose rank error has a proven bound. The second counts the
+rows below, between and above the brackets, and the distinct values inside them: about a thousandth of a large
+group's rows, from which the values of the exact ranks are picked. Rows outside are only counted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataframe.operators.attach import join_by
+from strataframe.operators.attach import attach_row, join_by
 
 MAD_CONSTANT = 1.4826  # Fixed value: R's default consistency constant for mad().
 
-# Bits below each level's digits, for 64-bit and for 32-bit keys.
-LEVELS_64, LEVELS_32 = (42, 21, 0), (16, 0)
-_LAST = (1 << 63) - 1
-
-
-def _double_key(x: Column) -> Column:
-    """Whole number in the order of doubles: exponent and mantissa, negated for negative numbers."""
-    odd = F.isnan(x) | (F.abs(x) == float("inf"))
-    a = F.when(odd, F.lit(1.0)).otherwise(F.abs(x))
-    two = F.lit(2.0)
-    guess = F.floor(F.log2(a))
-    e = F.when(F.pow(two, guess) > a, guess - 1).when(F.pow(two, guess + 1) <= a, guess + 1).otherwise(guess)
-    normal = (e + 1023) * F.lit(1 << 52) + ((a / F.pow(two, e) - 1.0) * float(1 << 52)).cast("long")
-    tiny = (a * float(2.0 ** 537) * float(2.0 ** 537)).cast("long")  # below 2 ** -1022
-    key = F.when(a < float(2.0 ** -1022), tiny).otherwise(normal)
-    key = F.when(F.isnan(x), F.lit(_LAST - 1)).when(odd, F.lit(_LAST - 2)).otherwise(key)
-    return F.when(x < 0, -key).otherwise(key).cast("long")
-
-
-def order_key(c: str | Column, kind: T.DataType) -> tuple[Column, tuple[int, ...]]:
-    """A long in the order of ``c`` (NULLs last) and the levels its digits need."""
-    x = F.col(c) if isinstance(c, str) else c
-    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.DateType)):
-        whole = F.unix_date(x) if isinstance(kind, T.DateType) else x
-        return F.coalesce(whole.cast("long"), F.lit(1 << 31)), LEVELS_32
-    if isinstance(kind, T.BooleanType):
-        return F.coalesce(x.cast("int").cast("long"), F.lit(2)), (0,)
-    if isinstance(kind, T.LongType):
-        return F.coalesce(x, F.lit(_LAST)), LEVELS_64
-    if isinstance(kind, T.TimestampType):
-        return F.coalesce(F.unix_micros(x), F.lit(_LAST)), LEVELS_64
-    if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return F.coalesce(_double_key(x.cast("double")), F.lit(_LAST)), LEVELS_64
-    raise TypeError(f"order statistics need a number, date or timestamp, not {kind.simpleString()}")
+#: Rows that borders are taken from, for each range.
+BORDER_ROWS = 32
+#: The summary's rank error is at most 1 / ACCURACY of the rows; brackets leave three times as much room on either
+#: side. Groups of up to so many rows are a bracket of their own.
+ACCURACY = 10_000
+
+_ORDERED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _check_order(df: DataFrame, order: Sequence[str]) -> None:
+    for c in order:
+        kind = df.schema[c].dataType
+        if not isinstance(kind, _ORDERED):
+            raise TypeError(f"order statistics need a number, date or timestamp, not {kind.simpleString()}")
+
+
+def _ranges(df: DataFrame, order: Column, n: int) -> DataFrame:
+    """1-row table with ``_borders``: n - 1 values of ``order`` between which about as many rows lie, from
+    the ``BORDER_ROWS`` * n rows of the least hashes of all columns of ``df``."""
+    few = df.select(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("_h"), order.alias("_o"))
+    few = few.orderBy("_h", "_o").limit(BORDER_ROWS * n).agg(F.array_sort(F.collect_list("_o")).alias("_all"))
+    at = lambda j: F.get("_all", F.floor(F.size("_all") * j / n).cast("int"))
+    return few.select(F.transform(F.sequence(F.lit(1), F.lit(n - 1)), at).alias("_borders"))
+
+
+def _range_of(x: Column, borders: str, n: int) -> Column:
+    """How many borders are at most ``x``: a binary search in their array."""
+    steps = F.array(*[F.lit(1 << k) for k in range(n.bit_length() - 1, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda i, step: F.when(F.get(borders, i + step - 1) <= x, i + step).otherwise(i))
 
 
 def running_before(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str,
@@ -66,40 +66,24 @@ def running_before(df: DataFrame, by: Sequence[str], order: Sequence[str], value
     sum starts at 0 and counts NULL values as 0, a max starts at NULL; both keep the type that
     Spark's aggregate has.
     """
-    by = list(by)
+    by, order = list(by), list(order)
+    _check_order(df, order)
     total = F.sum if how == "sum" else F.max
-    work, prefix, levels = df, [], []
-    for i, c in enumerate(order):
-        key, bits = order_key(c, df.schema[c].dataType)
-        work = work.withColumn(f"_k{i}", key)
-        for b in bits:
-            levels.append((list(prefix), f"_d{i}_{b}"))
-            work = work.withColumn(f"_d{i}_{b}", F.shiftright(f"_k{i}", b))
-            # digits of the level: the next level's prefix is this one, which holds all above it
-            prefix = [p for p in prefix if not p.startswith(f"_d{i}_")] + [f"_d{i}_{b}"]
-    work = work.withColumn("_v", F.col(value))
-    digits = [d for _, d in levels]
-    # totals of each level, from the finest up: level j has one row per group and digits up to j
-    tables = [work]
-    for j in range(len(levels) - 2, -1, -1):
-        keep = [p for p in levels[j + 1][0]]
-        above = digits[:j]
-        tables.insert(0, tables[0].groupBy(*by, *dict.fromkeys([*keep, *above])).agg(total("_v").alias("_v")))
-    before = None
-    for j, (over, digit) in enumerate(levels):
-        window = Window.partitionBy(*by, *over).orderBy(digit).rowsBetween(Window.unboundedPreceding, -1)
-        here = tables[j].withColumn("_b", total("_v").over(window))
-        if before is not None:
-            here = join_by(here, before.withColumnRenamed("_b", "_above"), [*by, *over])
-            if how == "sum":
-                here = here.withColumn("_b", F.coalesce(F.col("_b"), F.col("_b") * 0, F.lit(0)) + F.coalesce("_above", F.lit(0)))
-            else:
-                here = here.withColumn("_b", F.greatest("_b", "_above"))
-            here = here.drop("_above")
-        if j + 1 < len(levels):
-            before = here.select(*by, *levels[j + 1][0], "_b")
-    result = F.coalesce("_b", F.lit(0)) if how == "sum" else F.col("_b")
-    return here.withColumn(out, result).drop("_b", "_v", *digits, *[f"_k{i}" for i in range(len(order))])
+    n = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    key = F.col(order[0]) if len(order) == 1 else F.struct(*[f(c) for c in order for f in (F.isnull, F.col)])
+    # NULLs go last: beyond all borders where they are the whole key
+    at = _range_of(key, "_borders", n)
+    at = F.when(key.isNull(), F.lit(n - 1)).otherwise(at) if len(order) == 1 else at
+    borders = _ranges(df.select(*dict.fromkeys([*by, *order, value])), key, n)
+    work = attach_row(df, borders).select(*df.columns, at.alias("_r"))
+    before = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    here = work.withColumn("_b", total(value).over(before(*by, "_r").orderBy(*[F.col(c).asc_nulls_last() for c in order])))
+    sums = work.groupBy(*by, "_r").agg(total(value).alias("_v"))
+    below = before(*(by or [F.lit(0)])).orderBy("_r")  # without groups: one row per range, as many as shuffle partitions
+    joined = join_by(here, sums.select(*by, "_r", total("_v").over(below).alias("_above")), [*by, "_r"])
+    zero = F.col("_b") * 0
+    result = F.coalesce("_b", zero, F.lit(0)) + F.coalesce("_above", F.lit(0)) if how == "sum" else F.greatest("_b", "_above")
+    return joined.select(*[c for c in df.columns if c != out], result.alias(out))
 
 
 def positions(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str = "_pos",
@@ -126,11 +110,66 @@ def rank_table(df: DataFrame, c: str, by: Sequence[str] = ()) -> DataFrame:
     return vc.withColumn("_avg_rank", F.col("_before") + (F.col("_cnt") + 1) / 2.0)
 
 
+def avg_ranks(df: DataFrame, specs: Sequence[tuple[str, Sequence[str], str]]) -> DataFrame:
+    """Average ranks of several columns: a spec is (column, by, name of the rank). All ranks are found from
+    ``df`` itself, then attached."""
+    out = df
+    for c, by, name in specs:
+        ranks = rank_table(df, c, by).select(*by, c, F.col("_avg_rank").alias(name))
+        out = join_by(out, ranks, [*by, c], "left")
+    return out
+
+
 def avg_rank(df: DataFrame, c: str, by: Sequence[str] = (), out: str | None = None) -> DataFrame:
     """R's ``rank(x)`` (ties get the average rank), per group; NULL stays NULL."""
-    out = out or f"{c}_rank"
-    ranks = rank_table(df, c, by).select(*by, c, F.col("_avg_rank").alias(out))
-    return join_by(df, ranks, [*by, c], "left")
+    return avg_ranks(df, [(c, list(by), out or f"{c}_rank")])
+
+
+# ---------------------------------------------------------------- selection
+def _selected(df: DataFrame, x: Column, probs: Sequence[float], by: Sequence[str], carry: Sequence[str] = (),
+              state: DataFrame | None = None) -> DataFrame:
+    """(by..., carry..., _n, _nulls, _q0, _q1, ...): per group the exact type-7 quantiles of ``x``.
+
+    ``x`` is an expression over ``df`` and over what ``state`` (one row per group: by and ``carry``) adds to it.
+    Values are compared as doubles where brackets are concerned and as they are inside them.
+    """
+    by, carry, d = list(by), list(carry), x.cast("double")
+    order = sorted(range(len(probs)), key=lambda i: probs[i])
+    room = 3.0 / ACCURACY
+    rows = df if state is None else join_by(df, state, by)
+    edges = [max(0.0, probs[i] - room) for i in order] + [min(1.0, probs[i] + room) for i in order]
+    first = rows.groupBy(*by).agg(
+        *[F.max(c).alias(c) for c in carry], F.count(x).alias("_n"), F.count_if(x.isNull()).alias("_nulls"), F.min(d).alias("_least"),
+        F.max(d).alias("_most"), F.percentile_approx(d, edges, ACCURACY).alias("_a"))
+    small = F.col("_n") <= ACCURACY
+    ends = [F.when(small, F.col("_least")).otherwise(F.col("_a")[j]).alias(f"_lo{j}") for j in range(len(order))]
+    ends += [F.when(small, F.col("_most")).otherwise(F.col("_a")[len(order) + j]).alias(f"_hi{j}") for j in range(len(order))]
+    brackets = first.select(*by, *carry, "_n", "_nulls", *ends)
+    inside = reduce(Column.__or__, [d.between(F.col(f"_lo{j}"), F.col(f"_hi{j}")) for j in range(len(order))])
+    passed = reduce(Column.__add__, [(d > F.col(f"_hi{j}")).cast("int") for j in range(len(order))])
+    cells = join_by(df, brackets, by).groupBy(*by, *carry, "_n", "_nulls", passed.alias("_gap"), F.when(inside, x).alias("_x")).agg(
+        F.count(x).alias("_c"))
+    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_gap", F.col("_x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("_s", F.coalesce(F.sum("_c").over(before), F.lit(0)))
+    picks = []
+    for i, p in enumerate(probs):
+        low = F.floor((F.col("_n") - 1) * float(p))
+        for t, rank in enumerate((low, F.least(low + 1, F.col("_n") - 1))):
+            picks.append(F.max(F.when((F.col("_s") <= rank) & (rank < F.col("_s") + F.col("_c")), F.col("_x"))).cast("double").alias(f"_p{i}{t}"))
+    found = cells.groupBy(*by).agg(*[F.max(c).alias(c) for c in (*carry, "_n", "_nulls")], *picks)
+    values = []
+    for i, p in enumerate(probs):
+        low, high, h = F.col(f"_p{i}0"), F.col(f"_p{i}1"), (F.col("_n") - 1) * float(p)
+        lost = (F.col("_n") > 0) & (low.isNull() | high.isNull())
+        value = low + (h - F.floor(h)) * (high - low)
+        values.append(F.when(lost, F.raise_error(F.lit("a rank lies outside of its bracket")).cast("double")).otherwise(value).alias(f"_q{i}"))
+    return found.select(*by, *carry, "_n", "_nulls", *values)
+
+
+def _check_number(df: DataFrame, c: str) -> None:
+    kind = df.schema[c].dataType
+    if not isinstance(kind, T.NumericType):
+        raise TypeError(f"quantiles need a number, not {kind.simpleString()}")
 
 
 def quantiles(df: DataFrame, c: str, probs: Sequence[float], by: Sequence[str] = (),
@@ -139,36 +178,11 @@ def quantiles(df: DataFrame, c: str, probs: Sequence[float], by: Sequence[str] =
 
     A group with a NULL gives NULLs, unless ``skip_nulls``. Without ``by`` there is always one row.
     """
+    _check_number(df, c)
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    return _counted_quantiles(_counts(df, c, by), c, probs, list(by), names, skip_nulls)
-
-
-def _counts(df: DataFrame, c: str, by: Sequence[str]) -> DataFrame:
-    """Distinct values, NULL among them, with their multiplicity: all that quantiles need of the rows."""
-    return df.groupBy(*by, c).agg(F.count("*").alias("_cnt"))
-
-
-def _counted_quantiles(counts: DataFrame, c: str, probs: Sequence[float], by: list[str],
-                       names: Sequence[str], skip_nulls: bool) -> DataFrame:
-    vc = positions(counts.filter(F.col(c).isNotNull()), by, [c], out="_start", weight="_cnt")
-    known = F.when(F.col(c).isNotNull(), F.col("_cnt")).otherwise(0)
-    n = counts.groupBy(*by).agg(F.sum(known).alias("_n"), F.count_if(F.col(c).isNull()).alias("_nulls"))
-    j = join_by(vc, n, by)
-    # Each target position (lo, lo+1 per prob) is matched inside one aggregate: the row
-    # whose [start, start + cnt) covers it contributes its value; no join to a target table.
-    covers = lambda k: (F.col("_start") <= k) & (k < F.col("_start") + F.col("_cnt"))  # noqa
-    aggs_, finals = [], []
-    for i, p in enumerate(probs):
-        h = (F.col("_n") - 1) * float(p)
-        lo = F.floor(h)
-        hi = F.least(lo + 1, F.col("_n") - 1)
-        aggs_ += [F.max(F.when(covers(lo), F.col(c))).alias(f"_lo{i}"),
-                  F.max(F.when(covers(hi), F.col(c))).alias(f"_hi{i}")]
-        frac = h - F.floor(h)
-        value = F.col(f"_lo{i}") + frac * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))
-        finals.append((value if skip_nulls else F.when(F.col("_nulls") == 0, value)).alias(names[i]))
-    found = j.groupBy(*by).agg(*aggs_)
-    return join_by(n, found, by, "left").select(*by, *finals)
+    found = _selected(df.select(*by, c), F.col(c), probs, by)
+    values = [F.col(f"_q{i}") for i in range(len(probs))]
+    return found.select(*by, *[(v if skip_nulls else F.when(F.col("_nulls") == 0, v)).alias(n) for v, n in zip(values, names, strict=True)])
 
 
 def median(df: DataFrame, c: str, by: Sequence[str] = (), out: str = "median",
@@ -183,23 +197,20 @@ def median(df: DataFrame, c: str, by: Sequence[str] = (), out: str = "median",
 
 def mad(df: DataFrame, c: str, by: Sequence[str] = (), out: str = "mad",
         approx: bool = False, skip_nulls: bool = False) -> DataFrame:
-    """1.4826 * median(|x - median(x)|) per group (A15): median, join back, median again.
-
-    The deviations are taken of the distinct values, which carry their multiplicity.
-    """
+    """1.4826 * median(|x - median(x)|) per group (A15): two selections, the second over the deviations
+    from what the first found; the median travels with the second's brackets. The rows are read four times."""
     by = list(by)
     if approx:
         med = median(df, c, by, "_med", approx)
         dev = join_by(df.select(*by, c), med, by).select(*by, F.abs(F.col(c) - F.col("_med")).alias("_absdev"))
         m2 = median(dev, "_absdev", by, "_mad", approx)
-    else:
-        counts = _counts(df, c, by)
-        med = _counted_quantiles(counts, c, [0.5], by, ["_med"], skip_nulls)
-        dev = (join_by(counts, med, by).groupBy(*by, F.abs(F.col(c) - F.col("_med")).alias("_absdev"))
-               .agg(F.sum("_cnt").alias("_cnt")))
-        m2 = _counted_quantiles(dev, "_absdev", [0.5], by, ["_mad"], skip_nulls)
-    return join_by(med, m2, by).select(*by, F.col("_med").alias("median"),
-                                       (F.col("_mad") * MAD_CONSTANT).alias(out))
+        return join_by(med, m2, by).select(*by, F.col("_med").alias("median"), (F.col("_mad") * MAD_CONSTANT).alias(out))
+    _check_number(df, c)
+    rows = df.select(*by, c)
+    med = _selected(rows, F.col(c), [0.5], by).select(*by, F.col("_q0").alias("_med"))
+    found = _selected(rows, F.abs(F.col(c) - F.col("_med")), [0.5], by, ["_med"], med)
+    known = lambda v: v if skip_nulls else F.when(F.col("_nulls") == 0, v)
+    return found.select(*by, known(F.col("_med")).alias("median"), known(F.col("_q0") * MAD_CONSTANT).alias(out))
 
 
 def median_mad_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),

@@ -1,8 +1,10 @@
 """Seeded sampling and the bootstrap.
 
 Every draw is ``uniform(seed, draw id)`` (md5 based), so a retried task redraws the same
-rows and DuckDB can replay the sample. A sample with replacement is a join of draw ids to a
-dense row index, which ``positions`` builds without a global sort in one task. Replicates
+rows and DuckDB can replay the sample. Rows lie in ``BUCKETS`` buckets by a hash of their key. A draw goes to a
+bucket with the bucket's share of the rows, which splits every replicate's draws multinomially over the
+buckets, and then to one of the bucket's rows, numbered by key inside the bucket alone: no order of the
+whole table is ever made. The table is read twice, once to count the buckets. Replicates
 are a key column, so B replicates are one grouped aggregate instead of B jobs.
 """
 
@@ -16,30 +18,50 @@ from pyspark.sql import functions as F
 from strataframe.functions.columns import safe_corr, uniform
 from strataframe.operators.attach import attach_row
 from strataframe.operators.ols import ols
-from strataframe.operators.ranks import positions
+
+#: Buckets of the rows of a sampled table, whatever its size, and the seed of their hash.
+BUCKETS, BUCKET_SEED = 1024, "bucket"
+
+
+def bucket_of(key: str) -> Column:
+    return F.floor(uniform(BUCKET_SEED, key) * BUCKETS).cast("int")
 
 
 def row_index(df: DataFrame, key: str, out: str = "_row") -> DataFrame:
-    """Dense 0..M−1 index by a unique key (distributed, deterministic)."""
-    return positions(df, [], [key], out=out)
+    """Dense 0..M−1 index by (bucket, key), of a unique key (distributed, deterministic)."""
+    work = attach_row(df.withColumn("_bucket", bucket_of(key)), _bucket_starts(df, key))
+    return work.withColumn(out, F.col("_starts")[F.col("_bucket")] + _inside(key)).drop("_bucket", "_starts", "_m")
 
 
-def draws(spark, n_draws: int, seed: int, m: DataFrame, m_col: str = "_m",
-          per_rep: int | None = None) -> DataFrame:
-    """``n_draws`` row indices uniform on 0..M−1; M comes from a 1-row table (broadcast)."""
-    d = spark.range(n_draws).withColumnRenamed("id", "draw")
-    if per_rep:
-        d = d.withColumn("rep", (F.col("draw") / per_rep).cast("long"))
-    d = attach_row(d, m)
-    return d.withColumn("_row", F.floor(uniform(seed, "draw") * F.col(m_col)).cast("long"))
+def _inside(key: str) -> Column:
+    return F.row_number().over(Window.partitionBy("_bucket").orderBy(key)) - 1
+
+
+def _bucket_starts(df: DataFrame, key: str) -> DataFrame:
+    """1-row table: ``_starts``, the rows before each bucket (and, last, all rows), and ``_m``, all rows."""
+    counts = df.groupBy(bucket_of(key).alias("b")).agg(F.count("*").alias("n"))
+    one = counts.agg(F.map_from_entries(F.collect_list(F.struct("b", "n"))).alias("n"), F.coalesce(F.sum("n"), F.lit(0)).alias("_m"))
+    add = lambda s, b: F.concat(s, F.array(F.element_at(s, -1) + F.coalesce(F.col("n")[b], F.lit(0))))
+    starts = F.aggregate(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), F.array(F.lit(0).cast("long")), add)
+    return one.select(starts.alias("_starts"), "_m")
+
+
+def _bucket_at(row: Column) -> Column:
+    """The bucket of a row index: a binary search among the starts."""
+    steps = F.array(*[F.lit(1 << k) for k in range(BUCKETS.bit_length() - 1, -1, -1)])
+    further = lambda i, step: F.when(F.get("_starts", i + step) <= row, i + step).otherwise(i)
+    return F.aggregate(steps, F.lit(0), further)
 
 
 def _drawn(df: DataFrame, n_draws: int, seed: int, key: str, per_rep: int | None = None) -> DataFrame:
-    """Drawn rows: only the key is indexed; the draws fetch the other columns by key."""
-    m = df.agg(F.count("*").alias("_m"))
-    keys = row_index(df.select(key), key)
-    drawn = draws(df.sparkSession, n_draws, seed, m, per_rep=per_rep).join(keys, "_row").drop("_row", "_m")
-    return drawn.join(df, key)
+    """Drawn rows: draws name a bucket and a place in it, which the rows know by themselves."""
+    d = df.sparkSession.range(n_draws).withColumnRenamed("id", "draw")
+    if per_rep:
+        d = d.withColumn("rep", F.floor(F.col("draw") / per_rep).cast("long"))
+    d = attach_row(d, _bucket_starts(df, key)).withColumn("_row", F.floor(uniform(seed, "draw") * F.col("_m")).cast("long"))
+    d = d.withColumn("_bucket", _bucket_at(F.col("_row"))).withColumn("_place", F.col("_row") - F.col("_starts")[F.col("_bucket")])
+    rows = df.withColumn("_bucket", bucket_of(key)).withColumn("_place", _inside(key).cast("long"))
+    return d.drop("_starts", "_m", "_row").join(rows, ["_bucket", "_place"]).drop("_bucket", "_place")
 
 
 def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:

@@ -26,7 +26,7 @@ def _draws_sql(seed: int, n_draws: int, per_rep: int | None = None) -> str:
                 from range({n_draws}), (select count(*) as m from galton))"""
 
 
-INDEXED_SQL = "(select *, row_number() over (order by child_id) - 1 as _row from galton)"
+INDEXED_SQL = f"""(select *, row_number() over (order by floor({uniform_sql(resample.BUCKET_SEED, 'child_id')} * {resample.BUCKETS}), child_id) - 1 as _row from galton)"""
 
 
 @register("sample_per_group", f"""

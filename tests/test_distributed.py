@@ -50,6 +50,64 @@ def test_quantiles_median_mad(skewed):
     assert m["median"] == med and m["mad"] == pytest.approx(1.4826 * np.median(np.abs(pdf.v - med)))
 
 
+@pytest.mark.parametrize("accuracy", [20, 300])
+def test_selection_by_brackets(spark, monkeypatch, accuracy):
+    """Groups far larger than a bracket: heavy ties, one group with half of all rows, NULLs, odd doubles, near probs."""
+    monkeypatch.setattr(ranks, "ACCURACY", accuracy)
+    rng = np.random.default_rng(accuracy)
+    g = rng.choice([1, 1, 1, 2, 3, 4], 12000)
+    v = np.where(g == 2, rng.integers(0, 7, len(g)), np.where(g == 3, rng.normal(size=len(g)) * 10.0 ** rng.integers(-9, 9, len(g)), rng.random(len(g))))
+    v[:3000][g[:3000] == 1] = 0.5
+    v = np.append(v, [-np.inf, np.inf, 5e-324, -0.0])
+    pdf = pd.DataFrame({"g": np.append(g, [4, 4, 4, 4]), "v": v})
+    df = spark.createDataFrame(pdf).repartition(7)
+    probs = [0.5, 0.0, 0.001, 0.25, 0.26, 0.75, 0.999, 1.0]
+    for by, groups in ((["g"], pdf.groupby("g")), ([], [(None, pdf)])):
+        got = ranks.quantiles(df, "v", probs, by, [f"p{i}" for i in range(len(probs))]).toPandas()
+        for key, sub in groups:
+            row = got[got.g == key].iloc[0] if by else got.iloc[0]
+            want = [np.quantile(sub.v, p) for p in probs]
+            assert np.array_equal([row[f"p{i}"] for i in range(len(probs))], want) or np.allclose([row[f"p{i}"] for i in range(len(probs))], want, rtol=1e-12, equal_nan=True)
+    few = pdf[pdf.g != 4]
+    got = ranks.mad(df.filter("g <> 4"), "v", ["g"]).toPandas().set_index("g")
+    for key, sub in few.groupby("g"):
+        med = np.median(sub.v)
+        assert got.loc[key, "median"] == med and got.loc[key, "mad"] == pytest.approx(1.4826 * np.median(np.abs(sub.v - med)))
+    holes = df.withColumn("v", F.when((F.col("g") != 2) | (F.col("v") > 0), F.col("v"))).withColumn("v", F.when(F.col("g") != 1, F.col("v")))
+    strict, known = (dict(ranks.median(holes, "v", ["g"], skip_nulls=skip).collect()) for skip in (False, True))
+    assert strict[2] is None and strict[1] is None and known[1] is None and strict[3] == known[3] == np.median(few.v[few.g == 3])
+    assert known[2] == np.median(few.v[(few.g == 2) & (few.v > 0)])
+
+
+def test_statistics_of_money_and_stamps(spark):
+    import datetime as dt
+    import decimal
+
+    money = [decimal.Decimal(x) for x in ("12345678901234.57", "12345678901234.56", "-0.01", "0.00", "12345678901234.57", "7.10")]
+    df = spark.createDataFrame([(i, m) for i, m in enumerate(money)], "k int, v decimal(18,2)")
+    got = {r.k: r.v_rank for r in ranks.avg_rank(df, "v").collect()}
+    assert [got[i] for i in range(6)] == pd.Series([float(m * 100) for m in money]).rank().tolist()
+    assert ranks.median(df, "v").first()["median"] == pytest.approx((7.1 + 12345678901234.56) / 2)
+    assert ranks.mad(df, "v").first()["median"] == pytest.approx((7.1 + 12345678901234.56) / 2)
+    wide = df.select("k", (F.col("v").cast("decimal(38,2)") * 10 ** 15).cast("decimal(38,2)").alias("v"))
+    assert {r.k: r.v_rank for r in ranks.avg_rank(wide, "v").collect()} == got
+    stamps = [dt.datetime(1969, 7, 20), dt.datetime(2024, 3, 31, 2, 30, 0, 1), dt.datetime(2024, 3, 31, 2, 30), None, dt.datetime(2400, 12, 31)]
+    for kind in ("timestamp_ntz", "timestamp"):
+        df = spark.createDataFrame([(i, s) for i, s in enumerate(stamps)], f"k int, v {kind}")
+        got = {r.k: r.v_rank for r in ranks.avg_rank(df, "v").collect()}
+        assert got == {0: 1.0, 1: 3.0, 2: 2.0, 3: None, 4: 4.0}
+    assert [r._pos for r in ranks.positions(df, [], ["v", "k"]).orderBy("k").collect()] == [0, 2, 1, 4, 3]
+
+
+def test_ranges_spread_a_hot_group(spark):
+    """One group holds all rows but ten, its keys are consecutive: no range has more than a few shares."""
+    n = 4
+    df = spark.range(20000).select((F.col("id") < 19990).alias("g"), (F.col("id") + 10 ** 12).alias("v"))
+    borders = ranks._ranges(df, F.col("v"), n)
+    rows = ranks.attach_row(df, borders).groupBy("g", ranks._range_of(F.col("v"), "_borders", n).alias("r")).count().collect()
+    assert max(r["count"] for r in rows) < 2 * 20000 / n and len({r["r"] for r in rows}) == n
+
+
 def test_robust_scale_and_zscore(skewed):
     df, pdf = skewed
     out = scale.robust_scale(df.select("k", "v"), ["v"]).toPandas().sort_values("k")
