@@ -71,7 +71,8 @@ def smooth_lm(df: DataFrame, x: str, y: str, by: Sequence[str] = (), points: int
     """Fitted line with confidence band on ``points`` x values per group (V4)."""
     by = list(by)
     fit = ols(df, y, [x], by, conf_level=level)
-    span = df.groupBy(*by).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
+    seen = F.when(F.col(y).isNotNull(), F.col(x))  # rows without a response are no part of the fit, nor of its range
+    span = df.groupBy(*by).agg(F.min(seen).alias("_lo"), F.max(seen).alias("_hi"))
     grid = span.select(*by, "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
                        .alias("_i"))
     grid = grid.withColumn(x, F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_i")

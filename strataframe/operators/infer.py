@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from strataframe.functions import dist
 from strataframe.operators.attach import attach_row
-from strataframe.functions.columns import pair_corr, safe_corr
+from strataframe.functions.columns import any_null, pair_corr, safe_corr
 from strataframe.operators.ols import fit_moments, moments
-from strataframe.operators.ranks import avg_rank
+from strataframe.operators.ranks import avg_ranks
 from strataframe.operators.reshape import spread
+from strataframe.operators.verbs import first_row
 
 YATES_METHOD = "Pearson's Chi-squared test with Yates' continuity correction"
 
@@ -21,16 +22,18 @@ YATES_METHOD = "Pearson's Chi-squared test with Yates' continuity correction"
 def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
     """Spearman correlation = Pearson correlation of average ranks."""
     d = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    r = avg_rank(avg_rank(d, x, by, "_rx"), y, by, "_ry")
+    r = avg_ranks(d.select(*by, x, y), [(x, by, "_rx"), (y, by, "_ry")])
     return r.groupBy(*by).agg(safe_corr("_rx", "_ry").alias("spearman"),
                               safe_corr(x, y).alias("pearson"))
 
 
 def corr_excluding(df: DataFrame, x: str, y: str, key: str, k) -> DataFrame:
-    """Correlation with and without the row whose key is k (M22), in one pass."""
-    keep = F.col(key) != F.lit(k)
-    return df.agg(safe_corr(x, y).alias("r_all"),
-                  pair_corr(F.when(keep, F.col(x)), F.when(keep, F.col(y))).alias("r_without"))
+    """Correlation with and without the row whose key is k (M22), in one pass. Rows without a key stay; a
+    NULL among the values that are left makes the result NULL."""
+    keep = ~F.col(key).eqNullSafe(F.lit(k))
+    kept = pair_corr(F.when(keep, F.col(x)), F.when(keep, F.col(y)))
+    holes = F.count_if(keep & any_null(x, y))
+    return df.agg(safe_corr(x, y).alias("r_all"), F.when(holes == 0, kept).alias("r_without"))
 
 
 def chisq_margins(table: DataFrame, yes: str, no: str) -> DataFrame:
@@ -78,11 +81,9 @@ def chisq_2x2(table: DataFrame, yes: str, no: str) -> DataFrame:
 def extreme_group(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
     """Group with the largest correlation (1 row): group, r (M24 first half).
 
-    One grouped aggregate, then one global ``min_by`` (ties to the smallest key)."""
+    One grouped aggregate, then the first row (ties to the smallest key)."""
     per = df.groupBy(group).agg(safe_corr(x, y).alias("r")).filter(F.col("r").isNotNull())
-    best = per.agg(F.min_by(F.struct(F.col(group), F.col("r")),
-                            F.struct(-F.col("r"), F.col(group))).alias("_b"))
-    return best.select(F.col("_b")[group].alias(group), F.col("_b.r").alias("r"))
+    return first_row(per, "r", group).select(group, "r")
 
 
 def extreme_group_fit(df: DataFrame, group: str, x: str, y: str):
@@ -95,10 +96,7 @@ def extreme_group_fit(df: DataFrame, group: str, x: str, y: str):
     mom = moments(df, y, [x], [group])           # index 0 = x, 1 = y
     r = F.when((F.col("c_0_0") > 0) & (F.col("c_1_1") > 0),
                F.col("c_0_1") / F.sqrt(F.col("c_0_0") * F.col("c_1_1")))
-    row = F.struct(*[F.col(c) for c in mom.columns])
-    best = (mom.withColumn("_r", r).filter(F.col("_r").isNotNull())
-            .agg(F.min_by(row, F.struct(-F.col("_r"), F.col(group))).alias("_b"))
-            .select("_b.*"))
+    best = first_row(mom.withColumn("_r", r).filter(F.col("_r").isNotNull()), "_r", group).drop("_r")
     return fit_moments(best, y, [x], [group])
 
 

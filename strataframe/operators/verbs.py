@@ -89,10 +89,16 @@ def label_extreme(df: DataFrame, by: Sequence[str], c: str, out: str,
             .drop("_min"))
 
 
+def first_row(df: DataFrame, value: str, key: str) -> DataFrame:
+    """The row with the largest ``value``, ties to the smallest ``key``; any type that can be ordered. Each task
+    passes on one row."""
+    return df.filter(F.col(value).isNotNull()).orderBy(F.col(value).desc(), F.col(key).asc_nulls_last()).limit(1)
+
+
 def argmax_row(df: DataFrame, key: str, value: str) -> DataFrame:
-    """1-row table: the key of the row with the largest value, ties to the smallest key."""
-    return (df.filter(F.col(value).isNotNull())
-            .agg(F.min_by(F.col(key), F.struct(-F.col(value), F.col(key))).alias(key)))
+    """1-row table: the key of the row with the largest value, ties to the smallest key (O5); NULL if
+    there is no value."""
+    return first_row(df.select(*dict.fromkeys([key, value])), value, key).agg(F.first(key).alias(key))
 
 
 def argmax_cols(cols_: Sequence[str], names: Sequence[str] | None = None) -> Column:
@@ -161,7 +167,8 @@ def sort_asc(df: DataFrame, *cs: str) -> DataFrame:
 
 def per_group(df: DataFrame, by: Sequence[str], fn: Callable, schema: str) -> DataFrame:
     """User function on each group returning a table (U1). The schema is required: an
-    unnamed, non-table result is an error (U3). Use the moment-based operators for fits."""
+    unnamed, non-table result is an error (U3). A whole group is one task: use the moment-based operators for
+    fits, and ``fold.fold_groups`` where a group may be large."""
     if not schema:
         raise ValueError("per_group needs an output schema: a result must be a table")
     from strataframe.session import ship_package
@@ -172,18 +179,19 @@ def per_group(df: DataFrame, by: Sequence[str], fn: Callable, schema: str) -> Da
 
 def skyline(df: DataFrame, by: Sequence[str], cost: str, value: str) -> DataFrame:
     """Rows no other row of the same group beats: none at most as costly and at least as
-    good, and strictly better in one of the two (C5).
+    good, and strictly better in one of the two (C5). Rows without a cost or value are dropped; equal rows stay.
 
-    Rows are first reduced to the best value per (group, cost) — a partial aggregate — and
-    the best value at any lower cost is a distributed running maximum over cost
-    (``running_before``), so a group holding most rows is still split across tasks.
+    Each batch of each task keeps the rows that none of its own beats (sort and sweep); only these
+    are shuffled and swept once more per group, by windows that can spill. So what a group's task gets
+    are the survivors of the batches: few, unless cost and value rise together over the whole table.
     """
-    from strataframe.operators.ranks import running_before
-
-    d = df.filter(F.col(cost).isNotNull() & F.col(value).isNotNull())
-    per_cost = d.groupBy(*by, cost).agg(F.max(value).alias("_vmax"))
-    best = running_before(per_cost, by, [cost], "_vmax", "max", out="_best_lower")
-    kept = join_by(d, best, [*by, cost]).filter(
-        (F.col(value) == F.col("_vmax"))
-        & (F.col("_best_lower").isNull() | (F.col(value) > F.col("_best_lower"))))
-    return kept.drop("_vmax", "_best_lower")
+    from strataframe.operators.sweep import undominated
+    from strataframe.session import ship_package
+
+    ship_package(df.sparkSession)
+    pool = df.filter(F.col(cost).isNotNull() & F.col(value).isNotNull())
+    few = pool.mapInArrow(undominated(list(by), cost, value), pool.schema)
+    group = list(by) or [F.lit(0)]
+    best = Window.partitionBy(*group).orderBy(cost).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    kept = few.withColumn("_best", F.max(value).over(best)).withColumn("_least", F.min(cost).over(Window.partitionBy(*group, value)))
+    return kept.filter((F.col(value) == F.col("_best")) & (F.col(cost) == F.col("_least"))).drop("_best", "_least")

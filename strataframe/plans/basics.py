@@ -10,7 +10,7 @@ from strataframe.functions.columns import (
 )
 from strataframe.operators import aggs, resample, reshape, scale, verbs
 from strataframe.operators.ols import slope_by
-from strataframe.operators.ranks import avg_rank, mad
+from strataframe.operators.ranks import avg_ranks, mad, positions
 from strataframe.plans.registry import register
 from strataframe.sources.fixtures import (
     admissions, appearances, award, batting, batting_year, children, events_xy, fielding,
@@ -452,14 +452,16 @@ def q_literal_join(spark, d):
 
 
 @register("sort_forms", """
-    (select 'desc' as how, teamID, yearID, R from team_season order by R desc, teamID desc, yearID desc limit 5)
+    select 'asc' as how, teamID, yearID, R, row_number() over (order by R, teamID, yearID) - 1 as place from team_season
     union all
-    (select 'asc' as how, teamID, yearID, R from team_season order by R, teamID, yearID limit 5)""", "R")
+    select 'desc' as how, teamID, yearID, R, row_number() over (order by R desc, teamID desc, yearID desc) - 1 as place from team_season""", "R")
 def q_sort_forms(spark, d):
+    """Every row with its place in both orders (O1, O2); the places of one order mirror those of the other."""
     ts = team_season(spark, d).select("teamID", "yearID", "R")
-    ends = {"desc": verbs.sort_desc(ts, "R", "teamID", "yearID"), "asc": verbs.sort_asc(ts, "R", "teamID", "yearID")}
-    first, last = (t.limit(5).select(F.lit(how).alias("how"), "teamID", "yearID", "R") for how, t in ends.items())
-    return verbs.append(first, last)
+    up = positions(ts, [], ["R", "teamID", "yearID"], out="place")
+    down = verbs.with_scalar(up, ts.agg((F.count("*") - 1).alias("_last"))).withColumn("place", F.col("_last") - F.col("place"))
+    forms = [t.select(F.lit(how).alias("how"), "teamID", "yearID", "R", "place") for how, t in (("asc", up), ("desc", down))]
+    return verbs.sort_desc(verbs.append(*forms), "how", "place")
 
 
 @register("noise", f"""
@@ -616,8 +618,7 @@ def q_share_of_total(spark, d):
     from events_xy""", "rank_all rank_in_group")
 def q_avg_rank(spark, d):
     e = events_xy(spark, d).select("event_id", "group", "observed_distance")
-    r = avg_rank(e, "observed_distance", out="rank_all")
-    r = avg_rank(r, "observed_distance", ["group"], out="rank_in_group")
+    r = avg_ranks(e, [("observed_distance", [], "rank_all"), ("observed_distance", ["group"], "rank_in_group")])
     return r.select("event_id", "rank_all", "rank_in_group")
 
 

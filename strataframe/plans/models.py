@@ -393,6 +393,26 @@ def q_chisq_test(spark, d):
     return infer.chisq_2x2(admission_table(spark, d), "total_admitted", "not_admitted")
 
 
+def order_table(spark, d):
+    """Orders with four lines or more against the others, by whether they have a returned line: a real difference."""
+    li = load(spark, d, "lineitem")
+    o = li.groupBy("l_orderkey").agg((F.count("*") >= 4).alias("long"), F.bool_or(F.col("l_returnflag") == "R").alias("back"))
+    return o.groupBy("long").agg(F.count_if("back").alias("yes"), F.count_if(~F.col("back")).alias("no"))
+
+
+ORDER_CHISQ_SQL = f"""
+    with t as (select long, count_if(back)::double as a, count_if(not back)::double as b from (
+                 select l_orderkey, count(*) >= 4 as long, bool_or(l_returnflag = 'R') as back from lineitem group by 1) group by long),
+    {CHISQ_SQL[CHISQ_SQL.index("m as"):]}"""
+
+
+@register("chisq_orders", f"""
+    select statistic, {erfc_sql('sqrt(statistic / 2)')} as p_value, parameter, method from ({ORDER_CHISQ_SQL})""", "statistic p_value")
+def q_chisq_orders(spark, d):
+    """The chi-square test on counts that differ: a large statistic, a p-value far below any absolute step."""
+    return infer.chisq_2x2(order_table(spark, d), "yes", "no")
+
+
 _ctes = ols_sql_ctes("fx", """(select * from sim_panel where "group" = (
             select arg_min("group", -r) from (select "group", corr(x, y) as r from sim_panel
                                               group by "group")))""", "y", ["x"], ["group"])

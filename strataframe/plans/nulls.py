@@ -13,6 +13,7 @@ from strataframe.plans.models import GALTON_CTE, rates_sql, team_rates_all
 from strataframe.plans.registry import ols_sql_ctes, ols_sql_intercept, register
 from strataframe.plans.sampling import SEED_FAMILY
 from strataframe.sources.fixtures import children, events_xy, person, salary
+from strataframe.sources.tables import load
 
 #: The event type whose rows get a NULL key, and every so many values that are NULL.
 NO_KEY, NO_VALUE = "click", 11
@@ -156,6 +157,50 @@ def q_corr_matrix_by(spark, d):
 
 
 # ---------------------------------------------------------------- NULL values
+HOLES_KEYED_SQL = f"""(select case when event_id % {NO_VALUE} = 0 then 'holes' else 'whole' end as kind, time,
+    case when event_id % {NO_VALUE} <> 0 then observed_distance end as v from events_xy)"""
+
+
+@register("corr_excl_nulls", f"""
+    select 'no such key' as what, corr(time, observed_distance) as r_all, corr(time, observed_distance) as r_without from events_xy
+    union all
+    select 'a key', corr(time, observed_distance), corr(time, observed_distance) filter (where event_type not in ('view') or event_type = '{NO_KEY}') from events_xy
+    union all
+    select 'NULL values', null, null from events_xy having count(*) > 0
+    union all
+    select 'NULLs left out', null, corr(time, v) from {HOLES_KEYED_SQL} where kind <> 'holes'""", "r_all r_without")
+def q_corr_excl_nulls(spark, d):
+    """Correlation without a key's rows where keys or values are NULL (M22): rows without a key stay, NULLs among the
+    rows that are left give NULL, NULLs among the excluded rows do not."""
+    e = events_xy(spark, d)
+    kind = F.nullif(F.col("event_type"), F.lit(NO_KEY)).alias("kind")
+    plain = e.select(kind, "time", F.col("observed_distance").alias("v"))
+    some = e.select(kind, "time", F.when(F.col("event_id") % NO_VALUE != 0, F.col("observed_distance")).alias("v"))
+    odd = e.select(F.when(F.col("event_id") % NO_VALUE == 0, "holes").otherwise("whole").alias("kind"), "time",
+                   F.when(F.col("event_id") % NO_VALUE != 0, F.col("observed_distance")).alias("v"))
+    parts = {"no such key": (plain, "none"), "a key": (plain, "view"), "NULL values": (some, "view"), "NULLs left out": (odd, "holes")}
+    out = [infer.corr_excluding(t, "time", "v", "kind", k).select(F.lit(what).alias("what"), "r_all", "r_without") for what, (t, k) in parts.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
+@register("smooth_nulls", f"""
+    select kind, _i, lo + (hi - lo) * _i / 79.0 as w from (
+        select kind, min(w) as lo, max(w) as hi from {HOLES_SQL} where v is not null group by kind), (select cast(range as integer) as _i from range(80))""", "w")
+def q_smooth_nulls(spark, d):
+    """The grid of a fitted line spans the rows that have a response (V4)."""
+    return binning.smooth_lm(holes(spark, d).withColumn("w", F.col("w").cast("double")), "w", "v", ["kind"]).select("kind", "_i", "w")
+
+
+@register("argmax_types", """
+    select arg_max(o_orderkey, struct_pack(a := o_orderdate, b := -o_orderkey)) as by_date,
+           arg_max(o_orderkey, struct_pack(a := o_orderpriority, b := -o_orderkey)) as by_text from orders""")
+def q_argmax_types(spark, d):
+    """The row with the latest date and the one with the greatest text, ties to the smallest key."""
+    o = load(spark, d, "orders")
+    first, last = (verbs.argmax_row(o, "o_orderkey", c) for c in ("o_orderdate", "o_orderpriority"))
+    return verbs.with_scalar(first.withColumnRenamed("o_orderkey", "by_date"), last.withColumnRenamed("o_orderkey", "by_text"))
+
+
 @register("strict_nulls", f"""
     select kind, case when count(v) = count(*) then avg(v) end as mean, case when count(v) = count(*) then median(v) end as median,
            case when count(v) = count(*) then sum(v * w) / sum(w) end as wmean,
@@ -182,8 +227,8 @@ def q_first_with_nulls(spark, d):
     return verbs.first_per_group(holes(spark, d), ["kind", "w"], "v", "event_id").select("event_id", "kind", "v")
 
 
-_LEFT = "(select nullif(playerID % 50, 7) as k, playerID as a from person where playerID % 3 = 0)"
-_RIGHT = "(select nullif(playerID % 50, 7) as k, sum(salary) as b from salary where playerID % 50 < 30 group by 1)"
+_LEFT = "(select nullif(playerID % 50, 7) as k, playerID as a from person)"
+_RIGHT = "(select nullif(playerID % 50 + 10, 17) as k, sum(salary) as b from salary group by 1)"
 
 
 @register("joins_null", f"""
@@ -192,10 +237,11 @@ _RIGHT = "(select nullif(playerID % 50, 7) as k, sum(salary) as b from salary wh
     union all select 'inner', l.k, l.a, r.b from {_LEFT} l join {_RIGHT} r on l.k is not distinct from r.k
     union all select 'sql', l.k, l.a, r.b from {_LEFT} l join {_RIGHT} r on l.k = r.k""", "b")
 def q_joins_null(spark, d):
-    """Joins on a key that is NULL in both tables: R matches them, SQL does not."""
-    key = F.nullif(F.col("playerID") % 50, F.lit(7)).alias("k")
-    left = person(spark, d).filter(F.col("playerID") % 3 == 0).select(key, F.col("playerID").alias("a"))
-    right = salary(spark, d).filter(F.col("playerID") % 50 < 30).groupBy(key).agg(F.sum("salary").alias("b"))
+    """Joins of whole tables on a key that is NULL in both: R matches them, SQL does not (J1–J3). Either side has
+    keys that the other lacks."""
+    key = F.col("playerID") % 50
+    left = person(spark, d).select(F.nullif(key, F.lit(7)).alias("k"), F.col("playerID").alias("a"))
+    right = salary(spark, d).groupBy(F.nullif(key + 10, F.lit(17)).alias("k")).agg(F.sum("salary").alias("b"))
     tables = {"left": verbs.left_join(left, right, ["k"]), "right": verbs.right_join(left, right, ["k"]),
               "inner": verbs.join_suffix(left, right, ["k"]), "sql": verbs.join_suffix(left, right, ["k"], null_matches=False)}
     out = [t.select(F.lit(how).alias("how"), "k", "a", "b") for how, t in tables.items()]

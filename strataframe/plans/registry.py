@@ -2,7 +2,7 @@
 
 Each query takes (spark, sf_dir) and returns a DataFrame. Doubles are rounded the same way
 on both sides, so the two engines hash identically: to nine significant digits, in steps of
-1e-11 at least (plus 0.0 to fold negative zero).
+1e-11 at least, p-values to nine significant digits however small (plus 0.0 to fold negative zero).
 """
 
 from __future__ import annotations
@@ -20,22 +20,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 #: Significant digits that are compared, and decimals at most: beyond them two engines' sums differ.
 SIG_DIGITS, DECIMALS = 9, 11
+#: Decimals of columns that no difference of sums goes into, by the end of their name.
+TAILS, TAIL_DECIMALS = "p_value", 300
 
 
-def round_double(c):
-    """Nine significant digits at every magnitude, eleven decimals at most; -0.0 becomes 0.0.
+def _decimals(name: str) -> int:
+    return TAIL_DECIMALS if name.endswith(TAILS) else DECIMALS
+
+
+def round_double(c, decimals: int = DECIMALS):
+    """Nine significant digits at every magnitude, ``decimals`` at most; -0.0 becomes 0.0.
 
     Plain double arithmetic (half away from zero) on whole powers of ten, written identically in
     the SQL twin so both engines perform the same IEEE operations.
     """
-    places = F.least(SIG_DIGITS - 1 - F.floor(F.log10(F.abs(c))), F.lit(DECIMALS))
+    places = F.least(SIG_DIGITS - 1 - F.floor(F.log10(F.abs(c))), F.lit(decimals))
     up, down = F.pow(F.lit(10.0), F.greatest(places, F.lit(0))), F.pow(F.lit(10.0), F.greatest(-places, F.lit(0)))
     rounded = F.signum(c) * (F.floor(F.abs(c) * up / down + 0.5) * down / up)
     return F.when(c == 0, F.lit(0.0)).otherwise(rounded) + F.lit(0.0)
 
 
-def round_double_sql(c: str) -> str:
-    places = f"least({SIG_DIGITS - 1} - floor(log10(abs({c}))), {DECIMALS})"
+def round_double_sql(c: str, decimals: int = DECIMALS) -> str:
+    places = f"least({SIG_DIGITS - 1} - floor(log10(abs({c}))), {decimals})"
     up, down = f"pow(10.0, greatest({places}, 0))", f"pow(10.0, greatest(-({places}), 0))"
     return (f"(case when {c} = 0 then 0.0 else sign({c}) * (floor(abs({c}) * {up} / {down} + 0.5) * {down} / {up}) end"
             " + 0.0)")
@@ -47,7 +53,7 @@ def finish(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            out.append(round_double(c.cast("double")).alias(f.name))
+            out.append(round_double(c.cast("double"), _decimals(f.name)).alias(f.name))
         else:
             out.append(c)
     return df.select(*out)
@@ -58,7 +64,7 @@ def oracle(main: str, doubles: Sequence[str] | str = (), ctes: dict | None = Non
     if isinstance(doubles, str):
         doubles = doubles.split()
     if doubles:
-        rep = ", ".join(f'{round_double_sql(chr(34) + c + chr(34))} as "{c}"' for c in doubles)
+        rep = ", ".join(f'{round_double_sql(chr(34) + c + chr(34), _decimals(c))} as "{c}"' for c in doubles)
         main = f"select * replace ({rep}) from (\n{main}\n) _q"
     return with_fixtures(main, ctes)
 
@@ -150,8 +156,19 @@ def ols_sql_tidy(prefix: str, xs: Sequence[str], by: Sequence[str] = (),
 
 # ---------------------------------------------------------------- tails in SQL (oracle only)
 def t_p_sql(t: str, df: str) -> str:
-    """P(|T| > |t|) for whole degrees of freedom: the finite series in the cosine of the angle whose
-    tangent is |t| / sqrt(df)."""
+    """P(|T| > |t|) for whole degrees of freedom, to small relative error: the series of positive terms of the
+    incomplete beta where it converges fast, which is where the tail is thin; else one minus the finite series."""
+    x = f"(-ln(1 + ({t}) * ({t}) / ({df})))"  # log of df / (df + t * t)
+    a = f"({df} / 2.0)"
+    front = (f"exp({a} * {x} + 0.5 * (ln(({t}) * ({t}) / ({df})) + {x}) - ln({a}) - lgamma({a}) - lgamma(0.5::double) + lgamma({a} + 0.5))")
+    series = (f"list_sum(list_transform(range(0, 20000), lambda j: exp(lgamma({a} + 0.5 + j) - lgamma({a} + 0.5) "
+              f"- lgamma({a} + 1 + j) + lgamma({a} + 1) + j * {x})))")
+    return f"(case when ({t}) * ({t}) > 0.002 * ({df}) then {front} * {series} else {t_p_middle_sql(t, df)} end)"
+
+
+def t_p_middle_sql(t: str, df: str) -> str:
+    """P(|T| > |t|) for whole degrees of freedom, to small absolute error: the finite series in the cosine of the
+    angle whose tangent is |t| / sqrt(df)."""
     angle = f"atan(abs({t}) / sqrt({df}))"
     power = f"(2.0 * j * ln(greatest(cos({angle}), 1e-300)))"
     even = (f"sin({angle}) * list_sum(list_transform(range(0, cast({df} as bigint) // 2), "
@@ -163,7 +180,7 @@ def t_p_sql(t: str, df: str) -> str:
 
 def t_crit_ctes(dfs: str, name: str = "crit", level: float = 0.95) -> dict[str, str]:
     """CTE (df, t_crit): the quantile by 60 halvings between 0 and 64, for the df of ``dfs``."""
-    p = t_p_sql("((lo + hi) / 2)", "df")
+    p = t_p_middle_sql("((lo + hi) / 2)", "df")
     return {f"{name}_steps": f"""select df, 0 as step, 0.0::double as lo, 64.0::double as hi from ({dfs}) where df > 0
             union all select df, step + 1, case when {p} > {1 - level!r} then (lo + hi) / 2 else lo end,
                    case when {p} > {1 - level!r} then hi else (lo + hi) / 2 end
@@ -183,6 +200,9 @@ def f_p_sql(f: str, k: int, d2: str) -> str:
 
 
 def erfc_sql(x: str) -> str:
-    """erfc of a small number by its power series."""
-    return (f"(1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 80), lambda n: (case when n % 2 = 0 then 1 else -1 end) "
-            f"* exp((2 * n + 1) * ln(greatest({x}, 1e-300)) - lgamma(n + 1.0)) / (2 * n + 1))))")
+    """erfc by its power series up to 1.5, beyond by the continued fraction from its 400th step back."""
+    small = (f"(1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 80), lambda n: (case when n % 2 = 0 then 1 else -1 end) "
+             f"* exp((2 * n + 1) * ln(greatest({x}, 1e-300)) - lgamma(n + 1.0)) / (2 * n + 1))))")
+    large = (f"(exp(-({x}) * ({x})) / sqrt(pi()) / list_reduce(list_prepend(({x})::double, list_transform(range(0, 400), lambda k: (400 - k) / 2.0::double)), "
+             f"lambda f, k: ({x}) + k / f))")
+    return f"(case when ({x}) < 1.5 then {small} else {large} end)"
