@@ -103,7 +103,12 @@ def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lists = table["vector"].combine_chunks()
     lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
     flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    return table["id"].to_numpy(), table["key"].to_numpy(), flat.reshape(table.num_rows, -1)
+    return table["id"].combine_chunks(), table["key"].to_numpy(), flat.reshape(table.num_rows, -1)
+
+
+def _order(ids: pa.Array) -> np.ndarray:
+    """Ids as numbers by which ties are settled; null ids come last."""
+    return ids.fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
 
 
 _FOUND = "query long, query_key long, id long, score long"
@@ -111,7 +116,7 @@ _FOUND = "query long, query_key long, id long, score long"
 
 def _found(ids, queries, keys, result) -> pa.Table:
     at = np.array([(i, r) for i, r, _ in result], np.int64).reshape(-1, 2)
-    return pa.table({"query": pa.array(queries[at[:, 0]]), "query_key": pa.array(keys[at[:, 0]]), "id": pa.array(ids[at[:, 1]]),
+    return pa.table({"query": queries.take(pa.array(at[:, 0])), "query_key": pa.array(keys[at[:, 0]]), "id": ids.take(pa.array(at[:, 1])),
                      "score": pa.array([s for _, _, s in result], pa.int64())})
 
 
@@ -121,7 +126,7 @@ def _first(k: int):
     def run(table: pa.Table) -> pa.Table:
         ids, keys, vectors = _matrix(table)
         asks = table["asks"].to_numpy()
-        result = search(Tree(vectors), ids, keys, vectors[asks], keys[asks], np.full(int(asks.sum()), -np.inf), k)
+        result = search(Tree(vectors), _order(ids), keys, vectors[asks], keys[asks], np.full(int(asks.sum()), -np.inf), k)
         seen = np.bincount([i for i, _, _ in result], minlength=int(asks.sum()))
         least = np.full(len(seen), np.iinfo(np.int64).min)
         for i, _, s in result:
@@ -135,10 +140,11 @@ def _first(k: int):
 def _rest(k: int):
     def run(table: pa.Table, asked: pa.Table) -> pa.Table:
         if not table.num_rows or not asked.num_rows:
-            return _found(*(np.zeros(0, np.int64),) * 3, [])
+            none = pa.array([], pa.int64())
+            return _found(none, none, np.zeros(0, np.int64), [])
         ids, keys, vectors = _matrix(table)
         q_ids, q_keys, queries = _matrix(asked)
-        return _found(ids, q_ids, q_keys, search(Tree(vectors), ids, keys, queries, q_keys, asked["at_least"].to_numpy().astype(float), k))
+        return _found(ids, q_ids, q_keys, search(Tree(vectors), _order(ids), keys, queries, q_keys, asked["at_least"].to_numpy().astype(float), k))
 
     return run
 
@@ -148,7 +154,8 @@ def top_k(rows: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id",
     the greatest inner product, ties to the smaller id; all of them if they are fewer.
 
     Vectors are arrays of longs. Null vectors take no part. Vectors only meet those of as many components.
-    Rows that repeat an id are rows of their own, and each other's candidates.
+    Rows that repeat an id are rows of their own, and each other's candidates. A row without an id is a candidate like any
+    other, last among ties, and a query if ``queries`` selects it.
     """
     table = written(rows.where(F.col(vector_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(vector_col).alias("vector"), F.size(vector_col).alias("dim"),
@@ -161,6 +168,6 @@ def top_k(rows: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id",
     every = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<long>")))
     each = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
     found = each.groupBy("dim", "shard", "block").cogroup(every.groupBy("dim", "shard", "block")).applyInArrow(_rest(k), _FOUND)
-    rank = F.row_number().over(Window.partitionBy("query_key").orderBy(F.desc("score"), "id"))
+    rank = F.row_number().over(Window.partitionBy("query_key").orderBy(F.desc("score"), F.col("id").asc_nulls_last()))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select(
         F.col("query").alias("query_id"), F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), "score")

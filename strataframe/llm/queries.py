@@ -74,7 +74,7 @@ OP3_SQL = rf"""
 with c as (select conv_id, turn, role, text from conversations union all
   select * from (values (-1, 0, 'user', '{INJECTION}'), (-1, 1, 'assistant', '{INJECTION}')) v(conv_id, turn, role, text)),
 t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from c),
-l as (select *, length(role) + length(text) + length(role || text) - length(replace(role || text, '', ''))
+l as (select *, length(role) + length(text) + length(role || text) - length(replace(role || text, chr(92), ''))
   + (length(role) - length(replace(role, '<|', '')) + length(text) - length(replace(text, '<|', ''))) // 2
   + length(role) - length(replace(role, chr(10), '')) + 24 as n from t)
 select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,

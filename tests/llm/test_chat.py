@@ -100,3 +100,19 @@ def test_digests(spark):
 def test_empty_table(spark):
     table = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.conversation_digests(chat.read_back(chat.render(chat.fold_events(chat.as_events(table))))).count() == 0
+
+
+def test_lengths_of_texts_with_backslashes(spark, tmp_path):
+    """The SQL of the query on conversations that hold what the template escapes."""
+    import duckdb
+
+    from strataframe.llm.queries import ORACLE, QUERIES
+
+    rows = [(1, k, "assistant" if k % 2 else "user", t) for k, t in enumerate(TEXTS)] + [(2, 0, "user", "C:\\new\\<|table|>"), (3, 0, "a\\b", "\\")]
+    path = str(tmp_path / "conversations.parquet")
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(path)
+    con = duckdb.connect()
+    con.sql(f"create view conversations as select * from read_parquet('{path}/*.parquet')")
+    want = con.sql(ORACLE["op3_chat_format"]).df()
+    got = QUERIES["op3_chat_format"](spark, str(tmp_path)).toPandas()[want.columns.tolist()]
+    assert sorted(map(repr, got.values.tolist())) == sorted(map(repr, want.values.tolist())) and len(want) == 4
