@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataframe.functions import dist
+from strataframe.functions import tails
 from strataframe.operators.attach import attach_row
 from strataframe.functions.columns import any_null, pair_corr, safe_corr
 from strataframe.operators.ols import fit_moments, moments
@@ -65,17 +65,8 @@ def chisq_margins(table: DataFrame, yes: str, no: str) -> DataFrame:
 
 def chisq_2x2(table: DataFrame, yes: str, no: str) -> DataFrame:
     """``tidy(chisq.test(.))`` on a 2×2 table: statistic, p_value, parameter, method."""
-    def add_p(batches):
-        for b in batches:
-            b = b.copy()
-            b.insert(1, "p_value", dist.chi2_1df_upper_p(b["statistic"].to_numpy(dtype=float)))
-            yield b
-
-    from strataframe.session import ship_package
-
-    ship_package(table.sparkSession)
-    return chisq_margins(table, yes, no).mapInPandas(
-        add_p, "statistic double, p_value double, parameter long, method string")
+    return chisq_margins(table, yes, no).select(
+        "statistic", F.expr(tails.chi2_1df_upper_p("statistic")).alias("p_value"), "parameter", "method")
 
 
 def extreme_group(df: DataFrame, group: str, x: str, y: str) -> DataFrame:

@@ -19,12 +19,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataframe.functions import dist
+from strataframe.functions import tails
 from strataframe.operators.attach import join_by
 from strataframe.functions.columns import pair_corr, slope_moments, strict
 
 INTERCEPT = "(Intercept)"
-#: Fits of so many predictors are solved by Column arithmetic where no tails are asked for.
+#: Fits of up to so many predictors are solved by Column arithmetic; larger ones by the same sweep in numpy.
 COLUMN_PREDICTORS = 2
 ALIAS_TOL = 1e-7  # on norms: a predictor whose residual norm is below this share of its own is aliased
 
@@ -54,9 +54,8 @@ def _fit_schema(by_fields: str) -> str:
     arr = "array<double>"
     return (f"{by_fields}n long, rank int, df_residual long, rss double, tss double, "
             f"sigma double, r_squared double, adj_r_squared double, f_statistic double, "
-            f"f_p_value double, log_lik double, aic double, bic double, ybar double, "
-            f"t_crit double, "
-            f"coef {arr}, se {arr}, t {arr}, p {arr}, conf_low {arr}, conf_high {arr}, "
+            f"log_lik double, aic double, bic double, ybar double, "
+            f"coef {arr}, se {arr}, t {arr}, "
             f"xbar {arr}, inv {arr}")
 
 
@@ -64,9 +63,8 @@ def _nan_to_none(a: np.ndarray) -> list:
     return [None if not np.isfinite(v) else float(v) for v in a]
 
 
-def solve_moments(batch: pd.DataFrame, k: int, conf_level: float, tol: float = ALIAS_TOL,
-                  tails: bool = True):
-    """Vectorised sweep-operator solve of a batch of moment rows (pure numpy)."""
+def solve_moments(batch: pd.DataFrame, k: int, tol: float = ALIAS_TOL):
+    """Vectorised sweep-operator solve of a batch of moment rows (pure numpy), without the tails."""
     g = len(batch)
     n = batch["n"].to_numpy(dtype=float)
     m = k + 1
@@ -110,17 +108,10 @@ def solve_moments(batch: pd.DataFrame, k: int, conf_level: float, tol: float = A
         coef = np.concatenate([intercept[:, None], beta], axis=1)
         se = np.concatenate([np.sqrt(var_int)[:, None], se_b], axis=1)
         tstat = coef / se
-        dfm = np.repeat(df_res[:, None], k + 1, axis=1)
-        none = np.full(g, np.nan)
-        pval = dist.t_two_sided_p(tstat, dfm) if tails else np.full(tstat.shape, np.nan)
-        q = dist.t_quantile(0.5 + conf_level / 2.0, df_res) if tails else none
-        lo = coef - q[:, None] * se
-        hi = coef + q[:, None] * se
         r2 = np.where(tss > 0, 1.0 - rss / np.where(tss > 0, tss, 1.0), np.nan)
         adj = np.where(df_res > 0, 1.0 - (1.0 - r2) * (n - 1.0) / df_res, np.nan)
         mss = np.maximum(tss - rss, 0.0)
         fstat = np.where((rank > 0) & (df_res > 0), (mss / np.maximum(rank, 1)) / sigma2, np.nan)
-        fp = dist.f_upper_p(fstat, rank.astype(float), df_res) if tails else none
         ll = np.where(rss > 0, 0.5 * (-n * (math.log(2 * math.pi) + 1.0 - np.log(n)
                                              + np.log(np.where(rss > 0, rss, 1.0)))), np.nan)
         aic = -2.0 * ll + 2.0 * (rank + 2.0)
@@ -128,11 +119,10 @@ def solve_moments(batch: pd.DataFrame, k: int, conf_level: float, tol: float = A
     out = pd.DataFrame({
         "n": n.astype("int64"), "rank": rank.astype("int32"), "df_residual": df_res.astype("int64"),
         "rss": rss, "tss": tss, "sigma": np.sqrt(sigma2), "r_squared": r2,
-        "adj_r_squared": adj, "f_statistic": fstat, "f_p_value": fp, "log_lik": ll,
-        "aic": aic, "bic": bic, "ybar": ybar, "t_crit": q,
+        "adj_r_squared": adj, "f_statistic": fstat, "log_lik": ll,
+        "aic": aic, "bic": bic, "ybar": ybar,
         "coef": [_nan_to_none(r) for r in coef], "se": [_nan_to_none(r) for r in se],
-        "t": [_nan_to_none(r) for r in tstat], "p": [_nan_to_none(r) for r in pval],
-        "conf_low": [_nan_to_none(r) for r in lo], "conf_high": [_nan_to_none(r) for r in hi],
+        "t": [_nan_to_none(r) for r in tstat],
         "xbar": [_nan_to_none(r) for r in xbar],
         "inv": [_nan_to_none(r.reshape(-1)) for r in inv],
     })
@@ -140,7 +130,7 @@ def solve_moments(batch: pd.DataFrame, k: int, conf_level: float, tol: float = A
 
 
 def solve_columns(mom: DataFrame, k: int, by: Sequence[str], tol: float = ALIAS_TOL) -> DataFrame:
-    """``solve_moments`` without tails as Column arithmetic: the sweep of each predictor is one
+    """``solve_moments`` as Column arithmetic: the sweep of each predictor is one
     projection, so a fit with few predictors has no Python stage."""
     m = k + 1
     at = lambda step, i, j: F.col(f"_a{step}_{i}_{j}")
@@ -177,7 +167,6 @@ def solve_columns(mom: DataFrame, k: int, by: Sequence[str], tol: float = ALIAS_
     quad = sum((x(i) * x(j) * iv(i, j) for i in range(k) for j in range(k)), F.lit(0.0))
     se = [F.sqrt(s2 * (1.0 / n + quad)), *[F.when(ok[i], F.sqrt(s2 * iv(i, i))) for i in range(k)]]
     work = work.withColumn("coef", F.concat(F.array(intercept), F.col("_beta"))).withColumn("se", F.array(*se))
-    none, nothing = F.lit(None).cast("double"), F.lit(None).cast("array<double>")
     mss = F.greatest(F.col("tss") - F.col("rss"), F.lit(0.0))
     r2 = F.when(F.col("tss") > 0, 1.0 - F.col("rss") / F.col("tss"))
     f = F.when((F.col("rank") > 0) & (F.col("df_residual") > 0),
@@ -188,9 +177,19 @@ def solve_columns(mom: DataFrame, k: int, by: Sequence[str], tol: float = ALIAS_
     return work.select(
         *by, "n", "rank", "df_residual", "rss", "tss", F.sqrt(s2).alias("sigma"), r2.alias("r_squared"),
         F.when(F.col("df_residual") > 0, 1.0 - (1.0 - r2) * (n - 1) / F.col("df_residual")).alias("adj_r_squared"),
-        f.alias("f_statistic"), none.alias("f_p_value"), "log_lik", (-2.0 * F.col("log_lik") + 2.0 * (F.col("rank") + 2)).alias("aic"),
-        (-2.0 * F.col("log_lik") + F.ln(n) * (F.col("rank") + 2)).alias("bic"), "ybar", none.alias("t_crit"),
-        "coef", "se", t.alias("t"), nothing.alias("p"), nothing.alias("conf_low"), nothing.alias("conf_high"), "xbar", "inv")
+        f.alias("f_statistic"), "log_lik", (-2.0 * F.col("log_lik") + 2.0 * (F.col("rank") + 2)).alias("aic"),
+        (-2.0 * F.col("log_lik") + F.ln(n) * (F.col("rank") + 2)).alias("bic"), "ybar",
+        "coef", "se", t.alias("t"), "xbar", "inv")
+
+
+def with_tails(solved: DataFrame, conf_level: float) -> DataFrame:
+    """p-values, t quantile, intervals and the F-test's p-value of solved fits, as Column arithmetic."""
+    p = F.expr(f"transform(t, x -> {tails.t_two_sided_p('x', 'df_residual')})")
+    out = solved.select("*", p.alias("p"), F.expr(tails.t_critical(conf_level, "df_residual")).alias("t_crit"),
+                        F.expr(tails.f_upper_p("f_statistic", "rank", "df_residual")).alias("f_p_value"))
+    ends = F.arrays_zip("coef", "se")
+    low = F.transform(ends, lambda z: z["coef"] - F.col("t_crit") * z["se"])
+    return out.select("*", low.alias("conf_low"), F.transform(ends, lambda z: z["coef"] + F.col("t_crit") * z["se"]).alias("conf_high"))
 
 
 class Fit:
@@ -204,20 +203,20 @@ class Fit:
     @property
     def fit_df(self) -> DataFrame:
         """One row per group, without the tails."""
-        return self._solved(False)
+        return self._solved()
 
     @property
     def inference_df(self) -> DataFrame:
         """One row per group with p-values, t quantile and intervals."""
-        return self._solved(True)
+        return with_tails(self._solved(), self.conf_level)
 
     # -------------------------------------------------------------- tables
     def tidy(self, conf_int: bool = False, p_values: bool = True) -> DataFrame:
         """term, estimate, std_error, statistic[, p_value][, conf_low, conf_high]."""
         names = F.array(*[F.lit(t) for t in self.terms])
         source = self.inference_df if conf_int or p_values else self.fit_df
-        ex = source.select(*self.by, F.posexplode("coef").alias("_i", "estimate"),
-                                "se", "t", "p", "conf_low", "conf_high")
+        more = (["p"] if p_values else []) + (["conf_low", "conf_high"] if conf_int else [])
+        ex = source.select(*self.by, F.posexplode("coef").alias("_i", "estimate"), "se", "t", *more)
         cols = [*self.by, F.element_at(names, F.col("_i") + 1).alias("term"), "estimate",
                 F.col("se")[F.col("_i")].alias("std_error"),
                 F.col("t")[F.col("_i")].alias("statistic")]
@@ -295,13 +294,27 @@ class Fit:
                                                    F.col("_sigma") * F.sqrt(one_m_h))))
         return d.drop("_coef", "_xbar", "_inv", "_sigma", "_n", "_rss", "_rank", "_dfr")
 
-    def summary(self, df: DataFrame) -> dict:
-        """Residual five-number summary + coefficient table + fit statistics."""
+    def _residual_quantiles(self, df: DataFrame) -> DataFrame:
         from strataframe.operators.ranks import quantiles
 
-        res = quantiles(self.augment(df), "resid", [0.0, 0.25, 0.5, 0.75, 1.0], self.by,
-                        ["min", "q1", "median", "q3", "max"])
-        return {"residuals": res, "coefficients": self.tidy(), "fit": self.glance()}
+        return quantiles(self.augment(df), "resid", [0.0, 0.25, 0.5, 0.75, 1.0], self.by,
+                         ["min", "q1", "median", "q3", "max"])
+
+    def summary(self, df: DataFrame) -> dict:
+        """Residual five-number summary + coefficient table + fit statistics (M17), as three tables."""
+        return {"residuals": self._residual_quantiles(df), "coefficients": self.tidy(), "fit": self.glance()}
+
+    def summary_table(self, df: DataFrame) -> DataFrame:
+        """The whole summary as one table: (by..., section, item, measure, value)."""
+        def long(table: DataFrame, section: str, item: Column, measures: Sequence[str]) -> DataFrame:
+            rows = table.select(*self.by, F.lit(section).alias("section"), item.alias("item"), *[F.col(m).cast("double").alias(m) for m in measures])
+            return rows.unpivot([*self.by, "section", "item"], list(measures), "measure", "value")
+
+        none = F.lit(None).cast("string")
+        parts = [long(self._residual_quantiles(df), "residuals", none, ["min", "q1", "median", "q3", "max"]),
+                 long(self.tidy(), "coefficients", F.col("term"), ["estimate", "std_error", "statistic", "p_value"]),
+                 long(self.glance(), "fit", none, ["sigma", "df_residual", "r_squared", "adj_r_squared", "statistic", "df", "p_value"])]
+        return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = (),
@@ -321,15 +334,15 @@ def fit_moments(mom: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = (
                         for f in mom.schema.fields if f.name in by)
     k = len(xs)
 
-    def solved(tails: bool) -> DataFrame:
-        if k <= COLUMN_PREDICTORS and not tails:
+    def solved() -> DataFrame:
+        if k <= COLUMN_PREDICTORS:
             return solve_columns(mom, k, by)
 
         def run(batches):
             for b in batches:
                 if len(b) == 0:
                     continue
-                out = solve_moments(b, k, conf_level, tails=tails)
+                out = solve_moments(b, k)
                 for c in reversed(by):
                     out.insert(0, c, b[c].to_numpy())
                 yield out

@@ -262,14 +262,14 @@ def player_rates(spark, d, years=(1996, 1998), min_pa=3000):
            "_singles": agg_sum(F.col("H") - F.col("X2B") - F.col("X3B") - F.col("HR")),
            "_doubles": agg_sum("X2B"), "_triples": agg_sum("X3B"), "_hr": agg_sum("HR"),
            "_h": agg_sum("H"), "_ab": agg_sum("AB")}
-    per = aggs.summarize_seq(b, ["playerID"], raw, [], keep_raw=True)
-    per = verbs.with_scalar(per, pa_per_game(spark, d))
-    steps = [("G", safe_div("_pa", "pa_per_game")),
+    b = verbs.with_scalar(b, pa_per_game(spark, d))
+    raw["_ppg"] = F.max("pa_per_game")
+    steps = [("G", safe_div("_pa", "_ppg")),  # from here on G, BB, HR and PA are the results, not the source's columns
              ("BB", safe_div("_bb", "G")), ("singles", safe_div("_singles", "G")),
              ("doubles", safe_div("_doubles", "G")), ("triples", safe_div("_triples", "G")),
              ("HR", safe_div("_hr", "G")), ("AVG", safe_div("_h", "_ab")),
              ("PA", F.col("_pa"))]
-    out = verbs.mutate(per, steps).filter(F.col("PA") >= min_pa)
+    out = aggs.summarize_seq(b, ["playerID"], raw, steps).filter(F.col("PA") >= min_pa)
     return out.select("playerID", "BB", "singles", "doubles", "triples", "HR", "AVG", "PA")
 
 
@@ -367,8 +367,9 @@ def q_summarize_at(spark, d):
     return aggs.summarize_at(batting(spark, d), ["yearID"], ["AB", "H", "BB", "HR"], agg_sum)
 
 
-# The first five position column names of the analysed appearances table.
-POSITION_NAMES = ["G_p", "G_c", "G_1b", "G_2b", "G_3b"]
+# The position column names of the analysed appearances table.
+NINE_NAMES = ["G_p", "G_c", "G_1b", "G_2b", "G_3b", "G_ss", "G_lf", "G_cf", "G_rf"]
+POSITION_NAMES = NINE_NAMES[:5]
 ARGMAX_SQL = ("case " + " ".join(
     f"when G_{i + 1} = greatest(G_1, G_2, G_3, G_4, G_5) then '{n}'"
     for i, n in enumerate(POSITION_NAMES)) + " end")
@@ -672,3 +673,16 @@ def q_scatter_pairs(spark, d):
 
 __all__ = ["galton", "team_rates", "hr_strata", "player_rates", "modal_position",
            "pa_per_game"]
+
+
+_NINE = ", ".join(f"count_if(o_orderkey % 9 = {i}) as g{i}" for i in range(9))
+_NINE_CASE = "case " + " ".join(f"when g{i} = greatest({', '.join(f'g{j}' for j in range(9))}) then '{n}'" for i, n in enumerate(NINE_NAMES)) + " end"
+
+
+@register("argmax_nine", f"""
+    select playerID, {_NINE_CASE} as POS from (select o_custkey as playerID, {_NINE} from orders group by 1)""")
+def q_argmax_nine(spark, d):
+    """The most frequent of all nine positions, the first one on ties."""
+    counts = load(spark, d, "orders").groupBy(F.col("o_custkey").alias("playerID")).agg(
+        *[F.count_if(F.col("o_orderkey") % 9 == i).alias(n) for i, n in enumerate(NINE_NAMES)])
+    return counts.select("playerID", verbs.argmax_cols(NINE_NAMES).alias("POS"))

@@ -284,6 +284,32 @@ def q_summary_fit(spark, d):
     return ols(g, "son", ["father"]).summary(g)["residuals"]
 
 
+_tidy_g, _ctes_g = _tidy_sql("fr", "galton", "son", ["father"])
+_ctes_g = {**GALTON_CTE, **_ctes_g}
+_f_g = "((tss - rss) / s2)"
+
+
+@register("summary_table", f"""
+    select 'residuals' as section, null::varchar as item, measure, value from (
+        unpivot (select min(resid) as min, quantile_cont(resid, 0.25) as q1, quantile_cont(resid, 0.5) as median,
+                        quantile_cont(resid, 0.75) as q3, max(resid) as max
+                 from (select g.son - ((m_1 - a_0_1 * m_0) + a_0_1 * g.father) as resid from galton g, fr_fit))
+        on min, q1, median, q3, max into name measure value value)
+    union all
+    select 'coefficients', term, measure, value from (
+        unpivot (select term, estimate, std_error, statistic, {t_p_sql('statistic', '(f.n - 2)')} as p_value from ({_tidy_g}) t, fr_fit f)
+        on estimate, std_error, statistic, p_value into name measure value value)
+    union all
+    select 'fit', null, measure, value from (
+        unpivot (select sqrt(s2) as sigma, (n - 2)::double as df_residual, 1 - rss / tss as r_squared, 1 - (rss / tss) * (n - 1) / (n - 2) as adj_r_squared,
+                        {_f_g} as statistic, 1.0::double as df, {f_p_sql(_f_g, 1, '(n - 2)')} as p_value from fr_fit)
+        on sigma, df_residual, r_squared, adj_r_squared, statistic, df, p_value into name measure value value)""", "value", _ctes_g)
+def q_summary_table(spark, d):
+    """The whole summary of a fit as one table: residuals, coefficients, statistics."""
+    g = galton(spark, d)
+    return ols(g, "son", ["father"]).summary_table(g).select("section", "item", "measure", "value")
+
+
 # ---------------------------------------------------------------- user functions
 def _slope_se(pdf: pd.DataFrame) -> pd.DataFrame:
     """User function for one group: slope of R on BB and its standard error."""
