@@ -46,3 +46,18 @@ def normal_panel(base: DataFrame, group_col: str, n: int, seed: int) -> DataFram
                       F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
     x, y = normal_pair(seed, "group", "i")
     return out.select("group", "i", x.alias("x"), y.alias("y"))
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int, folders: list[str] = ()) -> DataFrame:
+    """``df`` as table ``name``, stored below ``path`` in ``buckets`` files per task by a hash of ``keys`` and sorted by them, in a
+    folder for each value of ``folders``; read back.
+
+    Two tables of as many buckets by the same keys join without an exchange, whatever their size; conditions on
+    ``folders`` choose folders before any file is opened. Rows are dealt out by key first, so each bucket of a folder is one
+    file. A key that holds much of a table makes one large file: join such keys with ``heavy.join_heavy``.
+    """
+    spark = df.sparkSession
+    dealt = df.repartition(buckets, *keys)
+    writer = dealt.write.mode("errorifexists").option("path", path).format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.partitionBy(*folders) if folders else writer).saveAsTable(name)
+    return spark.table(name)
