@@ -185,7 +185,8 @@ def corpus_contexts(docs: DataFrame, text_col: str = "text", seed: int = 0) -> n
 def train(docs: DataFrame, labels: DataFrame, label_col: str, usable: Column, id_col: str = "doc_id", text_col: str = "text",
           rows_per_class: int = TRAIN_ROWS, seed: int = 0) -> Model:
     """A model whose contexts come from all of ``docs``, fitted on the documents with a label 0 or 1 and
-    ``usable`` ids, at most ``rows_per_class`` of either label, by hash order of the id."""
+    ``usable`` ids, at most ``rows_per_class`` of either label, by hash order of the id. Of rows that share an
+    id the text of the least hash counts, of labels the greatest; so the driver gets one vector per labelled id."""
     index = index_vectors(seed)
     vectors, own = word_vectors(corpus_contexts(docs, text_col, seed), index), dense_index(index)
     named = labels.where(usable & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label"))
@@ -198,6 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, usable: Column, id
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([row.tobytes() for row in x], pa.binary())], ["label", "x"])
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
+    texts = texts.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))  # each task passes on one text of an id
     rows = sorted(texts.select("label", "text").mapInArrow(read, "label int, x binary").collect(), key=lambda r: (r.x, r.label))
     x = np.frombuffer(b"".join(r.x for r in rows), np.float32).reshape(-1, 2 * DIM)
     return Model(vectors, own, fit(x, np.array([r.label for r in rows], np.int64), seed))

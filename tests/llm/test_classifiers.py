@@ -128,3 +128,15 @@ def test_held_out_accuracy(spark, name, column, label, least):
     rows = {r.doc_id: r for r in QUERIES[name](spark, SF01).collect()}
     truth = [(r.doc_id, r[column]) for r in load(spark, SF01, "labels").collect() if rows[r.doc_id].held_out]
     assert np.mean([rows[i].predicted == v for i, v in truth]) >= least
+
+
+def test_repeated_labelled_ids_are_one_row(spark, monkeypatch):
+    """One labelled id on most rows: one vector of it reaches the driver, whichever task finds it."""
+    rows = [(1, f"text number {k}") for k in range(3000)] + [(2, "other words"), (2, "other words"), (3, None), (4, "unlabelled"), (None, "none")]
+    marks = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 0), (9, 1), (None, 1)], "doc_id long, quality int")
+    seen = []
+    usual = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda x, y, seed: seen.append((x.copy(), y.tolist())) or usual(x, y, seed))
+    for parts in (1, 5):
+        quality.train(documents(spark, rows).repartition(parts), marks, "quality", F.lit(True))
+    assert sorted(seen[0][1]) == [0, 0, 1] and seen[0][1] == seen[1][1] and (seen[0][0] == seen[1][0]).all()
