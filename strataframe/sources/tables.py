@@ -40,10 +40,13 @@ def normal_panel(base: DataFrame, group_col: str, n: int, seed: int) -> DataFram
     """Grouped i.i.d. normal sample: n (x, y) draws per row of ``base``.
 
     Each group's draws are made by the task that holds the group's row (a bounded explode,
-    never a cross join); (x, y) are the two Box–Muller halves of one md5 of (seed, group, i).
+    never a cross join); (x, y) are the two Box–Muller halves of one md5 of (seed, group, i). The groups are dealt out
+    by key before the draws are made: a draw costs far more than its group's key, and what is aggregated by group
+    afterwards needs no other exchange.
     """
-    out = base.select(F.col(group_col).alias("group"),
-                      F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
+    parts = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = base.select(F.col(group_col).alias("group")).repartition(parts, "group").select(
+        "group", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
     x, y = normal_pair(seed, "group", "i")
     return out.select("group", "i", x.alias("x"), y.alias("y"))
 
