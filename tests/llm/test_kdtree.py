@@ -63,3 +63,30 @@ def test_table_with_odd_vectors(spark, monkeypatch, shard):
 def test_empty_table(spark):
     table = spark.createDataFrame([], ROWS).select("vec_id", kdtree.quantised("embedding").alias("vector"))
     assert kdtree.top_k(table, F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_clustered_queries_reach_few_shards(spark, monkeypatch):
+    monkeypatch.setattr(kdtree, "SHARD_ROWS", 40)
+    monkeypatch.setattr(kdtree, "QUERY_ROWS", 7)
+    monkeypatch.setattr(kdtree, "BOX_ROWS", 4)
+    rng = np.random.default_rng(2)
+    centres = rng.normal(0, 1, (12, 8))
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    rows = [(i, (centres[i % 12] + rng.normal(0, 0.01, 8)).tolist()) for i in range(1200)]
+    rows += [(5000 + i, [0.5] * 8) for i in range(400)]  # copies of one vector: a cell of several shards
+    table = spark.createDataFrame([(i, v, "x") for i, v in rows], ROWS)
+    vectors = table.select("vec_id", kdtree.quantised("embedding").alias("vector"))
+    trees, reached = kdtree.planted(vectors, F.col("vec_id") % 50 == 0, 5, "vec_id", "vector")
+    shards, pairs, queries = trees.count(), reached.count(), len([i for i, _ in rows if i % 50 == 0])
+    assert shards >= 30
+    assert trees.selectExpr("max(size(key))").first()[0] <= 100
+    assert pairs <= shards * queries / 3
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in kdtree.top_k(vectors, F.col("vec_id") % 50 == 0).collect())
+    assert got == plain(rows, 5, lambda q: q % 50 == 0)
+
+
+def test_trees_are_read_back():
+    vectors = np.random.default_rng(3).integers(-9, 9, (300, 5))
+    tree = kdtree.Tree(vectors, leaf=16)
+    again = kdtree.Tree.of(300, 5, tree.parts())
+    assert all((getattr(tree, a) == getattr(again, a)).all() for a in ("vectors", "begin", "end", "left", "right", "lows", "highs"))
