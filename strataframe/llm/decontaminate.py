@@ -123,18 +123,13 @@ def _windows(of_hits: bool, span: int):
     return emit
 
 
-def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col: str = "item_id",
-            text_col: str = "text", span: int = SPAN) -> DataFrame:
-    """(doc, hash, start, size, items): the windows of documents that occur in items.
-
-    A window is ``span`` consecutive words of an item, or all words of a shorter one. ``hash`` is
-    xxhash64 of the document's text, so rows that share an id keep apart; ``items`` are the ids of
-    the items as sorted strings. Items without an id or without words match nothing.
-    """
+def _places(docs: DataFrame, items: DataFrame, id_col: str, item_col: str, text_col: str, span: int) -> tuple[DataFrame, DataFrame]:
+    """(doc, hash, start, size, window) of documents' windows that occur in items, and the written
+    rows (window, size, item): one for each item that holds a window."""
     plain = items.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text"))
     id_type = docs.schema[id_col].dataType.simpleString()
     bench = written(plain.mapInArrow(_windows(False, span), "item string, start int, size int, window binary")
-                    .groupBy("window", "size").agg(F.array_sort(F.collect_set("item")).alias("items")), "item-windows")
+                    .select("window", "size", "item").distinct(), "item-windows")
     spans = sorted({r["size"] for r in bench.select("size").distinct().collect()})  # at most `span` numbers
     if not spans:
         spans = [span]
@@ -147,17 +142,36 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col:
     around = (texts.join(hits.withColumnsRenamed({"doc": "d", "hash": "h"}), F.col("doc").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("h")))
               .select("doc", "hash", "hits", "text")
               .mapInArrow(_windows(True, span), f"doc {id_type}, hash long, start int, size int, window binary"))
-    return around.join(bench, ["window", "size"]).select("doc", "hash", "start", "size", "items")
+    return around.join(bench, ["window", "size"], "left_semi").select("doc", "hash", "start", "size", "window"), bench
+
+
+def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col: str = "item_id",
+            text_col: str = "text", span: int = SPAN) -> DataFrame:
+    """(doc, hash, start, size, item): the windows of documents that occur in items, a row for each item.
+
+    A window is ``span`` consecutive words of an item, or all words of a shorter one. ``hash`` is
+    xxhash64 of the document's text, so rows that share an id keep apart; ``item`` is an item's id
+    as a string. Items without an id or without words match nothing.
+    """
+    found, bench = _places(docs, items, id_col, item_col, text_col, span)
+    return found.join(bench, ["window", "size"]).select("doc", "hash", "start", "size", "item")
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col: str = "item_id",
                   text_col: str = "text", span: int = SPAN) -> DataFrame:
     """(id, n_words, n_hit, items) for each row of ``docs``: its words, those inside any matched
-    window, and the sorted ids of the items that match. Null and empty texts have no words."""
-    found = matches(docs, items, id_col, item_col, text_col, span)
-    per_doc = found.distinct().groupBy("doc", "hash").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list(F.sequence("start", F.col("start") + F.col("size") - 1))))).cast("long").alias("n_hit"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    window, and the sorted ids of the items that match. Null and empty texts have no words.
+
+    A document's items are counted as rows (document, item) of its distinct windows, so a window that very
+    many items share makes many short rows; only the result holds them as one list per document.
+    """
+    found, bench = _places(docs, items, id_col, item_col, text_col, span)
+    found = written(found.distinct(), "places")
+    words = found.groupBy("doc", "hash").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list(F.sequence("start", F.col("start") + F.col("size") - 1))))).cast("long").alias("n_hit"))
+    held = (found.select(F.col("doc").alias("i"), F.col("hash").alias("g"), "window", "size").distinct().join(bench, ["window", "size"])
+            .select("i", "g", "item").distinct().groupBy("i", "g").agg(F.array_sort(F.collect_list("item")).alias("items")))
+    per_doc = words.join(held, F.col("doc").eqNullSafe(F.col("i")) & (F.col("hash") == F.col("g")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,7 +190,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", ite
 def without_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col: str = "item_id",
                          text_col: str = "text", span: int = SPAN) -> DataFrame:
     """``docs`` without the rows in whose text a benchmark window occurs. All columns stay as they are."""
-    bad = matches(docs, items, id_col, item_col, text_col, span).select("doc", "hash").distinct()
+    bad = _places(docs, items, id_col, item_col, text_col, span)[0].select("doc", "hash").distinct()
     rows = docs.select(F.col(f"`{id_col}`").alias("d"), F.xxhash64(text_col).alias("h"),
                        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     left = rows.join(bad, rows["d"].eqNullSafe(bad["doc"]) & (rows["h"] == bad["hash"]), "left_anti")

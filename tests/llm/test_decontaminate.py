@@ -94,6 +94,18 @@ def test_empty_tables(spark):
     assert decontaminate.contamination(documents(spark, []), bench(spark, ITEMS)).count() == 0
 
 
+def test_an_instruction_that_many_items_share(spark):
+    shared = "answer the question below with a single word and nothing else"
+    items = [(k, f"{shared} item{k} tail{k}") for k in range(3000)]
+    rows = [(1, f"{shared} item7 tail7"), (2, f"so {shared}"), (2, "clean text of the same id"), (None, shared), (3, "a clean text")]
+    docs, table = documents(spark, rows), bench(spark, items)
+    got = decontaminate.contamination(docs, table).collect()
+    assert sorted((tuple(r) for r in got), key=key) == sorted(plain(rows, items), key=key)
+    found = decontaminate.matches(docs, table)
+    assert dict(found.dtypes)["item"] == "string"
+    assert found.where("doc = 2").select("item").distinct().count() == 3000
+
+
 @given(st.lists(st.sampled_from("abcd"), max_size=60), st.integers(1, 12))
 @settings(max_examples=150, deadline=None)
 def test_each_window_holds_a_chosen_gram(letters, span):
