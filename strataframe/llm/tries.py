@@ -7,7 +7,7 @@ prefix share its scores: the distinct pre-tokens are inserted in a trie, each ne
 forward score from its ancestors', and the node at which a pre-token ends stores its count.
 
 The trie is made of the distinct new pre-tokens of a few megabytes of text, level by level: all nodes
-of a level are one numpy step. No shuffle is needed; a task keeps a bounded table of the counts of
+of a level are one numpy step. Very long words are counted one by one, in the same order of sums. No shuffle is needed; a task keeps a bounded table of the counts of
 pre-tokens it has met, and what that forgets is computed again.
 
 The scores are those of the vocabulary's file, or ``unigram_scores``: a BPE file has merge ranks
@@ -17,6 +17,7 @@ in their place, whose sums mean nothing.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter as Tally
 from collections.abc import Iterator
 
@@ -30,6 +31,9 @@ from strataframe.llm.common import give_back
 MARK = "▁"
 #: Counts of pre-tokens that a task keeps; characters of text whose words go into one trie.
 KEEP_COUNTS, STEP_CHARS = 400_000, 4 << 20
+#: Characters of a word from which on it is counted by itself: a level of the trie is a numpy step, and
+#: hardly any words share so long a prefix.
+LONG = 512
 #: What a character outside the vocabulary costs more than the worst piece.
 UNKNOWN_PENALTY = 10.0
 
@@ -67,7 +71,7 @@ class Pieces:
         self.leaf = np.ones(len(edges) + 1, bool)
         self.leaf[[s for s, _ in edges]] = False
         self.worst = min(scores.values(), default=0.0) - UNKNOWN_PENALTY
-        self.byte_fallback = byte_fallback
+        self.byte_fallback, self._plain = byte_fallback, None
 
     @classmethod
     def from_file(cls, path: str, scores: np.ndarray | None = None) -> Pieces:
@@ -84,6 +88,17 @@ class Pieces:
         at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
         return np.where(self.keys[at] == asked, self.next[at], -1)
 
+    def plain(self) -> tuple[dict[int, int], dict[int, float], int]:
+        """Steps by state and character, scores by state, and one more than the characters of the longest piece."""
+        if self._plain is None:
+            state, depth = np.zeros(1, np.int64), 0
+            while len(state):
+                state, depth = self.next[np.isin(self.keys >> 21, state)], depth + 1
+            ends = np.flatnonzero(~np.isnan(self.score))
+            self._plain = (dict(zip(self.keys.tolist(), self.next.tolist(), strict=True)),
+                           dict(zip(ends.tolist(), self.score[ends].tolist(), strict=True)), depth + 1)
+        return self._plain
+
     def unknown_tokens(self, char: np.ndarray) -> np.ndarray:
         """Tokens of characters that no piece covers: their bytes, or one unknown token each."""
         if not self.byte_fallback:
@@ -146,6 +161,36 @@ def trie_counts(words: np.ndarray, pieces: Pieces) -> np.ndarray:
     return counts
 
 
+def long_count(word: str, pieces: Pieces) -> int:
+    """Tokens of one word of any length, character by character. Only the scores of the next places that a
+    piece can reach are held."""
+    edges, ends, ring = pieces.plain()
+    score, tokens = [-float("inf")] * ring, [0] * ring
+    score[0] = 0.0
+    chars = np.array([word]).view(np.uint32)
+    chars = np.append(chars, np.zeros(len(word) - len(chars), np.uint32))  # NULs at the end
+    unknown = pieces.unknown_tokens(chars.astype(np.int64))
+    chars, worst, n = array("q", chars.astype(np.int64).tobytes()), pieces.worst, len(word)
+    for i in range(n):
+        here = i % ring
+        base, used = score[here], tokens[here]
+        score[here] = -float("inf")
+        after = (i + 1) % ring
+        total, count = base + worst, used + int(unknown[i])
+        if total > score[after] or (total == score[after] and count < tokens[after]):
+            score[after], tokens[after] = total, count
+        state, count = 0, used + 1
+        for j in range(i, n):
+            state = edges.get((state << 21) | chars[j])
+            if state is None:
+                break
+            if state in ends:
+                total, after = base + ends[state], (j + 1) % ring
+                if total > score[after] or (total == score[after] and count < tokens[after]):
+                    score[after], tokens[after] = total, count
+    return tokens[n % ring]
+
+
 class Counter:
     """Counts tokens of words; keeps a bounded number of counts."""
 
@@ -167,23 +212,14 @@ class Counter:
         if len(self.counts) + len(new) > self.keep:
             self.counts.clear()
             new = {w for words in texts for w in words}
-        # a numpy string ends at its last character that isn't NUL: such words go one by one
-        odd = {w for w in new if "\0" in w}
-        self._learn(new - odd)
-        for w in odd:
-            self.counts[w] = int(sum(self._odd(w)))
+        # a numpy string ends at its last character that isn't NUL: such words go one by one, as long ones do
+        apart = {w for w in new if len(w) > LONG or "\0" in w}
+        self._learn(new - apart)
+        for w in apart:
+            self.counts[w] = long_count(MARK + w, self.pieces)
         get = self.counts.__getitem__
         return [sum(map(get, words)) for words in texts]
 
-    def _odd(self, word: str) -> Iterator[int]:
-        """Tokens of the parts between NULs, of the NULs among them; a part's first character is its own."""
-        parts = (MARK + word).split("\0")
-        nul = int(self.pieces.unknown_tokens(np.zeros(1, np.int64))[0])
-        yield nul * (len(parts) - 1)
-        for part in parts:
-            if part:
-                yield int(trie_counts(np.array([part]), self.pieces)[0])
-
 
 def counter(path: str, scores: np.ndarray | None = None) -> Counter:
     key = (path, None if scores is None else zlib.crc32(scores.tobytes()))
@@ -233,7 +269,7 @@ def token_counts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     """(id, n_words, n_tokens) of each row: white-space words, and tokens of all of them.
 
     ``model`` is the path of a sentencepiece file, ``scores`` those of its pieces by id where they are not
-    the file's. Null, empty and blank texts have none.
+    the file's. Null, empty and blank texts have none. Rows without an id and rows that share one are rows of their own.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
 

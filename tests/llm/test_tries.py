@@ -88,3 +88,23 @@ def test_long_words_and_empty_tables(spark, scores):
     assert counter.count([["abcé" * 20]]) == [plain_tokens("▁" + "abcé" * 20, scores, worst)]
     assert tries.trie_counts(np.array(["▁the"]), counter.pieces).tolist() == [plain_tokens("▁the", scores, worst)]
     assert tries.token_counts(documents(spark, []), PATH).count() == 0
+
+
+@given(st.lists(st.text("abc\x00é", min_size=1, max_size=40), max_size=20), st.booleans())
+@settings(max_examples=150, deadline=None)
+def test_words_counted_by_themselves(words, fallback):
+    scores = {"▁": -1.0, "a": -2.0, "b": -2.0, "ab": -3.0, "▁a": -2.5, "abc": -4.0, "bca": -3.0, "ca": -1.5, "éa": -1.0, "bb": -4.0}
+    pieces = tries.Pieces(scores, fallback)
+    worst = min(scores.values()) - 10
+    assert [tries.long_count("▁" + w, pieces) for w in words] == [plain_tokens("▁" + w, scores, worst, fallback) for w in words]
+    assert tries.long_count("ab", tries.Pieces({}, False)) == 2
+
+
+@pytest.mark.parametrize("n", [tries.LONG - 1, tries.LONG, tries.LONG + 1, 20_000])
+def test_words_around_the_bound(scores, n):
+    import random
+
+    rng = random.Random(n)
+    word = "".join(rng.choice("ABCabcdefghiklmnoprstuvwxyz0123456789+/é") for _ in range(n))
+    worst = min(scores.values()) - 10
+    assert tries.Counter(tries.Pieces.from_file(PATH)).count([[word]]) == [plain_tokens("▁" + word, scores, worst)]
