@@ -39,8 +39,9 @@ LENGTH = 50
 GRAM, COUNT_BITS = 16, 48
 #: Bytes of one vectorised step.
 STEP_BYTES = 256 << 10
-#: Blocks and shards for each shuffle partition.
-BLOCKS, SHARDS = 2, 2
+#: Blocks and shards for each partition; bytes of text of a partition at most, on average, whatever the session's
+#: number of partitions.
+BLOCKS, SHARDS, PART_BYTES = 2, 2, 128 << 20
 #: Segments of a key from which on its strings are routed one by one.
 SPLIT = 65_536
 END = 0xFF  # in no UTF-8 text
@@ -425,9 +426,14 @@ def repeated_ranges(ids: np.ndarray, key: np.ndarray, run: np.ndarray, place: np
             np.concatenate([place[whole] + size[whole], inner + (b - a)[pick] + length - 1]))
 
 
-def _dealt(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def partitions(docs: DataFrame, text_col: str) -> int:
+    """The session's number of shuffle partitions, or more where these would hold over PART_BYTES of text each."""
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+
+
+def _dealt(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataFrame:
     """(block, id, hash, text, row) of ``docs``, dealt into blocks: the one shuffle of the texts."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"),
                        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"))
     return _placed(rows.withColumn("block", F.pmod(F.xxhash64("id", "hash"), F.lit(parts * BLOCKS))), "block", parts)
@@ -439,9 +445,8 @@ def _placed(table: DataFrame, number: str, parts: int) -> DataFrame:
     return table.withColumn("part", (F.col(number) % parts).cast("int")).repartitionById(parts, F.col("part"))
 
 
-def repeated_blocks(rows: DataFrame, length: int = LENGTH, split: int = SPLIT) -> DataFrame:
-    """(block, ranges): the repeated byte ranges of rows that ``_dealt`` dealt."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def repeated_blocks(rows: DataFrame, parts: int, length: int = LENGTH, split: int = SPLIT) -> DataFrame:
+    """(block, ranges): the repeated byte ranges of rows that ``_dealt`` dealt to ``parts`` partitions."""
     shards = parts * SHARDS
     asked = rows.groupBy("part", "block").applyInArrow(_ask(length, shards), "block long, shard long, keys binary")
     answers = _placed(asked, "shard", parts).groupBy("part", "shard").applyInArrow(
@@ -492,8 +497,9 @@ def removal_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         columns = [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string()))]
         return pa.table([table["id"], *columns], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    rows = _dealt(docs.select(id_col, text_col), id_col, text_col)
-    return (rows.groupBy("part", "block").cogroup(repeated_blocks(rows, length, split).groupBy("part", "block"))
+    parts = partitions(docs, text_col)
+    rows = _dealt(docs.select(id_col, text_col), id_col, text_col, parts)
+    return (rows.groupBy("part", "block").cogroup(repeated_blocks(rows, parts, length, split).groupBy("part", "block"))
             .applyInArrow(digest, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumnRenamed("id", id_col))
 
 
@@ -504,7 +510,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A character of several bytes goes only if all of them are repeated, so texts stay valid UTF-8.
     A document of which nothing is left goes; empty and null texts stay as they are.
     """
-    rows = _dealt(docs, id_col, text_col)
+    parts = partitions(docs, text_col)
+    rows = _dealt(docs, id_col, text_col, parts)
     row = rows.schema["row"].dataType
 
     def cut(table: pa.Table, found: pa.Table) -> pa.Table:
@@ -520,7 +527,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return pa.table([table["row"], pa.array(kept, pa.string()), pa.array(changed, pa.bool_())], ["row", "kept", "changed"])
 
     schema = T.StructType([T.StructField("row", row), T.StructField("kept", T.StringType()), T.StructField("changed", T.BooleanType())])
-    done = (rows.groupBy("part", "block").cogroup(repeated_blocks(rows, length, split).groupBy("part", "block"))
+    done = (rows.groupBy("part", "block").cogroup(repeated_blocks(rows, parts, length, split).groupBy("part", "block"))
             .applyInArrow(cut, schema).where("not changed or kept <> ''"))
 
     def column(c: str):

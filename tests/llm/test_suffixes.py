@@ -88,3 +88,16 @@ def test_empty_table(spark):
     docs = documents(spark, [])
     assert suffixes.removal_digest(docs).count() == 0
     assert suffixes.without_repeats(docs).columns == docs.columns
+
+
+def test_blocks_follow_the_bytes_of_the_texts(spark, monkeypatch):
+    rows = ODD + [(30 + k, f"{k} " * k + PASSAGE + " tail %d" % k) for k in range(12)]
+    docs = documents(spark, rows)
+    session = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert suffixes.partitions(docs, "text") == session
+    assert suffixes.partitions(documents(spark, []), "text") == session
+    size = sum(len((t or "").encode()) for _, t in rows)
+    monkeypatch.setattr(suffixes, "PART_BYTES", size // 20)
+    assert 20 <= suffixes.partitions(docs, "text") <= 21
+    found = suffixes.removal_digest(docs).collect()
+    assert sorted(map(tuple, found), key=key) == sorted(plain_digest(rows, 50), key=key)
