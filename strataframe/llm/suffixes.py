@@ -12,6 +12,11 @@
 3. *Common prefixes.* Neighbours in the array with a common prefix of ``length`` bytes form a
    class; a start is repeated if its class holds a smaller document. The ranges return to the blocks.
 
+Blocks and shards grow with the input, so a message for every pair of them would be a number of messages that
+grows with its square. Beyond ``DIRECT`` shards messages go by relays: a relay serves about the root of the number
+of shards. It gets one message of each of as many blocks, merges their contents and sends one message to each of its
+shards; answers and ranges come back the same way. A block then writes about the root of the number of shards.
+
 A key with very many segments (a frequent gram in many contexts) is split by the shards' answer: its
 strings are routed one by one, by a hash of all their bytes. Keys and routes decide nothing; any
 choice gives the same result. The texts are shuffled once: all three steps that need them read the
@@ -21,6 +26,7 @@ same exchange.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -44,6 +50,8 @@ STEP_BYTES = 256 << 10
 BLOCKS, SHARDS, PART_BYTES = 2, 2, 128 << 20
 #: Segments of a key from which on its strings are routed one by one.
 SPLIT = 65_536
+#: Shards up to which blocks write to them without relays (some tens of kilobytes a message at PART_BYTES).
+DIRECT = 1_024
 END = 0xFF  # in no UTF-8 text
 
 
@@ -227,69 +235,150 @@ class _Block:
         return np.searchsorted(self.offsets, begin, "right") - 1
 
 
-def _counted(key: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct keys in order of (shard, key), each key's place among them, and the shards' cuts."""
+def _in_turn(number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The stable order by ``number``, the distinct numbers, and where each begins in that order (and the end)."""
+    order = np.argsort(number, kind="stable")
+    ordered = number[order]
+    firsts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(order) else order
+    return order, ordered[firsts], np.append(firsts, len(order))
+
+
+def relay_fan(shards: int, direct: int = DIRECT) -> int:
+    """Shards that a relay serves; 1 where blocks write to shards themselves. Shards are numbered so that those of
+    number // fan have the same relays, and the block or shard that a message comes from chooses among these."""
+    return 1 if shards <= direct else math.isqrt(shards - 1) + 1
+
+
+def _shard_of(key: np.ndarray, shards: int) -> np.ndarray:
+    return (key % np.uint64(shards)).astype(np.int64)
+
+
+def _counted(key: np.ndarray, shards: int, fan: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys in order of (group of ``fan`` shards, key), each key's place among them, the groups and their cuts."""
     short = key >> np.uint64(64 - COUNT_BITS)
     distinct, place = np.unique(short, return_inverse=True)
-    shard = (distinct % np.uint64(shards)).astype(np.int64)
-    order = np.argsort(shard, kind="stable")
+    order, groups, cuts = _in_turn(_shard_of(distinct, shards) // fan)
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
-    return distinct[order], rank[place], np.searchsorted(shard[order], np.arange(shards + 1))
+    return distinct[order], rank[place], groups, cuts
 
 
 def _messages(block: int, blobs: dict[int, bytes], name: str) -> pa.Table:
     return pa.table({"block": pa.array(np.full(len(blobs), block)), "shard": pa.array(list(blobs), pa.int64()), name: pa.array(list(blobs.values()), pa.binary())})
 
 
+def _key_messages(groups: np.ndarray, cuts: np.ndarray, keys: np.ndarray, count: np.ndarray, more: np.ndarray) -> dict[int, bytes]:
+    """A message for each group of the ordered keys: the keys as steps, their segments, whether several documents hold them."""
+    blobs = {}
+    for group, a, b in zip(groups.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        step = np.diff(keys[a:b], prepend=np.uint64(0))
+        blobs[group] = _pack([step, np.minimum(count[a:b], 0xFFFFFFFF).astype("<u4"), more[a:b].view(np.uint8)])
+    return blobs
+
+
 def _own(table: pa.Table, length: int) -> _Block:
     return _Block(table["id"], table["hash"], table["text"], length)
 
 
-def _ask(length: int, shards: int) -> Callable:
-    """Step 1 in a block: (block, shard, keys): its keys with their segments and whether two documents hold them."""
+def _ask(length: int, shards: int, fan: int = 1) -> Callable:
+    """Step 1 in a block: (block, shard or relay, keys): its keys with their segments and whether two documents hold them."""
 
     def ask(table: pa.Table) -> pa.Table:
         block = _own(table, length)
         key, begin, _ = block.segments()
-        distinct, place, cuts = _counted(key, shards)
+        distinct, place, groups, cuts = _counted(key, shards, fan)
         ids, n = block.ids[block.docs(begin)], len(distinct)
         low, high = np.full(n, np.iinfo(np.int64).max), np.full(n, np.iinfo(np.int64).min)
         np.minimum.at(low, place, ids)
         np.maximum.at(high, place, ids)
-        count = np.bincount(place, minlength=n)
-        blobs = {}
-        for shard in np.flatnonzero(np.diff(cuts)).tolist():
-            s = slice(cuts[shard], cuts[shard + 1])
-            step = np.diff(distinct[s], prepend=np.uint64(0))
-            blobs[shard] = _pack([step, count[s].astype("<u4"), (low[s] < high[s]).view(np.uint8)])
+        number = table["block"][0].as_py()
+        blobs = _key_messages(groups * fan + number % fan, cuts, distinct, np.bincount(place, minlength=n), low < high)
         give_back()
-        return _messages(table["block"][0].as_py(), blobs, "keys")
+        return _messages(number, blobs, "keys")
 
     return ask
 
 
+def _met(table: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the key messages of a shard or relay: their sizes, the distinct keys, each sent key's place among them, and of
+    each distinct key the segments and the documents that hold it (1, or more). One message after the other is
+    unpacked, in arrays of the shard."""
+    parts = [_unpack(b.as_py(), ("<u8", "<u4", "u1")) for b in table["keys"]]
+    distinct, place = np.unique(np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts]), return_inverse=True)
+    total = np.bincount(place, np.concatenate([p[1] for p in parts]))
+    holders = np.bincount(place) + np.bincount(place, np.concatenate([p[2] for p in parts]))
+    return [len(p[0]) for p in parts], distinct, place, total, holders
+
+
+def _codes(table: pa.Table, code: np.ndarray, sizes: list[int]) -> pa.Table:
+    codes = [_pack([c]) for c in np.split(code, np.cumsum(sizes)[:-1])]
+    return pa.table({"block": table["block"], "shard": table["shard"], "codes": pa.array(codes, pa.binary())})
+
+
+def _all_codes(answers: pa.Table) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint8), *(_unpack(c.as_py(), ("u1",))[0] for c in answers.sort_by("shard")["codes"])])
+
+
 def _answer(split: int):
     """Step 1 in a shard: (block, shard, codes): 0 one document holds the key, 1 more do, 2 more do
-    and its strings go one by one. One message after the other is unpacked, in arrays of the shard."""
+    and its strings go one by one."""
 
     def answer(table: pa.Table) -> pa.Table:
-        parts = [_unpack(b.as_py(), ("<u8", "<u4", "u1")) for b in table["keys"]]
-        size = [len(p[0]) for p in parts]
-        distinct, place = np.unique(np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts]), return_inverse=True)
-        holders = np.bincount(place) + np.bincount(place, np.concatenate([p[2] for p in parts]))
-        total = np.bincount(place, np.concatenate([p[1] for p in parts]))
-        code = np.where(holders > 1, np.where(total > split, 2, 1), 0).astype(np.uint8)[place]
-        codes = [_pack([c]) for c in np.split(code, np.cumsum(size)[:-1])]
-        return pa.table({"block": table["block"], "shard": table["shard"], "codes": pa.array(codes, pa.binary())})
+        sizes, _, place, total, holders = _met(table)
+        return _codes(table, np.where(holders > 1, np.where(total > split, 2, 1), 0).astype(np.uint8)[place], sizes)
 
     return answer
 
 
-#: Of a shard's message: ids of documents and their places in the block | key, run, place in the text, document of each segment | text
-_SEGMENTS = ("<i8", "<i4", "<u8", "<i4", "<i4", "<i4", "u1")
-#: Of a block's message: document, first byte, end of repeated ranges.
-_RANGES = ("<i4", "<i4", "<i4")
+def _merge_keys(shards: int) -> Callable:
+    """Step 1 in a relay: the keys of its blocks as one message for each of its shards."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        _, distinct, _, total, holders = _met(table)
+        order, groups, cuts = _in_turn(_shard_of(distinct, shards))
+        return _messages(table["shard"][0].as_py(), _key_messages(groups, cuts, distinct[order], total[order], holders[order] > 1), "keys")
+
+    return merge
+
+
+def _hand_back(shards: int) -> Callable:
+    """Step 1 in a relay: the shards' answers to its merged messages as answers to its blocks."""
+
+    def hand_back(table: pa.Table, answers: pa.Table) -> pa.Table:
+        sizes, distinct, place, _, _ = _met(table)
+        code = np.empty(len(distinct), np.uint8)
+        code[_in_turn(_shard_of(distinct, shards))[0]] = _all_codes(answers)
+        return _codes(table, code[place], sizes)
+
+    return hand_back
+
+
+#: Of a shard's message: documents' ids, blocks, places in their block | key, run, place in the text, document of each segment | text
+_SEGMENTS = ("<i8", "<i4", "<i4", "<u8", "<i4", "<i4", "<i4", "u1")
+#: Of a block's message: block, document, first byte, end of repeated ranges.
+_RANGES = ("<i4", "<i4", "<i4", "<i4")
+
+
+def _segment_messages(to: np.ndarray, ids: np.ndarray, of_block: np.ndarray, ordinal: np.ndarray, key: np.ndarray, run: np.ndarray,
+                      place: np.ndarray, doc: np.ndarray, text: np.ndarray, begin: np.ndarray, length: int) -> dict[int, bytes]:
+    """Messages with the segments that go ``to`` each shard or relay, their documents and bytes (from ``begin`` of ``text``)."""
+    order, numbers, cuts = _in_turn(to)
+    blobs = {}
+    for number, a, b in zip(numbers.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        s = order[a:b]
+        used, local = np.unique(doc[s], return_inverse=True)
+        columns = [ids[used], of_block[used], ordinal[used], key[s], run[s], place[s], local, gather(text, begin[s], run[s] + length - 1)]
+        blobs[number] = _pack([c.astype(t, copy=False) for c, t in zip(columns, _SEGMENTS, strict=True)])
+    return blobs
+
+
+def _joined(blobs: list[bytes]) -> list[np.ndarray]:
+    """Segment messages as one: ids, blocks and places of the documents, then key, run, place, document, text."""
+    messages = [_unpack(m, _SEGMENTS) for m in blobs]
+    base = np.cumsum([0, *(len(m[0]) for m in messages)])
+    doc = np.concatenate([m[6] + b for m, b in zip(messages, base, strict=False)])
+    ids, of_block, ordinal, key, run, place = (np.concatenate([m[k] for m in messages]) for k in range(6))
+    return [ids, of_block, ordinal, key, run.astype(np.int64), place.astype(np.int64), doc, np.concatenate([m[7] for m in messages])]
 
 
 def _join_ranges(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
@@ -304,8 +393,8 @@ def _join_ranges(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[np
     return [doc[new].astype("<i4"), begin[new].astype("<i4"), (reach[np.append(np.flatnonzero(new)[1:] - 1, len(doc) - 1)] & 0xFFFFFFFF).astype("<i4")]
 
 
-def _send(length: int, shards: int) -> Callable:
-    """Step 2 in a block: (block, shard, message) with the segments of keys that more documents hold.
+def _send(length: int, shards: int, fan: int = 1) -> Callable:
+    """Step 2 in a block: (block, shard or relay, message) with the segments of keys that more documents hold.
     Equal segments go once, the smallest document's; larger documents' are decided here and pass
     through the shard of the block's number."""
 
@@ -314,9 +403,7 @@ def _send(length: int, shards: int) -> Callable:
             return _messages(0, {}, "message")
         block = _own(table, length)
         key, begin, run = block.segments()
-        distinct, place, _ = _counted(key, shards)
-        answers = answers.sort_by("shard")
-        code = np.concatenate([np.zeros(0, np.uint8), *(_unpack(c.as_py(), ("u1",))[0] for c in answers["codes"])])[place]
+        code = _all_codes(answers)[_counted(key, shards, fan)[1]]
         single = code == 2
         each = np.repeat(begin[single], run[single]) + np.arange(int(run[single].sum())) - np.repeat(np.cumsum(run[single]) - run[single], run[single])
         key = np.concatenate([key[code == 1], run_hashes(block.raw, each, np.full(len(each), length))])
@@ -329,54 +416,76 @@ def _send(length: int, shards: int) -> Callable:
         head = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
         decided = block.ids[doc[order]] > block.ids[doc[head]]
         sent, decided = order[~decided], order[decided]
-        shard_of = (key % np.uint64(shards)).astype(np.int64)
-        sent = sent[np.argsort(shard_of[sent], kind="stable")]
-        cuts = np.searchsorted(shard_of[sent], np.arange(shards + 1))
         place = begin - block.offsets[doc]
-        number = table["block"][0].as_py()
-        blobs = {}
-        for shard in np.flatnonzero(np.diff(cuts)).tolist():
-            s = sent[cuts[shard]:cuts[shard + 1]]
-            used, local = np.unique(doc[s], return_inverse=True)
-            columns = [block.ids[used], used, key[s], run[s], place[s], local, gather(block.raw, begin[s], size[s])]
-            blobs[shard] = _pack([c.astype(t, copy=False) for c, t in zip(columns, _SEGMENTS, strict=True)])
-        blobs[-1 - number % shards] = _pack(_join_ranges(doc[decided], place[decided], place[decided] + size[decided]))
+        number, n = table["block"][0].as_py(), len(block.ids)
+        to = _shard_of(key[sent], shards) // fan * fan + number % fan
+        blobs = _segment_messages(to, block.ids, np.full(n, number), np.arange(n), key[sent], run[sent], place[sent], doc[sent],
+                                  block.raw, begin[sent], length)
+        ranges = _join_ranges(doc[decided], place[decided], place[decided] + size[decided])
+        blobs[-1 - number % shards] = _pack([np.full(len(ranges[0]), number, "<i4"), *ranges])
         give_back()
         return _messages(number, blobs, "message")
 
     return send
 
 
-def _decide(length: int) -> Callable:
-    """Steps 2 and 3 in a shard: (block, ranges), the repeated byte ranges of the blocks' documents."""
+def _merge_segments(length: int, shards: int) -> Callable:
+    """Step 2 in a relay: the segments of its blocks as one message for each of its shards; blocks' ranges pass."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        passing = pa.compute.less(table["shard"], 0)
+        out = [table.filter(passing).select(["block", "shard", "message"])]
+        table = table.filter(pa.compute.invert(passing))
+        if table.num_rows:
+            *columns, text = _joined(table["message"].to_pylist())
+            size = columns[4] + length - 1
+            blobs = _segment_messages(_shard_of(columns[3], shards), *columns, text, np.cumsum(size) - size, length)
+            out.append(_messages(table["shard"][0].as_py(), blobs, "message"))
+        give_back()
+        return pa.concat_tables(out)
+
+    return merge
+
+
+def _range_messages(to: np.ndarray, columns: list[np.ndarray]) -> list[tuple[int, bytes]]:
+    order, numbers, cuts = _in_turn(to)
+    columns = [c[order].astype(t, copy=False) for c, t in zip(columns, _RANGES, strict=True)]
+    return [(n, _pack([c[a:b] for c in columns])) for n, a, b in zip(numbers.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+
+def _sent_ranges(out: list[tuple[int, bytes]]) -> pa.Table:
+    return pa.table({"block": pa.array([b for b, _ in out], pa.int64()), "ranges": pa.array([m for _, m in out], pa.binary())})
+
+
+def _decide(length: int, fan: int = 1) -> Callable:
+    """Steps 2 and 3 in a shard: (block or relay, ranges), the repeated byte ranges of the blocks' documents."""
 
     def decide(table: pa.Table) -> pa.Table:
-        blocks, numbers, shards = table["message"].to_pylist(), table["block"].to_numpy(), table["shard"].to_numpy()
-        out = [(int(b), m) for m, b, s in zip(blocks, numbers, shards, strict=True) if s < 0]
-        numbers = numbers[shards >= 0]
-        messages = [_unpack(m, _SEGMENTS) for m, s in zip(blocks, shards, strict=True) if s >= 0]
-        del blocks, table
+        messages, numbers, shards = table["message"].to_pylist(), table["block"].to_numpy(), table["shard"].to_numpy()
+        own = table["to"][0].as_py() % fan
+        out = [(int(b) // fan * fan + own, m) for m, b, s in zip(messages, numbers, shards, strict=True) if s < 0]
+        messages = [m for m, s in zip(messages, shards, strict=True) if s >= 0]
+        del table
         if messages:
-            base = np.cumsum([0, *(len(m[0]) for m in messages)])
-            of_block = np.repeat(np.arange(len(messages)), np.diff(base))
-            ids, ordinal, key, run, place = (np.concatenate([m[k] for m in messages]) for k in range(5))
-            doc = np.concatenate([m[5] + b for m, b in zip(messages, base, strict=False)])
-            text = np.concatenate([m[6] for m in messages])
-            count = len(messages)
+            ids, of_block, ordinal, *rest = _joined(messages)
             del messages
-            doc, begin, end = repeated_ranges(ids, key, run.astype(np.int64), place.astype(np.int64), doc, text, length)
-            by = np.argsort(of_block[doc], kind="stable")
-            doc, begin, end = doc[by], begin[by], end[by]
-            cuts = np.searchsorted(of_block[doc], np.arange(count + 1))
-            for k in np.flatnonzero(np.diff(cuts)).tolist():
-                s = slice(cuts[k], cuts[k + 1])
-                out.append((int(numbers[k]), _pack(_join_ranges(ordinal[doc[s]], begin[s], end[s]))))
+            key, run, place, doc, text = rest
+            doc, begin, end = _join_ranges(*repeated_ranges(ids, key, run, place, doc, text, length))
+            to = of_block[doc].astype(np.int64) // fan * fan + own
+            out += _range_messages(to, [of_block[doc], ordinal[doc], begin, end])
         give_back()
-        return pa.table({"block": pa.array([b for b, _ in out], pa.int64()), "ranges": pa.array([m for _, m in out], pa.binary())})
+        return _sent_ranges(out)
 
     return decide
 
 
+def _merge_ranges(table: pa.Table) -> pa.Table:
+    """Step 3 in a relay: the ranges of its blocks as one message for each."""
+    parts = [_unpack(m, _RANGES) for m in table["ranges"].to_pylist()]
+    columns = [np.concatenate([p[k] for p in parts]) for k in range(4)]
+    return _sent_ranges(_range_messages(columns[0].astype(np.int64), columns))
+
+
 def repeated_ranges(ids: np.ndarray, key: np.ndarray, run: np.ndarray, place: np.ndarray, doc: np.ndarray, text: np.ndarray,
                     length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(doc, first byte, end) of ranges that a smaller document repeats, of segments of ``run`` strings
@@ -445,16 +554,32 @@ def _placed(table: DataFrame, number: str, parts: int) -> DataFrame:
     return table.withColumn("part", (F.col(number) % parts).cast("int")).repartitionById(parts, F.col("part"))
 
 
-def repeated_blocks(rows: DataFrame, parts: int, length: int = LENGTH, split: int = SPLIT) -> DataFrame:
+def repeated_blocks(rows: DataFrame, parts: int, length: int = LENGTH, split: int = SPLIT, direct: int = DIRECT) -> DataFrame:
     """(block, ranges): the repeated byte ranges of rows that ``_dealt`` dealt to ``parts`` partitions."""
     shards = parts * SHARDS
-    asked = rows.groupBy("part", "block").applyInArrow(_ask(length, shards), "block long, shard long, keys binary")
-    answers = _placed(asked, "shard", parts).groupBy("part", "shard").applyInArrow(
-        _answer(split), "block long, shard long, codes binary")
-    sent = rows.groupBy("part", "block").cogroup(_placed(answers, "block", parts).groupBy("part", "block")).applyInArrow(
-        _send(length, shards), "block long, shard long, message binary")
-    through = sent.withColumn("to", F.when(F.col("shard") < 0, -1 - F.col("shard")).otherwise(F.col("shard")))
-    found = _placed(through, "to", parts).groupBy("part", "to").applyInArrow(_decide(length), "block long, ranges binary")
+    fan = relay_fan(shards, direct)
+    keys, codes, message, ranges = ("block long, shard long, keys binary", "block long, shard long, codes binary",
+                                    "block long, shard long, message binary", "block long, ranges binary")
+
+    def gathered(table: DataFrame, number: str):
+        return _placed(table, number, parts).groupBy("part", number)
+
+    def addressed(table: DataFrame):  # a block's own ranges go through the shard -1 - number
+        return gathered(table.withColumn("to", F.when(F.col("shard") < 0, -1 - F.col("shard")).otherwise(F.col("shard"))), "to")
+
+    asked = rows.groupBy("part", "block").applyInArrow(_ask(length, shards, fan), keys)
+    if fan == 1:
+        answers = gathered(asked, "shard").applyInArrow(_answer(split), codes)
+    else:
+        merged = gathered(asked, "shard").applyInArrow(_merge_keys(shards), keys)
+        answers = gathered(merged, "shard").applyInArrow(_answer(split), codes)
+        answers = gathered(asked, "shard").cogroup(gathered(answers, "block")).applyInArrow(_hand_back(shards), codes)
+    sent = rows.groupBy("part", "block").cogroup(gathered(answers, "block")).applyInArrow(_send(length, shards, fan), message)
+    if fan > 1:
+        sent = addressed(sent).applyInArrow(_merge_segments(length, shards), message)
+    found = addressed(sent).applyInArrow(_decide(length, fan), ranges)
+    if fan > 1:
+        found = gathered(found, "block").applyInArrow(_merge_ranges, ranges)
     return _placed(found, "block", parts)
 
 
@@ -465,7 +590,7 @@ def _masks(table: pa.Table, found: pa.Table, length: int) -> list[np.ndarray | N
     out: list[np.ndarray | None] = [None] * table.num_rows
     if not parts:
         return out
-    doc, begin, end = _join_ranges(*(np.concatenate([p[k] for p in parts]) for k in range(3)))
+    doc, begin, end = _join_ranges(*(np.concatenate([p[k] for p in parts]) for k in range(1, 4)))
     cuts = np.searchsorted(doc, np.arange(len(block.ids) + 1))
     sizes = np.diff(block.offsets)
     valid = pa.compute.is_valid(table["id"]).to_numpy()
@@ -479,7 +604,8 @@ def _masks(table: pa.Table, found: pa.Table, length: int) -> list[np.ndarray | N
     return out
 
 
-def removal_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, split: int = SPLIT) -> DataFrame:
+def removal_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, split: int = SPLIT,
+                   direct: int = DIRECT) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256) for each row.
 
     A byte is removed if a string of ``length`` bytes that covers it also starts in a document with a
@@ -499,12 +625,12 @@ def removal_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     parts = partitions(docs, text_col)
     rows = _dealt(docs.select(id_col, text_col), id_col, text_col, parts)
-    return (rows.groupBy("part", "block").cogroup(repeated_blocks(rows, parts, length, split).groupBy("part", "block"))
+    return (rows.groupBy("part", "block").cogroup(repeated_blocks(rows, parts, length, split, direct).groupBy("part", "block"))
             .applyInArrow(digest, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumnRenamed("id", id_col))
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars",
-                    length: int = LENGTH, split: int = SPLIT) -> DataFrame:
+                    length: int = LENGTH, split: int = SPLIT, direct: int = DIRECT) -> DataFrame:
     """``docs`` with the repeated bytes cut from the texts; ``chars_col``, where there is one, follows.
 
     A character of several bytes goes only if all of them are repeated, so texts stay valid UTF-8.
@@ -527,7 +653,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return pa.table([table["row"], pa.array(kept, pa.string()), pa.array(changed, pa.bool_())], ["row", "kept", "changed"])
 
     schema = T.StructType([T.StructField("row", row), T.StructField("kept", T.StringType()), T.StructField("changed", T.BooleanType())])
-    done = (rows.groupBy("part", "block").cogroup(repeated_blocks(rows, parts, length, split).groupBy("part", "block"))
+    done = (rows.groupBy("part", "block").cogroup(repeated_blocks(rows, parts, length, split, direct).groupBy("part", "block"))
             .applyInArrow(cut, schema).where("not changed or kept <> ''"))
 
     def column(c: str):

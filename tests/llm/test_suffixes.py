@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -58,10 +59,11 @@ def test_two_stage_order_is_the_order_of_suffixes(texts, depth):
         assert n == next((k for k in range(depth) if a[k] != b[k]), depth)
 
 
+@pytest.mark.parametrize("direct", [suffixes.DIRECT, 1])
 @pytest.mark.parametrize("split", [suffixes.SPLIT, 0])
-def test_digest_of_odd_rows(spark, split):
+def test_digest_of_odd_rows(spark, split, direct):
     rows = ODD + [(30 + k, f"{k} " * k + PASSAGE + " tail %d" % k) for k in range(12)] + [(50, PASSAGE + PASSAGE), (51, "y" * 49), (52, "y" * 50), (53, "y" * 51)]
-    found = suffixes.removal_digest(clashing(documents(spark, rows)), split=split).collect()
+    found = suffixes.removal_digest(clashing(documents(spark, rows)), split=split, direct=direct).collect()
     assert sorted(map(tuple, found), key=key) == sorted(plain_digest(rows, 50), key=key)
 
 
@@ -84,9 +86,37 @@ def test_texts_without_repeats(spark):
     assert sum(r.doc_id is None for r in done.collect()) == 2
 
 
-def test_empty_table(spark):
+def test_relays_keep_the_ranges_of_texts_over_few_letters(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(i) // 2, "".join(rng.choice(list("abc"), int(n)))) for i, n in enumerate(rng.integers(0, 500, 80))]
+    for direct in (1, suffixes.DIRECT):
+        found = suffixes.removal_digest(documents(spark, rows), length=12, split=5, direct=direct).collect()
+        assert sorted(map(tuple, found)) == sorted(plain_digest(rows, 12))
+
+
+@pytest.mark.parametrize("shards", [16, 64, 256, 1000])
+def test_a_block_writes_to_about_the_root_of_the_shards(shards):
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(list("abcdefgh"), 4000)) for _ in range(60)]
+    table = pa.table({"block": pa.array([3] * 60), "id": pa.array(range(60)), "hash": pa.array(range(60)), "text": texts})
+    fan = suffixes.relay_fan(shards, 1)
+    assert (fan - 1) ** 2 < shards <= fan ** 2 and suffixes.relay_fan(shards, shards) == 1
+    asked = suffixes._ask(50, shards, fan)(table)
+    assert asked.num_rows == -(-shards // fan)
+    assert suffixes._ask(50, shards)(table).num_rows > 0.95 * shards
+    # a relay writes to the shards that it serves, and keeps the keys
+    numbers = [n.as_py() for n in asked["shard"]]
+    kept = [suffixes._merge_keys(shards)(asked.slice(k, 1)) for k in range(len(numbers))]
+    for number, merged in zip(numbers, kept, strict=True):
+        assert {s // fan for s in merged["shard"].to_pylist()} == {number // fan}
+    keys = [[k for t in tables for m in t["keys"] for k in np.cumsum(suffixes._unpack(m.as_py(), ("<u8", "<u4", "u1"))[0])] for tables in ([asked], kept)]
+    assert sorted(keys[0]) == sorted(keys[1])
+
+
+@pytest.mark.parametrize("direct", [suffixes.DIRECT, 1])
+def test_empty_table(spark, direct):
     docs = documents(spark, [])
-    assert suffixes.removal_digest(docs).count() == 0
+    assert suffixes.removal_digest(docs, direct=direct).count() == 0
     assert suffixes.without_repeats(docs).columns == docs.columns
 
 
