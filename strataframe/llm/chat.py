@@ -91,14 +91,15 @@ def fold_events(events: DataFrame) -> DataFrame:
     Null texts are empty, null roles too. What a regeneration of an earlier turn drops is left out
     first. Events of a turn are gathered, those of a conversation are only looked at in order: no
     conversation is held in memory. Events of the same seq apply in order of kind, role and text.
-    Unknown kinds change nothing.
+    Unknown kinds change nothing. A null turn is a turn before all others, a null conv_id a conversation.
+
+    All steps follow one exchange by conv_id, none where the log comes dealt by it.
     """
-    order = Window.partitionBy("conv_id").orderBy("turn")
-    cut = F.max("again").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    cuts = (events.groupBy("conv_id", "turn").agg(F.max(F.when(F.col("kind") == "regenerate", F.col("seq"))).alias("again"))
-            .select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), cut.alias("cut")).where("cut is not null"))
-    events = (events.select("conv_id", "turn", "seq", "kind", "role", "text")
-              .join(cuts, F.col("conv_id").eqNullSafe(F.col("c")) & F.col("turn").eqNullSafe(F.col("t")), "left")
+    in_order = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    again = F.max(F.when(F.col("kind") == "regenerate", F.col("seq"))).over(in_order)
+    # the first event of a turn has only earlier turns before it; those behind it see these too, and more
+    cut = F.min(F.struct(F.col("again").isNotNull(), "again")).over(Window.partitionBy("conv_id", "turn"))["again"]
+    events = (events.select("conv_id", "turn", "seq", "kind", "role", "text", again.alias("again")).withColumn("cut", cut)
               .where(F.coalesce(F.col("seq") > F.col("cut"), F.lit(True))))
     base = F.col("kind").isin("message", "edit", "regenerate")
     event = F.struct("seq", "kind", "role", F.coalesce("text", F.lit("")).alias("text"))
@@ -141,7 +142,8 @@ def conversation_digests(turns: DataFrame) -> DataFrame:
     """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars) of ``read_back`` rows.
 
     The digest of a conversation runs over its turns one after the other, so rows are sorted and
-    streamed; a task keeps two running digests, however long the conversation.
+    streamed; a task keeps two running digests, however long the conversation. A text under the mask as
+    a whole goes through the exchange once.
     """
     id_type = turns.schema["conv_id"].dataType.simpleString()
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
@@ -164,6 +166,7 @@ def conversation_digests(turns: DataFrame) -> DataFrame:
                     now = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
                 now[1] += 1
                 now[2].update(f"{role}\n{text}\n".encode())
+                masked = text if masked is None else masked
                 now[3] += len(masked)
                 now[4].update(masked.encode())
                 now[5] += chars
@@ -173,6 +176,7 @@ def conversation_digests(turns: DataFrame) -> DataFrame:
             yield flush([(now[0], now[1], now[2].hexdigest(), now[3], now[4].hexdigest(), now[5])], kind)
 
     parts = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    turns = turns.withColumn("masked", F.when(F.col("masked") != F.col("text"), F.col("masked")))
     ordered = turns.repartition(parts, "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return ordered.select("conv_id", "turn", "role", "text", "masked", "formatted_chars").mapInArrow(
         fold, f"conv_id {id_type}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

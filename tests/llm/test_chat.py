@@ -66,6 +66,19 @@ def test_streaming_again_after_a_regeneration(spark):
     assert got == want == replayed(log)
 
 
+def test_a_null_turn_comes_before_all_others(spark):
+    log = [(1, None, 0, "message", "user", "a"), (1, 2, 1, "message", "user", "b"), (1, None, 2, "regenerate", None, "A"), (1, None, 3, "delta", None, "!"),
+           (1, 3, 4, "message", "user", "c"), (None, 1, 0, "message", "user", "x"), (None, 2, 1, "message", "user", "y"), (None, 1, 2, "regenerate", None, "X")]
+    got = {(r.conv_id, r.turn): (r.role, r.text) for r in chat.fold_events(spark.createDataFrame(log, EVENTS)).collect()}
+    assert got == {(1, None): ("user", "A!"), (1, 3): ("user", "c"), (None, 1): ("user", "X")}
+
+
+def test_the_fold_of_a_table_has_one_exchange(spark):
+    table = spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string")
+    plan = chat.render(chat.fold_events(chat.as_streamed_events(table)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Join" not in plan
+
+
 def test_random_logs_fold_as_they_replay(spark):
     import random
 
