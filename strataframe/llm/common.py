@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import uuid
 from collections.abc import Iterator
@@ -22,11 +23,36 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+#: What the open ``noted`` blocks have noted so far.
+_NOTED: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def noted() -> Iterator[list[str]]:
+    """The paths of the tables that ``written`` writes inside the block, in order."""
+    paths: list[str] = []
+    _NOTED.append(paths)
+    try:
+        yield paths
+    finally:
+        _NOTED.pop()
+
+
+def remove_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Remove tables that ``written`` wrote and that nothing will read again, in whatever store they are."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to a shared table and read back: cuts the lineage, survives the loss of
     executors, and gives the planner the true size of the table."""
     spark = df.sparkSession
     path = shared_path(spark, label)
+    for paths in _NOTED:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
