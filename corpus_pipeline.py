@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.llm import decontaminate, packing, queries, simhash, suffixes, toxicity
-from strataframe.llm.common import written
+from strataframe.llm.common import noted, remove_tables, written
 from strataframe.session import ship_package
 from strataframe.sources.tables import load
 
@@ -58,7 +58,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents")
+    """The last stage's rows. What a stage wrote on its way, and what it read, goes once its result is written."""
+    docs, read = load(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        with noted() as tables:
+            docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        remove_tables(spark, [*read, *tables[:-1]])
+        read = tables[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)
