@@ -1,8 +1,11 @@
+import os
+
 import corpus_pipeline
 from pyspark.sql import functions as F
 
 from strataframe.llm import packing, queries, suffixes, toxicity
 from strataframe.llm.common import written
+from strataframe.session import checkpoint_dir
 from strataframe.sources.tables import load
 from tests.conftest import SF001
 from tests.llm import test_decontaminate, test_simhash, test_suffixes
@@ -40,6 +43,16 @@ def test_stages_against_plain_versions(spark):
     assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in now.collect()}
 
 
+def test_only_the_last_result_is_left_in_the_shared_folder(spark):
+    folder = checkpoint_dir(spark)
+    before = set(os.listdir(folder))
+    packed = corpus_pipeline.run(spark, SF001)
+    left = sorted(n.rsplit("-", 1)[0] for n in set(os.listdir(folder)) - before)
+    assert packed.count() > 0
+    assert [n for n in left if n.startswith("stage-")] == ["stage-benchmark_decontamination"]
+    assert not set(left) & {"classes", "fingerprints", "large-star", "labelled", "places", "hits"}
+
+
 def test_stages_take_odd_rows_and_empty_tables(spark):
     odd = documents(spark, ODD + [(80, "Something else. " + PASSAGE)]).select("*", *[F.lit(1).alias(c) for c in EXTRA])
     for docs in (odd, odd.limit(0)):
