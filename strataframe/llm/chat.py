@@ -56,10 +56,9 @@ def as_events(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str
               text_col: str = "text") -> DataFrame:
     """A table of finished turns as an event log: one message per row, numbered in order of turn; rows
     that repeat a turn are turns of their own, in order of role and text."""
-    order = Window.partitionBy(conv_col).orderBy(turn_col, role_col, text_col)
-    return conversations.select(
-        F.col(conv_col).alias("conv_id"), F.row_number().over(order).cast("long").alias("turn"), F.lit("message").alias("kind"),
-        F.col(role_col).alias("role"), F.col(text_col).alias("text")).withColumn("seq", F.col("turn"))
+    rows = conversations.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("at"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
+    turn = F.row_number().over(Window.partitionBy("conv_id").orderBy("at", "role", "text")).cast("long")
+    return rows.select("conv_id", turn.alias("turn"), F.lit("message").alias("kind"), "role", "text").withColumn("seq", F.col("turn"))
 
 
 def as_streamed_events(conversations: DataFrame, **columns: str) -> DataFrame:
