@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataframe.operators import verbs
+from strataframe.plans import catalog
 from strataframe.sources.tables import load, write_bucketed
 from tests.conftest import SF001
 
@@ -57,3 +58,17 @@ def test_outer_joins_become_inner_where_a_filter_needs_the_other_side(spark):
         assert "Outer" in plan(joined, True)
         strict = joined.filter(F.col(c).isNotNull())
         assert "Join Inner" in plan(strict, True) and "Outer" not in plan(strict, True)
+
+
+def test_a_literal_table_goes_to_every_task(spark, tmp_path):
+    """Two names joined to many rows of one key: the rows stay in the tasks that read them."""
+    rows = spark.createDataFrame([(k, 1.0) for k in ("A", "A", "A", "A", "R", "N", None)], "l_returnflag string, l_quantity double")
+    rows.write.parquet(str(tmp_path / "lineitem.parquet"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # no side is small, as at size
+    try:
+        named = catalog.QUERIES["literal_join"](spark, str(tmp_path))
+        assert {tuple(r) for r in named.collect()} == {("accepted", 4, 4.0), ("returned", 1, 1.0)}
+        assert "BroadcastHashJoin" in plan(named) and "SortMergeJoin" not in plan(named)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
