@@ -29,8 +29,9 @@ from strataframe.llm.common import mix64, run_hashes, text_steps, token_runs, wr
 
 #: Longest phrase, in words.
 DEPTH = 5
-#: Bytes of text of one vectorised step, suffix occurrences of one group, buckets of prefixes.
-STEP_BYTES, GROUP_SUFFIXES, BUCKETS = 8 << 20, 1 << 17, 1 << 12
+#: Bytes of text of one vectorised step (a step needs about 50 times as much memory), rows passed on at once,
+#: suffix occurrences of one group, buckets of prefixes.
+STEP_BYTES, OUT_ROWS, GROUP_SUFFIXES, BUCKETS = 2 << 20, 1 << 16, 1 << 17, 1 << 12
 #: Bits of a filter: so many for each entry, in a bitmap of at most 16 MB, made of blocks.
 BITS_EACH, MOST_BITS, BLOCK_BITS = 16, 1 << 27, 1 << 15
 UNKNOWN_LANGUAGE = "und"
@@ -76,12 +77,19 @@ def _longs(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+def _passed_on(columns: list[pa.Array], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows of a step in batches that need little memory where they arrive."""
+    batch = pa.RecordBatch.from_arrays(columns, names)
+    for at in range(0, batch.num_rows, OUT_ROWS):
+        yield batch.slice(at, OUT_ROWS)
+
+
 def _count_words(seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, raw, start, end, row, name, _ in _tokens(batch, seed):
                 names, first, n = np.unique(name, return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
+                yield from _passed_on(
                     [_longs(names), batch.column("lang").take(pa.array(a + row[first])).cast(pa.string()),
                      _substrings(raw, start[first], end[first]).cast(pa.string()), pa.array(n.astype(np.int64))], ["name", "lang", "word", "n"])
 
@@ -144,7 +152,7 @@ def _count_pairs(seed: int, frequent: Filter):
             for _, _, _, _, _, name, linked in _tokens(batch, seed):
                 pair, good = _pairs(name, linked, frequent)
                 pairs, n = np.unique(pair[good], return_counts=True)
-                yield pa.RecordBatch.from_arrays([_longs(pairs), pa.array(n.astype(np.int64))], ["pair", "n"])
+                yield from _passed_on([_longs(pairs), pa.array(n.astype(np.int64))], ["pair", "n"])
 
     return run
 
@@ -198,7 +206,7 @@ def _send_suffixes(seed: int, frequent: Filter, prefixes: Filter, first: np.ndar
                 rows = rows[lead]
                 bucket = (pair[rows] & np.uint64(BUCKETS - 1)).astype(np.int64)
                 group = first[bucket] + ((whole[rows] >> np.uint64(16)) % parts[bucket].astype(np.uint64)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
+                yield from _passed_on(
                     [pa.array(group), pa.array(parts[bucket] == 1), *(_longs(column[rows]) for column in words), pa.array(n.astype(np.int64))],
                     ["group", "complete", *(f"w{i}" for i in range(DEPTH)), "n"])
 

@@ -1,8 +1,10 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import ODD, clashing, documents
 from pyspark.sql import functions as F
@@ -125,3 +127,24 @@ def test_filter_keeps_all_that_it_was_given(spark):
     inside = np.array([r[0] for r in numbers.collect()], np.int64).view(np.uint64)
     outside = np.array([r[0] for r in spark.range(5000, 10000).select(F.xxhash64("id")).collect()], np.int64).view(np.uint64)
     assert flags(inside).all() and flags(outside).mean() < 0.1
+
+
+def test_a_task_needs_little_memory_beside_its_rows():
+    """17 MB of text in one batch: steps and what they pass on stay small in all three passes."""
+    rng = np.random.default_rng(0)
+    pool = np.array([f"w{k}" for k in range(5000)])
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 1000), pa.array([" ".join(pool[rng.integers(0, 5000, 3000)]) for _ in range(1000)])], ["lang", "text"])
+    every = lambda x: np.ones(len(x), bool)
+    one = np.ones(phrases.BUCKETS, np.int64)
+    for run in (phrases._count_words(0), phrases._count_pairs(0, every), phrases._send_suffixes(0, every, every, one * 0, one)):
+        tracemalloc.start()
+        try:
+            counted, rows = 0, []
+            for found in run(iter([batch])):
+                counted += int(np.sum(found.column("n").to_numpy()))
+                rows.append(found.num_rows)
+            peak = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        assert counted in (3_000_000, 2_999_000)  # words, and words with a successor
+        assert max(rows) <= 1 << 16 and peak < 150 << 20
