@@ -140,3 +140,60 @@ def test_repeated_labelled_ids_are_one_row(spark, monkeypatch):
     for parts in (1, 5):
         quality.train(documents(spark, rows).repartition(parts), marks, "quality", F.lit(True))
     assert sorted(seen[0][1]) == [0, 0, 1] and seen[0][1] == seen[1][1] and (seen[0][0] == seen[1][0]).all()
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """A word that only the last rows in hash order hold, behind 5,000 others of their label, is learnt."""
+    order = [r.doc_id for r in spark.range(8000).toDF("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    rng = np.random.default_rng(3)
+    pool = [f"word{k}" for k in range(50)]
+    text = lambda *own: " ".join([*rng.choice(pool, 6), *own])
+    rows = [(i, text("vileword" if k < 5000 else "latebad") if k < 6000 else text()) for k, i in enumerate(order)]
+    labels = spark.createDataFrame([(i, int(k < 6000)) for k, i in enumerate(order)], "doc_id long, toxic int")
+    model = toxicity.train(documents(spark, rows), labels, "toxic", F.lit(True))
+    new = documents(spark, [*((k, text("latebad")) for k in range(100)), *((k, text()) for k in range(100, 200))])
+    got = {r.doc_id: r.score >= 0.5 for r in toxicity.with_score(new, model).collect()}
+    assert np.mean([got[k] == (k < 100) for k in got]) > 0.95
+
+
+def test_toxicity_has_one_model_whatever_the_layout(spark, labelled):
+    rows, docs, labels = labelled
+    models = [toxicity.train(docs.repartition(parts), labels, "toxic", F.lit(True), words=15_000) for parts in (1, 5)]
+    for name in ("table", "bias", "dense", "thresholds"):
+        assert (getattr(models[0], name) == getattr(models[1], name)).all()
+
+
+def test_a_round_is_the_mean_of_what_the_parts_moved(spark):
+    rng = np.random.default_rng(4)
+    sizes = rng.integers(0, 12, 90)
+    words = [rng.integers(0, 400, (n, 3)).astype("<u2") for n in sizes]
+    label, part = rng.integers(0, 2, 90), np.sort(rng.integers(0, 3, 90))
+    dealt = spark.createDataFrame([(int(p), False, k, int(y), 0, int(n), w.tobytes()) for k, (p, y, n, w) in enumerate(zip(part, label, sizes, words, strict=True))],
+                                  "part int, tune boolean, deal long, label int, language int, n long, words binary").repartitionById(3, F.col("part"))
+    state = toxicity.start_state(1)
+    sums = np.full_like(state, 1e-8)
+    total, weight = np.zeros((len(state), 2 * toxicity.DIM)), np.zeros((len(state), 1))
+    for p in range(3):
+        use = np.flatnonzero(part == p)
+        new, squares = toxicity.learn(state, sums, np.concatenate([words[k] for k in use]), np.append(0, np.cumsum(sizes[use])),
+                                      label[use].astype(np.float32), 2, [7, p])
+        change = np.concatenate([new - state, squares - sums], 1)
+        weight[change.any(1)] += len(use)
+        total += len(use) * change
+    want = np.concatenate([state, sums], 1) + total / np.maximum(weight, 1)
+    toxicity._one_round(dealt.sortWithinPartitions("part", "deal"), state, sums, 2, 10_000, 7)
+    assert (weight[:400] > 0).mean() > 0.5 and np.allclose(np.concatenate([state, sums], 1), want, atol=1e-6)
+
+
+def test_thresholds_miss_least():
+    rng = np.random.default_rng(5)
+    counts = np.zeros((len(toxicity.LANGUAGES), 2 * toxicity.GREATEST * toxicity.GRID + 1, 2), np.int64)
+    for lang, n in ((0, 400), (1, 60), (2, 5)):  # the last has too few rows of its own
+        for y in (0, 1):
+            z = np.rint(rng.normal(y * 2 + lang, 1, n) * toxicity.GRID).astype(int) + toxicity.GREATEST * toxicity.GRID
+            np.add.at(counts[lang, :, y], z, 1)
+    got = toxicity.thresholds(counts)
+    steps = (np.arange(counts.shape[1]) - toxicity.GREATEST * toxicity.GRID) / toxicity.GRID
+    cost = lambda c, t: c[steps < t, 1].sum() / c[:, 1].sum() + c[steps >= t, 0].sum() / c[:, 0].sum()
+    for lang, c in ((0, counts[0]), (1, counts[1]), (2, counts.sum(0))):
+        assert cost(c, got[lang]) <= min(cost(c, t) for t in steps[::4]) + 1e-12
