@@ -21,6 +21,9 @@ A key with very many segments (a frequent gram in many contexts) is split by the
 strings are routed one by one, by a hash of all their bytes. Keys and routes decide nothing; any
 choice gives the same result. The texts are shuffled once: all three steps that need them read the
 same exchange.
+
+What a task holds follows from the bytes of a block or shard, which are bounded whatever the number of partitions. A
+shard's keys decide nothing about each other, so their suffix arrays are made for some megabytes of segments at a time.
 """
 
 from __future__ import annotations
@@ -45,9 +48,11 @@ LENGTH = 50
 GRAM, COUNT_BITS = 16, 48
 #: Bytes of one vectorised step.
 STEP_BYTES = 256 << 10
-#: Blocks and shards for each partition; bytes of text of a partition at most, on average, whatever the session's
-#: number of partitions.
-BLOCKS, SHARDS, PART_BYTES = 2, 2, 128 << 20
+#: Bytes of text at most, on average, of a partition, of a block and for each shard, whatever the session's number of
+#: partitions (a shard's segments overlap: they have up to four times as many bytes).
+PART_BYTES, BLOCK_BYTES, SHARD_BYTES = 128 << 20, 12 << 20, 18 << 20
+#: Bytes of segments of one suffix array, where a key has not more.
+ARRAY_BYTES = 4 << 20
 #: Segments of a key from which on its strings are routed one by one.
 SPLIT = 65_536
 #: Shards up to which blocks write to them without relays (some tens of kilobytes a message at PART_BYTES).
@@ -116,10 +121,10 @@ def least_holders(text: np.ndarray, begin: np.ndarray, run: np.ndarray, least: n
     Segment i starts at begin[i] of ``text``, ends with END, and is held by document least[i] at
     the smallest.
     """
-    starts = np.zeros(len(text) + 1, np.int64)
+    starts = np.zeros(len(text) + 1, np.int8)  # segments are apart, so sums are 0 or 1
     np.add.at(starts, begin, 1)
     np.add.at(starts, begin + run, -1)
-    is_start = np.cumsum(starts[:-1]) > 0
+    is_start = np.cumsum(starts[:-1], dtype=np.int8) > 0
     # each start's chain of descending successors ends at an ascending suffix
     small = ascending(text)
     wanted = is_start.copy()
@@ -147,7 +152,8 @@ def least_holders(text: np.ndarray, begin: np.ndarray, run: np.ndarray, least: n
 def gather(raw: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """raw[begin[i] : begin[i] + size[i]] of all i, joined."""
     ends = np.cumsum(size)
-    index = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begin - (ends - size), size)
+    index = np.repeat(begin - (ends - size), size)
+    index += np.arange(len(index))
     return raw[index]
 
 
@@ -187,16 +193,25 @@ _PRESS, _OPEN = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
 def _pack(arrays: list[np.ndarray]) -> bytes:
-    """Integer arrays as compressed bytes; each goes by planes of bytes, which compress better."""
+    """Integer arrays as compressed bytes behind their lengths; each goes by planes of bytes, which compress better."""
     head = np.array([len(arrays), *(len(a) for a in arrays)], "<i8").tobytes()
     planes = [np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T).tobytes() for a in arrays]
-    return _PRESS.compress(head + b"".join(planes))
+    return head + _PRESS.compress(b"".join(planes))
+
+
+def _lengths(blob: bytes | pa.Buffer, types: tuple[str, ...]) -> list[int]:
+    return np.frombuffer(blob, "<i8", len(types), 8).tolist()
 
 
-def _unpack(blob: bytes, types: tuple[str, ...]) -> list[np.ndarray]:
-    raw = _OPEN.decompress(blob)
-    at, out = 8 * (len(types) + 1), []
-    for t, n in zip(types, np.frombuffer(raw, "<i8", len(types), 8).tolist(), strict=True):
+def _blobs(column: pa.ChunkedArray) -> list[pa.Buffer]:
+    """The messages of a column, without a copy."""
+    return [m.as_buffer() for m in column]
+
+
+def _unpack(blob: bytes | pa.Buffer, types: tuple[str, ...]) -> list[np.ndarray]:
+    raw = _OPEN.decompress(memoryview(blob)[8 * (len(types) + 1):])
+    at, out = 0, []
+    for t, n in zip(types, _lengths(blob, types), strict=True):
         width = np.dtype(t).itemsize
         planes = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n)
         out.append(np.ascontiguousarray(planes.T).view(t).reshape(n) if width > 1 else planes.reshape(n).view(t))
@@ -208,12 +223,14 @@ class _Block:
     """The distinct documents with an id of one block, in order, and their segments."""
 
     def __init__(self, ids: pa.ChunkedArray, hashes: pa.ChunkedArray, texts: pa.ChunkedArray, length: int):
-        rows = pa.table({"id": ids, "hash": hashes, "text": texts}).filter(pa.compute.is_valid(ids)).combine_chunks()
+        rows = pa.table({"id": ids, "hash": hashes, "text": texts})
+        rows = (rows.filter(pa.compute.is_valid(ids)) if ids.null_count else rows).combine_chunks()
         both = np.empty(rows.num_rows, [("id", "<i8"), ("hash", "<i8")])
         both["id"], both["hash"] = (rows.column(k).to_numpy() for k in range(2))
         both, first = np.unique(both, return_index=True)
         self.ids, self.hashes, self.length = both["id"], both["hash"], length
         text = rows.column("text").take(pa.array(first))
+        del rows
         self.raw, self.offsets = flat_text(pa.concat_arrays(text.chunks) if text.num_chunks else pa.array([], pa.string()))
 
     def ordinals(self, ids: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -372,13 +389,17 @@ def _segment_messages(to: np.ndarray, ids: np.ndarray, of_block: np.ndarray, ord
     return blobs
 
 
-def _joined(blobs: list[bytes]) -> list[np.ndarray]:
-    """Segment messages as one: ids, blocks and places of the documents, then key, run, place, document, text."""
-    messages = [_unpack(m, _SEGMENTS) for m in blobs]
-    base = np.cumsum([0, *(len(m[0]) for m in messages)])
-    doc = np.concatenate([m[6] + b for m, b in zip(messages, base, strict=False)])
-    ids, of_block, ordinal, key, run, place = (np.concatenate([m[k] for m in messages]) for k in range(6))
-    return [ids, of_block, ordinal, key, run.astype(np.int64), place.astype(np.int64), doc, np.concatenate([m[7] for m in messages])]
+def _joined(blobs: list[pa.Buffer]) -> list[np.ndarray]:
+    """Segment messages as one: ids, blocks and places of the documents, then key, run, place, document, text. One message
+    after the other is unpacked, in place."""
+    ends = np.cumsum([_lengths(m, _SEGMENTS) for m in blobs], axis=0)
+    out = [np.empty(n, t) for n, t in zip(ends[-1].tolist(), _SEGMENTS, strict=True)]
+    begin = [0] * len(_SEGMENTS)
+    for blob, end in zip(blobs, ends.tolist(), strict=True):
+        for k, column in enumerate(_unpack(blob, _SEGMENTS)):
+            np.add(column, begin[0] if k == 6 else 0, out=out[k][begin[k]:end[k]], casting="same_kind")
+        begin = end
+    return out
 
 
 def _join_ranges(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
@@ -437,7 +458,7 @@ def _merge_segments(length: int, shards: int) -> Callable:
         out = [table.filter(passing).select(["block", "shard", "message"])]
         table = table.filter(pa.compute.invert(passing))
         if table.num_rows:
-            *columns, text = _joined(table["message"].to_pylist())
+            *columns, text = _joined(_blobs(table["message"]))
             size = columns[4] + length - 1
             blobs = _segment_messages(_shard_of(columns[3], shards), *columns, text, np.cumsum(size) - size, length)
             out.append(_messages(table["shard"][0].as_py(), blobs, "message"))
@@ -461,16 +482,14 @@ def _decide(length: int, fan: int = 1) -> Callable:
     """Steps 2 and 3 in a shard: (block or relay, ranges), the repeated byte ranges of the blocks' documents."""
 
     def decide(table: pa.Table) -> pa.Table:
-        messages, numbers, shards = table["message"].to_pylist(), table["block"].to_numpy(), table["shard"].to_numpy()
+        messages, numbers, shards = _blobs(table["message"]), table["block"].to_numpy(), table["shard"].to_numpy()
         own = table["to"][0].as_py() % fan
-        out = [(int(b) // fan * fan + own, m) for m, b, s in zip(messages, numbers, shards, strict=True) if s < 0]
+        out = [(int(b) // fan * fan + own, m.to_pybytes()) for m, b, s in zip(messages, numbers, shards, strict=True) if s < 0]
         messages = [m for m, s in zip(messages, shards, strict=True) if s >= 0]
-        del table
         if messages:
-            ids, of_block, ordinal, *rest = _joined(messages)
-            del messages
-            key, run, place, doc, text = rest
-            doc, begin, end = _join_ranges(*repeated_ranges(ids, key, run, place, doc, text, length))
+            ids, of_block, ordinal, *segments_of = _joined(messages)
+            doc, begin, end = _join_ranges(*repeated_ranges(ids, *segments_of, length))
+            del segments_of
             to = of_block[doc].astype(np.int64) // fan * fan + own
             out += _range_messages(to, [of_block[doc], ordinal[doc], begin, end])
         give_back()
@@ -487,9 +506,10 @@ def _merge_ranges(table: pa.Table) -> pa.Table:
 
 
 def repeated_ranges(ids: np.ndarray, key: np.ndarray, run: np.ndarray, place: np.ndarray, doc: np.ndarray, text: np.ndarray,
-                    length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+                    length: int, array_bytes: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(doc, first byte, end) of ranges that a smaller document repeats, of segments of ``run`` strings
-    at ``place`` in document ``doc`` (with id ids[doc]) whose bytes follow each other in ``text``."""
+    at ``place`` in document ``doc`` (with id ids[doc]) whose bytes follow each other in ``text``.
+    Strings of different keys differ: the keys are taken in turn, of about ``array_bytes`` at a time."""
     size = run + length - 1
     begin = np.cumsum(size) - size
     # keys of one document only can't be repeated from a smaller one
@@ -497,11 +517,29 @@ def repeated_ranges(ids: np.ndarray, key: np.ndarray, run: np.ndarray, place: np
     firsts = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1])) if len(order) else order
     of = ids[doc[order]]
     lows, highs = (f.reduceat(of, firsts) if len(firsts) else of for f in (np.minimum, np.maximum))
-    order = order[np.repeat(lows < highs, np.diff(np.append(firsts, len(order))))]
+    several = lows < highs
+    n_of = np.diff(np.append(firsts, len(order)))
+    order = order[np.repeat(several, n_of)]
+    rows = np.append(0, np.cumsum(n_of[several]))
+    ends = np.append(0, np.cumsum(size[order]))[rows]
+    del firsts, of, lows, highs, several, n_of
+    give_back()
+    found = [(doc[:0], place[:0], place[:0])]
+    for a, b in chunks(ends, ARRAY_BYTES if array_bytes is None else array_bytes):
+        s = order[rows[a]:rows[b]]
+        found.append(_repeated(ids, key[s], run[s], place[s], doc[s], gather(text, begin[s], size[s]), length))
+    return tuple(np.concatenate(f) for f in zip(*found, strict=True))
+
+
+def _repeated(ids: np.ndarray, key: np.ndarray, run: np.ndarray, place: np.ndarray, doc: np.ndarray, text: np.ndarray,
+              length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``repeated_ranges`` by one suffix array."""
+    size = run + length - 1
+    begin = np.cumsum(size) - size
     # equal segments of different blocks: one of them goes into the array
-    same = run_hashes(np.concatenate([text, np.zeros(8, np.uint8)]), begin[order], size[order])
-    by = np.lexsort((ids[doc[order]], same, key[order]))
-    order, same = order[by], same[by]
+    same = run_hashes(np.concatenate([text, np.zeros(8, np.uint8)]), begin, size)
+    order = np.lexsort((ids[doc], same, key))
+    same = same[order]
     new = np.ones(len(order), bool)
     new[1:] = (same[1:] != same[:-1]) | (key[order][1:] != key[order][:-1])
     unit = np.cumsum(new) - 1  # of each segment
@@ -535,17 +573,23 @@ def repeated_ranges(ids: np.ndarray, key: np.ndarray, run: np.ndarray, place: np
             np.concatenate([place[whole] + size[whole], inner + (b - a)[pick] + length - 1]))
 
 
-def partitions(docs: DataFrame, text_col: str) -> int:
-    """The session's number of shuffle partitions, or more where these would hold over PART_BYTES of text each."""
+def layout(docs: DataFrame, text_col: str) -> tuple[int, int, int]:
+    """The numbers of partitions, blocks and shards. Partitions: the session's number for shuffles, or more where these
+    would hold over PART_BYTES of text each. Each has as many blocks and shards as their bytes ask for."""
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
-    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+    return parts, *(parts * max(1, -(-size // (parts * most))) for most in (BLOCK_BYTES, SHARD_BYTES))
+
+
+def partitions(docs: DataFrame, text_col: str) -> int:
+    return layout(docs, text_col)[0]
 
 
-def _dealt(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataFrame:
+def _dealt(docs: DataFrame, id_col: str, text_col: str, parts: int, blocks: int) -> DataFrame:
     """(block, id, hash, text, row) of ``docs``, dealt into blocks: the one shuffle of the texts."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"),
                        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"))
-    return _placed(rows.withColumn("block", F.pmod(F.xxhash64("id", "hash"), F.lit(parts * BLOCKS))), "block", parts)
+    return _placed(rows.withColumn("block", F.pmod(F.xxhash64("id", "hash"), F.lit(blocks))), "block", parts)
 
 
 def _placed(table: DataFrame, number: str, parts: int) -> DataFrame:
@@ -554,9 +598,8 @@ def _placed(table: DataFrame, number: str, parts: int) -> DataFrame:
     return table.withColumn("part", (F.col(number) % parts).cast("int")).repartitionById(parts, F.col("part"))
 
 
-def repeated_blocks(rows: DataFrame, parts: int, length: int = LENGTH, split: int = SPLIT, direct: int = DIRECT) -> DataFrame:
+def repeated_blocks(rows: DataFrame, parts: int, shards: int, length: int = LENGTH, split: int = SPLIT, direct: int = DIRECT) -> DataFrame:
     """(block, ranges): the repeated byte ranges of rows that ``_dealt`` dealt to ``parts`` partitions."""
-    shards = parts * SHARDS
     fan = relay_fan(shards, direct)
     keys, codes, message, ranges = ("block long, shard long, keys binary", "block long, shard long, codes binary",
                                     "block long, shard long, message binary", "block long, ranges binary")
@@ -623,9 +666,9 @@ def removal_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         columns = [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string()))]
         return pa.table([table["id"], *columns], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    parts = partitions(docs, text_col)
-    rows = _dealt(docs.select(id_col, text_col), id_col, text_col, parts)
-    return (rows.groupBy("part", "block").cogroup(repeated_blocks(rows, parts, length, split, direct).groupBy("part", "block"))
+    parts, blocks, shards = layout(docs, text_col)
+    rows = _dealt(docs.select(id_col, text_col), id_col, text_col, parts, blocks)
+    return (rows.groupBy("part", "block").cogroup(repeated_blocks(rows, parts, shards, length, split, direct).groupBy("part", "block"))
             .applyInArrow(digest, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumnRenamed("id", id_col))
 
 
@@ -636,8 +679,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A character of several bytes goes only if all of them are repeated, so texts stay valid UTF-8.
     A document of which nothing is left goes; empty and null texts stay as they are.
     """
-    parts = partitions(docs, text_col)
-    rows = _dealt(docs, id_col, text_col, parts)
+    parts, blocks, shards = layout(docs, text_col)
+    rows = _dealt(docs, id_col, text_col, parts, blocks)
     row = rows.schema["row"].dataType
 
     def cut(table: pa.Table, found: pa.Table) -> pa.Table:
@@ -653,7 +696,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return pa.table([table["row"], pa.array(kept, pa.string()), pa.array(changed, pa.bool_())], ["row", "kept", "changed"])
 
     schema = T.StructType([T.StructField("row", row), T.StructField("kept", T.StringType()), T.StructField("changed", T.BooleanType())])
-    done = (rows.groupBy("part", "block").cogroup(repeated_blocks(rows, parts, length, split, direct).groupBy("part", "block"))
+    done = (rows.groupBy("part", "block").cogroup(repeated_blocks(rows, parts, shards, length, split, direct).groupBy("part", "block"))
             .applyInArrow(cut, schema).where("not changed or kept <> ''"))
 
     def column(c: str):

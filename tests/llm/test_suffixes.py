@@ -1,4 +1,5 @@
 import hashlib
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -131,3 +132,58 @@ def test_blocks_follow_the_bytes_of_the_texts(spark, monkeypatch):
     assert 20 <= suffixes.partitions(docs, "text") <= 21
     found = suffixes.removal_digest(docs).collect()
     assert sorted(map(tuple, found), key=key) == sorted(plain_digest(rows, 50), key=key)
+
+
+def peak_bytes(work):
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def many_segments(rng, docs, length, words):
+    """Segments of documents that share many strings: ids, key, run, place, document, text."""
+    vocabulary = ["".join(rng.choice(list("abcdefgh"), 8)) for _ in range(words)]
+    ids = np.arange(docs, dtype="<i8")
+    texts = [" ".join(rng.choice(vocabulary, 900)).encode() for _ in range(docs)]
+    raw = np.frombuffer(b"".join(texts) + bytes(8), np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    key, begin, run = suffixes.segments(raw, offsets, length)
+    doc = np.searchsorted(offsets, begin, "right") - 1
+    return ids, key, run, begin - offsets[doc], doc, suffixes.gather(raw, begin, run + length - 1)
+
+
+def test_arrays_of_some_keys_at_a_time_find_the_same_ranges():
+    columns = many_segments(np.random.default_rng(6), 12, 20, words=60)
+    whole = suffixes._join_ranges(*suffixes.repeated_ranges(*columns, 20, array_bytes=1 << 40))
+    assert len(whole[0]) > 100
+    for size in (1, 5_000, 200_000):
+        parts = suffixes._join_ranges(*suffixes.repeated_ranges(*columns, 20, array_bytes=size))
+        assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
+
+
+def test_memory_of_a_shard_does_not_follow_its_suffixes(monkeypatch):
+    monkeypatch.setattr(suffixes, "ARRAY_BYTES", 64 << 10, raising=False)
+    ids, key, run, place, doc, text = many_segments(np.random.default_rng(7), 120, 50, words=8)
+    message = suffixes._pack([c.astype(t) for c, t in zip((ids, ids * 0, ids, key, run, place, doc, text), suffixes._SEGMENTS, strict=True)])
+    table = pa.table({"block": pa.array([0]), "shard": pa.array([0]), "message": pa.array([message], pa.binary()), "to": pa.array([0])})
+    assert len(text) > 2_000_000
+    found, peak = peak_bytes(lambda: suffixes._decide(50)(table))
+    assert found.num_rows == 1
+    assert peak < 6 * len(text)
+
+
+def test_blocks_and_shards_follow_the_bytes_whatever_the_partitions(spark, monkeypatch):
+    docs = documents(spark, ODD + [(30 + k, f"{k} " * 40 * k + PASSAGE) for k in range(12)])
+    size = docs.selectExpr("sum(octet_length(text))").first()[0]
+    session = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert suffixes.layout(docs, "text") == (session, session, session)
+    monkeypatch.setattr(suffixes, "BLOCK_BYTES", size // 40)
+    monkeypatch.setattr(suffixes, "SHARD_BYTES", size // 25)
+    parts, blocks, shards = suffixes.layout(docs, "text")
+    assert parts == session and 40 <= blocks < 40 + 2 * session and 25 <= shards < 25 + 2 * session
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    for direct in (suffixes.DIRECT, 1):
+        found = suffixes.removal_digest(docs, direct=direct).collect()
+        assert sorted(map(tuple, found), key=key) == sorted(plain_digest(rows, 50), key=key)
